@@ -1,0 +1,4 @@
+"""Nothing to build: the job is a nightly full recompute with no stream, window or state.
+
+Rows which arrive after a run show up in the next snapshot.
+"""
