@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +28,6 @@ def pick_positions(df: DataFrame, positions: Mapping[str, int]) -> DataFrame:
     )
 
 
-def all_null(columns: Sequence[str]) -> Column:
-    return reduce(lambda left, name: left & quoted(name).isNull(), columns, F.lit(True))
-
-
 def drop_all_null(df: DataFrame) -> DataFrame:
     return df.na.drop("all")
 

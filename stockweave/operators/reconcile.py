@@ -8,12 +8,13 @@ already under another SKU, in which case they are dropped. Within an entry the l
 branch counts. Entries with the same SKU are merged: the first entry gives the item name, and for
 each branch the entry opened last gives the quantity, even if another entry's record came later.
 
-The plan. The raw feed is read by one hash aggregation with partial sums in every task, down to
-one row per phase, item, SKU and branch (``digest``). A hot item or SKU shrinks to one row per
-branch there, before any shuffle. Every join works on such reduced rows, is an equi join on item
-or SKU, and is left to the optimizer: broadcast if the staged table is small, else sort-merge
-with skew splitting. Only quantities and ordinals are aggregated on the wide path, because
-strings in an aggregation buffer would turn it into a sort.
+The plan. The raw feed is read by two aggregations, each with partial results in every task: the
+``digest`` keeps one row per phase, key and branch, ``first_records`` one row per item. A hot item
+or SKU shrinks to one row per branch there, before any shuffle. The digest aggregates numbers
+only, which keeps it a hash aggregation; a string in its buffers would turn it into a sort of all
+rows, and the SKU of an item record in its key could undo the reduction. Every join works on such
+reduced rows, is an equi join on item or SKU, and is left to the optimizer: broadcast if the
+staged table is small, else sort-merge with skew splitting.
 """
 
 from __future__ import annotations
@@ -40,19 +41,28 @@ def sku_records(feed: DataFrame) -> DataFrame:
 
 
 def digest(feed: DataFrame) -> DataFrame:
-    """First and last ordinal and last quantity per phase, item, SKU and branch."""
-    return feed.groupBy("phase", "item", "sku", "branch").agg(
+    """First and last ordinal and last quantity per phase, key and branch.
+
+    The key is the item in an item phase and the SKU in a SKU phase; the other one is NULL.
+    """
+    of_item = F.col("phase").isin(*ITEM_PHASES)
+    return feed.groupBy(
+        "phase",
+        F.when(of_item, F.col("item")).alias("item"),
+        F.when(~of_item, F.col("sku")).alias("sku"),
+        "branch",
+    ).agg(
         F.min("ord").alias("first_ord"),
         F.max("ord").alias("last_ord"),
         F.max_by("qty", "ord").alias("qty"),
     )
 
 
-def first_records(digested: DataFrame) -> DataFrame:
+def first_records(feed: DataFrame) -> DataFrame:
     """First item-phase record of every item."""
-    return item_records(digested).groupBy("item").agg(
-        F.min_by("sku", "first_ord").alias("sku"),
-        F.min("first_ord").alias("ord"),
+    return item_records(feed).groupBy("item").agg(
+        F.min_by("sku", "ord").alias("sku"),
+        F.min("ord").alias("ord"),
         F.min("phase").alias("phase"),
     )
 
@@ -176,7 +186,7 @@ class Reconciliation:
 def reconcile(feed: DataFrame) -> Reconciliation:
     """Reduce a clean feed to its entries; see the module text for the rules."""
     digested = stage(digest(feed), "digest")
-    firsts = stage(first_records(digested), "first-records")
+    firsts = stage(first_records(feed), "first-records")
     heads = stage(sku_heads(digested, firsts), "sku-heads")
     entries = stage(item_entries(firsts, heads), "entries")
     return Reconciliation(feed, digested, firsts, heads, entries)

@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 from functools import reduce
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +26,18 @@ from stockweave.operators.reconcile import Reconciliation, reconcile
 from stockweave.schemas import FEED, REJECTS
 from stockweave.sources import history
 from stockweave.sources.dimensions import small_table
-from stockweave.sources.feeds import FeedSpec, UnitStatus, read_feed, status_of
+from stockweave.sources.feeds import (
+    FeedError,
+    FeedSpec,
+    UnitStatus,
+    landed_units,
+    read_units,
+    status_of,
+)
 from stockweave.sources.staging import stage
 
+READ_ERRORS = (FeedError, PySparkException, Py4JJavaError)
+
 
 @dataclass(frozen=True)
 class CleanFeed:
@@ -47,25 +57,37 @@ def stage_feed(
 ) -> tuple[DataFrame | None, list[UnitStatus]]:
     """Parse a feed into a staged table, together with what became of its units.
 
-    If a file of an optional feed turns out to be unreadable, its units are staged one by one, so
-    that only the broken ones are lost.
+    All units are read in one scan. If that fails on an optional feed, they are staged one by
+    one, so that only the broken ones are lost.
     """
-    units, states = read_feed(spark, spec)
-    if not units:
-        return None, states
+    landed, missing = landed_units(spark, spec)
+    if missing and spec.required:
+        raise FeedError(f"{spec.name}: no files for {missing}")
+    states = {unit: status_of(spec, unit, "failed", "no files") for unit in missing}
+    staged = []
     try:
-        return stage(union([rows for _, rows in units]), spec.name), states
-    except PySparkException:
+        if landed:
+            staged.append(stage(read_units(spark, spec, landed)[0], spec.name))
+        states |= {unit: status_of(spec, unit, "read") for unit in landed}
+    except READ_ERRORS:
         if spec.required:
             raise
-    staged = []
-    for unit, rows in units:
-        try:
-            staged.append(stage(rows, spec.name))
-        except PySparkException as error:
-            failed = status_of(spec, unit, "failed", error.getCondition() or "unreadable")
-            states = [failed if state.unit == unit else state for state in states]
-    return (union(staged) if staged else None), states
+        first_file = 0
+        for unit in landed:
+            try:
+                rows, files = read_units(spark, spec, [unit], first_file)
+                first_file += files
+                staged.append(stage(rows, spec.name))
+                states[unit] = status_of(spec, unit, "read")
+            except READ_ERRORS as error:
+                states[unit] = status_of(spec, unit, "failed", error_text(error))
+    ordered = [states[unit] for unit in (spec.stores or (spec.name,))]
+    return (union(staged) if staged else None), ordered
+
+
+def error_text(error: Exception) -> str:
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return condition or str(error).split("\n", 1)[0]
 
 
 def clean_feed(
@@ -76,7 +98,9 @@ def clean_feed(
     if spec.drop_empty:
         rows = rows.where(~F.col("empty"))
     rejects = []
-    if spec.on_bad == "prefix":
+    if spec.on_bad == "never":
+        pass
+    elif spec.on_bad == "prefix":
         rows, lost = split_at_first_bad(rows, ["unit"], "ord", F.col("bad"))
         reason = F.when(F.col("bad"), "bad quantity").otherwise("after a bad quantity")
         rejects.append(lost.withColumn("reason", reason))

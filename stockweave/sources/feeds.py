@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -23,7 +24,7 @@ from stockweave import fixed_values as fixed
 from stockweave.functions import casting
 from stockweave.functions.ordinal import MAX_FILES, ordinal, parquet_position, text_position
 from stockweave.operators.lookup import canonical_sku
-from stockweave.operators.projection import all_null, quoted
+from stockweave.operators.projection import quoted
 from stockweave.schemas import PRODUCT_LIST
 from stockweave.sources.dimensions import alias_table, small_table
 
@@ -38,7 +39,8 @@ class FeedSpec:
 
     ``item``, ``sku``, ``qty`` and ``branch_column`` name columns, or give their position.
     ``quantity`` is the rule for the quantity: it answers NULL for a bad cell, or raises.
-    ``on_bad`` says what a bad cell costs: ``prefix`` the rest of the unit, ``reject_row`` the row.
+    ``on_bad`` says what a bad cell costs: ``prefix`` the rest of the unit, ``reject_row`` the row;
+    ``never`` is for rules which leave no bad cell.
     """
 
     name: str
@@ -58,7 +60,7 @@ class FeedSpec:
     skip_rows: int = 0
     drop_empty: bool = False
     positive_only: bool = False
-    on_bad: str = "prefix"
+    on_bad: str = "never"
     aliases: Mapping[str, str] = field(default_factory=dict)
 
 
@@ -79,7 +81,8 @@ def pos_feed(path: str, stores=fixed.STORES, qty_cells: str = "numeric", **optio
     }[qty_cells]
     return FeedSpec(
         name="pos", phase=1, path=path, required=False, quantity=rule, stores=tuple(stores),
-        item=fixed.STORE_ITEM, sku=fixed.STORE_SKU, qty=fixed.STORE_QTY, **options,
+        item=fixed.STORE_ITEM, sku=fixed.STORE_SKU, qty=fixed.STORE_QTY,
+        **({"on_bad": "prefix"} | options),
     )
 
 
@@ -100,7 +103,8 @@ def vend_feed(path: str, qty_cells: str = "numeric", **options) -> FeedSpec:
     }[qty_cells]
     return FeedSpec(
         name="vend", phase=3, path=path, required=False, quantity=rule,
-        branch_column=2, sku=3, qty=7, header=False, skip_rows=3, drop_empty=True, **options,
+        branch_column=2, sku=3, qty=7, header=False, skip_rows=3, drop_empty=True,
+        **({"on_bad": "prefix"} | options),
     )
 
 
@@ -125,29 +129,55 @@ def depot_feed(
     )
 
 
-def read_table(spark: SparkSession, spec: FeedSpec, path: str) -> DataFrame:
+def folder_of(spec: FeedSpec, unit: str) -> str:
+    return f"{spec.path}/branch={unit}" if spec.stores else spec.path
+
+
+def landed_units(spark: SparkSession, spec: FeedSpec) -> tuple[list[str], list[str]]:
+    """Units of a feed which have landed, in reading order, and those which have not.
+
+    Stores are found in one listing of the feed's folder; only their names reach the driver.
+    """
+    if not spec.stores:
+        return [spec.name], []
+    store = F.regexp_extract("path", "/branch=([^/]+)/", 1).alias("store")
+    try:
+        listed = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .load(spec.path).select(store).distinct()
+        )
+        found = {row.store for row in listed.collect()}
+    except AnalysisException:
+        found = set()
+    landed = [unit for unit in spec.stores if unit in found]
+    return landed, [unit for unit in spec.stores if unit not in found]
+
+
+def read_table(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
     """A landed table: ``_path``, ``_position`` and then its own columns, text still as text."""
     reader = spark.read.option("recursiveFileLookup", True)
     position = text_position
     if spec.format == "parquet":
-        table, position = reader.parquet(path), parquet_position
+        table = reader.option("mergeSchema", len(paths) > 1).parquet(*paths)
+        position = parquet_position
     elif spec.format == "json":
         documents = (
             reader.schema(PRODUCT_LIST).option("multiLine", spec.multi_line)
-            .option("mode", "FAILFAST").json(path)
+            .option("mode", "FAILFAST").json(paths)
         )
-        _require_files(documents, path)
+        _require_files(documents, spec)
         table = documents.select("_metadata", F.inline("list"))
     else:
-        # enforceSchema off: a file whose header differs from the first one's is an error.
+        # Columns chosen by name have to stand in the same place in all files; a file with
+        # another header is an error. Columns chosen by position may be named at will.
         table = (
             reader.option("header", spec.header)
-            .option("enforceSchema", False)
+            .option("enforceSchema", isinstance(spec.sku, int))
             .option("multiLine", spec.multi_line)
             .option("escape", '"')
-            .csv(path)
+            .csv(paths)
         )
-    _require_files(table, path)
+    _require_files(table, spec)
     file = F.col("_metadata")
     own = [name for name in table.columns if name != "_metadata"]
     return table.select(
@@ -157,91 +187,63 @@ def read_table(spark: SparkSession, spec: FeedSpec, path: str) -> DataFrame:
     )
 
 
-def read_unit(
-    spark: SparkSession, spec: FeedSpec, unit: str, path: str, first_file: int
+def read_units(
+    spark: SparkSession, spec: FeedSpec, units: list[str], first_file: int = 0
 ) -> tuple[DataFrame, int]:
-    """Parsed rows of one unit, and the number of its files."""
+    """Parsed rows of units of a feed, in one scan, and the number of their files.
+
+    Files are numbered from ``first_file``.
+    """
     try:
-        table = read_table(spark, spec, path)
+        table = read_table(spark, spec, [folder_of(spec, unit) for unit in units])
     except AnalysisException as error:
-        raise FeedError(f"{spec.name}/{unit}: {error.getCondition()}") from error
+        raise FeedError(f"{spec.name}: {error.getCondition()}") from error
     columns = table.columns[2:]
+    text = spec.format == "csv"
     cells = {
-        name: _cell(spec, columns, unit, which)
+        name: None if which is None else _cell(spec, columns, which, text)
         for name, which in (
             ("item", spec.item), ("sku", spec.sku), ("qty", spec.qty),
             ("branch", spec.branch_column),
         )
-        if which is not None
     }
-    text = spec.format == "csv"
-    item, sku, cell, branch = (
-        _text(cells[name], text) if name in cells else None
-        for name in ("item", "sku", "qty", "branch")
+    item = F.lit(None).cast("string") if cells["item"] is None else cells["item"]
+    fixed_branch = F.col("_unit") if spec.stores else F.lit(spec.branch)
+    branch = fixed_branch if cells["branch"] is None else cells["branch"]
+    empty = F.lit(False)
+    if spec.drop_empty:
+        empty = F.coalesce(*[_cell(spec, columns, name, text) for name in columns]).isNull()
+    numbered, files = _with_file_number(table, spec, units, first_file)
+    parsed = (
+        numbered.select(
+            F.lit(spec.phase).alias("phase"),
+            F.col("_unit").alias("unit"),
+            ordinal(spec.phase, F.col("_file"), F.col("_position")).alias("ord"),
+            item.alias("item"),
+            cells["sku"].alias("sku"),
+            branch.alias("branch"),
+            spec.quantity(cells["qty"]).cast("double").alias("qty"),
+            empty.alias("empty"),
+        )
+        .withColumn("bad", F.col("qty").isNull() & ~F.col("empty"))
     )
-    qty = spec.quantity(cell).cast("double")
-    empty = all_null(columns) if spec.drop_empty else F.lit(False)
-    numbered, files = _with_file_number(table, first_file)
-    parsed = numbered.select(
-        F.lit(spec.phase).alias("phase"),
-        F.lit(unit).alias("unit"),
-        ordinal(spec.phase, F.col("_file"), F.col("_position")).alias("ord"),
-        (F.lit(None).cast("string") if item is None else item).alias("item"),
-        sku.alias("sku"),
-        (F.lit(spec.branch or unit) if branch is None else branch).alias("branch"),
-        qty.alias("qty"),
-        empty.alias("empty"),
-    ).withColumn("bad", F.col("qty").isNull() & ~F.col("empty"))
     if spec.aliases:
         parsed = canonical_sku(parsed, alias_table(spark, spec.aliases))
     return parsed, files
 
 
-def units_of(spec: FeedSpec) -> list[tuple[str, str]]:
-    """Units of a feed with their paths: its stores, or the feed as a whole."""
-    if spec.stores:
-        return [(store, f"{spec.path}/branch={store}") for store in spec.stores]
-    return [(spec.name, spec.path)]
-
-
-def read_feed(
-    spark: SparkSession, spec: FeedSpec
-) -> tuple[list[tuple[str, DataFrame]], list[UnitStatus]]:
-    """Parsed rows per unit in reading order, and what became of each unit.
-
-    A unit which cannot be opened raises if the feed is required and is left out otherwise.
-    """
-    units, states, first_file = [], [], 0
-    for unit, path in units_of(spec):
-        try:
-            parsed, files = read_unit(spark, spec, unit, path, first_file)
-        except FeedError as error:
-            if spec.required:
-                raise
-            states.append(status_of(spec, unit, "failed", str(error)))
-            continue
-        first_file += files
-        units.append((unit, parsed))
-        states.append(status_of(spec, unit, "read"))
-    return units, states
-
-
 def status_of(spec: FeedSpec, unit: str, status: str, detail: str = "") -> UnitStatus:
     return UnitStatus(spec.name, spec.phase, unit, spec.required, status, detail)
 
 
-def _cell(spec: FeedSpec, columns: list[str], unit: str, which: str | int) -> Column:
+def _cell(spec: FeedSpec, columns: list[str], which: str | int, words: bool) -> Column:
     if isinstance(which, int):
         if which >= len(columns):
-            raise FeedError(f"{spec.name}/{unit}: no column at position {which}")
+            raise FeedError(f"{spec.name}: no column at position {which}")
         which = columns[which]
     if which not in columns:
-        raise FeedError(f"{spec.name}/{unit}: no column {which}")
-    return quoted(which)
-
-
-def _text(cell: Column, words: bool) -> Column:
-    value = cell.cast("string")
+        raise FeedError(f"{spec.name}: no column {which}")
+    value = quoted(which).cast("string")
     return casting.na_to_null(value) if words else value
 
 
@@ -249,27 +251,39 @@ def _normal_path(path: Column) -> Column:
     return F.regexp_replace(path, "^([a-z0-9]+):///", "$1:/")
 
 
-def _files(df: DataFrame) -> list[str]:
-    return sorted(path.replace(":///", ":/", 1) for path in df.inputFiles())
-
-
-def _require_files(df: DataFrame, path: str) -> None:
+def _require_files(df: DataFrame, spec: FeedSpec) -> None:
     if not df.columns or not df.inputFiles():
-        raise FeedError(f"no files in {path}")
+        raise FeedError(f"{spec.name}: no files")
 
 
-def _with_file_number(table: DataFrame, first_file: int) -> tuple[DataFrame, int]:
-    """Number the files by name. The listing is on the driver already, it holds no data."""
-    files = _files(table)
-    if first_file + len(files) > MAX_FILES:
-        raise FeedError(f"{len(files)} files do not fit the ordinal: compact the landing folder")
-    if len(files) == 1:
-        return table.withColumn("_file", F.lit(first_file)), 1
+def _with_file_number(
+    table: DataFrame, spec: FeedSpec, units: list[str], first_file: int
+) -> tuple[DataFrame, int]:
+    """Number the files by unit and name, and tag the rows with their unit.
+
+    The listing is on the driver already, it holds no data.
+    """
+    files = [path.replace(":///", ":/", 1) for path in table.inputFiles()]
+    if spec.stores:
+        order = {unit: n for n, unit in enumerate(units)}
+        tagged = sorted((order[store_of(path)], path) for path in files)
+    else:
+        tagged = sorted((0, path) for path in files)
+    if first_file + len(tagged) > MAX_FILES:
+        raise FeedError(f"{len(tagged)} files do not fit the ordinal: compact the landing folder")
+    if len(tagged) == 1:
+        tags = F.lit(first_file).alias("_file"), F.lit(units[0]).alias("_unit")
+        return table.select("*", *tags), 1
     numbers = small_table(table.sparkSession, {
-        "_path": pa.array(files, pa.string()),
-        "_number": pa.array(range(first_file, first_file + len(files)), pa.int32()),
+        "_path": pa.array([path for _, path in tagged], pa.string()),
+        "_number": pa.array(range(first_file, first_file + len(tagged)), pa.int32()),
+        "_unit": pa.array([units[n] for n, _ in tagged], pa.string()),
     })
     known = F.coalesce(
         F.col("_number"), F.raise_error(F.concat(F.lit("unlisted file "), "_path")).cast("int")
     )
-    return table.join(numbers, "_path", "left").withColumn("_file", known), len(files)
+    return table.join(numbers, "_path", "left").withColumn("_file", known), len(tagged)
+
+
+def store_of(path: str) -> str:
+    return unquote(path.rsplit("/branch=", 1)[1].split("/", 1)[0])

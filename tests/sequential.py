@@ -1,0 +1,37 @@
+"""The reconciliation rules applied one record at a time, to check the relational form."""
+
+from __future__ import annotations
+
+
+def fold(records, item_phases=(1, 4, 5)):
+    """``records``: (phase, ord, item, sku, branch, qty) in order.
+
+    Answers {sku: (item, {branch: qty}, entry_ord)} and the ordinals of dropped records.
+    """
+    entries: dict[str, dict] = {}
+    dropped = []
+    for phase, ord_, item, sku, branch, qty in records:
+        if phase in item_phases:
+            entry = entries.setdefault(item, {"sku": sku, "ord": ord_, "branches": {}})
+            entry["branches"][branch] = qty
+            continue
+        owner = next((e for e in entries.values() if e["sku"] == sku), None)
+        if owner is None and sku not in entries:
+            owner = entries[sku] = {"sku": sku, "ord": ord_, "branches": {}}
+        if owner is None:
+            dropped.append(ord_)
+        else:
+            owner["branches"][branch] = qty
+    merged: dict[str, tuple] = {}
+    for name, entry in entries.items():
+        item, branches, ord_ = merged.get(entry["sku"], (name, {}, entry["ord"]))
+        merged[entry["sku"]] = (item, branches | entry["branches"], ord_)
+    return merged, dropped
+
+
+def long_form(merged):
+    return sorted(
+        (sku, item, branch, qty, ord_)
+        for sku, (item, branches, ord_) in merged.items()
+        for branch, qty in branches.items()
+    )

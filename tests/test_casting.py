@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from stockweave.functions import casting
+
+# text, coerced, strict integer text, strict integer number
+CELLS = [
+    ("5", 5, 5, 5),
+    (" 5 ", 5, 5, 5),
+    ("+7", 7, 7, 7),
+    ("-3", -3, -3, -3),
+    ("5.0", 5, None, 5),
+    ("1e3", 1000, None, 1000),
+    ("0.5", 0, None, 0),
+    ("-0.5", 0, None, 0),
+    ("2.9", 2, None, 2),
+    ("-2.9", -2, None, -2),
+    (".5", 0, None, 0),
+    ("1,234", 0, None, None),
+    ("5d", 0, None, None),
+    ("5f", 0, None, None),
+    ("", 0, None, None),
+    ("NA", 0, None, None),
+    ("null", 0, None, None),
+    ("None", 0, None, None),
+    ("#N/A", 0, None, None),
+    ("nan", 0, None, None),
+    ("NaN", 0, None, None),
+    ("inf", 0, None, None),
+    ("Infinity", 0, None, None),
+    ("1_000", 0, None, None),
+    ("1e300", 0, None, None),
+    ("99999999999999999999", 0, None, None),
+    (None, 0, None, None),
+]
+
+
+def test_cells(spark):
+    cells = spark.createDataFrame(
+        [(n, row[0]) for n, row in enumerate(CELLS)], "n int, cell string"
+    )
+    text = F.col("cell")
+    found = cells.select(
+        "n", casting.coerced_int(casting.na_to_null(text)),
+        casting.strict_int_from_text(text), casting.strict_int_from_number(text),
+    ).orderBy("n").collect()
+    assert [tuple(row)[1:] for row in found] == [row[1:] for row in CELLS]
+
+
+def test_missing_words(spark):
+    words = ["NA", "null", "None", "#N/A", "", "n/a", "nan", "NULL", "<NA>", "kept", "na"]
+    rows = spark.createDataFrame([(word,) for word in words], "cell string")
+    found = [row[0] for row in rows.select(casting.na_to_null(F.col("cell"))).collect()]
+    assert found == [None] * 9 + ["kept", "na"]
+
+
+@pytest.mark.parametrize("cell", [None, "", "abc", "5d", "nan", "inf", "1e999"])
+def test_require_double_raises(spark, cell):
+    rows = spark.createDataFrame([(cell,)], "cell string")
+    with pytest.raises(PySparkException, match="not a quantity"):
+        rows.select(casting.require_double(F.col("cell"), "shop")).collect()
+
+
+@pytest.mark.parametrize("cell", [None, "", "abc", "1,5", "inf"])
+def test_require_int_raises(spark, cell):
+    rows = spark.createDataFrame([("3",), (cell,)], "cell string")
+    with pytest.raises(PySparkException, match="not a quantity"):
+        rows.select(casting.require_int(F.col("cell"), "depot")).collect()
+
+
+def test_required_values(spark):
+    rows = spark.createDataFrame([("3.75",), ("-2",), ("0",)], "cell string")
+    cell = F.col("cell")
+    found = rows.select(casting.require_double(cell, "x"), casting.require_int(cell, "x"))
+    assert [tuple(row) for row in found.collect()] == [(3.75, 3), (-2.0, -2), (0.0, 0)]
