@@ -33,15 +33,17 @@ def drop_all_null(df: DataFrame) -> DataFrame:
 
 
 def skip_rows(df: DataFrame, n: int, ord_: str, unit: Column | None = None) -> DataFrame:
-    """Drop the first ``n`` rows of every unit, by the ordinal.
+    """Drop the first ``n`` rows by the ordinal, of every unit or of the whole table.
 
-    The rank limit is applied in each task before the shuffle, so no more than ``n`` rows per unit
-    and task leave it. The cut-off table has one row per unit and is staged: its written size
-    decides whether the join broadcasts it, so the big side is not shuffled by unit.
+    With units, the rank limit is applied in each task before the shuffle, so no more than ``n``
+    rows per unit and task leave it. The cut-off table has one row per unit and is staged: its
+    written size decides whether the join broadcasts it, so the big side is not shuffled by unit.
     """
     if n <= 0:
         return df
-    unit = F.lit(0) if unit is None else unit
+    if unit is None:
+        cut = df.select(ord_).orderBy(ord_).limit(n).agg(F.max(ord_))
+        return df.where(F.col(ord_) > cut.scalar())
     first = Window.partitionBy("_unit").orderBy("_ord")
     cuts = (
         df.select(unit.alias("_unit"), F.col(ord_).alias("_ord"))

@@ -1,0 +1,68 @@
+"""What the plans must and must not contain."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from stockweave.operators import reconcile, serving
+from stockweave.plans import queries
+from stockweave.sources import staging
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_digest_is_a_hash_aggregation_with_partial_results(spark):
+    plan = physical(reconcile.digest(queries.stock_feed(spark, SF_DIR)))
+    assert "HashAggregate" in plan and "partial_max_by" in plan
+    assert "SortAggregate" not in plan
+    assert plan.count("Exchange") == 1
+    assert "props" not in plan
+
+
+def test_registry_reduces_before_its_shuffle(spark):
+    plan = physical(reconcile.first_records(queries.stock_feed(spark, SF_DIR)))
+    assert "partial_min_by" in plan
+    assert plan.count("Exchange") == 1
+
+
+def test_branch_choice_reaches_the_scan(spark):
+    done = queries.reconciled(spark, SF_DIR)
+    plan = physical(serving.rollup(done.snapshot(), ["B0", "B3"]))
+    assert plan.count("In(branch, [B0,B3])") >= 2
+
+
+@pytest.mark.parametrize("name", [
+    "snapshot_reconcile", "stock_dashboard", "prefix_until_bad", "row_offset", "number_rows",
+    "search_table", "resolve_by_item", "dropped_sku_name_clash", "sku_alias_map",
+])
+def test_no_cross_join_and_no_python(spark, name):
+    plan = physical(queries.QUERIES[name](spark, SF_DIR))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEval", "BatchEval",
+                     "MapInPandas", "Window ["):
+        assert operator not in plan
+
+
+def test_large_sides_are_not_broadcast(spark):
+    """Without a size below the threshold the joins are by shuffle, open to skew splitting."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = queries.reconciled(spark, SF_DIR)
+        for df in (done.snapshot(), done.resolved_by_item(), done.dropped()):
+            plan = physical(df)
+            assert "SortMergeJoin" in plan
+            assert "Broadcast" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staging_uses_the_folder_of_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert staging.staging_root(spark) == root
+    staged = staging.stage(spark.range(3).select(F.col("id").alias("n")), "trial")
+    assert all(root in path for path in staged.inputFiles())
+    assert sorted(row.n for row in staged.collect()) == [0, 1, 2]
