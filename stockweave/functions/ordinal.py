@@ -24,22 +24,27 @@ MAX_FILES = 1 << FILE_BITS
 _ROW_IN_TASK = (1 << 33) - 1
 
 
-def text_position(file: Column) -> Column:
-    """Position of a row of a CSV or JSON file, given the scan's ``_metadata``.
+def row_in_task() -> Column:
+    """Running number of the row in its task.
 
     Use it right above the scan, or above the explode of its lists: an element takes at least as
     many bytes as a row.
     """
-    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK))
+    return F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK))
+
+
+def text_position(file: Column, row: Column) -> Column:
+    """Position in a CSV or JSON file, given the scan's ``_metadata`` and the row in the task."""
     start, length = file["file_block_start"], file["file_block_length"]
     last_block = start + length >= file["file_size"]
-    return F.when(last_block | (in_task < length), start + in_task).otherwise(
+    return F.when(last_block | (row < length), start + row).otherwise(
         F.raise_error(F.lit("several file blocks in one task: rows cannot be numbered"))
         .cast("bigint")
     )
 
 
-def parquet_position(file: Column) -> Column:
+def parquet_position(file: Column, row: Column) -> Column:
+    """Position in a Parquet file; the row in the task is not needed."""
     return file["row_index"]
 
 

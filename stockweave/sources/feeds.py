@@ -22,7 +22,13 @@ from pyspark.sql import functions as F
 
 from stockweave import fixed_values as fixed
 from stockweave.functions import casting
-from stockweave.functions.ordinal import MAX_FILES, ordinal, parquet_position, text_position
+from stockweave.functions.ordinal import (
+    MAX_FILES,
+    ordinal,
+    parquet_position,
+    row_in_task,
+    text_position,
+)
 from stockweave.operators.lookup import canonical_sku
 from stockweave.operators.projection import quoted
 from stockweave.schemas import PRODUCT_LIST
@@ -178,12 +184,11 @@ def read_table(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFra
             .csv(paths)
         )
     _require_files(table, spec)
-    file = F.col("_metadata")
-    own = [name for name in table.columns if name != "_metadata"]
-    return table.select(
-        _normal_path(file["file_path"]).alias("_path"),
-        position(file).alias("_position"),
-        *[quoted(name) for name in own],
+    own = [quoted(name) for name in table.columns if name != "_metadata"]
+    counted = table.select(F.col("_metadata").alias("_file"), row_in_task().alias("_row"), *own)
+    file = F.col("_file")
+    return counted.select(
+        file["file_path"].alias("_path"), position(file, F.col("_row")).alias("_position"), *own
     )
 
 
@@ -247,10 +252,6 @@ def _cell(spec: FeedSpec, columns: list[str], which: str | int, words: bool) ->
     return casting.na_to_null(value) if words else value
 
 
-def _normal_path(path: Column) -> Column:
-    return F.regexp_replace(path, "^([a-z0-9]+):///", "$1:/")
-
-
 def _require_files(df: DataFrame, spec: FeedSpec) -> None:
     if not df.columns or not df.inputFiles():
         raise FeedError(f"{spec.name}: no files")
@@ -263,7 +264,7 @@ def _with_file_number(
 
     The listing is on the driver already, it holds no data.
     """
-    files = [path.replace(":///", ":/", 1) for path in table.inputFiles()]
+    files = table.inputFiles()
     if spec.stores:
         order = {unit: n for n, unit in enumerate(units)}
         tagged = sorted((order[store_of(path)], path) for path in files)
@@ -274,10 +275,16 @@ def _with_file_number(
     if len(tagged) == 1:
         tags = F.lit(first_file).alias("_file"), F.lit(units[0]).alias("_unit")
         return table.select("*", *tags), 1
+    # A path without host is spelled file:/x or file:///x, so it is listed under both spellings.
+    spelled = {
+        path: (first_file + n, units[unit])
+        for n, (unit, listed) in enumerate(tagged)
+        for path in (listed, listed.replace(":///", ":/", 1))
+    }
     numbers = small_table(table.sparkSession, {
-        "_path": pa.array([path for _, path in tagged], pa.string()),
-        "_number": pa.array(range(first_file, first_file + len(tagged)), pa.int32()),
-        "_unit": pa.array([units[n] for n, _ in tagged], pa.string()),
+        "_path": pa.array(spelled.keys(), pa.string()),
+        "_number": pa.array([number for number, _ in spelled.values()], pa.int32()),
+        "_unit": pa.array([unit for _, unit in spelled.values()], pa.string()),
     })
     known = F.coalesce(
         F.col("_number"), F.raise_error(F.concat(F.lit("unlisted file "), "_path")).cast("int")
