@@ -208,6 +208,13 @@ ORACLES = {
                      group by sku)
         select sku, qty, case when qty < 5 then 'critical' when qty < 10 then 'low'
                               else 'normal' end as band from totals""",
+    "dashboard_table": SNAP + f"""
+        , totals as (select sku, item, round(sum(qty), 2) as qty from snap group by sku, item),
+        visible as (select sku, item, qty from totals
+                    where concat_ws(' ', sku, item, {QTY_TEXT}) like '%1%'
+                    order by qty desc, sku limit 30 offset 30)
+        select sku, item, qty, case when qty < 5 then 'critical' when qty < 10 then 'low'
+                                    else 'normal' end as band from visible""",
     "distinct_branches": SNAP + "select distinct branch from snap",
     "branch_group": SNAP + f"select distinct branch, {GROUPS} as branch_group from snap",
     "branch_group_table": SNAP + f"select sku, branch, {GROUPS} as branch_group from snap",

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from stockweave.functions import casting, naming, stock
 from stockweave.operators import lookup, prefix, projection, reconcile, serving
-from stockweave.plans import nightly
+from stockweave.plans import dashboard, nightly
 from stockweave.sources import dimensions, documents, feeds, history
 from stockweave.sources.staging import new_path
 
@@ -562,6 +562,12 @@ def stock_dashboard(spark, sf_dir):
     return serving.with_band(selected_totals(spark, sf_dir))
 
 
+def dashboard_table(spark, sf_dir):
+    """Second page of the SKUs with a 1 in their row, largest stock first."""
+    view = dashboard.View(search="1", order_by="qty", descending=True, page_no=1, size=30)
+    return dashboard.table(all_totals(spark, sf_dir), view)
+
+
 def distinct_branches(spark, sf_dir):
     return serving.distinct_branches(snapshot(spark, sf_dir))
 
@@ -622,7 +628,8 @@ QUERIES: dict[str, Query] = {
         snapshot_read, sink_latest, sink_history, sink_catalog, snapshot_catalog,
         latest_snapshot, snapshot_count, snapshot_at, snapshot_label, snapshot_name,
         last_updated_text, json_roundtrip,
-        rollup_selected, sink_export, stock_band, stock_dashboard, distinct_branches,
+        rollup_selected, sink_export, stock_band, stock_dashboard, dashboard_table,
+        distinct_branches,
         branch_group, branch_group_table, search_rows, search_table, table_info, page_rows,
         page_all, number_rows,
     )

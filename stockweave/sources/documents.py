@@ -37,9 +37,9 @@ def write_documents(
     snapshot: DataFrame, path: str, last_updated: Column,
     skus_per_document: int = SKUS_PER_DOCUMENT,
 ) -> None:
-    """One compact document per line."""
+    """One compact document per line, in sequence over the files."""
     documents = snapshot_documents(snapshot, last_updated, skus_per_document)
-    documents.sortWithinPartitions("document").select("value").write.text(path)
+    documents.orderBy("document").select("value").write.text(path)
 
 
 def read_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from stockweave.fixed_values import BRANCH_GROUPS
 from stockweave.functions import stock
 from stockweave.operators import lookup, serving
+from stockweave.plans import dashboard
 from stockweave.schemas import SNAPSHOT
+from stockweave.sources import documents, history
 from stockweave.sources.dimensions import branch_table
 
 ROWS = [
@@ -83,3 +85,36 @@ def test_number_rows_descending(spark):
     numbered = serving.number_rows(df, F.col("n").desc())
     assert all(row.row_no == 500 - row.n for row in numbered.collect())
     assert numbered.count() == 500
+
+
+def test_dashboard(spark, snapshot, folder):
+    history.append_snapshots(
+        snapshot.withColumn("snapshot_ts", F.lit("2026-01-02 01:00:00").cast("timestamp_ntz")),
+        f"{folder}/history",
+    )
+    opened = dashboard.open_snapshot(spark, folder)
+    assert opened.count() == len(ROWS)
+    assert dashboard.open_snapshot(spark, folder, "020126_010000.json").count() == len(ROWS)
+    view = dashboard.View(branches=["Samyan", "HQ", "Saimai"], order_by="qty", descending=True)
+    rows_ = dashboard.totals(opened, view)
+    found = [tuple(row) for row in dashboard.table(rows_, view).collect()]
+    assert found == [
+        ("S2", "Floss", 9.5, "low"), ("S3", "แปรงสีฟัน", 7.0, "low"),
+        ("S1", "Brush A", 1.0, "critical"),
+    ]
+    view = dashboard.View(search="s", order_by="item", page_no=1, size=2)
+    rows_ = dashboard.totals(opened, view)
+    assert [row.sku for row in dashboard.table(rows_, view).collect()] == ["S3"]
+    view = dashboard.View(search="floss")
+    assert tuple(dashboard.info(rows_, view).first()) == (3, 1)
+    dashboard.export(rows_, f"{folder}/export")
+    assert documents.read_export(spark, f"{folder}/export").count() == 3
+    with pytest.raises(ValueError, match="no column"):
+        dashboard.order_of(dashboard.View(order_by="branch"))
+
+
+def test_quantity_text(spark):
+    qty = [12.0, 12.5, -3.0, 0.0, 0.25]
+    df = spark.createDataFrame([(q,) for q in qty], "qty double")
+    found = [row[0] for row in df.select(stock.quantity_text(F.col("qty"))).collect()]
+    assert found == ["12", "12.5", "-3", "0", "0.25"]
