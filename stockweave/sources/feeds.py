@@ -35,6 +35,11 @@ from stockweave.schemas import PRODUCT_LIST
 from stockweave.sources.dimensions import alias_table, small_table
 
 
+#: Longest list of files which is sent to every executor: 200,000 paths are some 50 MB. A longer
+#: list is joined the way its size tells the optimizer to.
+BROADCAST_FILES = 200_000
+
+
 class FeedError(Exception):
     """A feed which cannot be read."""
 
@@ -286,6 +291,8 @@ def _with_file_number(
         "_number": pa.array([number for number, _ in spelled.values()], pa.int32()),
         "_unit": pa.array([unit for _, unit in spelled.values()], pa.string()),
     })
+    if len(spelled) <= BROADCAST_FILES:
+        numbers = F.broadcast(numbers)
     known = F.coalesce(
         F.col("_number"), F.raise_error(F.concat(F.lit("unlisted file "), "_path")).cast("int")
     )

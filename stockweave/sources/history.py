@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockweave.fixed_values import SNAPSHOT_SUFFIX
+from stockweave.fixed_values import LAST_UPDATED_FORMAT, SNAPSHOT_SUFFIX
 from stockweave.functions import naming
 from stockweave.schemas import SNAPSHOT
 
@@ -107,6 +107,12 @@ def with_labels(catalog_: DataFrame) -> DataFrame:
     return catalog_.select("file_name", naming.snapshot_label(F.col("snapshot_ts")).alias("label"))
 
 
+def with_last_updated(catalog_: DataFrame) -> DataFrame:
+    """Time shown with an opened snapshot."""
+    text = F.date_format("snapshot_ts", LAST_UPDATED_FORMAT)
+    return catalog_.select("file_name", text.alias("last_updated"))
+
+
 def snapshot_at(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One snapshot, by name with or without suffix; only its partition is read."""
     snapshot_id = name.removesuffix(SNAPSHOT_SUFFIX)

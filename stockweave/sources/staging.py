@@ -3,7 +3,7 @@
 A table which several later steps read is written once to the folder the cluster shares for
 checkpoints. That keeps the scan of the raw feeds down to one, survives the loss of any executor,
 and gives Spark the true size of the table, so that it broadcasts the small ones by itself and
-joins the large ones by shuffle. Nothing here carries a broadcast hint.
+joins the large ones by shuffle, without any hint.
 
 Like Spark's own checkpoints the tables stay until the folder's retention removes them.
 """

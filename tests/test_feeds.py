@@ -160,11 +160,26 @@ def test_head_office(spark, folder):
 
 
 def test_depot(spark, folder):
-    put(folder, "d.csv", "n,Code,Name,a,b,c,Left\n1,EW-VSD,a,,,,0\n2,Other,b,,,,-2\n")
+    put(folder, "d.csv", ",Code,Code,a,,a.b,Left\n1,EW-VSD,a,,,,0\n2,Other,b,,,,-2\n")
     clean = read_feeds(spark, [feeds.depot_feed(folder)])
     assert records(clean) == [("a", "P_EW-US", "Saimai", 0.0), ("b", "Other", "Saimai", -2.0)]
 
 
+def test_sheets_may_name_their_columns_at_will(spark, folder):
+    put(folder, "1.csv", "n,Code,Name,a,b,c,Left on Monday\n1,x,a,,,,1\n")
+    put(folder, "2.csv", "n,Code,Name,a,b,c,Left on Tuesday\n1,y,b,,,,2\n")
+    clean = read_feeds(spark, [feeds.depot_feed(folder)])
+    assert records(clean) == [("a", "x", "Saimai", 1.0), ("b", "y", "Saimai", 2.0)]
+
+
+def test_long_lists_of_files_need_no_broadcast(spark, folder, monkeypatch):
+    monkeypatch.setattr(feeds, "BROADCAST_FILES", 0)
+    for n in range(5):
+        put(folder, f"{n}.csv", f"n,Code,Name,a,b,c,Left\n1,x,i{n},,,,{n}\n")
+    clean = read_feeds(spark, [feeds.depot_feed(folder)])
+    assert [row[0] for row in records(clean)] == [f"i{n}" for n in range(5)]
+
+
 def test_required_feeds(spark, folder):
     with pytest.raises(feeds.FeedError):
         read_feeds(spark, [feeds.depot_feed(f"{folder}/none")])

@@ -95,6 +95,8 @@ def test_catalog_of_a_folder(spark, folder):
     assert history.snapshot_count(history.catalog(names)).first().snapshots == 3
     labels = [row.label for row in history.with_labels(history.catalog(names)).collect()]
     assert labels[2] == "วันที่ 02/01/2026 01:26:37"
+    shown = history.with_last_updated(history.catalog(names)).collect()
+    assert shown[2].last_updated == "2026-01-02 01:26:37"
 
 
 @pytest.mark.parametrize("indent", [None, 4])
