@@ -28,6 +28,7 @@ GROUPS = {
 }
 SELECTED = ("B0", "B3", "B5")
 STORES = tuple(f"B{n}" for n in range(8))
+ORD_STEP = 10_000_000_000
 AS_OF = datetime(2024, 1, 31, 18, 30, tzinfo=timezone.utc)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,13 +61,12 @@ def branch_of(event_id: Column) -> Column:
     return F.concat(F.lit("B"), (event_id % 8).cast("string"))
 
 
-def stock_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean feed with the layout of :data:`stockweave.schemas.FEED`."""
+def feed_rows(rows: DataFrame, phase: Column) -> DataFrame:
+    """Events as stock records with the layout of :data:`stockweave.schemas.FEED`."""
     event_id = F.col("event_id")
-    phase = phase_of(F.col("event_type"))
-    return events(spark, sf_dir).select(
+    return rows.select(
         phase.alias("phase"),
-        (phase.cast("bigint") * 10_000_000_000 + event_id).alias("ord"),
+        (phase.cast("bigint") * ORD_STEP + event_id).alias("ord"),
         F.when(~phase.isin(2, 3), F.col("user_id").cast("string")).alias("item"),
         sku_of(event_id).alias("sku"),
         branch_of(event_id).alias("branch"),
@@ -74,6 +74,18 @@ def stock_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stock_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean feed of all phases."""
+    return feed_rows(events(spark, sf_dir), phase_of(F.col("event_type")))
+
+
+def phase_feed(spark: SparkSession, sf_dir: str, phase: int) -> DataFrame:
+    """Clean feed of one phase; the choice of events reaches the scan."""
+    kind = F.col("event_type")
+    chosen = kind == EVENT_TYPES[phase - 1] if phase < 5 else ~kind.isin(*EVENT_TYPES[:4])
+    return feed_rows(events(spark, sf_dir).where(chosen), F.lit(phase))
+
+
 def dirty_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantities as they stand in a badly kept sheet."""
     event_id = F.col("event_id")
@@ -131,8 +143,8 @@ def day_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- landed files -----------------------------------------------------------------------------
 
-#: Rows of one landed file; the number of files grows with the table.
-ROWS_PER_FILE = 20_000
+#: Rows of one landed sheet, about what a workbook holds; larger tables land as more files.
+ROWS_PER_FILE = 1_000_000
 
 
 def land_sheet(
@@ -332,8 +344,7 @@ def drop_all_null(spark, sf_dir):
 
 
 def feed_union(spark, sf_dir):
-    feed = stock_feed(spark, sf_dir)
-    return nightly.union([feed.where(F.col("phase") == phase) for phase in range(1, 6)])
+    return nightly.union([phase_feed(spark, sf_dir, phase) for phase in range(1, 6)])
 
 
 # -- queries on cleaning ----------------------------------------------------------------------
@@ -433,8 +444,10 @@ def explode_branches(spark, sf_dir):
 
 def nightly_run(spark, sf_dir):
     """All five feeds landed as files, one whole run, the latest snapshot read back."""
-    feed = stock_feed(spark, sf_dir).withColumn("event_id", F.col("ord") % 10_000_000_000)
-    by_phase = {phase: feed.where(F.col("phase") == phase) for phase in range(1, 6)}
+    by_phase = {
+        phase: phase_feed(spark, sf_dir, phase).withColumn("event_id", F.col("ord") % ORD_STEP)
+        for phase in range(1, 6)
+    }
     specs = [
         feeds.pos_feed(
             land_stores(
