@@ -1,4 +1,4 @@
-"""Column selection by name and position, row offsets, empty rows."""
+"""Columns by name and position, row offsets, empty rows."""
 
 from __future__ import annotations
 
@@ -16,11 +16,6 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def pick(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    """Named columns, renamed: ``{"Qty": "Available Qty."}``."""
-    return df.select(*[quoted(source).alias(target) for target, source in names.items()])
-
-
 def pick_positions(df: DataFrame, positions: Mapping[str, int]) -> DataFrame:
     """Columns by position, whatever their header says: ``{"sku": 2, "item": 3}``."""
     return df.select(

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockweave.fixed_values import PAGE_SIZES
 from stockweave.operators import serving
 from stockweave.sources import documents, history
 
@@ -16,7 +17,10 @@ COLUMNS = ("sku", "item", "qty")
 
 @dataclass(frozen=True)
 class View:
-    """What the user has set. ``branches`` None means all of them, ``size`` None all rows."""
+    """What the user has set. ``branches`` None means all of them, ``size`` None all rows.
+
+    The dashboard offers the sizes in :data:`PAGE_SIZES`.
+    """
 
     branches: Iterable[str] | None = None
     search: str = ""
@@ -33,6 +37,12 @@ def open_snapshot(spark: SparkSession, root: str, name: str | None = None) -> Da
     return history.snapshot_at(spark, f"{root}/history", name)
 
 
+def pages(rows: DataFrame, view: View) -> dict[int | None, int]:
+    """Number of pages for each size on offer."""
+    shown = info(rows, view).first().shown
+    return {size: 1 if size is None else max(1, -(-shown // size)) for size in PAGE_SIZES}
+
+
 def totals(snapshot: DataFrame, view: View) -> DataFrame:
     return serving.rollup(snapshot, view.branches)
 

@@ -15,7 +15,7 @@ from functools import reduce
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave.functions import naming
@@ -107,7 +107,7 @@ def clean_feed(
     else:
         rejects.append(rows.where("bad").withColumn("reason", F.lit("bad quantity")))
         rows = rows.where(~F.col("bad"))
-    # Only item phases have an item to miss; the name of their column is in the spec.
+    # A feed which matches by SKU has no item to miss.
     no_key = F.col("sku").isNull() | F.col("branch").isNull()
     if spec.item is not None:
         no_key = no_key | F.col("item").isNull()
@@ -167,7 +167,7 @@ def all_rejects(clean: CleanFeed, reconciled: Reconciliation) -> DataFrame:
     return clean.rejects.unionByName(clashes.select(*REJECTS.names))
 
 
-def local_timestamp(spark: SparkSession, as_of: datetime):
+def local_timestamp(as_of: datetime) -> Column:
     """The run's time on the shop clock, as a literal."""
     utc = as_of.astimezone(timezone.utc).replace(tzinfo=None)
     return naming.local_time(F.lit(utc.isoformat(sep=" ", timespec="seconds")).cast("timestamp_ntz"))
@@ -181,7 +181,7 @@ def run(spark: SparkSession, specs: Sequence[FeedSpec], root: str, as_of: dateti
     """
     try:
         clean = read_feeds(spark, specs)
-        stamp = local_timestamp(spark, as_of)
+        stamp = local_timestamp(as_of)
         reconciled = reconcile(clean.records)
         for name, table in (
             ("rejects", all_rejects(clean, reconciled)), ("feed_status", clean.status)

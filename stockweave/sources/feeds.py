@@ -31,7 +31,7 @@ from stockweave.functions.ordinal import (
 )
 from stockweave.operators.lookup import canonical_sku
 from stockweave.operators.projection import quoted
-from stockweave.schemas import PRODUCT_LIST
+from stockweave.schemas import PARSED, PRODUCT_LIST
 from stockweave.sources.dimensions import alias_table, small_table
 
 
@@ -85,59 +85,60 @@ class UnitStatus:
     detail: str = ""
 
 
+#: How a workbook's quantity cells landed: as numbers, or as the text which they were.
+INTEGER_RULES = {
+    "numeric": casting.strict_int_from_number,
+    "text": casting.strict_int_from_text,
+}
+
+
 def pos_feed(path: str, stores=fixed.STORES, qty_cells: str = "numeric", **options) -> FeedSpec:
     """Store tables, one folder ``branch=<store>`` each; a bad quantity ends its store."""
-    rule = {
-        "numeric": casting.strict_int_from_number, "text": casting.strict_int_from_text
-    }[qty_cells]
-    return FeedSpec(
-        name="pos", phase=1, path=path, required=False, quantity=rule, stores=tuple(stores),
+    defaults = dict(
+        name="pos", phase=1, path=path, required=False, stores=tuple(stores),
+        quantity=INTEGER_RULES[qty_cells], on_bad="prefix",
         item=fixed.STORE_ITEM, sku=fixed.STORE_SKU, qty=fixed.STORE_QTY,
-        **({"on_bad": "prefix"} | options),
     )
+    return FeedSpec(**(defaults | options))
 
 
 def api_feed(path: str, branch: str = fixed.ONLINE_BRANCH, **options) -> FeedSpec:
     """Product list of the online shop; a bad quantity ends the run."""
-    settings = {"format": "json"} | options
-    return FeedSpec(
-        name="api", phase=2, path=path, required=True, branch=branch,
+    defaults = dict(
+        name="api", phase=2, path=path, required=True, branch=branch, format="json",
         quantity=lambda cell: casting.require_double(cell, "online shop"),
-        sku="sku", qty="availablestock", **settings,
+        sku="sku", qty="availablestock",
     )
+    return FeedSpec(**(defaults | options))
 
 
 def vend_feed(path: str, qty_cells: str = "numeric", **options) -> FeedSpec:
     """Vending machine table: two title lines and a header; a bad quantity ends the feed."""
-    rule = {
-        "numeric": casting.strict_int_from_number, "text": casting.strict_int_from_text
-    }[qty_cells]
-    return FeedSpec(
-        name="vend", phase=3, path=path, required=False, quantity=rule,
+    defaults = dict(
+        name="vend", phase=3, path=path, required=False,
+        quantity=INTEGER_RULES[qty_cells], on_bad="prefix",
         branch_column=2, sku=3, qty=7, header=False, skip_rows=3, drop_empty=True,
-        **({"on_bad": "prefix"} | options),
     )
+    return FeedSpec(**(defaults | options))
 
 
 def hq_feed(path: str, branch: str = fixed.HQ_BRANCH, **options) -> FeedSpec:
     """Head office sheet: two lines after the header are skipped, only positive stock counts."""
-    return FeedSpec(
+    defaults = dict(
         name="hq", phase=4, path=path, required=True, branch=branch,
         quantity=casting.coerced_int, sku=2, item=3, qty=7, skip_rows=2, positive_only=True,
-        **options,
     )
+    return FeedSpec(**(defaults | options))
 
 
-def depot_feed(
-    path: str, branch: str = fixed.DEPOT_BRANCH, aliases=None, **options
-) -> FeedSpec:
+def depot_feed(path: str, branch: str = fixed.DEPOT_BRANCH, **options) -> FeedSpec:
     """Depot sheet: SKUs are renamed, a bad quantity ends the run."""
-    return FeedSpec(
+    defaults = dict(
         name="depot", phase=5, path=path, required=True, branch=branch,
         quantity=lambda cell: casting.require_int(cell, "depot"),
-        sku=1, item=2, qty=6,
-        aliases=fixed.DEPOT_SKU_ALIASES if aliases is None else aliases, **options,
+        sku=1, item=2, qty=6, aliases=fixed.DEPOT_SKU_ALIASES,
     )
+    return FeedSpec(**(defaults | options))
 
 
 def folder_of(spec: FeedSpec, unit: str) -> str:
@@ -239,7 +240,7 @@ def read_units(
     )
     if spec.aliases:
         parsed = canonical_sku(parsed, alias_table(spark, spec.aliases))
-    return parsed, files
+    return parsed.select(*PARSED.names), files
 
 
 def status_of(spec: FeedSpec, unit: str, status: str, detail: str = "") -> UnitStatus:

@@ -120,6 +120,24 @@ def test_parquet_stores(spark, folder):
     assert records(clean) == [("i3", "3", "7", 1.0), ("i0", "0", "A", 1.0)]
 
 
+def test_bulk_landings_as_parquet(spark, folder):
+    os.makedirs(f"{folder}/api")
+    pq.write_table(pa.table({"sku": ["P1", "P2"], "availablestock": [1.25, -2.0]}),
+                   f"{folder}/api/p.parquet")
+    os.makedirs(f"{folder}/hq")
+    pq.write_table(
+        pa.table({f"c{n}": pa.array(["x", "y"]) if n < 7 else pa.array([3, 0]) for n in range(8)}),
+        f"{folder}/hq/p.parquet",
+    )
+    clean = read_feeds(spark, [
+        feeds.api_feed(f"{folder}/api", format="parquet"),
+        feeds.hq_feed(f"{folder}/hq", format="parquet", skip_rows=0),
+    ])
+    assert records(clean) == [
+        (None, "P1", "On Time", 1.25), (None, "P2", "On Time", -2.0), ("x", "x", "HQ", 3.0),
+    ]
+
+
 def test_product_list(spark, folder):
     listed = [{"sku": "P1", "availablestock": "1.5", "name": "x"},
               {"sku": "P2", "availablestock": 7}, {"availablestock": 1}]

@@ -107,6 +107,7 @@ def test_dashboard(spark, snapshot, folder):
     assert [row.sku for row in dashboard.table(rows_, view).collect()] == ["S3"]
     view = dashboard.View(search="floss")
     assert tuple(dashboard.info(rows_, view).first()) == (3, 1)
+    assert dashboard.pages(rows_, view) == {30: 1, 50: 1, 100: 1, None: 1}
     dashboard.export(rows_, f"{folder}/export")
     assert documents.read_export(spark, f"{folder}/export").count() == 3
     with pytest.raises(ValueError, match="no column"):
