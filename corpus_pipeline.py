@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import exact_dedup, mixing, simhash
+from stockweave.llm import byte_bpe, exact_dedup, mixing, quality, simhash
 from stockweave.llm.frames import read, stage
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the classifier rejects."""
+    return quality.kept_documents(docs)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text."""
     return exact_dedup.kept_documents(docs)
@@ -23,10 +28,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with the ids of their texts."""
+    return byte_bpe.tokenize(docs)
+
+
 STAGES = [
+    ("quality_classifier", keep_quality),
     ("exact_dedup", drop_exact_copies),
     ("simhash_near_dedup", drop_near_copies),
     ("mix_sources", mix_sources),
+    ("byte_bpe", encode),
 ]
 
 #: Models and fingerprints are beyond SQL; tests hold the stages against brute force.
