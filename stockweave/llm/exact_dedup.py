@@ -131,7 +131,7 @@ def dedup(documents: DataFrame, in_snapshot: Column | None = None, digest=sha256
     text = ascii_lower(F.col("text"))
     pending = stage(
         documents.select("doc_id", text.alias("text")).withColumn("digest", digest(F.col("text")))
-        .join(repeated.select("digest"), "digest", "left_semi"), "positives",
+        .join(repeated.select("digest").hint("merge"), "digest", "left_semi"), "positives",
     )
     resolved = alone
     while True:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from stockweave.llm.byte_bpe import op1_byte_bpe
 from stockweave.llm.exact_dedup import op5_exact_dedup
 from stockweave.llm.mixing import op7_mix_sources
+from stockweave.llm.pitman_yor import op8_lm_scoring
 from stockweave.llm.quality import op4_quality_classifier
 from stockweave.llm.simhash import op10_simhash_near_dedup
 from stockweave.llm.token_counts import op9_token_counts
@@ -12,6 +13,6 @@ from stockweave.llm.token_counts import op9_token_counts
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_byte_bpe, op4_quality_classifier, op5_exact_dedup, op7_mix_sources, op9_token_counts, op10_simhash_near_dedup,
+        op1_byte_bpe, op4_quality_classifier, op5_exact_dedup, op7_mix_sources, op8_lm_scoring, op9_token_counts, op10_simhash_near_dedup,
     )
 }
