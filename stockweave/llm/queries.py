@@ -5,6 +5,7 @@ from __future__ import annotations
 from stockweave.llm.byte_bpe import op1_byte_bpe
 from stockweave.llm.embeddings import op3_embedding_near_dedup
 from stockweave.llm.exact_dedup import op5_exact_dedup
+from stockweave.llm.html_extract import op2_html_main_text
 from stockweave.llm.mixing import op7_mix_sources
 from stockweave.llm.pitman_yor import op8_lm_scoring
 from stockweave.llm.quality import op4_quality_classifier
@@ -15,6 +16,7 @@ from stockweave.llm.url_filter import op6_url_filter
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_byte_bpe, op3_embedding_near_dedup, op4_quality_classifier, op5_exact_dedup, op6_url_filter, op7_mix_sources, op8_lm_scoring, op9_token_counts, op10_simhash_near_dedup,
+        op1_byte_bpe, op2_html_main_text, op3_embedding_near_dedup, op4_quality_classifier, op5_exact_dedup,
+        op6_url_filter, op7_mix_sources, op8_lm_scoring, op9_token_counts, op10_simhash_near_dedup,
     )
 }
