@@ -68,7 +68,7 @@ class BatchMerger:
         done = sizes.copy()
         symbols = self.byte_ids[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
         owner = np.repeat(np.arange(len(pieces)), sizes)
-        while len(symbols) > 1:
+        while len(symbols):
             rank = self._rank(symbols, owner[:-1] == owner[1:])
             starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
             ends = np.append(starts[1:], len(symbols))

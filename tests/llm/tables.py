@@ -1,0 +1,60 @@
+"""Small tables with all that may go wrong in a large one."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns whose names the operators use inside.
+CLASHES = ("n", "size", "fp", "digest", "row", "label", "_range", "bucket", "place", "scored", "copy", "kept", "target", "flag")
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+
+
+def sentence(generator: random.Random, words: int) -> str:
+    return " ".join(generator.choice(WORDS) + generator.choice(["", "", "", ",", "."]) for _ in range(words))
+
+
+def documents(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """(doc_id, text, source) as a documents table."""
+    full = [(i, text, "en", source, None if text is None else len(text)) for i, text, source in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def odd_rows(seed: int = 1) -> list[tuple]:
+    """Null, empty, blank and very long texts, copies in other cases, ties, repeated rows, a hot source."""
+    generator = random.Random(seed)
+    rows = [(i, sentence(generator, generator.randint(1, 60)), f"s{i % 4}") for i in range(40)]
+    base = sentence(generator, 80)
+    rows += [(100 + i, base.upper() if i % 2 else base, "hot") for i in range(15)]
+    rows += [(200 + i, base.replace("alpha", "ALPHA", i), "hot") for i in range(5)]
+    rows += [
+        (300, None, None), (301, "", ""), (302, " \t\n", "s1"), (303, None, "s1"), (304, "É é", "é"), (305, "é é", "Z"),
+        (306, sentence(generator, 20_000), "s2"), (307, "x" * 30_000, "s3"), (308, "one", "hot"), (308, "one", "hot"),
+        (309, "two words", "hot"), (309, "quite another text under the same number", "s1"),
+        (None, "a text without a number", "s0"), (None, None, None), (None, base, "hot"),
+    ]
+    return rows
+
+
+def with_clashes(table: DataFrame) -> DataFrame:
+    return table.withColumns({name: F.lit("clash") for name in CLASHES})
+
+
+def components(nodes: list, linked) -> dict:
+    """The smallest node that links reach from each node; ``linked`` compares two of them."""
+    found = {node: node for node in nodes}
+
+    def root(x):
+        while found[x] != x:
+            x = found[x]
+        return x
+
+    for i, a in enumerate(nodes):
+        for b in nodes[i + 1 :]:
+            if linked(a, b):
+                low, high = sorted((root(a), root(b)))
+                found[high] = low
+    return {node: root(node) for node in nodes}

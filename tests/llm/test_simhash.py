@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+import xxhash
+
+from stockweave.llm import simhash
+from tests.llm import tables
+
+
+def slow_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def groups_of(rows, fingerprints):
+    """The expected (doc_id, fp, component) of each row."""
+    distinct = sorted(set(fingerprints))
+    found = tables.components(distinct, lambda a, b: (a ^ b).bit_count() <= 4)
+    first = {}
+    for (doc_id, *_), fp in zip(rows, fingerprints):
+        if doc_id is not None:
+            first[found[fp]] = min(doc_id, first.get(found[fp], doc_id))
+    return Counter((doc_id, fp, first.get(found[fp])) for (doc_id, *_), fp in zip(rows, fingerprints))
+
+
+def test_fingerprints_match_the_definition():
+    generator = random.Random(1)
+    texts = [tables.sentence(generator, n) for n in range(0, 40)] + [None, "", "  ", "A\x0bB\x1cc d\x85e f", "É é"]
+    assert [simhash.fingerprint(t) for t in texts] == [slow_fingerprint(t) for t in texts]
+
+
+def test_groups_match_brute_force(spark):
+    rows = tables.odd_rows()
+    found = simhash.near_dedup(tables.with_clashes(tables.documents(spark, rows)))
+    unsigned = Counter((r.doc_id, r.fp % (1 << 64), r.component_id) for r in found.collect())
+    assert unsigned == groups_of(rows, [slow_fingerprint(t) for _, t, _ in rows])
+
+
+@pytest.mark.parametrize("pairs_per_row", [32, 0.01])
+def test_links_of_crowded_fingerprints_match_brute_force(spark, monkeypatch, pairs_per_row):
+    """Chains and clouds of near copies around a few centres, and strangers between them."""
+    monkeypatch.setattr(simhash, "PAIRS_PER_ROW", pairs_per_row)
+    generator = random.Random(7)
+    prints = {generator.getrandbits(64) for _ in range(150)}
+    for centre in [generator.getrandbits(64) for _ in range(4)]:
+        walker = centre
+        for _ in range(60):
+            bits = generator.sample(range(64), generator.randint(1, 6))
+            walker ^= sum(1 << b for b in bits)
+            prints.add(walker)
+            prints.add(centre ^ sum(1 << b for b in generator.sample(range(64), generator.randint(1, 5))))
+    signed = [(simhash._signed(p), generator.randint(1, 3)) for p in prints]
+    found = simhash.link(spark.createDataFrame(signed, "fp long, n long")).collect()
+    nodes = sorted(fp for fp, _ in signed)
+    expected = tables.components(nodes, lambda a, b: ((a ^ b) % (1 << 64)).bit_count() <= 4)
+    labels = {n: n for n in nodes} | {r.node: r.component for r in found}
+    assert labels == expected
+
+
+def test_the_manhattan_distance_never_exceeds_the_distance_in_bits(spark):
+    generator = random.Random(3)
+    pairs = [(simhash._signed(a := generator.getrandbits(64)), simhash._signed(a ^ sum(
+        1 << b for b in generator.sample(range(64), generator.randint(0, 9))))) for _ in range(300)]
+    table = spark.createDataFrame(pairs, "a long, b long")
+    found = table.select("a", "b", simhash.embed(table.a).alias("e"), simhash.embed(table.b).alias("f")).collect()
+
+    def counts(x):
+        return [((x % (1 << 64)) >> (2 * i) & 3).bit_count() for i in range(32)]
+
+    masks = simhash.grid_masks(4)
+    for a, b, e, f in map(tuple, found):
+        distance = sum(abs(x - y) for x, y in zip(counts(a), counts(b)))
+        assert ((e ^ f) % (1 << 64)).bit_count() == distance
+        bits = ((a ^ b) % (1 << 64)).bit_count()
+        assert distance <= bits
+        if bits <= 4:
+            assert any(e & m == f & m for m in masks)
+
+
+def test_kept_documents_are_whole_rows_and_one_for_each_group(spark):
+    rows = tables.odd_rows()
+    table = tables.with_clashes(tables.documents(spark, rows))
+    kept = simhash.kept_documents(table)
+    assert kept.columns == table.columns
+    expected = groups_of(rows, [slow_fingerprint(t) for _, t, _ in rows])
+    assert kept.count() == len({component for _, _, component in expected if component is not None}) + len(
+        {fp for _, fp, component in expected if component is None})
+
+
+def test_an_empty_table_gives_an_empty_one(spark):
+    empty = tables.documents(spark, [])
+    assert simhash.near_dedup(empty).count() == 0
+    assert simhash.kept_documents(empty).count() == 0
