@@ -129,6 +129,7 @@ def dedup(documents: DataFrame, in_snapshot: Column | None = None, digest=sha256
         "doc_id", "digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
     )
     text = ascii_lower(F.col("text"))
+    # a merge join at every size, so that what is shuffled grows with the table
     pending = stage(
         documents.select("doc_id", text.alias("text")).withColumn("digest", digest(F.col("text")))
         .join(repeated.select("digest").hint("merge"), "digest", "left_semi"), "positives",
