@@ -39,7 +39,7 @@ SEED = 11
 
 def pack(values: np.ndarray) -> bytes:
     """An array as bytes: all first bytes, all second ones, and so on, compressed."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 

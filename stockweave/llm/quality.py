@@ -137,7 +137,7 @@ def votes_of(patterns: np.ndarray, labellers: int) -> np.ndarray:
     return patterns[:, None] // 3 ** np.arange(labellers) % 3
 
 
-def fit_votes(patterns: np.ndarray, counts: np.ndarray, labellers: int, rounds: int = 100) -> VoteModel:
+def fit_votes(patterns: np.ndarray, counts: np.ndarray, labellers: int, rounds: int = 100, trust: float = BELIEF) -> VoteModel:
     """Expectation-maximisation over the counts of vote patterns.
 
     Starts from and leans on the belief that a labeller seldom votes against a good text and often
@@ -147,7 +147,7 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, labellers: int, rounds:
     votes = votes_of(patterns, labellers)
     belief = np.empty((2, labellers))
     belief[BAD], belief[GOOD] = 0.33, 0.005
-    weight = BELIEF * counts.sum() + 1
+    weight = trust * counts.sum() + 1
     model = VoteModel(0.85, belief)
     for _ in range(rounds):
         good = model.posterior(votes)

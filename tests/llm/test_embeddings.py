@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from stockweave.llm import embeddings
+from tests.llm import tables
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def near(vector, cosine, rng):
+    other = rng.standard_normal(len(vector))
+    other -= other @ vector * vector / (vector @ vector)
+    return cosine * vector / np.linalg.norm(vector) + math.sqrt(1 - cosine**2) * other / np.linalg.norm(other)
+
+
+def vectors(seed: int, size: int = 64, n: int = 150):
+    rng = np.random.default_rng(seed)
+    rows = [rng.standard_normal(size) for _ in range(n)]
+    for i in range(12):
+        rows += [near(rows[i], c, rng) for c in rng.uniform(0.93, 1.0, 8)]  # on both sides of the threshold
+        rows += [rows[i]] * 2 + [rows[i] * 3.0]
+    rng.shuffle(rows)
+    return [(i * 3, [float(np.float32(x)) for x in row], i % 5) for i, row in enumerate(rows)]
+
+
+def by_hand(rows, threshold=0.95):
+    valid = {}
+    for i, v, _ in rows:
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            x = np.array(v, dtype=np.float64)
+            valid[i] = x / np.linalg.norm(x)
+    linked = lambda a, b: len(valid[a]) == len(valid[b]) and valid[a] @ valid[b] >= threshold
+    names = sorted(valid)
+    count = {a: sum(linked(a, b) for b in names if b != a) for a in names}
+    return count, tables.components(names, linked)
+
+
+def test_links_match_brute_force(spark):
+    rows = vectors(1)
+    table = tables.with_clashes(spark.createDataFrame(rows, SCHEMA)).drop("label")
+    count, component = by_hand(rows)
+    found = embeddings.near_dedup(table).collect()
+    assert {r.vec_id: r.n_links for r in found} == count
+    assert {r.vec_id: r.component_id for r in found} == component
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found)
+
+
+@pytest.mark.parametrize("size", [2, 7, 100])
+def test_other_lengths(spark, size):
+    rows = vectors(2, size, 30 if size > 2 else 5)
+    count, component = by_hand(rows)
+    found = {r.vec_id: r for r in embeddings.near_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    links = sum(count.values())
+    assert sum(found[i].n_links for i in count) >= 0.99 * links
+    assert all(found[i].n_links <= count[i] for i in count)
+
+
+def test_vectors_without_direction_link_with_nothing(spark):
+    one = [1.0] + [0.0] * 63
+    rows = [
+        (1, one, 0), (2, one, 0), (3, None, 0), (4, [0.0] * 64, 0), (5, [float("nan")] * 64, 0), (6, [float("inf")] + [0.0] * 63, 0),
+        (7, [None] + [1.0] * 63, 0), (8, [], 0), (9, [0.0] * 64, 0), (10, [1.0] + [0.0] * 62, 0), (None, one, 0), (None, None, 0),
+        (11, [-1.0] + [0.0] * 63, 0), (12, [-1.0] + [-0.0] * 63, 0), (13, [1e-30] + [0.0] * 63, 0), (14, [1e30] + [0.0] * 63, 0),
+    ]
+    found = [tuple(r) for r in embeddings.near_dedup(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(found, key=str) == sorted([
+        (1, 3, 1, True), (2, 3, 1, False), (13, 3, 1, False), (14, 3, 1, False), (11, 1, 11, True), (12, 1, 11, False),
+        *[(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10)], (None, 0, None, False), (None, 0, None, False),
+    ], key=str)
+
+
+def test_repeated_ids_are_vectors_of_their_own(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.standard_normal(64).tolist(), rng.standard_normal(64).tolist()
+    found = embeddings.near_dedup(spark.createDataFrame([(1, a, 0), (1, a, 0), (1, b, 0), (2, b, 0)], SCHEMA)).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1, 1, True)] * 3 + [(2, 1, 1, False)]
+
+
+def test_estimates_are_unbiased_and_within_their_bounds():
+    rng = np.random.default_rng(4)
+    for cosine in (0.0, 0.5, 0.95):
+        errors, spreads = [], []
+        for _ in range(400):
+            a = embeddings.unit(rng.standard_normal(64))
+            b = embeddings.unit(near(a, cosine, rng))
+            turned = embeddings.rotation(64, 0) @ b
+            code = np.packbits(turned > 0).tobytes()
+            found, spread = embeddings.estimate(a, code, float(np.abs(turned).sum() / 8))
+            errors.append(found - cosine)
+            spreads.append(spread * math.sqrt(1 - cosine**2))
+        assert abs(np.mean(errors)) < 4 * np.mean(spreads) / math.sqrt(400)
+        assert (np.abs(errors) <= embeddings.WIDTH * np.array(spreads)).mean() > 0.995
+
+
+def test_an_empty_table_gives_an_empty_one(spark):
+    assert embeddings.near_dedup(spark.createDataFrame([], SCHEMA)).count() == 0

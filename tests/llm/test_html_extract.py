@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from stockweave.llm import boosting, html_extract, html_training
+from stockweave.llm.html_tree import PageTree
+from tests.llm import tables
+
+PROSE = "The ship left the harbour at dawn, and nobody on the pier knew when it would come back to the town."
+
+
+@pytest.fixture(scope="module")
+def model():
+    return html_extract.train()
+
+
+def only(html, model):
+    return html_extract.extract([html], model)[0]
+
+
+def test_fresh_pages(model):
+    """Pages of the same maker with another seed: few words lost, few too many."""
+    right = lost = extra = 0
+    for html in html_training.pages(200, 77):
+        blocks = PageTree(html).blocks
+        main = []
+        for block in blocks:
+            main.append(block.main if block.main is not None else main[block.parent] if main else True)
+        want = Counter(w for b, m in zip(blocks, main) if m for w in b.text().split())
+        got = Counter(only(re.sub(r' data-main="."', "", html), model).split())
+        right += sum((want & got).values())
+        lost += sum((want - got).values())
+        extra += sum((got - want).values())
+    assert right / (right + lost) > 0.95 and right / (right + extra) > 0.95
+
+
+def test_parts_of_a_usual_page(model):
+    html = f"""<!DOCTYPE html><html><head><title>No</title><style>p {{}}</style></head><body>
+    <div class="cookie-notice"><p>We use cookies, accept them.</p></div>
+    <header class="site-header"><p><a href="/">Daily</a></p><form><label>Find</label><input></form></header>
+    <nav><ul><li><a href="/a">Home</a></li><li><a href="/b">World</a></li><li><a href="/c">Sport</a></li></ul></nav>
+    <div class="ad">Buy now, cheap.</div>
+    <article><h1>Ship &amp; harbour</h1><p>{PROSE} <b>Bold</b>face<br>line</p><script>var p = "<p>no</p>";</script><p>{PROSE}</p></article>
+    <section class="comments"><h3>Comments</h3><div class="comment"><p>Nice ship, I was there too.</p></div></section>
+    <aside class="sidebar"><h3>Most read</h3><ul><li><a href="/x">One</a></li><li><a href="/y">Two</a></li></ul></aside>
+    <footer>&copy; Daily</footer></body></html>"""
+    assert only(html, model) == f"Ship & harbour {PROSE} Boldface line {PROSE}"
+
+
+@pytest.mark.parametrize("html", [
+    "<p>a<p>b<table><tr><td>1<td>2<tr><td>3</table><ul><li>x<li>y</ul>", "<div>" * 3_000 + PROSE, "<<<>>><!x><![CDATA[y]]><?php ?>&#xffffffff;&bogus;",
+    "<article><p>" + "word " * 50_000, "</div></p><p>" + PROSE, "<script>never closed", "<html><body></body></html>", "\x00\ufffe", "<p>" * 2_000,
+])
+def test_broken_pages_do_no_harm(model, html):
+    assert isinstance(only(html, model), str)
+
+
+def test_open_elements_end_where_html_ends_them():
+    blocks = PageTree("<ul><li>a<ul><li>b</ul><li>c</ul><p>d<b>e<p>f<div>g</div>").blocks
+    assert [(b.tag, b.text()) for b in blocks if b.text()] == [("li", "a"), ("li", "b"), ("li", "c"), ("p", "de"), ("p", "f"), ("div", "g")]
+
+
+def test_decoding_never_keeps_below_a_dropped_block(model):
+    rng = np.random.default_rng(1)
+    for html in html_training.pages(40, 5):
+        blocks = PageTree(html).blocks
+        texts = [b.text() for b in blocks]
+        margin = rng.normal(0, 3, len(blocks))
+        chosen = html_extract.decode(blocks, texts, margin)
+        assert all(chosen[blocks[i].parent] for i in range(1, len(blocks)) if chosen[i])
+
+
+def test_boosting_fits_a_rule_of_two_features():
+    rng = np.random.default_rng(2)
+    rows = np.column_stack([rng.random(4_000), rng.random(4_000), rng.integers(0, 2, 4_000)]).astype(np.float32)
+    labels = ((rows[:, 0] > 0.6) ^ (rows[:, 2] > 0)).astype(int)
+    made = boosting.fit(rows[:3_000], labels[:3_000])
+    assert ((made.margin(rows[3_000:]) > 0) == labels[3_000:]).mean() > 0.97
+
+
+def test_rows(spark, model):
+    page = f"<nav><a href='/'>Home</a></nav><article><p>{PROSE}</p></article>"
+    rows = [(1, "u", page), (1, "u", page), (None, None, page), (2, "v", None), (3, "w", ""), (4, "x", "  "), (5, "y", "<nav></nav>")]
+    table = tables.with_clashes(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    found = html_extract.extract_pages(table, model).collect()
+    assert sorted(((r.page_id, r.url, r.text, r.n_chars) for r in found), key=str) == sorted(
+        ((i, u, PROSE if h == page else "", len(PROSE) if h == page else 0) for i, u, h in rows), key=str)
+    assert html_extract.extract_pages(table.limit(0), model).count() == 0
