@@ -57,13 +57,10 @@ MISSING_WORDS = (
 )
 
 # Snapshot names, the index file, the clock and the label in the snapshot list.
-SNAPSHOT_NAME_FORMAT = "ddMMyy_HHmmss"
 SNAPSHOT_SUFFIX = ".json"
 INDEX_NAME = "file_list.json"
 TIME_ZONE = "Asia/Bangkok"
-LAST_UPDATED_FORMAT = "yyyy-MM-dd HH:mm:ss"
 LABEL_PREFIX = "วันที่ "
-LABEL_FORMAT = "dd/MM/yyyy HH:mm:ss"
 
 # Stock bands: below the first limit critical, below the second low.
 CRITICAL_BELOW, LOW_BELOW = 5, 10

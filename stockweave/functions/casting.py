@@ -14,6 +14,7 @@ from stockweave.fixed_values import MISSING_WORDS
 
 # Plain decimal notation. Spark alone would also read 5d, 5f, NaN and Infinity.
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+LEADING_PATTERN = r"^[+-]?(Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 
 
@@ -61,6 +62,13 @@ def require_int(text: Column, what: str) -> Column:
     return F.coalesce(strict_int_from_number(text), _fail(text, what).cast("bigint"))
 
 
+def leading_number(text: Column) -> Column:
+    """The number that a text starts with: ``12abc`` is 12. NaN if it starts with none."""
+    trimmed = F.regexp_replace(text, r"^[\s\u00a0\ufeff]+", "")
+    found = F.regexp_extract(trimmed, LEADING_PATTERN, 0)
+    return F.coalesce(F.when(found != "", found).try_cast("double"), F.lit(float("nan")))
+
+
 def _fail(text: Column, what: str) -> Column:
     return F.raise_error(
         F.concat(F.lit(f"{what}: not a quantity: "), F.coalesce(text, F.lit("<missing>")))

@@ -1,8 +1,10 @@
 """Record order for landed files.
 
 Which record wins depends on the order in which records were read, so every record carries an
-ordinal: phase, then file, then position in the file, packed in one bigint. The position needs no
-shuffle and no second scan:
+ordinal: phase, then file, then position in the file, packed in one bigint. Beside three bits for
+the phase there are 60, of which the file number takes as many as the number of files needs, so
+what is limited is just the whole: files times the size of the largest stays below an exabyte. The
+position needs no shuffle and no second scan:
 
 * Parquet knows the row index.
 * Text formats know where the block starts in the file. A block cannot hold more rows than bytes,
@@ -18,9 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-POSITION_BITS = 40
-FILE_BITS = 20
-MAX_FILES = 1 << FILE_BITS
+PHASE_SHIFT = 60
 _ROW_IN_TASK = (1 << 33) - 1
 
 
@@ -48,17 +48,16 @@ def parquet_position(file: Column, row: Column) -> Column:
     return file["row_index"]
 
 
-def ordinal(phase: int, file_no: Column, position: Column) -> Column:
-    checked = F.when(position < F.lit(1 << POSITION_BITS), position).otherwise(
-        F.raise_error(F.lit("position in file does not fit the ordinal")).cast("bigint")
+def position_bits(files: int) -> int:
+    """Bits that are left for the position beside the number of one of ``files`` files."""
+    return PHASE_SHIFT - max(files - 1, 0).bit_length()
+
+
+def ordinal(phase: int, file_no: Column, position: Column, files: int) -> Column:
+    bits = position_bits(files)
+    checked = F.when(position < F.lit(1 << bits), position).otherwise(
+        F.raise_error(F.lit("files and positions do not fit the ordinal")).cast("bigint")
     )
     return (
-        F.lit(phase << (FILE_BITS + POSITION_BITS))
-        + F.shiftleft(file_no.cast("bigint"), POSITION_BITS)
-        + checked
+        F.lit(phase << PHASE_SHIFT) + F.shiftleft(file_no.cast("bigint"), bits) + checked
     )
-
-
-def file_of(ord_: Column) -> Column:
-    """Phase and file part of an ordinal: one value per landed file."""
-    return F.shiftright(ord_, POSITION_BITS)

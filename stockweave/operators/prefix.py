@@ -23,7 +23,7 @@ def first_bad(df: DataFrame, unit: Sequence[str], ord_: str, bad: Column) -> Dat
     return stage(firsts, "first-bad")
 
 
-def _with_first_bad(df: DataFrame, firsts: DataFrame, unit: Sequence[str]) -> DataFrame:
+def with_first_bad(df: DataFrame, firsts: DataFrame, unit: Sequence[str]) -> DataFrame:
     same_unit = F.lit(True)
     for name in unit:
         same_unit = same_unit & F.col(name).eqNullSafe(F.col(f"_{name}"))
@@ -34,7 +34,11 @@ def split_at_first_bad(
     df: DataFrame, unit: Sequence[str], ord_: str, bad: Column
 ) -> tuple[DataFrame, DataFrame]:
     """Rows before the first bad row of their unit, and the rows from there on."""
-    marked = _with_first_bad(df, first_bad(df, unit, ord_, bad), unit)
+    return split_at(with_first_bad(df, first_bad(df, unit, ord_, bad), unit), ord_)
+
+
+def split_at(marked: DataFrame, ord_: str) -> tuple[DataFrame, DataFrame]:
+    """Rows before their ``_first_bad``, NULL for none, and the rows from there on."""
     kept = marked.where(F.col("_first_bad").isNull() | (F.col(ord_) < F.col("_first_bad")))
     lost = marked.where(F.col(ord_) >= F.col("_first_bad"))
     return kept.drop("_first_bad"), lost.drop("_first_bad")

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from stockweave.sources.staging import stage
 
@@ -27,30 +26,23 @@ def drop_all_null(df: DataFrame) -> DataFrame:
     return df.na.drop("all")
 
 
-def skip_rows(df: DataFrame, n: int, ord_: str, unit: Column | None = None) -> DataFrame:
-    """Drop the first ``n`` rows by the ordinal, of every unit or of the whole table.
+def skip_rows(df: DataFrame, n: int, ord_: str) -> DataFrame:
+    """Drop the first ``n`` rows of the table by the ordinal: a top-k gives the cut."""
+    if n <= 0:
+        return df
+    cut = df.select(ord_).orderBy(ord_).limit(n).agg(F.max(ord_))
+    return df.where(F.col(ord_) > cut.scalar())
+
 
-    With units, the rank limit is applied in each task before the shuffle, so no more than ``n``
-    rows per unit and task leave it. The cut-off table has one row per unit and is staged: its
-    written size decides whether the join broadcasts it, so the big side is not shuffled by unit.
+def skip_leading(df: DataFrame, n: int, ord_: str, unit: str) -> DataFrame:
+    """Drop the first ``n`` rows of every unit whose ordinals start with ``n`` neighbouring ones.
+
+    So do the rows of a landed file, as long as its first block holds ``n`` rows. The cut is then the
+    smallest ordinal plus ``n``, found by an aggregation with partial results; no rows are sorted.
     """
     if n <= 0:
         return df
-    if unit is None:
-        cut = df.select(ord_).orderBy(ord_).limit(n).agg(F.max(ord_))
-        return df.where(F.col(ord_) > cut.scalar())
-    first = Window.partitionBy("_unit").orderBy("_ord")
-    cuts = (
-        df.select(unit.alias("_unit"), F.col(ord_).alias("_ord"))
-        .withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") <= n)
-        .groupBy("_unit")
-        .agg(F.max("_ord").alias("_cut"))
-    )
-    cuts = stage(cuts, "row-offset")
-    return (
-        df.withColumn("_of", unit)
-        .join(cuts, F.col("_of").eqNullSafe(F.col("_unit")))
-        .where(F.col(ord_) > F.col("_cut"))
-        .drop("_of", "_unit", "_cut")
-    )
+    starts = df.groupBy(F.col(unit).alias("_unit")).agg(F.min(ord_).alias("_start"))
+    starts = stage(starts, "row-offset")
+    same = F.col(unit).eqNullSafe(F.col("_unit"))
+    return df.join(starts, same).where(F.col(ord_) >= F.col("_start") + n).drop("_unit", "_start")

@@ -9,11 +9,11 @@ branch counts. Entries with the same SKU are merged: the first entry gives the i
 each branch the entry opened last gives the quantity, even if another entry's record came later.
 
 The plan. The raw feed is read by two aggregations, each with partial results in every task: the
-``digest`` keeps one row per phase, key and branch, ``first_records`` one row per item. A hot item
-or SKU shrinks to one row per branch there, before any shuffle. The digest aggregates numbers
-only, which keeps it a hash aggregation; a string in its buffers would turn it into a sort of all
-rows, and the SKU of an item record in its key could undo the reduction. Every join works on such
-reduced rows, is an equi join on item or SKU, and is left to the optimizer: broadcast if the
+``digest`` keeps one row per phase, key and branch, ``first_records`` one row per item and SKU. A hot
+item or SKU shrinks to one row per branch there, before any shuffle. Both aggregate numbers only,
+which keeps them hash aggregations; a string in their buffers would turn them into a sort of all
+rows. The SKU of an item record has no place in the key of the digest, where it could undo the
+reduction. Every join works on such reduced rows, is an equi join on item or SKU, and is left to the optimizer: broadcast if the
 staged table is small, else sort-merge with skew splitting.
 """
 
@@ -59,8 +59,11 @@ def digest(feed: DataFrame) -> DataFrame:
 
 
 def first_records(feed: DataFrame) -> DataFrame:
-    """First item-phase record of every item."""
-    return item_records(feed).groupBy("item").agg(
+    """First item-phase record of every item: the first of each SKU, and the first of those."""
+    by_sku = item_records(feed).groupBy("item", "sku").agg(
+        F.min("ord").alias("ord"), F.min("phase").alias("phase")
+    )
+    return by_sku.groupBy("item").agg(
         F.min_by("sku", "ord").alias("sku"),
         F.min("ord").alias("ord"),
         F.min("phase").alias("phase"),
@@ -204,16 +207,13 @@ def nested(snapshot: DataFrame) -> DataFrame:
 
 
 def document_entries(snapshot: DataFrame) -> DataFrame:
-    """SKU rows as they stand in a snapshot document."""
-    return nested(snapshot).select(
-        F.struct(
-            F.col("item").alias("Item"), F.col("sku").alias("SKU"),
-            F.col("branches").alias("Branch"),
-        ).alias("entry"),
-        "entry_ord",
+    """SKU rows as they stand in a snapshot document; ``pairs`` become the branch map there."""
+    pairs = F.sort_array(F.collect_list(F.struct("branch", "qty")))
+    return snapshot.groupBy("sku", "item", "entry_ord").agg(pairs.alias("pairs")).select(
+        F.col("item").alias("Item"), F.col("sku").alias("SKU"), "pairs", "entry_ord"
     )
 
 
 def explode_branches(skus: DataFrame) -> DataFrame:
-    """Long form of SKU rows with a branch map."""
+    """Long form of SKU rows with a branch map; a SKU without branches has no rows."""
     return skus.select("sku", "item", F.explode("branches").alias("branch", "qty"))

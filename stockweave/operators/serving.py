@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +11,6 @@ from pyspark.sql import Window
 from stockweave.functions.stock import matches_search, quantity_text, stock_band
 from stockweave.sources.staging import stage
 
-#: Deepest row which a page is fetched through a top-k; deeper pages are numbered in full.
-SHALLOW_ROWS = 10_000
-
 
 def select_branches(snapshot: DataFrame, branches: Iterable[str] | None) -> DataFrame:
     """Rows of the chosen branches; ``None`` means all, an empty choice means no rows."""
@@ -87,15 +84,33 @@ def number_rows(rows: DataFrame, *order: Column) -> DataFrame:
 
 
 def page(rows: DataFrame, page_no: int, size: int | None, *order: Column) -> DataFrame:
-    """Page ``page_no`` (from 0) in the given order; ``size`` None shows all rows.
+    """Page ``page_no`` (from 0) in the given total order; ``size`` None shows all rows.
 
-    Near pages are a top-k. That would carry every earlier row to one place for a far page, so
-    beyond ``SHALLOW_ROWS`` the rows are numbered in parallel and the page is a filter.
+    The rows are numbered in parallel and the page is a filter, at every depth alike: a top-k would
+    carry all earlier rows of a far page to one place. To leaf from page to page,
+    :func:`page_after` needs no numbers.
     """
     if size is None:
         return rows.orderBy(*order)
     start = page_no * size
-    if start + size <= SHALLOW_ROWS:
-        return rows.orderBy(*order).offset(start).limit(size)
     wanted = F.col("row_no").between(start + 1, start + size)
     return number_rows(rows, *order).where(wanted).orderBy("row_no").drop("row_no")
+
+
+def page_after(
+    rows: DataFrame, size: int, order: Sequence[tuple[str, bool]], last: Sequence | None = None
+) -> DataFrame:
+    """The ``size`` rows that follow the row with the key ``last``: a top-k of just them.
+
+    ``order`` has the columns of the total order and whether each is descending; ``last`` has their
+    values in the last row of the page before, None for the first page. No column may be NULL.
+    """
+    columns = [F.col(name).desc() if down else F.col(name).asc() for name, down in order]
+    if last is not None:
+        behind, level = F.lit(False), F.lit(True)
+        for (name, down), value in zip(order, last, strict=True):
+            value = F.lit(value)
+            behind = behind | (level & (F.col(name) < value if down else F.col(name) > value))
+            level = level & (F.col(name) == value)
+        rows = rows.where(behind)
+    return rows.orderBy(*columns).limit(size)

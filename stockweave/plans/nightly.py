@@ -1,8 +1,9 @@
 """The nightly run: landed feeds in, one snapshot in the history out.
 
-Steps: read and stage the feeds, drop skipped and bad rows, reconcile, append the snapshot and the
-rejected rows, rebuild the index. A required feed which is missing or bad raises before anything
-is written to the history; an optional one is noted in the feed status.
+Steps: read and stage the feeds, drop skipped and bad rows, reconcile, write the reports, the
+snapshot and its document, publish them by one entry in the history's log, rebuild the index. A
+required feed which is missing or bad raises before anything is published; an optional one is noted
+in the feed status. All that is staged on the way is dropped at the end.
 """
 
 from __future__ import annotations
@@ -13,30 +14,32 @@ from datetime import datetime, timezone
 from functools import reduce
 
 import pyarrow as pa
-from py4j.protocol import Py4JJavaError
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockweave.fixed_values import SNAPSHOT_SUFFIX
 from stockweave.functions import naming
-from stockweave.functions.ordinal import file_of
-from stockweave.operators.prefix import split_at_first_bad
-from stockweave.operators.projection import skip_rows
+from stockweave.operators.prefix import split_at, with_first_bad
+from stockweave.operators.projection import skip_leading
 from stockweave.operators.reconcile import Reconciliation, reconcile
-from stockweave.schemas import FEED, REJECTS
-from stockweave.sources import history
+from stockweave.schemas import FEED, FEED_STATUS, REJECTS, with_version
+from stockweave.sources import documents, history
 from stockweave.sources.dimensions import small_table
 from stockweave.sources.feeds import (
     FeedError,
     FeedSpec,
     UnitStatus,
+    headers,
+    is_file_fault,
     landed_units,
     read_units,
     status_of,
 )
-from stockweave.sources.staging import stage
+from stockweave.sources.staging import scope, stage
 
-READ_ERRORS = (FeedError, PySparkException, Py4JJavaError)
+WIDE_ROW = "a row with more cells than the header"
 
 
 @dataclass(frozen=True)
@@ -54,35 +57,29 @@ def union(tables: Sequence[DataFrame]) -> DataFrame:
 
 def stage_feed(
     spark: SparkSession, spec: FeedSpec
-) -> tuple[DataFrame | None, list[UnitStatus]]:
+) -> tuple[DataFrame | None, dict[str, UnitStatus]]:
     """Parse a feed into a staged table, together with what became of its units.
 
-    All units are read in one scan. If that fails on an optional feed, they are staged one by
-    one, so that only the broken ones are lost.
+    All units with one header, as a rule all of the feed, are read in one scan. Files that cannot
+    be read end a required feed, and the units of their header in an optional one; errors of the
+    cluster end the run.
     """
     landed, missing = landed_units(spark, spec)
     if missing and spec.required:
         raise FeedError(f"{spec.name}: no files for {missing}")
     states = {unit: status_of(spec, unit, "failed", "no files") for unit in missing}
     staged = []
-    try:
-        if landed:
-            staged.append(stage(read_units(spark, spec, landed)[0], spec.name))
-        states |= {unit: status_of(spec, unit, "read") for unit in landed}
-    except READ_ERRORS:
-        if spec.required:
-            raise
-        first_file = 0
-        for unit in landed:
-            try:
-                rows, files = read_units(spark, spec, [unit], first_file)
-                first_file += files
-                staged.append(stage(rows, spec.name))
-                states[unit] = status_of(spec, unit, "read")
-            except READ_ERRORS as error:
-                states[unit] = status_of(spec, unit, "failed", error_text(error))
-    ordered = [states[unit] for unit in (spec.stores or (spec.name,))]
-    return (union(staged) if staged else None), ordered
+    for units in headers(spark, spec, landed).values():
+        if not units:
+            continue
+        try:
+            staged.append(stage(read_units(spark, spec, units), spec.name))
+            states |= {unit: status_of(spec, unit, "read") for unit in units}
+        except (FeedError, PySparkException, Py4JError) as error:
+            if spec.required or not is_file_fault(error):
+                raise
+            states |= {unit: status_of(spec, unit, "failed", error_text(error)) for unit in units}
+    return (union(staged) if staged else None), states
 
 
 def error_text(error: Exception) -> str:
@@ -90,23 +87,43 @@ def error_text(error: Exception) -> str:
     return condition or str(error).split("\n", 1)[0]
 
 
+def unit_facts(rows: DataFrame) -> DataFrame:
+    """First bad row of each unit and how many of its rows are too wide, by one aggregation."""
+    facts = rows.groupBy(F.col("unit").alias("_unit")).agg(
+        F.min(F.when(F.col("bad"), F.col("ord"))).alias("_first_bad"),
+        F.count_if("wide").alias("_wide_rows"),
+    )
+    return stage(facts, "unit-facts")
+
+
 def clean_feed(
     parsed: DataFrame, spec: FeedSpec
-) -> tuple[DataFrame, list[DataFrame]]:
-    """Clean records of one staged feed, and its rejected rows by reason."""
-    rows = skip_rows(parsed, spec.skip_rows, "ord", file_of(F.col("ord")))
+) -> tuple[DataFrame, list[DataFrame], list[str]]:
+    """Clean records of one staged feed, its rejected rows by reason, and the units that fail.
+
+    A row with more cells than its header may have them in the wrong columns. It ends a required
+    feed and fails its unit in an optional one; where bad rows are rejected singly, so is this one.
+    """
+    rows = skip_leading(parsed, spec.skip_rows, "ord", "file")
     if spec.drop_empty:
-        rows = rows.where(~F.col("empty"))
-    rejects = []
-    if spec.on_bad == "never":
-        pass
-    elif spec.on_bad == "prefix":
-        rows, lost = split_at_first_bad(rows, ["unit"], "ord", F.col("bad"))
-        reason = F.when(F.col("bad"), "bad quantity").otherwise("after a bad quantity")
-        rejects.append(lost.withColumn("reason", reason))
-    else:
+        rows = rows.where(~F.col("empty") | F.col("wide"))
+    facts = unit_facts(rows)
+    rejects, failed = [], []
+    if spec.on_bad == "reject_row":
+        rejects.append(rows.where("wide").withColumn("reason", F.lit(WIDE_ROW)))
+        rows = rows.where(~F.col("wide"))
         rejects.append(rows.where("bad").withColumn("reason", F.lit("bad quantity")))
         rows = rows.where(~F.col("bad"))
+    else:
+        failed = [row._unit for row in facts.where("_wide_rows > 0").collect()]
+        if failed and spec.required:
+            raise FeedError(f"{spec.name}: {WIDE_ROW}")
+        if failed:
+            rows = rows.where(~F.col("unit").isin(failed))
+    if spec.on_bad == "prefix":
+        rows, lost = split_at(with_first_bad(rows, facts.drop("_wide_rows"), ["unit"]), "ord")
+        reason = F.when(F.col("bad"), "bad quantity").otherwise("after a bad quantity")
+        rejects.append(lost.withColumn("reason", reason))
     # A feed which matches by SKU has no item to miss.
     no_key = F.col("sku").isNull() | F.col("branch").isNull()
     if spec.item is not None:
@@ -115,23 +132,23 @@ def clean_feed(
     rows = rows.where(~no_key)
     if spec.positive_only:
         rows = rows.where(F.col("qty") > 0)
-    return rows.select(*FEED.names), [table.select(*REJECTS.names) for table in rejects]
+    return rows.select(*FEED.names), [table.select(*REJECTS.names) for table in rejects], failed
 
 
 def read_feeds(spark: SparkSession, specs: Sequence[FeedSpec]) -> CleanFeed:
     """Read, stage and clean all feeds in the order of their phases."""
-    staged, states = [], []
-    for spec in sorted(specs, key=lambda spec: spec.phase):
-        parsed, feed_states = stage_feed(spark, spec)
-        states += feed_states
+    records, rejects, counts, states = [], [], [], []
+    staged = [
+        (spec, *stage_feed(spark, spec)) for spec in sorted(specs, key=lambda spec: spec.phase)
+    ]
+    for spec, parsed, units in staged:
         if parsed is not None:
-            staged.append((spec, parsed))
-    records, rejects, counts = [], [], []
-    for spec, parsed in staged:
-        clean, rejected = clean_feed(parsed, spec)
-        records.append(clean)
-        rejects += rejected
-        counts.append(parsed.groupBy("phase", "unit").agg(F.count(F.lit(1)).alias("n_rows")))
+            clean, rejected, failed = clean_feed(parsed, spec)
+            records.append(clean)
+            rejects += rejected
+            units |= {unit: status_of(spec, unit, "failed", WIDE_ROW) for unit in failed}
+            counts.append(parsed.groupBy("phase", "unit").agg(F.count(F.lit(1)).alias("n_rows")))
+        states += [units[unit] for unit in (spec.stores or (spec.name,))]
     empty_feed = spark.createDataFrame([], FEED)
     empty_rejects = spark.createDataFrame([], REJECTS)
     return CleanFeed(
@@ -173,32 +190,75 @@ def local_timestamp(as_of: datetime) -> Column:
     return naming.local_time(F.lit(utc.isoformat(sep=" ", timespec="seconds")).cast("timestamp_ntz"))
 
 
-def run(spark: SparkSession, specs: Sequence[FeedSpec], root: str, as_of: datetime) -> None:
+def run(
+    spark: SparkSession, specs: Sequence[FeedSpec], root: str, as_of: datetime,
+    skus_per_document: int = documents.SKUS_PER_DOCUMENT,
+) -> None:
     """One nightly run at ``as_of`` (an aware time).
 
-    Writes ``rejects``, ``feed_status``, ``history`` and ``index`` below ``root``, the snapshot
-    after the reports on it. The index is rebuilt from the history even if the run fails.
+    Writes ``rejects``, ``feed_status``, ``documents`` and ``history`` below ``root``, all under one
+    version, which the history's log publishes at last; a rerun replaces all four. The index is
+    rebuilt from the log even if the run fails. Snapshot names without a time, which the index
+    leaves out, are among the rejects.
     """
     try:
-        clean = read_feeds(spark, specs)
-        stamp = local_timestamp(as_of)
-        reconciled = reconcile(clean.records)
-        for name, table in (
-            ("rejects", all_rejects(clean, reconciled)), ("feed_status", clean.status)
-        ):
-            (
-                table.withColumn("snapshot_id", naming.snapshot_name(stamp))
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("snapshot_id").parquet(f"{root}/{name}")
+        with scope(spark):
+            version = history.new_version()
+            clean = read_feeds(spark, specs)
+            stamp = local_timestamp(as_of)
+            reconciled = reconcile(clean.records)
+            names = unnamed_documents(spark, root)
+            for name, table in (
+                ("rejects", all_rejects(clean, reconciled).unionByName(names)),
+                ("feed_status", clean.status),
+            ):
+                stamped = table.withColumn("snapshot_id", naming.snapshot_name(stamp))
+                history.write_version(stamped, f"{root}/{name}", version, "snapshot_id")
+            snapshot = stage(reconciled.snapshot(), "snapshot")
+            stamps = spark.range(1).select(stamp.alias("snapshot_ts"))
+            file_name = stamps.select(naming.file_name(F.col("snapshot_ts"))).first()[0]
+            documents.write_documents(
+                snapshot, f"{root}/documents/{file_name}/{version}", naming.time_text(stamp),
+                skus_per_document,
             )
-        snapshot = reconciled.snapshot().withColumn("snapshot_ts", stamp)
-        history.append_snapshots(snapshot, f"{root}/history")
+            rows = snapshot.withColumn("snapshot_ts", stamp)
+            history.append_snapshots(rows, f"{root}/history", stamps, version)
     finally:
         rebuild_index(spark, root)
 
 
+def unnamed_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Snapshot names in the documents' folder that hold no time, as rejects."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/documents")
+    nothing = spark.createDataFrame([], REJECTS)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return nothing
+    names = history.malformed_names(history.file_names(spark, f"{root}/documents"))
+    return nothing.unionByName(
+        names.select(F.col("file_name").alias("item"), F.lit("no time in the name").alias("reason")),
+        allowMissingColumns=True,
+    )
+
+
+def read_report(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``rejects`` or ``feed_status`` of the published runs."""
+    layout = {"rejects": REJECTS, "feed_status": FEED_STATUS}[name]
+    table = spark.read.schema(with_version(layout)).parquet(f"{root}/{name}")
+    return history.published_rows(spark, f"{root}/history", table)
+
+
+def read_document(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """SKU rows of the published document of a snapshot."""
+    snapshot_id = name.removesuffix(SNAPSHOT_SUFFIX)
+    entry = history.published(spark, f"{root}/history").where(
+        F.col("snapshot_id") == snapshot_id
+    ).first()
+    if entry is None:
+        raise FileNotFoundError(name)
+    folder = f"{root}/documents/{snapshot_id}{SNAPSHOT_SUFFIX}/{entry.version}"
+    return documents.read_documents(spark, folder)
+
+
 def rebuild_index(spark: SparkSession, root: str) -> None:
     names = history.snapshot_ids(spark, f"{root}/history")
     history.write_index(history.catalog(names), f"{root}/index")
-
-

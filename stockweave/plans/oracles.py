@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+SKU = """cast(case when event_id % 3 = 0 then event_id // 6 else event_id * 7 % 997 end as varchar)"""
+
 # Stock feed derived from the events: the event type gives the phase, event_id the order.
-FEED = """
+FEED = f"""
 feed as (
-  select phase, phase * 10000000000 + event_id as ord,
+  select phase, phase * 1000000000000000000 + event_id as ord,
          case when phase in (2, 3) then null else cast(user_id as varchar) end as item,
-         cast(event_id * 7 % 997 as varchar) as sku,
+         {SKU} as sku,
          concat('B', cast(event_id % 8 as varchar)) as branch,
          value as qty
   from (select *, case event_type when 'view' then 1 when 'purchase' then 2 when 'signup' then 3
@@ -16,13 +18,13 @@ feed as (
 
 # The same records as they arrive through the landed files of the nightly run: each feed has its
 # branch, whole quantities except online, positive ones only from head office.
-LANDED_FEED = """
+LANDED_FEED = f"""
 feed as (
   select phase,
-         phase * 10000000000000
-           + case when phase = 1 then event_id % 8 else 0 end * 10000000000 + event_id as ord,
+         phase * 1000000000000000000
+           + case when phase = 1 then event_id % 8 else 0 end * 10000000000000000 + event_id as ord,
          case when phase in (2, 3) then null else cast(user_id as varchar) end as item,
-         cast(event_id * 7 % 997 as varchar) as sku,
+         {SKU} as sku,
          case phase when 2 then 'On Time' when 4 then 'HQ' when 5 then 'Saimai'
                     else concat('B', cast(event_id % 8 as varchar)) end as branch,
          case when phase = 2 then value else trunc(value) end as qty
@@ -95,14 +97,21 @@ QTY_TEXT = """case when qty = trunc(qty) then cast(cast(qty as bigint) as varcha
 
 ORACLES = {
     # Feeds
-    "feed_scan_tagged": """
-        select event_type as branch, cast(user_id as varchar) as item,
-               cast(event_id * 7 % 997 as varchar) as sku, trunc(value) as qty from events""",
+    "feed_scan_tagged": f"""
+        select concat(event_type, ': 5% [a]') as branch, cast(user_id as varchar) as item,
+               {SKU} as sku, trunc(value) as qty from events""",
     "api_inline": "select event_id, cast(props->>'$.k' as bigint) as k from events",
     "vend_positional": """
         select event_id, event_type as branch, trunc(value) as qty from events
-        where event_id < (select coalesce(min(event_id), 9223372036854775807)
-                          from events where value > 300)""",
+        where event_id < (select coalesce(min(event_id), 9223372036854775807) from events
+                          where value > 300
+                            and event_id * 10 > (select max(event_id) from events) * 9)""",
+    "vend_whole": "select event_id, event_type as branch, trunc(value) as qty from events",
+    "sheet_bad_width": """
+        select cast(event_id as varchar) as sku, 'a, b' as branch,
+               case when event_id % 10 = 3 then 'a row with more cells than the header'
+                    else 'kept' end as fate
+        from events""",
     "hq_sheet": DIRTY + """
         select event_id, event_type as item,
                cast(trunc(try_cast(qty_text as double)) as bigint) as qty
@@ -171,7 +180,22 @@ ORACLES = {
         from snap group by sku, item""",
     "explode_branches": SNAP + "select sku, item, branch, qty from snap",
     "nightly_run": f"with {LANDED_FEED}, {RECONCILE} select sku, item, branch, qty from snap",
+    "rerun_replaces": """
+        select cast(event_id as varchar) as sku, event_type as branch, trunc(value) as qty
+        from events""",
+    "nightly_document": """
+        select cast(event_id as varchar) as sku, cast(event_id as varchar) as item,
+               event_type as branch, trunc(value) as qty from events""",
     # History
+    "snapshot_text_qty": """
+        select event_id, event_type as branch,
+               cast(case when event_id % 2 = 0 then 1 else -1 end
+                    * case event_id % 3 when 0 then event_id % 50
+                                        when 1 then event_id % 50 + 0.5
+                                        else event_id % 50 * 10 end as double) as qty
+        from events""",
+    "import_documents": DAILY + """
+        select i.snapshot_id, d.sku, d.branch, d.qty from daily d join ids i on i.day = d.day""",
     "snapshot_read": SNAP + "select sku, item, branch, qty from snap",
     "sink_latest": SNAP + "select sku, item, branch, qty from snap",
     "sink_history": DAILY + """
@@ -231,6 +255,13 @@ ORACLES = {
     "page_rows": SNAP + """
         select sku, round(sum(qty), 2) as qty from snap group by sku order by sku
         limit 30 offset 30""",
+    "page_far": SNAP + """
+        select sku, round(sum(qty), 2) as qty from snap group by sku order by sku
+        limit 30 offset 600""",
+    "page_after": SNAP + """
+        , totals as (select sku, round(sum(qty), 2) as qty from snap group by sku)
+        select sku, qty from totals where qty < 90 or (qty = 90 and sku > '5')
+        order by qty desc, sku limit 30""",
     "page_all": SNAP + "select sku, round(sum(qty), 2) as qty from snap group by sku order by sku",
     "number_rows": SNAP + """
         select sku, cast(row_number() over (order by sku) as bigint) as row_no

@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 from stockweave.functions import casting, naming, stock
 from stockweave.operators import lookup, prefix, projection, reconcile, serving
 from stockweave.plans import dashboard, nightly
+from stockweave.plans.landing import (
+    land_depot, land_hq, land_lines, land_products, land_stores, land_vending,
+)
 from stockweave.sources import dimensions, documents, feeds, history
 from stockweave.sources.staging import new_path
 
@@ -28,7 +31,9 @@ GROUPS = {
 }
 SELECTED = ("B0", "B3", "B5")
 STORES = tuple(f"B{n}" for n in range(8))
-ORD_STEP = 10_000_000_000
+ORD_STEP = 10**18
+#: Characters that a store name may hold and a path has to escape.
+ODD_STORE = ": 5% [a]"
 AS_OF = datetime(2024, 1, 31, 18, 30, tzinfo=timezone.utc)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,15 +59,17 @@ def phase_of(event_type: Column) -> Column:
 
 
 def sku_of(event_id: Column) -> Column:
-    return (event_id * 7 % 997).cast("string")
+    """SKUs of two kinds: a thousand hot ones, and as many as a sixth of the table's events."""
+    rare = F.floor(event_id / 6).cast("bigint")
+    return F.when(event_id % 3 == 0, rare).otherwise(event_id * 7 % 997).cast("string")
 
 
 def branch_of(event_id: Column) -> Column:
     return F.concat(F.lit("B"), (event_id % 8).cast("string"))
 
 
-def feed_rows(rows: DataFrame, phase: Column) -> DataFrame:
-    """Events as stock records with the layout of :data:`stockweave.schemas.FEED`."""
+def stock_rows(rows: DataFrame, phase: Column) -> DataFrame:
+    """Events as stock records with the layout of :data:`stockweave.schemas.FEED`, and event_id."""
     event_id = F.col("event_id")
     return rows.select(
         phase.alias("phase"),
@@ -71,19 +78,28 @@ def feed_rows(rows: DataFrame, phase: Column) -> DataFrame:
         sku_of(event_id).alias("sku"),
         branch_of(event_id).alias("branch"),
         F.col("value").alias("qty"),
+        event_id,
     )
 
 
+def feed_rows(rows: DataFrame, phase: Column) -> DataFrame:
+    return stock_rows(rows, phase).drop("event_id")
+
+
 def stock_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean feed of all phases."""
     return feed_rows(events(spark, sf_dir), phase_of(F.col("event_type")))
 
 
-def phase_feed(spark: SparkSession, sf_dir: str, phase: int) -> DataFrame:
-    """Clean feed of one phase; the choice of events reaches the scan."""
+def phase_rows(spark: SparkSession, sf_dir: str, phase: int) -> DataFrame:
+    """Stock records of one phase; the choice of events reaches the scan."""
     kind = F.col("event_type")
     chosen = kind == EVENT_TYPES[phase - 1] if phase < 5 else ~kind.isin(*EVENT_TYPES[:4])
-    return feed_rows(events(spark, sf_dir).where(chosen), F.lit(phase))
+    return stock_rows(events(spark, sf_dir).where(chosen), F.lit(phase))
+
+
+def phase_feed(spark: SparkSession, sf_dir: str, phase: int) -> DataFrame:
+    return phase_rows(spark, sf_dir, phase).drop("event_id")
 
 
 def dirty_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,114 +157,6 @@ def day_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.catalog(days.select(naming.file_name(F.col("ts")).alias("file_name")))
 
 
-# -- landed files -----------------------------------------------------------------------------
-
-#: Rows of one landed sheet, about what a workbook holds; larger tables land as more files.
-ROWS_PER_FILE = 1_000_000
-
-
-def land_sheet(
-    rows: DataFrame, ord_: str, path: str, lead: list[tuple], header: bool
-) -> str:
-    """Land rows as sheets of a limited size, each with the given lines on top.
-
-    ``rows`` has ``ord_`` plus the string columns of the sheet; file names follow the order.
-    """
-    cells = [name for name in rows.columns if name != ord_]
-    sheet = F.lpad(F.floor(F.col(ord_) / ROWS_PER_FILE).cast("string"), 10, "0")
-    body = rows.select(
-        sheet.alias("sheet"), F.col(ord_).alias("line"),
-        *[F.col(cell).cast("string").alias(cell) for cell in cells],
-    )
-    if lead:
-        lines = F.array(*[
-            F.struct(
-                F.lit(n - len(lead)).cast("bigint").alias("line"),
-                *[F.lit(text).cast("string").alias(cell)
-                  for cell, text in zip(cells, texts, strict=True)],
-            )
-            for n, texts in enumerate(lead)
-        ])
-        tops = body.select("sheet").distinct().select("sheet", F.inline(lines))
-        body = body.unionByName(tops)
-    (
-        body.repartition("sheet").sortWithinPartitions("sheet", "line").drop("line")
-        .write.partitionBy("sheet").option("header", header).option("escape", '"').csv(path)
-    )
-    return path
-
-
-def no_cells(count: int) -> list[Column]:
-    return [F.lit(None).cast("string").alias(f"n{n}") for n in range(count)]
-
-
-def land_stores(stock: DataFrame, path: str) -> str:
-    """Store tables; ``stock`` has event_id, store, item, sku, qty."""
-    (
-        stock.select(
-            F.col("store").alias("branch"), "event_id", F.col("item").alias("Item"),
-            F.col("sku").alias("SKU"), F.col("qty").alias("Available Qty."),
-        )
-        .repartitionByRange("branch", "event_id")
-        .sortWithinPartitions("branch", "event_id")
-        .withColumnRenamed("event_id", "No.")
-        .write.partitionBy("branch").option("header", True).csv(path)
-    )
-    return path
-
-
-def land_products(products: DataFrame, path: str) -> str:
-    """Product lists of 1,000 entries, one per line; ``products`` has event_id, sku, stock."""
-    entry = F.struct(F.col("sku"), F.col("stock").alias("availablestock"))
-    in_order = F.transform(
-        F.sort_array(F.collect_list(F.struct("event_id", entry.alias("entry")))),
-        lambda row: row["entry"],
-    )
-    (
-        products.groupBy(F.floor(F.col("event_id") / 1000).alias("page"))
-        .agg(F.to_json(F.struct(in_order.alias("list"))).alias("value"))
-        .repartitionByRange("page").sortWithinPartitions("page")
-        .select("value").write.text(path)
-    )
-    return path
-
-
-def land_vending(stock: DataFrame, path: str) -> str:
-    """Vending tables of 8 columns; ``stock`` has event_id, branch, sku, qty."""
-    rows = stock.select(
-        "event_id", *no_cells(2), F.col("branch").alias("c2"), F.col("sku").alias("c3"),
-        *[column.alias(f"m{n}") for n, column in enumerate(no_cells(3))],
-        F.col("qty").cast("string").alias("c7"),
-    )
-    lead = [
-        ("Stock report",) + (None,) * 7,
-        (None,) * 8,
-        ("no", "id", "site", "code", "a", "b", "c", "left"),
-    ]
-    return land_sheet(rows, "event_id", path, lead, header=False)
-
-
-def land_hq(stock: DataFrame, path: str) -> str:
-    """Head office sheets of 8 columns; ``stock`` has event_id, sku, item, qty."""
-    rows = stock.select(
-        "event_id", *no_cells(2), F.col("sku").alias("Code"), F.col("item").alias("Name"),
-        *[column.alias(f"m{n}") for n, column in enumerate(no_cells(3))],
-        F.col("qty").cast("string").alias("Left"),
-    )
-    lead = [(None, None, "group", "group", None, None, None, "99")] * 2
-    return land_sheet(rows, "event_id", path, lead, header=True)
-
-
-def land_depot(stock: DataFrame, path: str, ord_: str = "event_id") -> str:
-    """Depot sheets of 7 columns; ``stock`` has an ordinal, sku, item, qty."""
-    rows = stock.select(
-        ord_, *no_cells(1), F.col("sku").alias("Code"), F.col("item").alias("Name"),
-        *[column.alias(f"m{n}") for n, column in enumerate(no_cells(3))],
-        F.col("qty").cast("string").alias("Left"),
-    )
-    return land_sheet(rows, ord_, path, [], header=True)
-
-
 def cleaned(spark: SparkSession, spec: feeds.FeedSpec) -> DataFrame:
     return nightly.read_feeds(spark, [spec]).records
 
@@ -262,10 +170,10 @@ def feed_scan_tagged(spark, sf_dir):
         "event_id", F.col("event_type").alias("store"), F.col("user_id").alias("item"),
         sku_of(event_id).alias("sku"), F.col("value").alias("qty"),
     )
+    rows = rows.withColumn("store", F.concat("store", F.lit(ODD_STORE)))
     path = land_stores(rows, new_path(spark, "stores"))
-    return cleaned(spark, feeds.pos_feed(path, EVENT_TYPES)).select(
-        "branch", "item", "sku", "qty"
-    )
+    stores = [f"{kind}{ODD_STORE}" for kind in EVENT_TYPES]
+    return cleaned(spark, feeds.pos_feed(path, stores)).select("branch", "item", "sku", "qty")
 
 
 def api_inline(spark, sf_dir):
@@ -280,8 +188,9 @@ def api_inline(spark, sf_dir):
     )
 
 
-def vend_positional(spark, sf_dir):
-    qty = F.when(F.col("value") > 300, "broken").otherwise(F.col("value").cast("string"))
+def vending_records(spark, sf_dir, bad: Column) -> DataFrame:
+    """The events through a vending feed, those that are ``bad`` without a quantity."""
+    qty = F.when(bad, "broken").otherwise(F.col("value").cast("string"))
     rows = events(spark, sf_dir).select(
         "event_id", F.col("event_type").alias("branch"),
         F.col("event_id").cast("string").alias("sku"), qty.alias("qty"),
@@ -292,6 +201,37 @@ def vend_positional(spark, sf_dir):
     )
 
 
+def late_and_large(spark, sf_dir) -> Column:
+    """Large values in the last tenth of the events."""
+    last = events(spark, sf_dir).agg(F.max("event_id")).scalar()
+    return (F.col("value") > 300) & (F.col("event_id") * 10 > last * 9)
+
+
+def vend_positional(spark, sf_dir):
+    return vending_records(spark, sf_dir, late_and_large(spark, sf_dir))
+
+
+def vend_whole(spark, sf_dir):
+    return vending_records(spark, sf_dir, F.lit(False))
+
+
+def sheet_bad_width(spark, sf_dir):
+    """A sheet in which every tenth row has a cell too many: kept rows, and rejected ones."""
+    event_id = F.col("event_id")
+    cells = F.concat_ws(
+        ",", F.lit("x"), F.lit("x"), F.lit('"a, b"'), event_id.cast("string"), F.lit(""), F.lit(""),
+        F.lit(""), (event_id % 50).cast("string"), F.when(event_id % 10 == 3, "99"),
+    )
+    lines = events(spark, sf_dir).select("event_id", cells.alias("value"))
+    path = land_lines(lines, "event_id", new_path(spark, "wide"), "a,b,site,code,c,d,e,left")
+    clean = nightly.read_feeds(spark, [
+        feeds.vend_feed(path, header=True, skip_rows=0, on_bad="reject_row")
+    ])
+    kept = clean.records.select("sku", "branch", F.lit("kept").alias("fate"))
+    lost = clean.rejects.select("sku", "branch", F.col("reason").alias("fate"))
+    return kept.unionByName(lost)
+
+
 def hq_sheet(spark, sf_dir):
     rows = dirty_cells(spark, sf_dir).select(
         "event_id", F.col("event_id").alias("sku"), F.col("event_type").alias("item"),
@@ -444,10 +384,7 @@ def explode_branches(spark, sf_dir):
 
 def nightly_run(spark, sf_dir):
     """All five feeds landed as files, one whole run, the latest snapshot read back."""
-    by_phase = {
-        phase: phase_feed(spark, sf_dir, phase).withColumn("event_id", F.col("ord") % ORD_STEP)
-        for phase in range(1, 6)
-    }
+    by_phase = {phase: phase_rows(spark, sf_dir, phase) for phase in range(1, 6)}
     specs = [
         feeds.pos_feed(
             land_stores(
@@ -472,6 +409,35 @@ def nightly_run(spark, sf_dir):
     return latest.select("sku", "item", "branch", "qty")
 
 
+def vending_run(spark, sf_dir, root: str, bad: Column) -> None:
+    """One nightly run of a vending feed alone."""
+    qty = F.when(bad, "broken").otherwise(F.col("value").cast("string"))
+    rows = events(spark, sf_dir).select(
+        "event_id", F.col("event_type").alias("branch"),
+        F.col("event_id").cast("string").alias("sku"), qty.alias("qty"),
+    )
+    spec = feeds.vend_feed(land_vending(rows, new_path(spark, "vending")))
+    nightly.run(spark, [spec], root, AS_OF)
+
+
+def rerun_replaces(spark, sf_dir):
+    """A run with rejects, and the same run again after the feed was mended."""
+    root = new_path(spark, "run")
+    vending_run(spark, sf_dir, root, late_and_large(spark, sf_dir))
+    vending_run(spark, sf_dir, root, F.lit(False))
+    rows = history.read_history(spark, f"{root}/history").select("sku", "branch", "qty")
+    lost = nightly.read_report(spark, root, "rejects")
+    return rows.unionByName(lost.select("sku", "branch", F.lit(None).cast("double").alias("qty")))
+
+
+def nightly_document(spark, sf_dir):
+    """The document that a run publishes under the name in its index."""
+    root = new_path(spark, "run")
+    vending_run(spark, sf_dir, root, F.lit(False))
+    name = history.read_index(spark, f"{root}/index").first().file_name
+    return reconcile.explode_branches(nightly.read_document(spark, root, name))
+
+
 # -- queries on the history -------------------------------------------------------------------
 
 
@@ -482,6 +448,43 @@ def snapshot_read(spark, sf_dir):
     return reconcile.explode_branches(documents.read_documents(spark, path))
 
 
+def snapshot_text_qty(spark, sf_dir):
+    """Documents whose quantities are texts, read as far as they are numbers."""
+    event_id = F.col("event_id")
+    text = F.concat(
+        F.when(event_id % 2 == 0, "  ").otherwise("-"), (event_id % 50).cast("string"),
+        F.when(event_id % 3 == 0, "abc").when(event_id % 3 == 1, ".5 kg").otherwise("e1"),
+    )
+    entry = F.struct(
+        F.lit("item").alias("Item"), event_id.cast("string").alias("SKU"),
+        F.create_map(F.col("event_type"), text).alias("Branch"),
+    )
+    path = new_path(spark, "documents")
+    events(spark, sf_dir).groupBy(F.floor(event_id / 1000)).agg(
+        F.to_json(F.struct(F.lit("2024").alias("last_updated"), F.collect_list(entry).alias("inventory")))
+        .alias("value")
+    ).select("value").write.text(path)
+    rows = reconcile.explode_branches(documents.read_documents(spark, path))
+    return rows.select(F.col("sku").cast("bigint").alias("event_id"), "branch", "qty")
+
+
+def import_documents(spark, sf_dir):
+    """Documents of all days, imported into a history."""
+    rows = daily_snapshots(spark, sf_dir).groupBy("snapshot_ts", "sku", "item").agg(
+        F.map_from_entries(F.collect_list(F.struct("branch", "qty"))).alias("Branch")
+    )
+    entry = F.struct(F.col("item").alias("Item"), F.col("sku").alias("SKU"), "Branch")
+    path, root = new_path(spark, "old-documents"), new_path(spark, "history")
+    rows.groupBy("snapshot_ts").agg(
+        F.to_json(F.struct(F.lit("2024").alias("last_updated"), F.collect_list(entry).alias("inventory")))
+        .alias("value")
+    ).select("value", naming.file_name(F.col("snapshot_ts")).alias("file")).write.partitionBy(
+        "file"
+    ).text(path)
+    documents.import_documents(spark, path, root)
+    return history.read_history(spark, root).select("snapshot_id", "sku", "branch", "qty")
+
+
 def sink_latest(spark, sf_dir):
     """Two runs, the later one is the latest snapshot."""
     root = new_path(spark, "history")
@@ -619,6 +622,16 @@ def page_rows(spark, sf_dir):
     return serving.page(totals, 1, 30, F.col("sku"))
 
 
+def page_far(spark, sf_dir):
+    totals = all_totals(spark, sf_dir).select("sku", "qty")
+    return serving.page(totals, 20, 30, F.col("sku"))
+
+
+def page_after(spark, sf_dir):
+    totals = all_totals(spark, sf_dir).select("sku", "qty")
+    return serving.page_after(totals, 30, [("qty", True), ("sku", False)], [90.0, "5"])
+
+
 def page_all(spark, sf_dir):
     return serving.page(all_totals(spark, sf_dir).select("sku", "qty"), 0, None, F.col("sku"))
 
@@ -631,19 +644,20 @@ def number_rows(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        feed_scan_tagged, api_inline, vend_positional, hq_sheet, depot_sheet, feed_status,
+        feed_scan_tagged, api_inline, vend_positional, vend_whole, sheet_bad_width, hq_sheet,
+        depot_sheet, feed_status,
         positional_projection, row_offset, drop_all_null, feed_union,
         hq_clean, depot_clean, na_normalise, cast_strict_int, cast_strict_double,
         prefix_until_bad, sku_alias_map,
         item_registry, resolve_by_item, resolve_by_sku, new_sku_entries,
         dropped_sku_name_clash, branch_last_wins, snapshot_reconcile, snapshot_ordered,
-        snapshot_nested, explode_branches, nightly_run,
-        snapshot_read, sink_latest, sink_history, sink_catalog, snapshot_catalog,
+        snapshot_nested, explode_branches, nightly_run, rerun_replaces, nightly_document,
+        snapshot_read, snapshot_text_qty, import_documents, sink_latest, sink_history, sink_catalog, snapshot_catalog,
         latest_snapshot, snapshot_count, snapshot_at, snapshot_label, snapshot_name,
         last_updated_text, json_roundtrip,
         rollup_selected, sink_export, stock_band, stock_dashboard, dashboard_table,
         distinct_branches,
         branch_group, branch_group_table, search_rows, search_table, table_info, page_rows,
-        page_all, number_rows,
+        page_far, page_after, page_all, number_rows,
     )
 }

@@ -4,40 +4,42 @@ A feed is a folder or file which some other job has fetched. The readers tag eve
 phase, unit (the part of a feed which stands or falls together) and ordinal, and type the quantity
 by the feed's rule. They drop nothing: what to skip or reject is decided on the staged rows.
 
-Text feeds come as exports of sheets and workbooks, whose size the exporting program limits, so
-cells may hold line breaks (``multi_line``) and the files are read in parallel with each other.
-Turn ``multi_line`` off to have large files split, or land large feeds as Parquet.
+Text files are split like any other, so a cell must not hold a line break unless the spec says so
+(``multi_line``); then a file is one task. A row with more cells than its header is marked ``wide``:
+its cells may stand in the wrong columns. A shorter row lacks its last cells.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockweave import fixed_values as fixed
 from stockweave.functions import casting
-from stockweave.functions.ordinal import (
-    MAX_FILES,
-    ordinal,
-    parquet_position,
-    row_in_task,
-    text_position,
-)
+from stockweave.functions.ordinal import ordinal, parquet_position, row_in_task, text_position
 from stockweave.operators.lookup import canonical_sku
 from stockweave.operators.projection import quoted
 from stockweave.schemas import PARSED, PRODUCT_LIST
 from stockweave.sources.dimensions import alias_table, small_table
 
 
-#: Longest list of files which is sent to every executor: 200,000 paths are some 50 MB. A longer
-#: list is joined the way its size tells the optimizer to.
-BROADCAST_FILES = 200_000
+#: What the text of an error names if the files, and not the cluster, are at fault.
+FILE_FAULTS = (
+    "CSV header does not conform", "MALFORMED_RECORD", "MALFORMED_CSV_RECORD", "PATH_NOT_FOUND",
+    "UNABLE_TO_INFER_SCHEMA", "CANNOT_MERGE_SCHEMAS", "PARQUET_COLUMN_DATA_TYPE_MISMATCH",
+    "is not a Parquet file",
+)
+#: Holds the text of a row whose cells do not match the header.
+ODD_ROW = "_odd_row"
 
 
 class FeedError(Exception):
@@ -67,7 +69,7 @@ class FeedSpec:
     stores: tuple[str, ...] = ()
     format: str = "csv"
     header: bool = True
-    multi_line: bool = True
+    multi_line: bool = False
     skip_rows: int = 0
     drop_empty: bool = False
     positive_only: bool = False
@@ -103,9 +105,10 @@ def pos_feed(path: str, stores=fixed.STORES, qty_cells: str = "numeric", **optio
 
 
 def api_feed(path: str, branch: str = fixed.ONLINE_BRANCH, **options) -> FeedSpec:
-    """Product list of the online shop; a bad quantity ends the run."""
+    """Product lists of the online shop, one document per file; a bad quantity ends the run."""
     defaults = dict(
         name="api", phase=2, path=path, required=True, branch=branch, format="json",
+        multi_line=True,
         quantity=lambda cell: casting.require_double(cell, "online shop"),
         sku="sku", qty="availablestock",
     )
@@ -141,34 +144,68 @@ def depot_feed(path: str, branch: str = fixed.DEPOT_BRANCH, **options) -> FeedSp
     return FeedSpec(**(defaults | options))
 
 
-def folder_of(spec: FeedSpec, unit: str) -> str:
-    return f"{spec.path}/branch={unit}" if spec.stores else spec.path
+def is_file_fault(error: Exception) -> bool:
+    """Whether the landed files are to blame. Lost executors, full disks and missing rights are not
+    a feed's fault, and must not pass for one."""
+    if isinstance(error, FeedError):
+        return True
+    known = isinstance(error, (PySparkException, Py4JError))
+    return known and any(fault in str(error) for fault in FILE_FAULTS)
+
+
+def _path_utils(spark: SparkSession):
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+
+
+def folder_of(spark: SparkSession, spec: FeedSpec, unit: str) -> str:
+    """Folder of a unit; a store's name is escaped as Spark's writers do it."""
+    if not spec.stores:
+        return spec.path
+    return f"{spec.path}/branch={_path_utils(spark).escapePathName(unit)}"
+
+
+def store_of(spark: SparkSession, path: str) -> str:
+    """Store of a listed file: the inverse of :func:`folder_of`, of which paths are URIs."""
+    folder = unquote(path).rsplit("/branch=", 1)[1].split("/", 1)[0]
+    return _path_utils(spark).unescapePathName(folder)
 
 
 def landed_units(spark: SparkSession, spec: FeedSpec) -> tuple[list[str], list[str]]:
     """Units of a feed which have landed, in reading order, and those which have not.
 
-    Stores are found in one listing of the feed's folder; only their names reach the driver.
+    Only the folders of the configured stores are looked at, whatever else there is.
     """
     if not spec.stores:
         return [spec.name], []
-    store = F.regexp_extract("path", "/branch=([^/]+)/", 1).alias("store")
-    try:
-        listed = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .load(spec.path).select(store).distinct()
-        )
-        found = {row.store for row in listed.collect()}
-    except AnalysisException:
-        found = set()
-    landed = [unit for unit in spec.stores if unit in found]
-    return landed, [unit for unit in spec.stores if unit not in found]
+    landed = [unit for unit in spec.stores if _has_files(spark, folder_of(spark, spec, unit))]
+    return landed, [unit for unit in spec.stores if unit not in landed]
+
+
+def _has_files(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return False
+    return any(not f.getPath().getName().startswith(("_", ".")) for f in files.listStatus(path))
+
+
+def headers(spark: SparkSession, spec: FeedSpec, units: list[str]) -> dict[tuple, list[str]]:
+    """Units by the header of their files, for feeds whose columns are chosen by name."""
+    if spec.format != "csv" or isinstance(spec.sku, int) or not spec.stores:
+        return {(): list(units)}
+    found: dict[tuple, list[str]] = {}
+    for unit in units:
+        reader = spark.read.option("recursiveFileLookup", True).option("header", True)
+        columns = reader.option("escape", '"').csv(folder_of(spark, spec, unit)).columns
+        found.setdefault(tuple(columns), []).append(unit)
+    return found
 
 
 def read_table(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
-    """A landed table: ``_path``, ``_position`` and then its own columns, text still as text."""
+    """A landed table: ``_path``, ``_position``, ``_wide`` and then its own columns, text still as
+    text."""
     reader = spark.read.option("recursiveFileLookup", True)
-    position = text_position
+    position, wide = text_position, F.lit(False)
     if spec.format == "parquet":
         table = reader.option("mergeSchema", len(paths) > 1).parquet(*paths)
         position = parquet_position
@@ -182,34 +219,48 @@ def read_table(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFra
     else:
         # Columns chosen by name have to stand in the same place in all files; a file with
         # another header is an error. Columns chosen by position may be named at will.
-        table = (
+        reader = (
             reader.option("header", spec.header)
             .option("enforceSchema", isinstance(spec.sku, int))
             .option("multiLine", spec.multi_line)
             .option("escape", '"')
-            .csv(paths)
         )
+        names = reader.csv(paths).columns
+        cells = [T.StructField(name, T.StringType()) for name in [*names, ODD_ROW]]
+        table = (
+            reader.schema(T.StructType(cells)).option("columnNameOfCorruptRecord", ODD_ROW)
+            .option("columnPruning", False).csv(paths)  # else the cells of a row are not counted
+        )
+        wide = _is_wide(F.col(ODD_ROW), len(names))
     _require_files(table, spec)
-    own = [quoted(name) for name in table.columns if name != "_metadata"]
-    counted = table.select(F.col("_metadata").alias("_file"), row_in_task().alias("_row"), *own)
+    own = [quoted(name) for name in table.columns if name not in ("_metadata", ODD_ROW)]
+    counted = table.select(
+        F.col("_metadata").alias("_file"), row_in_task().alias("_row"), wide.alias("_wide"), *own
+    )
     file = F.col("_file")
     return counted.select(
-        file["file_path"].alias("_path"), position(file, F.col("_row")).alias("_position"), *own
+        file["file_path"].alias("_path"), position(file, F.col("_row")).alias("_position"),
+        "_wide", *own,
     )
 
 
-def read_units(
-    spark: SparkSession, spec: FeedSpec, units: list[str], first_file: int = 0
-) -> tuple[DataFrame, int]:
-    """Parsed rows of units of a feed, in one scan, and the number of their files.
+def _is_wide(odd_row: Column, width: int) -> Column:
+    """Whether the text of an odd row has more cells than the header: too many commas outside of
+    quotes. Spark notes shorter rows as odd, too."""
+    bare = F.regexp_replace(odd_row, '"([^"]|"")*"', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    return F.coalesce(commas >= width, F.lit(False))
 
-    Files are numbered from ``first_file``.
-    """
+
+def read_units(spark: SparkSession, spec: FeedSpec, units: list[str]) -> DataFrame:
+    """Parsed rows of units of a feed, in one scan."""
     try:
-        table = read_table(spark, spec, [folder_of(spec, unit) for unit in units])
+        table = read_table(spark, spec, [folder_of(spark, spec, unit) for unit in units])
     except AnalysisException as error:
+        if not is_file_fault(error):
+            raise
         raise FeedError(f"{spec.name}: {error.getCondition()}") from error
-    columns = table.columns[2:]
+    columns = table.columns[3:]
     text = spec.format == "csv"
     cells = {
         name: None if which is None else _cell(spec, columns, which, text)
@@ -224,23 +275,25 @@ def read_units(
     empty = F.lit(False)
     if spec.drop_empty:
         empty = F.coalesce(*[_cell(spec, columns, name, text) for name in columns]).isNull()
-    numbered, files = _with_file_number(table, spec, units, first_file)
+    numbered, files = _with_file_number(table, spec, units)
     parsed = (
         numbered.select(
             F.lit(spec.phase).alias("phase"),
             F.col("_unit").alias("unit"),
-            ordinal(spec.phase, F.col("_file"), F.col("_position")).alias("ord"),
+            F.col("_file").cast("bigint").alias("file"),
+            ordinal(spec.phase, F.col("_file"), F.col("_position"), files).alias("ord"),
             item.alias("item"),
             cells["sku"].alias("sku"),
             branch.alias("branch"),
-            spec.quantity(cells["qty"]).cast("double").alias("qty"),
+            F.when(~F.col("_wide"), spec.quantity(cells["qty"])).cast("double").alias("qty"),
             empty.alias("empty"),
+            F.col("_wide").alias("wide"),
         )
-        .withColumn("bad", F.col("qty").isNull() & ~F.col("empty"))
+        .withColumn("bad", F.col("qty").isNull() & ~F.col("empty") & ~F.col("wide"))
     )
     if spec.aliases:
         parsed = canonical_sku(parsed, alias_table(spark, spec.aliases))
-    return parsed.select(*PARSED.names), files
+    return parsed.select(*PARSED.names)
 
 
 def status_of(spec: FeedSpec, unit: str, status: str, detail: str = "") -> UnitStatus:
@@ -264,41 +317,35 @@ def _require_files(df: DataFrame, spec: FeedSpec) -> None:
 
 
 def _with_file_number(
-    table: DataFrame, spec: FeedSpec, units: list[str], first_file: int
+    table: DataFrame, spec: FeedSpec, units: list[str]
 ) -> tuple[DataFrame, int]:
     """Number the files by unit and name, and tag the rows with their unit.
 
-    The listing is on the driver already, it holds no data.
+    The scan has its list of files on the driver anyway; it holds no data. The table made of it has
+    a known size, by which the optimizer chooses the join.
     """
-    files = table.inputFiles()
+    spark, files = table.sparkSession, table.inputFiles()
     if spec.stores:
         order = {unit: n for n, unit in enumerate(units)}
-        tagged = sorted((order[store_of(path)], path) for path in files)
+        tagged = sorted((order[store_of(spark, path)], path) for path in files)
     else:
         tagged = sorted((0, path) for path in files)
-    if first_file + len(tagged) > MAX_FILES:
-        raise FeedError(f"{len(tagged)} files do not fit the ordinal: compact the landing folder")
     if len(tagged) == 1:
-        tags = F.lit(first_file).alias("_file"), F.lit(units[0]).alias("_unit")
+        tags = F.lit(0).alias("_file"), F.lit(units[0]).alias("_unit")
         return table.select("*", *tags), 1
-    # A path without host is spelled file:/x or file:///x, so it is listed under both spellings.
-    spelled = {
-        path: (first_file + n, units[unit])
-        for n, (unit, listed) in enumerate(tagged)
-        for path in (listed, listed.replace(":///", ":/", 1))
-    }
-    numbers = small_table(table.sparkSession, {
-        "_path": pa.array(spelled.keys(), pa.string()),
-        "_number": pa.array([number for number, _ in spelled.values()], pa.int32()),
-        "_unit": pa.array([unit for _, unit in spelled.values()], pa.string()),
+    numbers = small_table(spark, {
+        "_plain": pa.array([_plain(path) for _, path in tagged], pa.string()),
+        "_number": pa.array(range(len(tagged)), pa.int64()),
+        "_unit": pa.array([units[unit] for unit, _ in tagged], pa.string()),
     })
-    if len(spelled) <= BROADCAST_FILES:
-        numbers = F.broadcast(numbers)
     known = F.coalesce(
-        F.col("_number"), F.raise_error(F.concat(F.lit("unlisted file "), "_path")).cast("int")
+        F.col("_number"), F.raise_error(F.concat(F.lit("unlisted file "), "_path")).cast("bigint")
     )
-    return table.join(numbers, "_path", "left").withColumn("_file", known), len(tagged)
+    plain = F.regexp_replace("_path", ":/+", ":/")
+    numbered = table.withColumn("_plain", plain).join(numbers, "_plain", "left").drop("_plain")
+    return numbered.withColumn("_file", known), len(tagged)
 
 
-def store_of(path: str) -> str:
-    return unquote(path.rsplit("/branch=", 1)[1].split("/", 1)[0])
+def _plain(path: str) -> str:
+    """A path without host is spelled file:/x or file:///x: here with one slash."""
+    return re.sub(":/+", ":/", path)

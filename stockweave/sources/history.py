@@ -1,18 +1,23 @@
 """Snapshot history, its catalog and the latest snapshot.
 
-The history is one Parquet table partitioned by date and snapshot. Appending replaces only the
-partitions it writes, so a rerun is idempotent and a failed run leaves the older files in place.
-The latest snapshot is a view on the newest partition; there is no second copy to keep in step.
+Rows lie below ``rows``, partitioned by date, snapshot and version; every append has a version of its
+own. ``runs`` is a short log with one row per appended snapshot, written last: what it names is
+published. A snapshot is the version that its newest entry names, be it empty, so a rerun replaces
+a snapshot as a whole, a failed run publishes nothing, and readers never see half a write. The
+catalog is read from the log; no data file is listed for it.
 """
 
 from __future__ import annotations
 
+import time
+from uuid import uuid4
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockweave.fixed_values import LAST_UPDATED_FORMAT, SNAPSHOT_SUFFIX
+from stockweave.fixed_values import SNAPSHOT_SUFFIX
 from stockweave.functions import naming
 from stockweave.schemas import SNAPSHOT
 
@@ -21,27 +26,54 @@ HISTORY = T.StructType(
     + [
         T.StructField("snapshot_date", T.DateType()),
         T.StructField("snapshot_id", T.StringType()),
+        T.StructField("version", T.StringType()),
     ]
 )
+RUNS = "snapshot_id string, snapshot_date date, version string, n_rows bigint, written_at bigint"
+
+
+def new_version() -> str:
+    return uuid4().hex
+
 
+def write_version(rows: DataFrame, path: str, version: str, *partitions: str) -> None:
+    """Write a version of rows beside all earlier ones; it counts once the log names it."""
+    (
+        rows.withColumn("version", F.lit(version))
+        .write.mode("append").partitionBy(*partitions, "version").parquet(path)
+    )
 
-def append_snapshots(rows: DataFrame, root: str) -> None:
+
+def append_snapshots(
+    rows: DataFrame, root: str, stamps: DataFrame | None = None, version: str | None = None
+) -> None:
     """Write snapshot rows with their ``snapshot_ts``; there may be several snapshots at once.
 
+    ``stamps`` lists the ``snapshot_ts`` of all snapshots, which may include ones without rows.
     Rows are sorted by branch within a file, which lets a branch filter skip row groups.
     """
+    version = version or new_version()
+    date, name = F.to_date("snapshot_ts"), naming.snapshot_name(F.col("snapshot_ts"))
     stamped = rows.select(
-        *SNAPSHOT.names,
-        F.to_date("snapshot_ts").alias("snapshot_date"),
-        naming.snapshot_name(F.col("snapshot_ts")).alias("snapshot_id"),
+        *SNAPSHOT.names, date.alias("snapshot_date"), name.alias("snapshot_id")
+    ).sortWithinPartitions("snapshot_date", "snapshot_id", "branch", "sku")
+    write_version(stamped, f"{root}/rows", version, "snapshot_date", "snapshot_id")
+
+    counts = rows.groupBy(name.alias("snapshot_id"), date.alias("snapshot_date")).agg(
+        F.count("*").alias("n_rows")
     )
-    (
-        stamped.sortWithinPartitions("snapshot_date", "snapshot_id", "branch", "sku")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date", "snapshot_id")
-        .parquet(root)
+    if stamps is not None:
+        empty = stamps.select(
+            name.alias("snapshot_id"), date.alias("snapshot_date"), F.lit(0).alias("n_rows")
+        )
+        counts = counts.unionByName(empty).groupBy("snapshot_id", "snapshot_date").agg(
+            F.sum("n_rows").alias("n_rows")
+        )
+    log = counts.select(
+        "snapshot_id", "snapshot_date", F.lit(version).alias("version"), "n_rows",
+        F.lit(time.time_ns()).alias("written_at"),
     )
+    log.coalesce(1).write.mode("append").parquet(f"{root}/runs")  # one short row per snapshot
 
 
 def gathered(rows: DataFrame) -> DataFrame:
@@ -52,31 +84,46 @@ def gathered(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", F.col("snapshot_ts"))
 
 
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The newest log entry of every snapshot."""
+    try:
+        log = spark.read.schema(RUNS).parquet(f"{root}/runs")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RUNS)
+    newest = [
+        F.max_by(name, "written_at").alias(name) for name in ("snapshot_date", "version", "n_rows")
+    ]
+    return log.groupBy("snapshot_id").agg(*newest)
+
+
+def published_rows(spark: SparkSession, root: str, table: DataFrame) -> DataFrame:
+    """Rows of a versioned table whose version the log names."""
+    versions = published(spark, root).select("snapshot_id", "version")
+    return table.join(versions, ["snapshot_id", "version"], "left_semi").drop("version")
+
+
 def read_history(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(HISTORY).parquet(root)
+    rows = spark.read.schema(HISTORY).parquet(f"{root}/rows")
+    return published_rows(spark, root, rows).select(
+        *[field.name for field in HISTORY if field.name != "version"]
+    )
 
 
 def file_names(spark: SparkSession, folder: str) -> DataFrame:
-    """Names of the files right in a folder. Only the listing is read, no content."""
-    listed = spark.read.format("binaryFile").load(folder).select("path")
-    return listed.select(F.substring_index("path", "/", -1).alias("file_name"))
+    """Names of what lies right in a folder: files, and folders of snapshots in parts, which may be
+    partitions (``file=<name>``). One name per nightly run comes to the driver."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [(f.getPath().getName().rsplit("=", 1)[-1],) for f in listed]
+    return spark.createDataFrame(names, "file_name string")
 
 
 def snapshot_ids(spark: SparkSession, root: str) -> DataFrame:
-    """Snapshots of a history as file names, from the listing of its partitions."""
-    try:
-        listed = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .load(root)
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "file_name string")
-    snapshot_id = F.regexp_extract("path", "/snapshot_id=([^/]+)/", 1)
-    return listed.select(F.concat(snapshot_id, F.lit(SNAPSHOT_SUFFIX)).alias("file_name")).distinct()
+    """Snapshots of a history as file names, from its log."""
+    names = F.concat("snapshot_id", F.lit(SNAPSHOT_SUFFIX))
+    return published(spark, root).select(names.alias("file_name"))
 
 
 def catalog(names: DataFrame) -> DataFrame:
@@ -109,24 +156,22 @@ def with_labels(catalog_: DataFrame) -> DataFrame:
 
 def with_last_updated(catalog_: DataFrame) -> DataFrame:
     """Time shown with an opened snapshot."""
-    text = F.date_format("snapshot_ts", LAST_UPDATED_FORMAT)
-    return catalog_.select("file_name", text.alias("last_updated"))
+    return catalog_.select("file_name", naming.time_text(F.col("snapshot_ts")).alias("last_updated"))
 
 
 def snapshot_at(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One snapshot, by name with or without suffix; only its partition is read."""
+    """One snapshot, by name with or without suffix. Its entry in the log comes to the driver, and
+    only the folder that the entry names is listed and read."""
     snapshot_id = name.removesuffix(SNAPSHOT_SUFFIX)
-    day, month, year = snapshot_id[0:2], snapshot_id[2:4], snapshot_id[4:6]
-    date = F.lit(f"20{year}-{month}-{day}").cast("date")
-    return (
-        read_history(spark, root)
-        .where((F.col("snapshot_date") == date) & (F.col("snapshot_id") == snapshot_id))
-        .drop("snapshot_date", "snapshot_id")
-    )
+    entry = published(spark, root).where(F.col("snapshot_id") == snapshot_id).first()
+    if entry is None or not entry.n_rows:
+        return spark.createDataFrame([], SNAPSHOT)
+    folder = f"snapshot_date={entry.snapshot_date}/snapshot_id={snapshot_id}/version={entry.version}"
+    return spark.read.schema(SNAPSHOT).parquet(f"{root}/rows/{folder}")
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """View on the newest snapshot. One name comes to the driver, to pick the partition."""
+    """View on the newest snapshot. One name comes to the driver, to pick the folder."""
     newest = latest_name(catalog(snapshot_ids(spark, root))).first()
     if newest is None:
         return spark.createDataFrame([], SNAPSHOT)
@@ -150,13 +195,21 @@ def _json_array(names: Column, indent: int | None) -> Column:
 
 
 def write_index(catalog_: DataFrame, path: str, indent: int | None = None) -> None:
-    index_text(catalog_, indent).write.mode("overwrite").text(path)
+    """Write the index beside the earlier ones; the one with the highest number counts.
+
+    A write that fails leaves the old index as it is, and a reader never finds none.
+    """
+    number = F.lit(time.time_ns())
+    text = index_text(catalog_, indent).withColumn("number", number)
+    text.coalesce(1).write.mode("append").partitionBy("number").text(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """Catalog from an index file, in the order of the file."""
+    """Catalog from the newest index file, in the order of the file."""
     names = F.from_json("value", "array<string>")
-    listed = spark.read.text(path, wholetext=True).select(
+    indexes = spark.read.text(path, wholetext=True)
+    newest = indexes.select(F.max("number")).first()[0]
+    listed = indexes.where(F.col("number") == newest).select(
         F.posexplode(names).alias("position", "file_name")
     )
     return listed.orderBy("position").select(

@@ -8,8 +8,11 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from stockweave.functions.ordinal import ordinal
+from stockweave.plans import nightly
 from stockweave.plans.nightly import read_feeds
 from stockweave.sources import feeds
 
@@ -56,7 +59,7 @@ def test_stores(spark, folder):
 
 def test_cell_with_line_break(spark, folder):
     put(folder, "branch=A/a.csv", 'Item,SKU,Available Qty.\n"two\nlines ""x""",S1,1\nb,S2,2\n')
-    clean = read_feeds(spark, [feeds.pos_feed(folder, ("A",))])
+    clean = read_feeds(spark, [feeds.pos_feed(folder, ("A",), multi_line=True)])
     assert records(clean) == [('two\nlines "x"', "S1", "A", 1.0), ("b", "S2", "A", 2.0)]
 
 
@@ -190,12 +193,15 @@ def test_sheets_may_name_their_columns_at_will(spark, folder):
     assert records(clean) == [("a", "x", "Saimai", 1.0), ("b", "y", "Saimai", 2.0)]
 
 
-def test_long_lists_of_files_need_no_broadcast(spark, folder, monkeypatch):
-    monkeypatch.setattr(feeds, "BROADCAST_FILES", 0)
-    for n in range(5):
-        put(folder, f"{n}.csv", f"n,Code,Name,a,b,c,Left\n1,x,i{n},,,,{n}\n")
-    clean = read_feeds(spark, [feeds.depot_feed(folder)])
-    assert [row[0] for row in records(clean)] == [f"i{n}" for n in range(5)]
+def test_long_lists_of_files_need_no_broadcast(spark, folder):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in range(5):
+            put(folder, f"{n}.csv", f"n,Code,Name,a,b,c,Left\n1,x,i{n},,,,{n}\n")
+        clean = read_feeds(spark, [feeds.depot_feed(folder)])
+        assert [row[0] for row in records(clean)] == [f"i{n}" for n in range(5)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_required_feeds(spark, folder):
@@ -228,13 +234,88 @@ def test_ordinals_are_unique_and_ordered_by_phase(spark, folder):
     assert [row.item for row in rows] == expected + [None] * 4
 
 
-def test_skip_rows_by_unit(spark):
-    from stockweave.operators.projection import skip_rows
+def test_skip_leading_rows_of_units(spark):
+    from stockweave.operators.projection import skip_leading
 
-    rows = spark.range(20).select(
-        (F.col("id") % 3).alias("unit"), F.col("id").alias("ord")
+    rows = spark.range(30).select(
+        F.floor(F.col("id") / 10).alias("unit"), (F.col("id") * 1 + F.floor(F.col("id") / 10) * 100).alias("ord")
     )
-    kept = skip_rows(rows, 2, "ord", F.col("unit"))
-    assert sorted(row.ord for row in kept.collect()) == list(range(6, 20))
-    assert skip_rows(rows, 9, "ord", F.col("unit")).count() == 0
-    assert skip_rows(rows, 0, "ord") is rows
+    kept = skip_leading(rows, 2, "ord", "unit")
+    assert sorted(row.ord % 110 for row in kept.collect()) == sorted(list(range(2, 10)) * 3)
+    assert skip_leading(rows, 10, "ord", "unit").count() == 0
+    assert skip_leading(rows, 0, "ord", "unit") is rows
+
+
+WIDE = "A,B,Code,Name,C,D,E,Left\n,,S0,z,,,,1\n,,S1,a,x, y,,,7\n,,S2,b,,,,3\n"
+
+
+def test_a_wide_row_ends_a_required_feed(spark, folder):
+    put(folder, "hq.csv", WIDE)
+    with pytest.raises(feeds.FeedError, match="more cells than the header"):
+        read_feeds(spark, [feeds.hq_feed(folder, skip_rows=0)])
+
+
+def test_a_wide_row_fails_its_store_only(spark, folder):
+    head = "Item,SKU,Available Qty.\n"
+    put(folder, "branch=A/a.csv", head + "a,S1,1\nb, really,S2,2\n")
+    put(folder, "branch=B/a.csv", head + 'a,S1,5\n"b, ""quoted""",S2,6\nc,S3\n')
+    clean = read_feeds(spark, [feeds.pos_feed(folder, ("A", "B"))])
+    assert records(clean) == [("a", "S1", "B", 5.0), ('b, "quoted"', "S2", "B", 6.0)]
+    assert [(r.unit, r.status) for r in clean.status.orderBy("unit").collect()] == [
+        ("A", "failed"), ("B", "read"),
+    ]
+    assert rejects(clean) == [("S3", "bad quantity")]  # a short row lacks its last cells
+
+
+def test_a_wide_row_is_rejected_singly_where_bad_rows_are(spark, folder):
+    put(folder, "hq.csv", WIDE)
+    clean = read_feeds(spark, [feeds.hq_feed(folder, skip_rows=0, on_bad="reject_row")])
+    assert records(clean) == [("z", "S0", "HQ", 1.0), ("b", "S2", "HQ", 3.0)]
+    assert rejects(clean) == [("S1", "a row with more cells than the header")]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_quoted_commas_and_trailing_empty_cells(spark, folder, multi_line):
+    put(folder, "branch=A/a.csv", 'Item,SKU,Available Qty.\n"a,""b"",c",S1,1\n')
+    put(folder, "branch=B/a.csv", "Item,SKU,Available Qty.\nb,S2,2,\n")
+    clean = read_feeds(spark, [feeds.pos_feed(folder, ("A", "B"), multi_line=multi_line)])
+    assert records(clean) == [('a,"b",c', "S1", "A", 1.0)]
+
+
+def test_store_names_with_characters_that_paths_escape(spark, folder):
+    names = ("A:B", "50% off", "x=y", "a[1]", "Rama 9")
+    rows = [(n, name, f"i{n}", f"S{n}", float(n)) for n, name in enumerate(names)]
+    frame = spark.createDataFrame(rows, "n int, branch string, Item string, SKU string, qty double")
+    frame.select("branch", "Item", "SKU", F.col("qty").alias("Available Qty.")).write.partitionBy(
+        "branch").option("header", True).csv(f"{folder}/pos")
+    clean = read_feeds(spark, [feeds.pos_feed(f"{folder}/pos", (*names, "none"))])
+    assert records(clean) == [(f"i{n}", f"S{n}", name, float(n)) for n, name in enumerate(names)]
+    assert {unit for unit, (status, _) in statuses(clean).items() if status == "failed"} == {"none"}
+
+
+def test_errors_of_the_cluster_are_not_a_feeds_fault(spark, folder, monkeypatch):
+    put(folder, "branch=A/a.csv", "Item,SKU,Available Qty.\na,S1,1\n")
+
+    def lost(*_):
+        raise PySparkException("Job aborted due to stage failure: executor lost")
+
+    monkeypatch.setattr(nightly, "read_units", lost)
+    with pytest.raises(PySparkException, match="executor lost"):
+        read_feeds(spark, [feeds.pos_feed(folder, ("A",))])
+    assert not feeds.is_file_fault(PySparkException("Permission denied"))
+    assert feeds.is_file_fault(PySparkException("[MALFORMED_RECORD_IN_PARSING] ..."))
+
+
+def test_ordinals_of_many_files_and_large_positions(spark):
+    files = 3 << 20
+    places = [(0, 0), (0, (1 << 37) - 1), (1, 0), (files - 2, 5), (files - 1, 0), (files - 1, 1 << 37)]
+    rows = spark.createDataFrame([(n, f, p) for n, (f, p) in enumerate(places)], "n int, f long, p long")
+    made = [
+        row.n for phase in (1, 5) for row in
+        rows.withColumn("ord", ordinal(phase, F.col("f"), F.col("p"), files)).orderBy("ord").collect()
+    ]
+    assert made == list(range(len(places))) * 2
+    last = rows.select(F.max(ordinal(1, F.col("f"), F.col("p"), files))).first()[0]
+    assert last < rows.select(F.min(ordinal(2, F.col("f"), F.col("p"), files))).first()[0]
+    with pytest.raises(Exception, match="do not fit"):
+        rows.select(ordinal(1, F.col("f"), F.lit(1 << 40), files)).collect()

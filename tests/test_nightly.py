@@ -8,8 +8,9 @@ from datetime import datetime, timedelta, timezone
 import pytest
 
 from sequential import fold, long_form
+from stockweave.operators import reconcile
 from stockweave.plans import nightly
-from stockweave.sources import feeds, history
+from stockweave.sources import feeds, history, staging
 
 AS_OF = datetime(2026, 1, 1, 18, 26, 37, tzinfo=timezone.utc)  # 01:26:37 on the next day there
 STORES = ("Samyan", "Rama 9")
@@ -93,7 +94,7 @@ def test_run_matches_the_rules(spark, folder, seed):
     found = [r.sku for r in latest.select("sku", "entry_ord").distinct()
              .orderBy("entry_ord").collect()]
     assert found == sorted(order, key=order.get)
-    rejected = spark.read.parquet(f"{root}/rejects").where("reason like 'SKU is%'")
+    rejected = nightly.read_report(spark, root, "rejects").where("reason like 'SKU is%'")
     assert rejected.count() == len(dropped)
     assert names(spark, root) == ["020126_012637.json"]
 
@@ -136,3 +137,47 @@ def test_without_vending(spark, folder):
     latest = history.latest_snapshot(spark, f"{folder}/out/history")
     found = sorted((r.sku, r.item, r.branch, r.qty) for r in latest.collect())
     assert found == [row[:4] for row in long_form(merged)]
+
+
+def test_a_rerun_replaces_snapshot_document_and_rejects(spark, folder):
+    land(f"{folder}/landed", random.Random(6))
+    root, specs = f"{folder}/out", specs_of(f"{folder}/landed")
+    put(f"{folder}/landed/vend/table.csv", "R,,,,,,,\n,,,,,,,\n1,2,3,4,5,6,7,8\n,,V1,v,,,,out\n,,V1,w,,,,3\n")
+    nightly.run(spark, specs, root, AS_OF)
+    assert nightly.read_report(spark, root, "rejects").where("reason like '%bad quantity'").count() == 2
+    put(f"{folder}/landed/vend/table.csv", "R,,,,,,,\n,,,,,,,\n1,2,3,4,5,6,7,8\n,,V1,v,,,,5\n,,V1,w,,,,3\n")
+    nightly.run(spark, specs, root, AS_OF)
+    assert nightly.read_report(spark, root, "rejects").where("reason like '%bad quantity'").count() == 0
+    status = nightly.read_report(spark, root, "feed_status")
+    assert status.count() == len(STORES) + 4
+    rows = history.latest_snapshot(spark, f"{root}/history")
+    assert {r.sku for r in rows.where("branch = 'V1'").collect()} >= {"v", "w"}
+    document = nightly.read_document(spark, root, "020126_012637.json")
+    found = sorted(map(tuple, reconcile.explode_branches(document).collect()))
+    assert found == sorted((r.sku, r.item, r.branch, r.qty) for r in rows.collect())
+    assert {r.last_updated for r in document.collect()} == {"2026-01-02 01:26:37"}
+
+
+def test_an_empty_snapshot_is_published(spark, folder):
+    put(f"{folder}/hq.csv", "1,2,3,4,5,6,7,8\n,,,,,,,\n,,x,,,,,\n,,S1,i,,,,0\n")
+    root = f"{folder}/out"
+    nightly.run(spark, [feeds.hq_feed(f"{folder}/hq.csv")], root, AS_OF)
+    assert names(spark, root) == ["020126_012637.json"]
+    assert history.latest_snapshot(spark, f"{root}/history").count() == 0
+    assert nightly.read_document(spark, root, "020126_012637").count() == 0
+
+
+def test_a_run_drops_what_it_staged(spark, folder):
+    land(f"{folder}/landed", random.Random(7))
+    before = set(os.listdir(f"{staging.staging_root(spark)}/stockweave"))
+    nightly.run(spark, specs_of(f"{folder}/landed"), f"{folder}/out", AS_OF)
+    assert set(os.listdir(f"{staging.staging_root(spark)}/stockweave")) == before
+
+
+def test_documents_without_a_time_in_their_name_are_rejects(spark, folder):
+    land(f"{folder}/landed", random.Random(8))
+    root = f"{folder}/out"
+    put(f"{root}/documents/old.json", "{}")
+    nightly.run(spark, specs_of(f"{folder}/landed"), root, AS_OF)
+    found = nightly.read_report(spark, root, "rejects").where("reason = 'no time in the name'").collect()
+    assert [row.item for row in found] == ["old.json"]

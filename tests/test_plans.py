@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockweave.operators import reconcile, serving
-from stockweave.plans import queries
-from stockweave.sources import staging
+from stockweave.plans import landing, nightly, queries
+from stockweave.sources import feeds, history, staging
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -24,10 +24,26 @@ def test_digest_is_a_hash_aggregation_with_partial_results(spark):
     assert "props" not in plan
 
 
-def test_registry_reduces_before_its_shuffle(spark):
+def test_registry_sorts_no_raw_rows(spark):
+    """The lowest aggregation is by hash; what is sorted above it is one row per item and SKU."""
     plan = physical(reconcile.first_records(queries.stock_feed(spark, SF_DIR)))
     assert "partial_min_by" in plan
-    assert plan.count("Exchange") == 1
+    below = plan.rsplit("Exchange", 1)[1]
+    assert "HashAggregate" in below and "partial_min(ord" in below and "Sort" not in below
+
+
+def test_landed_feeds_are_cleaned_without_sorts(spark, folder):
+    rows = queries.stock_rows(queries.events(spark, SF_DIR), F.lit(3))
+    path = landing.land_vending(rows, f"{folder}/vending")
+    records = nightly.read_feeds(spark, [feeds.vend_feed(path)]).records
+    plan = physical(records)
+    assert "Sort" not in plan and "Window" not in plan
+
+
+def test_the_catalog_lists_no_data_files(spark, folder):
+    history.append_snapshots(queries.daily_snapshots(spark, SF_DIR), folder)
+    plan = physical(history.catalog(history.snapshot_ids(spark, folder)))
+    assert "binaryFile" not in plan and "/rows" not in plan
 
 
 def test_branch_choice_reaches_the_scan(spark):

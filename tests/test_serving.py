@@ -64,8 +64,7 @@ def test_search(snapshot, text, expected):
     assert tuple(info) == (3, expected)
 
 
-def test_pages(spark, monkeypatch):
-    monkeypatch.setattr(serving, "SHALLOW_ROWS", 100)
+def test_pages(spark):
     skus = spark.range(1000).select(F.format_string("%05d", "id").alias("sku")).repartition(7)
 
     def page(*where):
@@ -80,6 +79,16 @@ def test_pages(spark, monkeypatch):
     assert page(0, None) == list(range(1000))
 
 
+def test_pages_by_the_last_key(spark):
+    rows_ = spark.range(100).select((F.col("id") % 7).alias("a"), F.col("id").alias("b")).repartition(5)
+    expected = sorted(((n % 7, n) for n in range(100)), key=lambda row: (-row[0], row[1]))
+    order, last, found = [("a", True), ("b", False)], None, []
+    while part := serving.page_after(rows_, 30, order, last).collect():
+        found += [tuple(row) for row in part]
+        last = found[-1]
+    assert found == expected
+
+
 def test_number_rows_descending(spark):
     df = spark.range(500).select((F.col("id") * 7 % 500).alias("n")).repartition(5)
     numbered = serving.number_rows(df, F.col("n").desc())
