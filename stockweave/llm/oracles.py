@@ -2,16 +2,92 @@
 
 from __future__ import annotations
 
-NORMALISED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+from stockweave.llm.url_filter import CANONICAL, HREF, REFRESH, TAGS, TARGET
+
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+REST = "CASE WHEN contains({0}, '://') THEN substr({0}, strpos({0}, '://') + 3) END"
+
+
+def _text(pattern: str) -> str:
+    """A pattern as an SQL text."""
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _host(url: str) -> str:
+    return f"coalesce({LOWERED.format(f"regexp_extract({REST.format(url)}, '^[^/?#]*')")}, '')"
+
+
+def _path(url: str) -> str:
+    return f"coalesce(regexp_extract({REST.format(url)}, '^[^/?#]*([^?#]*)', 1), '')"
+
+
+def _address(url: str) -> str:
+    query = rf"coalesce(regexp_extract({REST.format(url)}, '(?s)^[^?#]*(\?[^#]*)', 1), '')"
+    return f"concat({_host(url)}, {_path(url)}, {query})"
+
+
+HREF_VALUE = "concat(" + ", ".join(f"regexp_extract(tag, {_text(HREF)}, {group})" for group in (1, 2, 3)) + ")"
+
+#: Every url of a page or a link with the longest rule that fits it, and the links as edges.
+JUDGED = f"""
+    rules(verdict, host, path) AS (VALUES
+        ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+        ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+    tags AS (
+        SELECT url, unnest(regexp_extract_all(html, {_text(TAGS)})) AS tag FROM pages WHERE url IS NOT NULL),
+    targets AS (
+        SELECT url, replace(trim(CASE
+            WHEN regexp_matches(tag, {_text(CANONICAL)}) THEN {HREF_VALUE}
+            WHEN regexp_matches(tag, {_text(REFRESH)}) THEN regexp_extract(tag, {_text(TARGET)}, 1)
+            END), '&amp;', '&') AS target
+        FROM tags),
+    links AS (
+        SELECT url, CASE
+            WHEN contains(target, '://') THEN target
+            WHEN starts_with(target, '//') THEN concat(regexp_extract(url, '(?s)^(.*?:)//', 1), target)
+            WHEN starts_with(target, '/') THEN concat(regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1), target)
+            WHEN starts_with(target, '?') OR starts_with(target, '#')
+                THEN concat(regexp_extract(url, '(?s)^[^?#]*'), target)
+            ELSE concat(regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1), '/',
+                        regexp_extract(url, '(?s)^.*?://[^/?#]*/([^?#]*/)?', 1), target)
+            END AS target
+        FROM targets WHERE target <> ''),
+    urls AS (SELECT DISTINCT url FROM (
+        SELECT url FROM pages UNION ALL SELECT url FROM links UNION ALL SELECT target FROM links)),
+    parts AS (
+        SELECT url, {_host('url')} AS host, {_path('url')} AS path, {_address('url')} AS address FROM urls),
+    judged AS (
+        SELECT p.url, any_value(p.host) AS host, any_value(p.path) AS path, any_value(p.address) AS address,
+               arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+               arg_max(r.verdict, length(r.host || r.path)) AS own
+        FROM parts p LEFT JOIN rules r
+          ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+        GROUP BY p.url),
+    ends AS (SELECT {_address('url')} AS a, {_address('target')} AS b FROM links),
+    edges AS (
+        SELECT a, b FROM ends WHERE a <> '' AND b <> '' UNION SELECT b, a FROM ends WHERE a <> '' AND b <> ''),
+    caught AS (
+        SELECT address FROM judged WHERE own = 'block' AND address IN (SELECT a FROM edges)
+        UNION SELECT e.b FROM caught c JOIN edges e ON e.a = c.address)
+"""
 
 ORACLES = {
     "op5_exact_dedup": f"""
-        WITH texts AS (SELECT doc_id, {NORMALISED} AS body FROM documents)
+        WITH texts AS (SELECT doc_id, {LOWERED.format("coalesce(text, '')")} AS body FROM documents)
         SELECT doc_id,
                max(doc_id) OVER (PARTITION BY body) AS keep_id,
                count(*) OVER (PARTITION BY body) AS group_size,
-               doc_id = max(doc_id) OVER (PARTITION BY body) AS kept,
+               coalesce(doc_id = max(doc_id) OVER (PARTITION BY body),
+                        max(doc_id) OVER (PARTITION BY body) IS NULL) AS kept,
                sha256(body) AS text_sha256
         FROM texts
     """,
+    "op6_url_filter": f"""
+        WITH RECURSIVE {JUDGED}
+        SELECT p.page_id, j.host, j.path, j.rule,
+               CASE WHEN j.own IS NOT NULL THEN j.own
+                    WHEN j.host <> '' AND j.address IN (SELECT address FROM caught) THEN 'block'
+                    ELSE 'allow' END AS verdict
+        FROM pages p JOIN judged j ON p.url IS NOT DISTINCT FROM j.url
+    """,
 }
