@@ -29,47 +29,52 @@ class Boosted:
 
 
 def fit(
-    rows: np.ndarray, labels: np.ndarray, trees: int = 40, depth: int = 4, rate: float = 0.25, bins: int = 32, ridge: float = 2.0
+    rows: np.ndarray, labels: np.ndarray, trees: int = 50, depth: int = 4, rate: float = 0.25, bins: int = 32, ridge: float = 2.0
 ) -> Boosted:
     """Second-order boosting of the logistic loss, on sums over at most ``bins`` bins of each feature.
 
-    Features of zeros and ones have two bins, and their sums are one matrix product.
+    All nodes of a level get their sums at once. Features of zeros and ones have just the sums over
+    their ones.
     """
     flags = np.flatnonzero(((rows == 0) | (rows == 1)).all(axis=0))
     numbers = np.setdiff1d(np.arange(rows.shape[1]), flags)
-    flag_rows = rows[:, flags].astype(np.float64)
+    flag_owner, flag = np.nonzero(rows[:, flags])
     edges = [np.unique(np.quantile(rows[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in numbers]
     binned = np.stack([np.searchsorted(e, rows[:, j]) + i * bins for i, (e, j) in enumerate(zip(edges, numbers))], axis=1)
-    shape, inner = (len(numbers), bins), 2**depth - 1
+    width, inner = len(numbers) * bins, 2**depth - 1
 
-    def sums(here: np.ndarray, values: np.ndarray) -> np.ndarray:
-        """What lies left of each limit: of the numbers' bins, then of the flags."""
-        weights = np.repeat(values, len(numbers))
-        below = np.bincount(binned[here].ravel(), weights, len(numbers) * bins).reshape(shape).cumsum(axis=1)
-        return np.concatenate([below.ravel(), values.sum() - values @ flag_rows[here]])
+    def sums(node: np.ndarray, nodes: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each node what lies left of each limit, of the numbers' bins and then of the flags, and
+        all there is."""
+        total = np.bincount(node, values, nodes)[:, None]
+        place = node[:, None] * width + binned
+        below = np.bincount(place.ravel(), np.repeat(values, len(numbers)), nodes * width)
+        ones = np.bincount(node[flag_owner] * len(flags) + flag, values[flag_owner], nodes * len(flags))
+        below = below.reshape(nodes, len(numbers), bins).cumsum(axis=2).reshape(nodes, width)
+        return np.hstack([below, total - ones.reshape(nodes, len(flags))]), total
 
     share = np.clip(labels.mean(), 0.01, 0.99)
     model = Boosted(float(np.log(share / (1 - share))), np.zeros((0, inner), int), np.zeros((0, inner)), np.zeros((0, inner + 1)))
-    margin = np.full(len(rows), model.start)
+    margin, every = np.full(len(rows), model.start), np.arange(len(rows))
     for _ in range(trees):
         chance = 1 / (1 + np.exp(-margin))
         slope, curve = chance - labels, np.maximum(chance * (1 - chance), 1e-6)
         features, limits = np.zeros(inner, dtype=int), np.full(inner, np.inf)
         node = np.zeros(len(rows), dtype=np.int64)
-        for k in range(inner):
-            here = np.flatnonzero(node == k)
-            if len(here) >= 10:
-                down, bend = sums(here, slope[here]), sums(here, curve[here])
-                all_down, all_bend = slope[here].sum(), curve[here].sum()
-                gain = down**2 / (bend + ridge) + (all_down - down) ** 2 / (all_bend - bend + ridge)
-                gain[(bend < 1) | (all_bend - bend < 1)] = -np.inf
-                best = int(np.argmax(gain))
-                if gain[best] > all_down**2 / (all_bend + ridge) + 1e-3:
-                    if best < len(numbers) * bins:
-                        features[k], limits[k] = numbers[best // bins], edges[best // bins][best % bins]
-                    else:
-                        features[k], limits[k] = flags[best - len(numbers) * bins], 0.5
-            node[here] = 2 * k + 1 + (rows[here, features[k]] > limits[k])
+        for level in range(depth):
+            nodes, first = 2**level, 2**level - 1
+            down, all_down = sums(node - first, nodes, slope)
+            bend, all_bend = sums(node - first, nodes, curve)
+            gain = down**2 / (bend + ridge) + (all_down - down) ** 2 / (all_bend - bend + ridge)
+            gain[(bend < 1) | (all_bend - bend < 1)] = -np.inf
+            for k, best in enumerate(np.argmax(gain, axis=1)):
+                if gain[k, best] <= all_down[k, 0] ** 2 / (all_bend[k, 0] + ridge) + 1e-3:
+                    continue
+                if best < width:
+                    features[first + k], limits[first + k] = numbers[best // bins], edges[best // bins][best % bins]
+                else:
+                    features[first + k], limits[first + k] = flags[best - width], 0.5
+            node = 2 * node + 1 + (rows[every, features[node]] > limits[node])
         leaf = node - inner
         leaves = -rate * np.bincount(leaf, slope, inner + 1) / (np.bincount(leaf, curve, inner + 1) + ridge)
         margin += leaves[leaf]

@@ -15,13 +15,14 @@ from stockweave.llm.boosting import Boosted
 from stockweave.llm.frames import read
 from stockweave.llm.html_tree import Block, PageTree, features
 
-TRAINING_PAGES = 800
+TRAINING_PAGES = 3000
 SEED = 5
 
 
 def labels(blocks: list[Block], texts: list[str]) -> np.ndarray:
     """Of a training page: whether a block or one in it holds main text. An unmarked block is like
-    its parent; a block without any text is no example (-1)."""
+    its parent. A block without any text, or in one without main text, is no example (-1): the model
+    says how likely a block holds main text if its parent does."""
     own = np.zeros(len(blocks), dtype=np.int64)
     filled = np.array([bool(t) for t in texts])
     for i, block in enumerate(blocks):
@@ -30,7 +31,8 @@ def labels(blocks: list[Block], texts: list[str]) -> np.ndarray:
     for i in range(len(blocks) - 1, 0, -1):
         found[blocks[i].parent] = max(found[blocks[i].parent], found[i])
         filled[blocks[i].parent] |= filled[i]
-    return np.where(filled, found, -1)
+    asked = np.array([i == 0 or found[block.parent] == 1 for i, block in enumerate(blocks)])
+    return np.where(filled & asked, found, -1)
 
 
 @lru_cache(maxsize=2)
@@ -49,25 +51,23 @@ def train(pages: int = TRAINING_PAGES, seed: int = SEED) -> Boosted:
 def decode(blocks: list[Block], texts: list[str], margin: np.ndarray) -> np.ndarray:
     """Which blocks are kept: the likeliest choice in which nothing below a dropped block is kept.
 
-    From the leaves up: dropping a block means that no block in it holds main text; keeping it leaves
-    each child its own best choice. Blocks without text have no say, and one that would be kept
-    without anything in it is dropped.
+    ``margin`` has the log-odds of each block if its parent is kept. From the leaves up: dropping a
+    block settles all in it, keeping it leaves each child its own best choice. Blocks without text
+    have no say, and one that would be kept without anything in it is dropped.
     """
     n = len(blocks)
     filled = np.array([bool(t) for t in texts])
+    some = filled.copy()  # whether anything is left if the block is kept
     for i in range(n - 1, 0, -1):
         filled[blocks[i].parent] |= filled[i]
     keep = np.where(filled, -np.logaddexp(0, -margin), 0.0)
     drop = np.where(filled, -np.logaddexp(0, margin), 0.0)
-    some = np.array([bool(t) for t in texts])  # whether anything is left if the block is kept
     chosen = np.zeros(n, dtype=bool)
     for i in range(n - 1, -1, -1):
         chosen[i] = some[i] and keep[i] > drop[i]
         if i:
-            up = blocks[i].parent
-            keep[up] += max(keep[i], drop[i]) if some[i] else drop[i]
-            drop[up] += drop[i]
-            some[up] |= chosen[i]
+            keep[blocks[i].parent] += max(keep[i], drop[i]) if some[i] else drop[i]
+            some[blocks[i].parent] |= chosen[i]
     for i in range(1, n):
         chosen[i] &= chosen[blocks[i].parent]
     return chosen

@@ -78,7 +78,7 @@ class PageMaker:
 
     def form(self) -> str:
         inner = self.block("label", False, self.prose(1, 3)) + '<input type="text">' + "<button>ok</button>"
-        return self.block("form", False, inner + (self.block("p", False, self.prose(2, 15)) if self.chance(0.4) else ""))
+        return self.box("notice", inner + (self.block("p", False, self.prose(2, 15)) if self.chance(0.4) else ""), "form")
 
     def inline(self, text: str) -> str:
         if self.chance(0.25):
@@ -109,16 +109,18 @@ class PageMaker:
 
     def inset(self) -> str:
         """What stands among the paragraphs but does not belong to the text."""
-        part = self.pick("ad", "share", "side", "notice")
+        if self.chance(0.2):
+            return self.form()
+        part = self.pick("ad", "ad", "ad", "share", "side", "notice")
         inner = self.link_list() if part == "share" else self.small(part)
         return self.box(part, inner, "div", "div", "aside")
 
     def article(self) -> str:
         parts = [self.block("h1", True, self.prose(1, 14))] if self.chance(0.8) else []
         plain = self.chance(0.1)  # one block of bare text
-        for _ in range(1 if plain else self.pick(1, 2, 4, 8, 15)):
+        for _ in range(1 if plain else self.pick(1, 1, 2, 4, 8, 15)):
             parts.append(self.block("div", True, self.prose(20, 300)) if plain else self.main_part())
-            if self.chance(0.06):
+            if self.chance(0.12):
                 parts.append(self.inset())
         if self.chance(0.25):
             parts.append(self.comments())

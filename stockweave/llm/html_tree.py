@@ -166,7 +166,7 @@ TAGS = (
     "figcaption form address label"
 ).split()
 REGIONS = "main article section nav aside header footer form table ul".split()
-BUCKETS = 96
+BUCKETS = 256
 NUMBERS = 24
 WIDTH = NUMBERS + len(TAGS) + len(REGIONS) + 2 * BUCKETS
 _TAG_PLACE = {tag: NUMBERS + i for i, tag in enumerate(TAGS)}
