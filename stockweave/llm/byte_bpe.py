@@ -13,12 +13,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm.frames import read
+from stockweave.llm.frames import read, text_batches
 from stockweave.llm.pieces import splitter
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Entries of the memos of a worker; a full memo is emptied.
-PIECES_KEPT, PAIRS_KEPT = 1 << 19, 1 << 20
+PIECES_KEPT, PAIRS_KEPT = 1 << 19, 1 << 19
+
+
+@lru_cache(maxsize=2)
+def ranks_of(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
+@lru_cache(maxsize=2)
+def tokens_of(path: str) -> list[bytes]:
+    """The bytes of each id; all that decoding needs."""
+    ranks = ranks_of(path)
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def decode(ids: bytes, tokens: list[bytes]) -> bytes:
+    """The text of little-endian unsigned 32-bit ids."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
 def _merged(piece: bytes, ranks: dict[bytes, int], below: int) -> list[bytes]:
@@ -33,7 +54,7 @@ def _merged(piece: bytes, ranks: dict[bytes, int], below: int) -> list[bytes]:
 
 
 class ByteBpe:
-    """Encoder and decoder of one rank file.
+    """Encoder of one rank file.
 
     A sequence of tokens is what the merges give if and only if every two neighbours are: taken
     apart, no step of the merges would have joined them another way. So the encoder takes the
@@ -43,11 +64,7 @@ class ByteBpe:
     """
 
     def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.tokens = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
+        self.ranks, self.tokens = ranks_of(path), tokens_of(path)
         self.halves: dict[int, tuple[int, int]] = {}
         self.joins: dict[tuple[int, int], int] = {}
         for token, rank in self.ranks.items():
@@ -66,15 +83,16 @@ class ByteBpe:
             prefixes = (self.ranks.get(token[:n]) for n in range(len(token) - 1, 0, -1))
             self.shorter[rank] = next((p for p in prefixes if p in self.halves), -1)
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _fits(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
+        pair = left << 32 | right
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._stays_apart(left, right)
+            known = self.pairs[pair] = self._stays_apart(left, right)
         return known
 
     def _stays_apart(self, left: int, right: int) -> bool:
@@ -137,13 +155,10 @@ class ByteBpe:
             made.append(ids)
         return b"".join(made)
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
-
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> ByteBpe:
-    """The codec of a rank file, built once in each worker."""
+def encoder(path: str) -> ByteBpe:
+    """The encoder of a rank file, built once in each worker."""
     return ByteBpe(path)
 
 
@@ -153,7 +168,7 @@ def encode_column(path: str | None = None):
 
     @F.pandas_udf("binary")
     def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = codec(path).encode
+        encode = encoder(path).encode
         for part in texts:
             yield pd.Series([encode(x or "") for x in part], dtype=object)
 
@@ -166,13 +181,27 @@ def decode_column(path: str | None = None):
 
     @F.pandas_udf("binary")
     def decoded(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decode = codec(path).decode
+        tokens = tokens_of(path)
         for part in ids:
-            yield pd.Series([decode(x or b"") for x in part], dtype=object)
+            yield pd.Series([decode(x or b"", tokens) for x in part], dtype=object)
 
     return decoded
 
 
+def round_trip_column(path: str | None = None):
+    """A column function: ``token_ids`` of a text and the bytes ``decoded`` from them, in one pass."""
+    path = path or public_tokenizers.path(RANKS)
+
+    @F.pandas_udf("token_ids binary, decoded binary")
+    def turned(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encode, tokens = encoder(path).encode, tokens_of(path)
+        for part in texts:
+            ids = [encode(x or "") for x in part]
+            yield pd.DataFrame({"token_ids": ids, "decoded": [decode(x, tokens) for x in ids]}, dtype=object)
+
+    return turned
+
+
 def tokenize(documents: DataFrame, path: str | None = None) -> DataFrame:
     """All columns of ``documents``, and n_tokens and token_ids of the whole text.
 
@@ -180,15 +209,15 @@ def tokenize(documents: DataFrame, path: str | None = None) -> DataFrame:
     stands for itself. Strings that look like special tokens are ordinary text.
     """
     ids = encode_column(path)("text")
-    return documents.withColumn("token_ids", ids).withColumn(
+    return text_batches(documents).withColumn("token_ids", ids).withColumn(
         "n_tokens", F.coalesce((F.octet_length("token_ids") / 4).cast("long"), F.lit(0))
     )
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids, and returns digests of both."""
-    encoded = tokenize(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    return encoded.select(
-        "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
-        F.sha2(decode_column()("token_ids"), 256).alias("decoded_sha256"),
+    turned = text_batches(read(spark, sf_dir, "documents")).select("doc_id", round_trip_column()("text").alias("turned"))
+    return turned.select(
+        "doc_id", F.coalesce((F.octet_length("turned.token_ids") / 4).cast("long"), F.lit(0)).alias("n_tokens"),
+        F.sha2("turned.token_ids", 256).alias("ids_sha256"), F.sha2("turned.decoded", 256).alias("decoded_sha256"),
     )

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from stockweave.sources.staging import stage
 
-__all__ = ["ascii_lower", "read", "running_sum", "stage", "keep_one_row"]
+__all__ = ["ascii_lower", "keep_one_row", "partitions", "read", "running_sum", "stage", "text_batches"]
+
+TEXTS_PER_BATCH = 1_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -21,6 +23,15 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
+def text_batches(table: DataFrame) -> DataFrame:
+    """The same table, in a session that hands texts to Python in batches of a thousand rows at most:
+    Spark's own batches are made for numbers, and of texts take hundreds of MB in every worker."""
+    conf, key = table.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= TEXTS_PER_BATCH:
+        conf.set(key, TEXTS_PER_BATCH)
+    return table
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

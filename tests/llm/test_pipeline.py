@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+import corpus_pipeline
+from stockweave.llm import byte_bpe, mixing, quality
+from tests.llm import tables
+from tests.llm.test_simhash import slow_fingerprint
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Prose of several sources with junk, exact copies, near copies and odd rows."""
+    generator = random.Random(9)
+    rows = []
+    for i in range(120):
+        rows.append((i, tables.sentence(generator, generator.randint(30, 120)), f"s{i % 3}"))
+    for i in range(0, 30, 3):
+        rows.append((1_000 + i, rows[i][1].upper() if i % 2 else rows[i][1], "s1"))
+        rows.append((2_000 + i, rows[i][1] + " Extra", "hot"))
+    for i in range(20):
+        rows.append((3_000 + i, " ".join(generator.choice(tables.WORDS) + "###" for _ in range(60)), "s0"))
+    return [*rows, (4_000, None, None), (4_001, "", "s0"), (None, tables.sentence(generator, 50), None)]
+
+
+def by_hand(rows, kept_by_quality):
+    """The stages one after another on Python lists, up to the mix; the classifier's verdicts are given."""
+    rows = [r for r in rows if kept_by_quality[r]]
+    rank = lambda r: (r[0] is not None, r[0])
+    texts = {}
+    for row in rows:
+        key = (row[1] or "").encode().lower()
+        texts[key] = max(texts.get(key, row), row, key=rank)
+    rows = list(texts.values())
+    prints = {row: slow_fingerprint(row[1]) for row in rows}
+    found = tables.components(sorted(set(prints.values())), lambda a, b: (a ^ b).bit_count() <= 4)
+    groups = {}
+    for row in rows:
+        groups.setdefault(found[prints[row]], []).append(row)
+    return [min(group, key=lambda r: (r[0] is None, r[0])) for group in groups.values()]
+
+
+def test_the_whole_pipeline_matches_brute_force(spark, corpus, tmp_path):
+    table = tables.documents(spark, corpus)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    made = corpus_pipeline.run(spark, str(tmp_path))
+    documents = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = quality.train(documents.select("doc_id", "text"))
+    verdicts = {r: model.score(r[1], quality.describe(r[1])) >= quality.THRESHOLD for r in corpus}
+    assert not any(v for r, v in verdicts.items() if r[0] in range(3_000, 3_020))
+    assert all(v for r, v in verdicts.items() if r[0] in range(120))
+
+    left = by_hand(corpus, verdicts)
+    plan = mixing.mix(tables.documents(spark, left)).collect()
+    expected = Counter({r.doc_id: r.taken // r.size for r in plan if r.taken})
+    found = made.collect()
+    assert Counter(r.doc_id for r in found) == expected
+    codec = byte_bpe.encoder(public_tokenizers.path(byte_bpe.RANKS))
+    assert made.columns[: len(table.columns)] == table.columns
+    for row in found:
+        assert byte_bpe.decode(row.token_ids, codec.tokens) == row.text.encode()
+        assert row.n_tokens == len(np.frombuffer(row.token_ids, dtype="<u4"))
+
+
+def test_stages_return_the_columns_of_documents(spark, corpus):
+    docs = tables.with_clashes(tables.documents(spark, corpus))
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        made = step(spark, docs, "unused")
+        assert made.columns == docs.columns
+
+
+def test_stages_take_empty_tables(spark):
+    docs = tables.documents(spark, [])
+    for _, step in corpus_pipeline.STAGES:
+        assert step(spark, docs, "unused").count() == 0
+
+
+def test_the_stages_are_the_dealt_ones_in_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_classifier", "exact_dedup", "simhash_near_dedup", "mix_sources", "byte_bpe"]
