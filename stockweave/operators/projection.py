@@ -34,15 +34,25 @@ def skip_rows(df: DataFrame, n: int, ord_: str) -> DataFrame:
     return df.where(F.col(ord_) > cut.scalar())
 
 
-def skip_leading(df: DataFrame, n: int, ord_: str, unit: str) -> DataFrame:
+def first_ordinals(df: DataFrame, ord_: str, *units: str) -> DataFrame:
+    """The smallest ordinal of every unit, staged: an aggregation with partial results, no rows are
+    sorted."""
+    keys = [F.col(name).alias(f"_{name}") for name in units]
+    return stage(df.groupBy(*keys).agg(F.min(ord_).alias("_start")), "row-offset")
+
+
+def skip_leading(
+    df: DataFrame, n: int, ord_: str, starts: DataFrame, *units: str
+) -> DataFrame:
     """Drop the first ``n`` rows of every unit whose ordinals start with ``n`` neighbouring ones.
 
     So do the rows of a landed file, as long as its first block holds ``n`` rows. The cut is then the
-    smallest ordinal plus ``n``, found by an aggregation with partial results; no rows are sorted.
+    unit's first ordinal, from :func:`first_ordinals`, plus ``n``.
     """
     if n <= 0:
         return df
-    starts = df.groupBy(F.col(unit).alias("_unit")).agg(F.min(ord_).alias("_start"))
-    starts = stage(starts, "row-offset")
-    same = F.col(unit).eqNullSafe(F.col("_unit"))
-    return df.join(starts, same).where(F.col(ord_) >= F.col("_start") + n).drop("_unit", "_start")
+    same = F.lit(True)
+    for name in units:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    kept = df.join(starts, same).where(F.col(ord_) >= F.col("_start") + n)
+    return kept.drop("_start", *[f"_{name}" for name in units])

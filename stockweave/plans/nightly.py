@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from stockweave.fixed_values import SNAPSHOT_SUFFIX
 from stockweave.functions import naming
 from stockweave.operators.prefix import split_at, with_first_bad
-from stockweave.operators.projection import skip_leading
+from stockweave.operators.projection import first_ordinals, skip_leading
 from stockweave.operators.reconcile import Reconciliation, reconcile
 from stockweave.schemas import FEED, FEED_STATUS, REJECTS, with_version
 from stockweave.sources import documents, history
@@ -87,9 +87,22 @@ def error_text(error: Exception) -> str:
     return condition or str(error).split("\n", 1)[0]
 
 
-def unit_facts(rows: DataFrame) -> DataFrame:
-    """First bad row of each unit and how many of its rows are too wide, by one aggregation."""
-    facts = rows.groupBy(F.col("unit").alias("_unit")).agg(
+def without_lead(staged: Sequence[tuple[FeedSpec, DataFrame]]) -> list[DataFrame]:
+    """The rows of each feed without those its files start with, and without empty ones if they are
+    to be dropped."""
+    leading = [parsed for spec, parsed in staged if spec.skip_rows]
+    starts = first_ordinals(union(leading), "ord", "phase", "file") if leading else None
+    tables = []
+    for spec, parsed in staged:
+        rows = skip_leading(parsed, spec.skip_rows, "ord", starts, "phase", "file")
+        tables.append(rows.where(~F.col("empty") | F.col("wide")) if spec.drop_empty else rows)
+    return tables
+
+
+def unit_facts(tables: Sequence[DataFrame]) -> DataFrame:
+    """First bad row of each unit and how many of its rows are too wide: one aggregation over all
+    feeds."""
+    facts = union(tables).groupBy(F.col("phase").alias("_phase"), F.col("unit").alias("_unit")).agg(
         F.min(F.when(F.col("bad"), F.col("ord"))).alias("_first_bad"),
         F.count_if("wide").alias("_wide_rows"),
     )
@@ -97,31 +110,23 @@ def unit_facts(rows: DataFrame) -> DataFrame:
 
 
 def clean_feed(
-    parsed: DataFrame, spec: FeedSpec
-) -> tuple[DataFrame, list[DataFrame], list[str]]:
-    """Clean records of one staged feed, its rejected rows by reason, and the units that fail.
+    rows: DataFrame, spec: FeedSpec, first_bad: DataFrame, failed: Sequence[str]
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Clean records of one feed, and its rejected rows by reason.
 
     A row with more cells than its header may have them in the wrong columns. It ends a required
     feed and fails its unit in an optional one; where bad rows are rejected singly, so is this one.
     """
-    rows = skip_leading(parsed, spec.skip_rows, "ord", "file")
-    if spec.drop_empty:
-        rows = rows.where(~F.col("empty") | F.col("wide"))
-    facts = unit_facts(rows)
-    rejects, failed = [], []
+    rejects = []
     if spec.on_bad == "reject_row":
         rejects.append(rows.where("wide").withColumn("reason", F.lit(WIDE_ROW)))
         rows = rows.where(~F.col("wide"))
         rejects.append(rows.where("bad").withColumn("reason", F.lit("bad quantity")))
         rows = rows.where(~F.col("bad"))
-    else:
-        failed = [row._unit for row in facts.where("_wide_rows > 0").collect()]
-        if failed and spec.required:
-            raise FeedError(f"{spec.name}: {WIDE_ROW}")
-        if failed:
-            rows = rows.where(~F.col("unit").isin(failed))
+    elif failed:
+        rows = rows.where(~F.col("unit").isin(*failed))
     if spec.on_bad == "prefix":
-        rows, lost = split_at(with_first_bad(rows, facts.drop("_wide_rows"), ["unit"]), "ord")
+        rows, lost = split_at(with_first_bad(rows, first_bad, ["phase", "unit"]), "ord")
         reason = F.when(F.col("bad"), "bad quantity").otherwise("after a bad quantity")
         rejects.append(lost.withColumn("reason", reason))
     # A feed which matches by SKU has no item to miss.
@@ -132,28 +137,39 @@ def clean_feed(
     rows = rows.where(~no_key)
     if spec.positive_only:
         rows = rows.where(F.col("qty") > 0)
-    return rows.select(*FEED.names), [table.select(*REJECTS.names) for table in rejects], failed
+    return rows.select(*FEED.names), [table.select(*REJECTS.names) for table in rejects]
 
 
 def read_feeds(spark: SparkSession, specs: Sequence[FeedSpec]) -> CleanFeed:
     """Read, stage and clean all feeds in the order of their phases."""
-    records, rejects, counts, states = [], [], [], []
-    staged = [
-        (spec, *stage_feed(spark, spec)) for spec in sorted(specs, key=lambda spec: spec.phase)
-    ]
-    for spec, parsed, units in staged:
+    staged, units = [], {}
+    for spec in sorted(specs, key=lambda spec: spec.phase):
+        parsed, units[spec.name] = stage_feed(spark, spec)
         if parsed is not None:
-            clean, rejected, failed = clean_feed(parsed, spec)
+            staged.append((spec, parsed))
+    records, rejects, counts = [], [], []
+    if staged:
+        tables = without_lead(staged)
+        facts = unit_facts(tables)
+        wide = facts.where("_wide_rows > 0").select("_phase", "_unit").collect()
+        for (spec, parsed), rows in zip(staged, tables, strict=True):
+            failed = [row._unit for row in wide if row._phase == spec.phase]
+            if spec.on_bad == "reject_row":
+                failed = []
+            if failed and spec.required:
+                raise FeedError(f"{spec.name}: {WIDE_ROW}")
+            units[spec.name] |= {unit: status_of(spec, unit, "failed", WIDE_ROW) for unit in failed}
+            clean, rejected = clean_feed(rows, spec, facts.drop("_wide_rows"), failed)
             records.append(clean)
             rejects += rejected
-            units |= {unit: status_of(spec, unit, "failed", WIDE_ROW) for unit in failed}
             counts.append(parsed.groupBy("phase", "unit").agg(F.count(F.lit(1)).alias("n_rows")))
-        states += [units[unit] for unit in (spec.stores or (spec.name,))]
-    empty_feed = spark.createDataFrame([], FEED)
-    empty_rejects = spark.createDataFrame([], REJECTS)
+    states = [
+        units[spec.name][unit] for spec in sorted(specs, key=lambda spec: spec.phase)
+        for unit in (spec.stores or (spec.name,))
+    ]
     return CleanFeed(
-        records=union([empty_feed, *records]),
-        rejects=union([empty_rejects, *rejects]),
+        records=union([spark.createDataFrame([], FEED), *records]),
+        rejects=union([spark.createDataFrame([], REJECTS), *rejects]),
         status=feed_status(spark, states, counts),
     )
 

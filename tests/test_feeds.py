@@ -235,15 +235,16 @@ def test_ordinals_are_unique_and_ordered_by_phase(spark, folder):
 
 
 def test_skip_leading_rows_of_units(spark):
-    from stockweave.operators.projection import skip_leading
+    from stockweave.operators.projection import first_ordinals, skip_leading
 
     rows = spark.range(30).select(
         F.floor(F.col("id") / 10).alias("unit"), (F.col("id") * 1 + F.floor(F.col("id") / 10) * 100).alias("ord")
     )
-    kept = skip_leading(rows, 2, "ord", "unit")
+    starts = first_ordinals(rows, "ord", "unit")
+    kept = skip_leading(rows, 2, "ord", starts, "unit")
     assert sorted(row.ord % 110 for row in kept.collect()) == sorted(list(range(2, 10)) * 3)
-    assert skip_leading(rows, 10, "ord", "unit").count() == 0
-    assert skip_leading(rows, 0, "ord", "unit") is rows
+    assert skip_leading(rows, 10, "ord", starts, "unit").count() == 0
+    assert skip_leading(rows, 0, "ord", None, "unit") is rows
 
 
 WIDE = "A,B,Code,Name,C,D,E,Left\n,,S0,z,,,,1\n,,S1,a,x, y,,,7\n,,S2,b,,,,3\n"
