@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stockweave.llm import boosting, html_training
 from stockweave.llm.boosting import Boosted
-from stockweave.llm.frames import read
+from stockweave.llm.frames import read, text_batches
 from stockweave.llm.html_tree import Block, PageTree, features
 
 TRAINING_PAGES = 3000
@@ -115,7 +115,7 @@ def extract_pages(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
     A null, empty or blank html, and one without main text, has an empty text. Every row stands for
     itself; other columns are not read. The model is trained on first use, on made-up pages.
     """
-    found = pages.select("page_id", "url", extract_column(model or train())("html").alias("text"))
+    found = text_batches(pages).select("page_id", "url", extract_column(model or train())("html").alias("text"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm.frames import read
+from stockweave.llm.frames import partitions, read, text_batches
 from stockweave.sources.staging import new_path
 
 CONTEXTS = 256  # classes of the token before; one more stands for the start of a text
@@ -136,7 +136,7 @@ def count_blocks(documents: DataFrame, buckets: int, block_tokens: int = BLOCK_T
             yield pd.DataFrame(list(block.rows(buckets)))
 
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
-    rows = documents.select(
+    rows = text_batches(documents).select(
         F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
         (held_out.cast("int") + 2 * F.col("doc_id").isNull().cast("int")).alias("flag"), "text",
     )
@@ -443,7 +443,8 @@ def score(documents: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES)
     merged = pairs.select("bucket", "words", "sizes", "contexts", "counts").groupBy("bucket").applyInPandas(
         _merge, "bucket int, words binary, sizes binary, contexts binary, counts binary"
     )
-    cells = _written(merged, "cells").repartition(min(buckets, 4 * spark.sparkContext.defaultParallelism), "bucket")
+    tasks = min(buckets, max(4 * spark.sparkContext.defaultParallelism, partitions(spark)))
+    cells = _written(merged, "cells").repartition(tasks, "bucket")
     totals = train(cells, burn_in + samples - 1)
     answers = pairs.select("block", "bucket", "words", "sizes", "contexts").groupBy("bucket").cogroup(
         cells.groupBy("bucket")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm.frames import read, stage
+from stockweave.llm.frames import read, stage, text_batches
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 DIMENSIONS = 1 << 14
@@ -205,7 +205,7 @@ def train(documents: DataFrame, labellers: tuple = LABELLERS, sample: int = SAMP
     labellers. The scorer is trained on a bounded sample: the ``sample`` documents with the
     smallest hashes of doc_id and text.
     """
-    voted = stage(documents.select(
+    voted = stage(text_batches(documents).select(
         "doc_id", F.xxhash64("doc_id", "text").alias("place"), _pattern_column(labellers)("text").alias("pattern")
     ), "votes")
     counted = voted.groupBy("pattern").count().orderBy("pattern").toPandas()
@@ -254,7 +254,7 @@ def classify(documents: DataFrame, model: QualityModel, threshold: float = THRES
     A null, empty or blank text has no word to judge: its quality is 0 and it is not kept, its
     posterior is the share of good texts. Every row stands for itself; other columns are not read.
     """
-    scored = documents.select("doc_id", quality_column(model)("text").alias("scored"))
+    scored = text_batches(documents).select("doc_id", quality_column(model)("text").alias("scored"))
     return scored.select("doc_id", "scored.quality", "scored.posterior", (F.col("scored.quality") >= threshold).alias("kept"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave.llm.components import connected_components
-from stockweave.llm.frames import keep_one_row, read, stage
+from stockweave.llm.frames import keep_one_row, read, stage, text_batches
 
 SHINGLE = 4
 MOST_BITS = 4
@@ -147,7 +147,7 @@ def near_dedup(documents: DataFrame, shingle: int = SHINGLE, most_bits: int = MO
     links like any other. A null doc_id takes part but names no component unless all are null; rows
     with one doc_id are separate documents. Other columns are not read.
     """
-    prints = stage(documents.select("doc_id", fingerprint_column(shingle)("text").alias("fp")), "fingerprints")
+    prints = stage(text_batches(documents).select("doc_id", fingerprint_column(shingle)("text").alias("fp")), "fingerprints")
     distinct = stage(
         prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")), "distinct"
     )

@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm.frames import read
+from stockweave.llm.frames import read, text_batches
 from stockweave.llm.pieces import splitter
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -137,7 +137,7 @@ def count_tokens(documents: DataFrame, limit: int = LIMIT, path: str | None = No
     A null text counts as empty: no bytes, no tokens. Every row stands for itself; other columns
     are not read.
     """
-    counted = documents.select(
+    counted = text_batches(documents).select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         token_count_column(path)("text").alias("n_tokens"),
     )
