@@ -31,7 +31,7 @@ from stockweave.sources.feeds import (
     FeedError,
     FeedSpec,
     UnitStatus,
-    headers,
+    by_header,
     is_file_fault,
     landed_units,
     read_units,
@@ -60,25 +60,31 @@ def stage_feed(
 ) -> tuple[DataFrame | None, dict[str, UnitStatus]]:
     """Parse a feed into a staged table, together with what became of its units.
 
-    All units with one header, as a rule all of the feed, are read in one scan. Files that cannot
-    be read end a required feed, and the units of their header in an optional one; errors of the
-    cluster end the run.
+    All units are read in one scan. Files that cannot be read end a required feed; of an optional
+    one those units are lost whose header the others do not share or whose files are broken. Errors
+    of the cluster end the run.
     """
     landed, missing = landed_units(spark, spec)
     if missing and spec.required:
         raise FeedError(f"{spec.name}: no files for {missing}")
     states = {unit: status_of(spec, unit, "failed", "no files") for unit in missing}
-    staged = []
-    for units in headers(spark, spec, landed).values():
-        if not units:
-            continue
+    if not landed:
+        return None, states
+    staged, groups = [], [landed]
+    while groups:
+        units = groups.pop(0)
         try:
             staged.append(stage(read_units(spark, spec, units), spec.name))
             states |= {unit: status_of(spec, unit, "read") for unit in units}
         except (FeedError, PySparkException, Py4JError) as error:
             if spec.required or not is_file_fault(error):
                 raise
-            states |= {unit: status_of(spec, unit, "failed", error_text(error)) for unit in units}
+            smaller = by_header(spark, spec, units) if len(units) > 1 else []
+            if len(smaller) == 1:
+                smaller = [[unit] for unit in units]
+            groups += smaller
+            if not smaller:
+                states |= {units[0]: status_of(spec, units[0], "failed", error_text(error))}
     return (union(staged) if staged else None), states
 
 

@@ -189,16 +189,38 @@ def _has_files(spark: SparkSession, folder: str) -> bool:
     return any(not f.getPath().getName().startswith(("_", ".")) for f in files.listStatus(path))
 
 
-def headers(spark: SparkSession, spec: FeedSpec, units: list[str]) -> dict[tuple, list[str]]:
-    """Units by the header of their files, for feeds whose columns are chosen by name."""
-    if spec.format != "csv" or isinstance(spec.sku, int) or not spec.stores:
-        return {(): list(units)}
+def _first_file(spark: SparkSession, folder: str) -> str | None:
+    """Any one data file of a folder; the listing stops at it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    found = files.listFiles(path, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            return file.toString()
+    return None
+
+
+def header_of(spark: SparkSession, spec: FeedSpec, folder: str) -> tuple[str, ...]:
+    """Column names of a text feed, from the first line of one of its files."""
+    file = _first_file(spark, folder)
+    if file is None:
+        raise FeedError(f"{spec.name}: no files")
+    options = dict(header=spec.header, escape='"', multiLine=spec.multi_line)
+    return tuple(spark.read.options(**options).csv(file).columns)
+
+
+def by_header(spark: SparkSession, spec: FeedSpec, units: list[str]) -> list[list[str]]:
+    """Units in groups with one header each, for a feed which cannot be read in one scan."""
+    if spec.format != "csv" or not spec.stores:
+        return [[unit] for unit in units]
     found: dict[tuple, list[str]] = {}
     for unit in units:
-        reader = spark.read.option("recursiveFileLookup", True).option("header", True)
-        columns = reader.option("escape", '"').csv(folder_of(spark, spec, unit)).columns
-        found.setdefault(tuple(columns), []).append(unit)
-    return found
+        header = header_of(spark, spec, folder_of(spark, spec, unit))
+        found.setdefault(header, []).append(unit)
+    return list(found.values())
 
 
 def read_table(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
@@ -219,17 +241,16 @@ def read_table(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFra
     else:
         # Columns chosen by name have to stand in the same place in all files; a file with
         # another header is an error. Columns chosen by position may be named at will.
-        reader = (
-            reader.option("header", spec.header)
+        names = header_of(spark, spec, paths[0])
+        cells = [T.StructField(name, T.StringType()) for name in [*names, ODD_ROW]]
+        table = (
+            reader.schema(T.StructType(cells)).option("header", spec.header)
             .option("enforceSchema", isinstance(spec.sku, int))
             .option("multiLine", spec.multi_line)
             .option("escape", '"')
-        )
-        names = reader.csv(paths).columns
-        cells = [T.StructField(name, T.StringType()) for name in [*names, ODD_ROW]]
-        table = (
-            reader.schema(T.StructType(cells)).option("columnNameOfCorruptRecord", ODD_ROW)
-            .option("columnPruning", False).csv(paths)  # else the cells of a row are not counted
+            .option("columnNameOfCorruptRecord", ODD_ROW)
+            .option("columnPruning", False)  # else the cells of a row are not counted
+            .csv(paths)
         )
         wide = _is_wide(F.col(ODD_ROW), len(names))
     _require_files(table, spec)
