@@ -93,6 +93,12 @@ def test_queries_on_a_small_table(spark, tmp_path, reference, counter):
     assert counted == sorted(((i, len((t or "").encode()), n, n > 1024) for (i, t, _), n in zip(rows, lengths)), key=str)
 
 
+def test_decoding_a_column_gives_the_texts_back(spark):
+    made = byte_bpe.tokenize(tables.documents(spark, tables.odd_rows()))
+    back = made.select("text", byte_bpe.decode_column()("token_ids").alias("decoded")).collect()
+    assert all((r.decoded or b"") == (r.text or "").encode() for r in back)
+
+
 def test_empty_tables(spark):
     empty = tables.documents(spark, [])
     assert byte_bpe.tokenize(empty).count() == 0
