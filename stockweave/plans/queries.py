@@ -7,7 +7,6 @@ Queries on sources and sinks land the table as files first and read it with the
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import datetime, timezone
 from functools import reduce
 
