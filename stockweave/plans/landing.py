@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 #: Rows of one landed sheet; a table lands as many of them.
-ROWS_PER_FILE = 2_500
+ROWS_PER_FILE = 4_000
 
 
 def land_sheet(
