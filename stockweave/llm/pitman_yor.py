@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,9 @@ from stockweave.llm.frames import partitions, read, text_batches
 from stockweave.sources.staging import new_path
 
 CONTEXTS = 256  # classes of the token before; one more stands for the start of a text
-BURN_IN, SAMPLES, MOVES = 1, 2, 4
+BURN_IN, SAMPLES = 3, 2  # sweeps left out after the start, and averaged
+EXACT, DENSE = 2048, 4  # see ``reseat``
+GROUPS, GROUP = 16, 1 << 18  # in a sweep of one dish: least number of groups, customers of one at most
 BLOCK_TOKENS = 1 << 21
 BUCKET_BYTES = 16_000_000
 STRENGTH = 1.0
@@ -213,75 +216,141 @@ class Totals:
         return (customers - self.parent_discount * tables + even) / (STRENGTH + all_customers)
 
 
-def reseat(customers: np.ndarray, tables: np.ndarray, opening: np.ndarray, discount: float, rng) -> np.ndarray:
-    """New numbers of tables of many dishes after Gibbs steps on their seating.
+@lru_cache(maxsize=4)
+def _seatings(discount: float) -> np.ndarray:
+    """By customers and tables, up to ``EXACT``: the log of how many ways there are to seat them, each
+    weighted with the product over its tables of (1 - discount) (2 - discount) ... (size - 1 - discount)."""
+    ways = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    ways[1, 1] = 0.0
+    for n in range(2, EXACT + 1):
+        joins = ways[n - 1, 1:n] + np.log(n - 1 - discount * np.arange(1, n))
+        ways[n, 1:n] = np.logaddexp(joins, ways[n - 1, : n - 1])
+        ways[n, n] = ways[n - 1, n - 1]
+    return ways
+
+
+def reseat(
+    customers: np.ndarray, tables: np.ndarray, opening: np.ndarray, discount: float, rng,
+    seats: dict[int, np.ndarray] | None = None,
+) -> np.ndarray:
+    """New numbers of tables of many dishes after all their customers have been seated again.
+
+    ``customers`` and ``tables`` are those of each dish, ``opening`` is the weight of a new table. Of
+    a dish with up to ``EXACT`` customers the number is drawn from its exact distribution, whatever
+    it was. Where more sit already, the next customer changes the weight of t tables by the factor
+    1 - discount t / seated, or opens one with the weight opening / seated; over many customers that
+    leaves each table with the weight (seated / customers) ** discount, and adds a Poisson number of
+    new ones. So a larger dish draws the tables of its first ``EXACT`` customers in the light of all
+    that follow, then the new tables of these. The first ones must be ``DENSE`` times ``opening`` at
+    least; where that is more than ``EXACT``, they get up in groups, each of them once, and sit down
+    again (see ``_sweep``). ``seats`` keeps the sizes of their tables, by dish, between the sweeps.
+    """
+    tables, seats = tables.copy(), {} if seats is None else seats
+    first = np.minimum(customers, np.maximum(EXACT, np.ceil(DENSE * opening))).astype(np.int64)
+    thinned = (first / np.maximum(customers, 1)) ** discount
+    weight = opening * thinned
+    tables[customers == 1] = 1
+    few = np.flatnonzero((first > 1) & (first <= EXACT))
+    few = few[np.argsort(first[few], kind="stable")]
+    sizes, starts = np.unique(first[few], return_index=True)
+    for size, dishes in zip(sizes.tolist(), np.split(few, starts[1:])):
+        ways, step = _seatings(discount)[size, 1 : size + 1], max(1, (1 << 19) // size)
+        for at in range(0, len(dishes), step):
+            some = dishes[at : at + step]
+            chance = ways + np.log(weight[some])[:, None] * np.arange(1, size + 1)
+            chance = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
+            tables[some] = 1 + (chance < rng.random(len(some))[:, None] * chance[:, -1:]).sum(axis=1)
+    for dish in np.flatnonzero(first > EXACT).tolist():
+        seated = _fill(seats.get(dish, np.zeros(0, dtype=np.int64)), int(first[dish]), weight[dish], discount, rng)
+        seats[dish] = _sweep(seated, weight[dish], discount, rng)
+        tables[dish] = len(seats[dish])
+    many = np.flatnonzero(customers > first)
+    tables[many] += rng.poisson(opening[many] / discount * (1 - thinned[many]))
+    return np.minimum(tables, customers)
+
+
+def _fill(seated: np.ndarray, customers: int, opening: float, discount: float, rng) -> np.ndarray:
+    """As many customers as there are now: some leave at random, or new ones sit down."""
+    while (surplus := int(seated.sum()) - customers) > 0:
+        gone = np.minimum(rng.multinomial(surplus, seated / seated.sum()), seated)
+        seated = seated - gone
+        seated = seated[seated > 0]
+    while surplus < 0:
+        more = min(-surplus, GROUP)
+        opens = _openings(int(seated.sum()), len(seated), more, opening, discount, rng)
+        seated = np.concatenate(_sit(seated, opens, discount, rng))
+        surplus += more
+    return seated
+
+
+def _sweep(sizes: np.ndarray, opening: float, discount: float, rng) -> np.ndarray:
+    """The tables of one dish after each customer has got up once, in random groups.
+
+    A group sits down one by one, at a new table with weight ``opening``, else at an old one with
+    weight size - discount. The new seats are taken with the Metropolis-Hastings chance, which
+    makes up for the sums of these weights, so the exact distribution stays as it is.
+    """
+    waiting, moved = sizes, np.zeros_like(sizes)
+    for groups in range(max(GROUPS, -(-int(sizes.sum()) // GROUP)), 0, -1):
+        up = rng.binomial(waiting, 1 / groups)
+        waiting = waiting - up
+        rest, size = waiting + moved, int(up.sum())
+        stays = rest > 0
+        count, used = int(rest.sum()), int(stays.sum())
+        new = _openings(count, used, size, opening, discount, rng)
+        # the way back: where the first customer of each table that is empty now stood in the group
+        empty = up[~stays & (up > 0)]
+        old = np.zeros(size, dtype=bool)
+        if len(empty):
+            places = rng.choice(size, int(empty.sum()), replace=False)
+            old[np.minimum.reduceat(places, np.cumsum(empty) - empty)] = True
+        gain = _log_weights(count, used, new, opening, discount) - _log_weights(count, used, old, opening, discount)
+        if np.log1p(-rng.random()) < gain:
+            joined, opened = _sit(rest[stays], new, discount, rng)
+            waiting = np.append(waiting[stays], np.zeros_like(opened))
+            moved = np.append(joined, opened) - waiting
+        else:
+            moved = moved + up
+    return moved[moved > 0]
+
+
+def _openings(count: int, used: int, more: int, opening: float, discount: float, rng) -> np.ndarray:
+    """Which of the next customers open a table, after ``count`` at ``used`` tables."""
+    drawn, seated = rng.random(more), opening + count + np.arange(more)
+    opens = np.zeros(more, dtype=bool)
+    while True:  # each turn is right for one customer more at least
+        again = drawn * (seated - discount * (used + np.cumsum(opens) - opens)) < opening
+        if (again == opens).all():
+            return opens
+        opens = again
+
+
+def _log_weights(count: int, used: int, opens: np.ndarray, opening: float, discount: float) -> float:
+    before = used + np.cumsum(opens) - opens
+    return float(np.log(opening + count + np.arange(len(opens)) - discount * before).sum())
+
+
+def _sit(sizes: np.ndarray, opens: np.ndarray, discount: float, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the old and of the new tables, after customers who open a table where ``opens`` says so.
 
-    ``customers`` and ``tables`` are those of each dish, ``opening`` is the weight of a new table. The
-    sizes of the tables are first drawn from their distribution given the two numbers. Then up to
-    ``MOVES`` customers of each dish, drawn at random, one after another get up and sit down again:
-    at a new table with weight ``opening``, else at an old one with weight size - discount. A single
-    customer always has one table.
+    The newest table and all older ones form an urn, then the next newest and those older than it.
     """
-    tables = tables.copy()
-    several = np.flatnonzero(customers > 1)
-    if not len(several):
-        return tables
-    count, used, weight = customers[several], tables[several].copy(), opening[several]
-    room = used + MOVES
-    first = np.cumsum(room) - room
-    seats = _draw_sizes(count, used, first, int(room.sum()), discount, rng)
-    full = used.copy()  # places in use, empty tables included
-    for move in range(MOVES):
-        who = np.flatnonzero(count > move)
-        place = _table_of_a_customer(np.cumsum(seats), first[who], count[who], rng)
-        seats[place] -= 1
-        used[who] -= seats[place] == 0
-        left = count[who] - 1
-        opens = rng.random(len(who)) * (weight[who] + left - discount * used[who]) < weight[who]
-        opens |= used[who] == 0
-        new = who[opens]
-        seats[first[new] + full[new]] = 1
-        full[new] += 1
-        used[new] += 1
-        # a seated customer's table is drawn by size, and taken with the chance (size - discount) / size
-        waiting, ends, joined = who[~opens], np.cumsum(seats), []
-        while len(waiting):
-            place = _table_of_a_customer(ends, first[waiting], count[waiting] - 1, rng)
-            sits = rng.random(len(waiting)) * seats[place] < seats[place] - discount
-            joined.append(place[sits])
-            waiting = waiting[~sits]
-        if joined:
-            seats[np.concatenate(joined)] += 1
-    tables[several] = used
-    return tables
-
-
-def _table_of_a_customer(ends: np.ndarray, first: np.ndarray, customers: np.ndarray, rng) -> np.ndarray:
-    """The place of the table of one random customer of each dish; ``ends`` sums up all seats."""
-    before = np.where(first > 0, ends[first - 1], 0)
-    return np.searchsorted(ends, before + rng.integers(0, customers), side="right")
-
-
-def _draw_sizes(customers, tables, first, places, discount, rng) -> np.ndarray:
-    """Sizes of the tables of each dish, given how many: one customer each, the others by an urn."""
-    seats = np.zeros(places, dtype=np.int64)
-    slot = np.arange(int(tables.sum())) - np.repeat(np.cumsum(tables) - tables, tables)
-    at = np.repeat(first, tables) + slot
-    share = np.zeros(places)
-    share[at] = np.maximum(rng.standard_gamma(1 - discount, len(at)), 1e-300)
-    rest = np.cumsum(share[::-1])[::-1]  # of this place and all later ones
-    behind = np.append(rest, 0.0)[first + tables]
-    left, dish = customers - tables, np.arange(len(customers))
-    turn = 0
-    while len(dish):
-        place = first[dish] + turn
-        chance = np.where(tables[dish] == turn + 1, 1.0, share[place] / np.maximum(rest[place] - behind[dish], 1e-300))
-        got = rng.binomial(left[dish], np.clip(chance, 0.0, 1.0))
-        seats[place] = 1 + got
-        left[dish] -= got
-        turn += 1
-        dish = dish[tables[dish] > turn]
-    return seats
+    count, used, places = int(sizes.sum()), len(sizes), np.flatnonzero(opens)
+    opened = np.ones(len(places), dtype=np.int64)
+    older = count + places - discount * (used + np.arange(len(places)))
+    share = np.where(older > 0, rng.beta(1 - discount, np.maximum(older, 1e-300)), 1.0)
+    joining, end = 0, len(opens)
+    for at in range(len(places) - 1, -1, -1):
+        joining += end - int(places[at]) - 1
+        end = int(places[at])
+        here = int(rng.binomial(joining, share[at]))
+        opened[at] += here
+        joining -= here
+    joining += end
+    if used:
+        weight = rng.standard_gamma(sizes - discount)
+        sizes = sizes + rng.multinomial(joining, weight / weight.sum())
+    return sizes, opened
 
 
 def play(cells: Cells, totals: Totals, bucket: int, rounds: int) -> Iterator[tuple]:
@@ -296,14 +365,16 @@ def play(cells: Cells, totals: Totals, bucket: int, rounds: int) -> Iterator[tup
     parent_tables = np.ones(words, dtype=np.int64)
     yield tables, parent_customers, parent_tables
     rng = np.random.default_rng([SEED, bucket])
+    seats, parent_seats = {}, {}
     for at in range(rounds):
         likely = totals.parent(at, parent_customers, parent_tables)
         opening = (STRENGTH + totals.discount * totals.rounds[at][0][cells.contexts]) * likely[cells.owner]
-        tables = reseat(cells.counts, tables, opening, totals.discount, rng)
+        tables = reseat(cells.counts, tables, opening, totals.discount, rng, seats)
         parent_customers = np.bincount(cells.owner, tables, minlength=words).astype(np.int64)
         even = (STRENGTH + totals.parent_discount * totals.rounds[at][2]) / (totals.vocabulary + 1)
         parent_tables = reseat(
-            parent_customers, np.minimum(parent_tables, parent_customers), np.full(words, even), totals.parent_discount, rng
+            parent_customers, np.minimum(parent_tables, parent_customers), np.full(words, even), totals.parent_discount, rng,
+            parent_seats,
         )
         yield tables, parent_customers, parent_tables
 
@@ -430,7 +501,8 @@ def score(documents: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES)
 
     Tokens are the words, A-Z lower-cased, and one end. The model learns from the documents whose
     crc32(doc_id as text) mod 5 is not 1 and scores all: ``score`` is the sum of log10 of the
-    probabilities, each averaged over the last ``samples`` rounds. ``base_score`` is that of single
+    probabilities, each averaged over the last ``samples`` rounds; ``burn_in`` sweeps over all customers
+    come before them. ``base_score`` is that of single
     words with 0.5 added to each count. A null or blank text is an end alone; a null doc_id counts as
     the empty string; rows with one doc_id are separate documents; an empty table gives an empty
     one. Words are told apart by 64-bit hashes.
@@ -445,7 +517,7 @@ def score(documents: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES)
     )
     tasks = min(buckets, max(4 * spark.sparkContext.defaultParallelism, partitions(spark)))
     cells = _written(merged, "cells").repartition(tasks, "bucket")
-    totals = train(cells, burn_in + samples - 1)
+    totals = train(cells, burn_in + samples)
     answers = pairs.select("block", "bucket", "words", "sizes", "contexts").groupBy("bucket").cogroup(
         cells.groupBy("bucket")
     ).applyInPandas(_answer(totals, samples), "block string, bucket int, scores binary, counts binary")

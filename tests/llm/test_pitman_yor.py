@@ -103,6 +103,47 @@ def test_reseating_has_the_right_distribution():
     assert found == pytest.approx(weights / weights.sum(), abs=0.01)
 
 
+def exact_mean(customers, opening, discount):
+    """The mean number of tables of a dish, by its recursion over customers."""
+    chance = np.zeros(3_001)
+    chance[1] = 1.0
+    for n in range(1, customers):
+        chance = chance * (n - discount * np.arange(3_001)).clip(0) + opening * np.append(0, chance[:-1])
+        chance /= chance.sum()
+    return chance @ np.arange(3_001), chance
+
+
+@pytest.mark.parametrize("customers, opening", [(400, 3.0), (1_900, 400.0), (3_000, 0.8), (9_000, 0.1), (6_000, 40.0), (9_000, 300.0)])
+def test_all_customers_of_a_large_dish_are_reseated(customers, opening):
+    """From the start with one table, a few sweeps give the exact distribution of the number of tables."""
+    discount, n = 0.6, 150
+    rng, seats = np.random.default_rng(6), {}
+    mean, chance = exact_mean(customers, opening, discount)
+    deviation = math.sqrt(chance @ (np.arange(3_001) - mean) ** 2)
+    tables_, found = np.ones(n, dtype=np.int64), []
+    for sweep in range(12):
+        tables_ = pitman_yor.reseat(np.full(n, customers), tables_, np.full(n, opening), discount, rng, seats)
+        if sweep >= 4:
+            found.append(tables_)
+    assert np.mean(found) == pytest.approx(mean, abs=0.25 * deviation)
+    assert np.std(found) == pytest.approx(deviation, rel=0.15)
+
+
+def test_a_sweep_in_groups_keeps_the_exact_distribution():
+    """What dishes with very many tables rely on; also when customers come and go between sweeps."""
+    discount, opening, rng, sizes, found = 0.6, 9.0, np.random.default_rng(8), np.array([60]), []
+    mean, chance = exact_mean(60, opening, discount)
+    for sweep in range(4_000):
+        sizes = pitman_yor._sweep(sizes, opening, discount, rng)
+        assert sizes.sum() == 60 and (sizes > 0).all()
+        found.append(len(sizes))
+    assert np.mean(found[100:]) == pytest.approx(mean, abs=0.25)
+    assert np.std(found[100:]) == pytest.approx(math.sqrt(chance @ (np.arange(3_001) - mean) ** 2), rel=0.1)
+    for customers in (20, 300, 1):
+        sizes = pitman_yor._fill(sizes, customers, opening, discount, rng)
+        assert sizes.sum() == customers and (sizes > 0).all()
+
+
 def test_packing_is_exact():
     generator = np.random.default_rng(5)
     for kind in (np.uint8, np.uint16, np.uint32, np.int64, np.uint64, np.float32):
