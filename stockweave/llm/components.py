@@ -33,8 +33,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def _fingerprint(pairs: DataFrame) -> tuple:
-    """The number of edges and a sum over them that does not depend on their order."""
-    mixed = F.xxhash64("a", "b").bitwiseAND(F.lit((1 << 40) - 1))
+    """The number of edges and a sum over them, of any size, that does not depend on their order."""
+    mixed = F.xxhash64("a", "b").cast("decimal(20,0)")
     return tuple(pairs.agg(F.count("*"), F.sum(mixed)).first())
 
 

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import random
 
-from stockweave.llm.components import connected_components
+from pyspark.sql import functions as F
+
+from stockweave.llm.components import _fingerprint, connected_components
 from tests.llm import tables
 
 
@@ -31,3 +33,13 @@ def test_long_paths_stars_loops_and_nulls(spark):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_the_fingerprint_of_many_edges(spark):
+    """Their hashes add up to more than 64 bits; one other edge makes a difference."""
+    n = 17_500_000
+    pairs = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    other = pairs.withColumn("b", F.when(F.col("a") == 5, 0).otherwise(F.col("b")))
+    found = _fingerprint(pairs)
+    assert found[0] == n and found == _fingerprint(pairs.repartition(3))
+    assert found != _fingerprint(other)
