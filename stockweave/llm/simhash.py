@@ -139,14 +139,8 @@ def link(fingerprints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     return connected_components(joined)
 
 
-def near_dedup(documents: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
-    """doc_id, fp (signed) and component_id, one row for each document.
-
-    Documents whose fingerprints differ in at most ``most_bits`` bits are linked; component_id is the
-    smallest doc_id that links reach. Null, empty and blank texts have the fingerprint 0, which
-    links like any other. A null doc_id takes part but names no component unless all are null; rows
-    with one doc_id are separate documents. Other columns are not read.
-    """
+def _labelled(documents: DataFrame, shingle: int, most_bits: int) -> DataFrame:
+    """doc_id, fp, label (one of the fingerprints of the group) and component_id of each document."""
     prints = stage(text_batches(documents).select("doc_id", fingerprint_column(shingle)("text").alias("fp")), "fingerprints")
     distinct = stage(
         prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")), "distinct"
@@ -157,17 +151,29 @@ def near_dedup(documents: DataFrame, shingle: int = SHINGLE, most_bits: int = MO
         .select("fp", "first_id", F.coalesce("component", "fp").alias("label")), "groups",
     )
     names = stage(groups.groupBy("label").agg(F.min("first_id").alias("component_id")), "names")
-    named = stage(groups.join(names, "label").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stage(groups.join(names, "label").select("fp", "label", "component_id"), "named")
+    return prints.join(named, "fp").select("doc_id", "fp", "label", "component_id")
+
+
+def near_dedup(documents: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
+    """doc_id, fp (signed) and component_id, one row for each document.
+
+    Documents whose fingerprints differ in at most ``most_bits`` bits are linked; component_id is the
+    smallest doc_id that links reach. Null, empty and blank texts have the fingerprint 0, which
+    links like any other. A null doc_id takes part but names no component unless all are null; rows
+    with one doc_id are separate documents. Other columns are not read.
+    """
+    return _labelled(documents, shingle, most_bits).drop("label")
 
 
 def kept_documents(documents: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
-    """One row of ``documents``, whole, for each component: that of the smallest doc_id."""
-    found = stage(near_dedup(documents, shingle, most_bits), "near-duplicates")
-    heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    wanted = heads.groupBy("component_id", "doc_id").agg(
-        F.min("fp").alias("fp"), F.count("*").alias("n")
-    ).select("doc_id", "fp", "n")
+    """One row of ``documents``, whole, for each group of linked documents: that of the smallest doc_id,
+    then fingerprint; one without a doc_id only if none has one. Groups that share a doc_id, or have
+    none, each keep their own."""
+    found = _labelled(documents, shingle, most_bits)
+    same = stage(found.groupBy("label", "doc_id", "fp").agg(F.count("*").alias("n")), "near-duplicates")
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "n")).alias("head")
+    wanted = same.groupBy("label").agg(head).select("head.doc_id", "head.fp", "head.n")
     rows = documents.select(F.struct("*").alias("row"), "doc_id", fingerprint_column(shingle)("text").alias("fp"))
     return keep_one_row(rows, ["doc_id", "fp"], stage(wanted, "kept")).select("row.*")
 

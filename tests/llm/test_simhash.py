@@ -94,6 +94,19 @@ def test_kept_documents_are_whole_rows_and_one_for_each_group(spark):
         {fp for _, fp, component in expected if component is None})
 
 
+def test_groups_without_a_number_or_with_the_same_one_keep_a_document_each(spark):
+    generator = random.Random(9)
+    texts = [tables.sentence(generator, 60) for _ in range(7)]
+    rows = [(None, text, "s") for text in texts[:3]] + [(None, texts[0], "s"), (None, None, "s"), (None, "", "s")]
+    rows += [(5, text, "s") for text in texts[3:5]] + [(5, texts[3].upper(), "s")]
+    rows += [(7, texts[5], "s"), (None, texts[5], "s"), (6, texts[5], "s"), (8, texts[6], "s"), (8, texts[6], "s")]
+    kept = simhash.kept_documents(tables.with_clashes(tables.documents(spark, rows))).collect()
+    found = Counter((r.doc_id, (r.text or "").lower()) for r in kept)
+    assert found == Counter(
+        [(None, t) for t in texts[:3]] + [(None, "")] + [(5, t) for t in texts[3:5]] + [(6, texts[5]), (8, texts[6])]
+    )
+
+
 def test_an_empty_table_gives_an_empty_one(spark):
     empty = tables.documents(spark, [])
     assert simhash.near_dedup(empty).count() == 0
