@@ -78,6 +78,11 @@ REFRESH = r"""(?is)\bhttp-equiv\s*=\s*["']?refresh\b"""
 HREF = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 TARGET = r"""(?is)\bcontent\s*=\s*["'][^"'>]*?\burl\s*=\s*([^"'>]+)"""
 
+#: How the tags of pages are read here; ``TARGET`` is left to the SQL.
+CONTENT = r"""(?is)(?<![\w-])content\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
+REDIRECT = r"""(?is)\burl\s*=\s*(?:"([^"]*)|'([^']*)|([^\s"'].*))"""
+QUOTES = (("(?i)&quot;|&#0*34;|&#x0*22;", '"'), ("(?i)&apos;|&#0*39;|&#x0*27;", "'"))
+
 
 def _page_links(pages: DataFrame) -> DataFrame:
     """(url, target) of the canonical links and immediate redirects in the html of ``pages``."""
@@ -85,9 +90,11 @@ def _page_links(pages: DataFrame) -> DataFrame:
         "url", F.explode(F.regexp_extract_all("html", F.lit(TAGS), 0)).alias("tag")
     )
     href = F.concat(*[F.regexp_extract("tag", HREF, group) for group in (1, 2, 3)])
-    target = F.when(F.col("tag").rlike(CANONICAL), href).when(
-        F.col("tag").rlike(REFRESH), F.regexp_extract("tag", TARGET, 1)
-    )
+    content = F.concat(*[F.regexp_extract("tag", CONTENT, group) for group in (1, 2, 3)])
+    for written, quote in QUOTES:
+        content = F.regexp_replace(content, written, quote)
+    redirect = F.concat(*[F.regexp_extract(content, REDIRECT, group) for group in (1, 2, 3)])
+    target = F.when(F.col("tag").rlike(CANONICAL), href).when(F.col("tag").rlike(REFRESH), redirect)
     return tagged.select("url", F.replace(F.trim(target), F.lit("&amp;"), F.lit("&")).alias("target")).filter("target <> ''")
 
 

@@ -50,6 +50,22 @@ def test_blocks_spread_to_aliases_but_not_over_an_explicit_allow(spark):
     assert found[4] == ("www.example.com/en/", "allow")
 
 
+def test_redirects_are_read_with_and_without_quotes(spark):
+    contents = {
+        1: """content="0; url='https://a.b/c'\"""", 2: """content='0; URL="https://a.b/c"'""", 3: 'content="0; url=https://a.b/c"',
+        4: "content='0;url=https://a.b/c'", 5: "content=0;url=https://a.b/c", 6: 'content="0; url = &quot;https://a.b/c&quot;"',
+        7: """content="0; url=' https://a.b/c '; x\"""", 8: """data-content="1" content="0;URL='https://a.b/c\"""",
+        9: 'content="0; url=https://a.b/it\'s?x=1&amp;y=2"', 10: 'content="5"', 11: "content=\"0; url=''\"",
+    }
+    rows = [(f"http://h/{i}", f'<html><head><meta http-equiv="refresh" {c}></head></html>') for i, c in contents.items()]
+    rows.append(("http://h/12", """<meta content="0; url='https://a.b/c'" http-equiv=refresh>"""))
+    found = url_filter._page_links(spark.createDataFrame(rows, "url string, html string")).collect()
+    expected = {f"http://h/{i}": "https://a.b/c" for i in (*range(1, 9), 12)}
+    assert {r.url: r.target for r in found} == expected | {"http://h/9": "https://a.b/it's?x=1&y=2"}
+    pages = [(1, "http://h/1", rows[0][1].replace("https://a.b/c", "http://x.net/es/")), (2, "http://h/2", None)]
+    assert {i: verdict for i, (_, verdict) in verdicts(spark, pages).items()} == {1: "block", 2: "allow"}
+
+
 def test_given_redirects_chain(spark):
     rows = [(i, f"http://h.org/{i}", None) for i in range(30)]
     moved = [(f"http://h.org/{i}", f"/{i + 1}") for i in range(20)] + [("http://h.org/20", "http://x.net/es/"), (None, "http://h.org/25"), ("http://h.org/25", None)]
