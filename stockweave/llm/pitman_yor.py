@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,7 +85,7 @@ class Block:
         self.flags.append(flag)
         self.tokens += len(words)
 
-    def rows(self, buckets: int) -> Iterator[dict]:
+    def rows(self, buckets: int, name: str) -> Iterator[dict]:
         """One row of pairs for each bucket, and the documents as places in the list of pairs."""
         keys = np.array([_word_key(w) for w in self.local], dtype=np.uint64)
         order = np.lexsort((keys, _bucket_of(keys, buckets)))
@@ -103,7 +104,6 @@ class Block:
         owner, contexts = pairs // (CONTEXTS + 1), (pairs % (CONTEXTS + 1)).astype(np.uint16)
         sizes = np.bincount(owner, minlength=len(keys)).astype(np.uint16)
         keys = keys[order]
-        name = f"{self.ids[0]}-{xxhash.xxh64_hexdigest(keys.tobytes() + tokens.tobytes())}"
         empty = dict.fromkeys(("words", "sizes", "contexts", "counts", "ids", "flags", "lengths", "tokens"))
         word_ends = np.searchsorted(_bucket_of(keys, buckets), np.arange(buckets), side="right")
         pair_ends = np.searchsorted(owner, word_ends)
@@ -128,15 +128,15 @@ def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def count_blocks(documents: DataFrame, buckets: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = Block()
+        block, made, task = Block(), 0, TaskContext.get().partitionId()
         for part in parts:
             for doc_id, flag, text in zip(part["doc_id"], part["flag"], part["text"]):
                 block.add(int(doc_id), int(flag), text)
                 if block.tokens >= block_tokens:
-                    yield pd.DataFrame(list(block.rows(buckets)))
-                    block = Block()
+                    yield pd.DataFrame(list(block.rows(buckets, f"{task}-{made}")))
+                    block, made = Block(), made + 1
         if block.ids:
-            yield pd.DataFrame(list(block.rows(buckets)))
+            yield pd.DataFrame(list(block.rows(buckets, f"{task}-{made}")))
 
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
     rows = text_batches(documents).select(

@@ -54,6 +54,16 @@ def test_counts_match_brute_force(spark, monkeypatch, block_tokens):
     assert all(math.isfinite(r.score) and r.score <= 0 for r in found)
 
 
+def test_blocks_that_are_alike_are_told_apart(spark):
+    """A table put together with itself, and one repeated row in every partition."""
+    rows = [(i, text, source) for i, text, source in tables.odd_rows() if i is None or i < 250] + [(400, None, "s"), (401, " ", "s")]
+    for made in (rows, [(400, None, "s")]):
+        once = tables.documents(spark, made)
+        twice = once.union(once)
+        assert twice.rdd.getNumPartitions() == 2 * once.rdd.getNumPartitions()
+        check_counts(made * 2, pitman_yor.score(twice).collect())
+
+
 def test_held_out_texts_are_likelier_than_by_single_words(spark):
     rows = markov(1, 1_500)
     scored = pitman_yor.score(tables.documents(spark, rows)).cache()
