@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 from zlib import crc32
@@ -14,6 +15,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 NO_TEXT = frozenset(
     "script style template noscript svg math iframe object canvas audio video head title select datalist button textarea".split()
 )
+#: What may stand in a head; all else ends it.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 BLOCKS = frozenset(
     "html body main article section nav aside header footer div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead "
     "tbody tfoot tr td th blockquote pre figure figcaption form fieldset legend address details summary center dialog "
@@ -63,6 +66,7 @@ class PageTree(HTMLParser):
         self.blocks = [Block("body", -1)]
         self.open = [0]  # places of the open blocks
         self.silent: list[str] = []  # open elements without text
+        self.inner = Counter()  # blocks open in those
         self.links = 0
         self.has_children = {0: False}
         self.run: int | None = None  # the block that takes the next text
@@ -73,11 +77,16 @@ class PageTree(HTMLParser):
         """Declarations say nothing."""
 
     def handle_starttag(self, tag, attrs):
+        if self.silent == ["head"]:
+            if tag in IN_HEAD:
+                if tag in NO_TEXT and tag != "head":
+                    self.silent.append(tag)
+                return
+            self.silent.clear()
         if self.silent:
             if tag not in VOID and tag == self.silent[-1] and tag not in ("script", "style"):
                 self.silent.append(tag)
-            elif tag == "body" and self.silent == ["head"]:
-                self.silent.clear()
+            self.inner[tag] += tag in BLOCKS
             return
         if tag in VOID:
             if tag in ("br", "hr", "wbr"):
@@ -117,13 +126,23 @@ class PageTree(HTMLParser):
         if self.silent:
             if tag == self.silent[-1]:
                 self.silent.pop()
-            return
+                if not self.silent or self.silent == ["head"]:
+                    self.inner.clear()
+                return
+            if self.inner[tag]:
+                self.inner[tag] -= 1
+                return
+            if tag not in ("head", "body", "html") and all(self.blocks[i].tag != tag for i in self.open[1:]):
+                return
+            self.silent.clear()  # left open in a block that ends here
         if tag == "a":
             self.links = max(0, self.links - 1)
         elif tag in BLOCKS and tag not in ("html", "body"):
             self._end(frozenset([tag]), frozenset(["html"]) if tag != "p" else PARAGRAPH_SCOPE)
 
     def handle_data(self, data):
+        if self.silent == ["head"] and data.strip():
+            self.silent.clear()
         if not self.silent:
             self._add(data, self.links > 0)
 
@@ -158,7 +177,7 @@ class PageTree(HTMLParser):
 def _tokens(attrs) -> frozenset:
     """Words of the class, id and role of an element."""
     named = " ".join(value for name, value in attrs if name in ("class", "id", "role", "itemprop") and value)
-    return frozenset(word.lower() for word in WORDS.findall(named[:1000])) if named else frozenset()
+    return frozenset(word.lower() for word in WORDS.findall(named)) if named else frozenset()
 
 
 TAGS = (
@@ -218,10 +237,10 @@ def features(blocks: list[Block], texts: list[str]) -> np.ndarray:
         size = len(siblings)
         if not size:
             continue
-        tags = [blocks[i].tag for i in siblings]
+        tags = Counter(blocks[i].tag for i in siblings)
         for place, i in enumerate(siblings):
             found[i, 2] = place / size
-            found[i, 3] = tags.count(tags[place]) / size if size <= 64 else 1.0
+            found[i, 3] = tags[blocks[i].tag] / size
             found[i, 18] = np.log1p(chars[siblings[place - 1]]) if place else 0
             found[i, 19] = np.log1p(chars[siblings[place + 1]]) if place + 1 < size else 0
     found[:, 0] = depth

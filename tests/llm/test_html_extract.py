@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from stockweave.llm import boosting, html_extract, html_training
-from stockweave.llm.html_tree import PageTree
+from stockweave.llm.html_tree import PageTree, features
 from tests.llm import tables
 
 PROSE = "The ship left the harbour at dawn, and nobody on the pier knew when it would come back to the town."
@@ -64,6 +64,31 @@ def test_open_elements_end_where_html_ends_them():
     assert [(b.tag, b.text()) for b in blocks if b.text()] == [("li", "a"), ("li", "b"), ("li", "c"), ("p", "de"), ("p", "f"), ("div", "g")]
 
 
+@pytest.mark.parametrize("html, text", [
+    (f"<head><title>T</title><p>{PROSE}", PROSE),
+    (f"<html><head><meta charset=utf-8><title>T</title><style>p {{}}</style><noscript><p>no</p></noscript><article><p>{PROSE}</article>", PROSE),
+    (f"<head><title>T</title>\n<script>x</script>{PROSE}", PROSE), (f"<head><title>T</title></head><body><p>{PROSE}</body>", PROSE),
+    (f"<article><div><button>Share</div><p>{PROSE}</p></article>", PROSE),
+    (f"<article><p>{PROSE}</p><div><svg><path></div><p>{PROSE}</p></article>", f"{PROSE} {PROSE}"),
+    (f"<article><div><template><div>no</div><p>no</template></div><p>{PROSE}</p></article>", PROSE),
+    (f"<article><div><noscript><div>no</div>no</noscript></div><p>{PROSE}</p></article>", PROSE),
+])
+def test_heads_and_silent_elements_end_without_their_tags(model, html, text):
+    assert " ".join(b.text() for b in PageTree(html).blocks if b.text()) == text
+    assert only(html, model) == text
+
+
+def test_long_lists_and_long_attributes_count_in_full(model):
+    parts = [f"<p>{PROSE} Part {i}.</p>" for i in range(100)]
+    blocks = PageTree("<article>" + "".join(parts[:50]) + "<div class=ad>Buy now, cheap.</div>" + "".join(parts[50:]) + "</article>").blocks
+    shares = features(blocks, [b.text() for b in blocks])[:, 3]
+    assert {(b.tag, round(float(share), 4)) for b, share in zip(blocks[2:], shares[2:])} == {("p", round(100 / 101, 4)), ("div", round(1 / 101, 4))}
+    page = "<article>" + "".join(parts[:50]) + "<div class=ad>Buy now, cheap.</div>" + "".join(parts[50:]) + "</article>"
+    assert only(page, model) == " ".join(f"{PROSE} Part {i}." for i in range(100))
+    long = " ".join(["x"] * 600) + " sidebar"
+    assert "sidebar" in PageTree(f'<div class="{long}">a</div>').blocks[1].tokens
+
+
 def test_decoding_never_keeps_below_a_dropped_block(model):
     rng = np.random.default_rng(1)
     for html in html_training.pages(40, 5):
