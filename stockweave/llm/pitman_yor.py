@@ -1,36 +1,37 @@
 """A hierarchical Pitman-Yor language model, trained by Gibbs sampling over the whole corpus.
 
-A token's context is the class (a hash) of the token before it. Each context has a restaurant whose
-customers are the training tokens seen there; all of them share one parent, the restaurant of words
-without context, whose customers are the tables of the others; its base is even over the training
-words and one unknown word.
+A token's context is the token before it, told apart by its 64-bit hash; the first one's is the end
+of the text before. Each context has a restaurant whose customers are the training tokens seen there;
+all of them share one parent, the restaurant of words without context, whose customers are the
+tables of the others; its base is even over the training words and one unknown word.
 
-The work is dealt out twice. Blocks of documents hold the texts, as places in a sorted list of the
-block's different (word, context) pairs. Buckets of words hold all counts of their words, so that
+The work is dealt out three times. Blocks of documents hold the texts, as places in a sorted list of
+the block's different (word, context) pairs. Buckets of words hold all counts of their words, so that
 a word's cells, its row of the parent restaurant and its probability are in one place. What the
-buckets must tell each other is the number of tables of each restaurant, a vector as long as the
-list of contexts. Tables and probabilities are never sent around in training: a sweep depends on
-the counts, the recorded totals and the seed alone, so each round plays the earlier ones again.
+buckets must tell each other is the number of customers and tables of each context: shares of contexts
+add them up over all buckets, and each bucket gets back those of its own contexts. Tables and
+probabilities are never sent around in training: a sweep depends on the counts, the recorded totals
+and the seed alone, so each round plays the earlier ones again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave.llm.frames import partitions, read, text_batches
 from stockweave.sources.staging import new_path
 
-CONTEXTS = 256  # classes of the token before; one more stands for the start of a text
+CONTEXTS = 256  # thousand contexts of buckets in a share, where their totals are added up
 BURN_IN, SAMPLES = 3, 2  # sweeps left out after the start, and averaged
 EXACT, DENSE = 2048, 4  # see ``reseat``
 GROUPS, GROUP = 16, 1 << 18  # in a sweep of one dish: least number of groups, customers of one at most
@@ -53,6 +54,18 @@ def unpack(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Hashes, many of them more than once: each in full once, and their places."""
+    different, places = np.unique(keys, return_inverse=True)
+    listed = pack(different)
+    return len(listed).to_bytes(8, "little") + listed + pack(places.astype(np.uint32))
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(data[:8], "little")
+    return unpack(data[8:end], np.uint64)[unpack(data[end:], np.uint32)]
+
+
 def _word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
@@ -95,15 +108,15 @@ class Block:
         local = np.concatenate(self.texts)
         self.texts.clear()
         context = np.empty(len(local), dtype=np.int64)
-        context[1:] = (keys % np.uint64(CONTEXTS)).astype(np.int64)[local[:-1]]
-        context[np.cumsum(lengths) - lengths] = CONTEXTS
-        codes = rank[local] * (CONTEXTS + 1) + context
+        context[1:] = rank[local[:-1]]
+        context[0] = rank[local[-1]]  # the end of a text, as before every other text
+        codes = rank[local] * len(keys) + context
         training = np.repeat((np.array(self.flags) & 1) == 0, lengths)
         pairs, tokens = np.unique(codes, return_inverse=True)
         counts = np.bincount(tokens[training], minlength=len(pairs)).astype(np.uint32)
-        owner, contexts = pairs // (CONTEXTS + 1), (pairs % (CONTEXTS + 1)).astype(np.uint16)
-        sizes = np.bincount(owner, minlength=len(keys)).astype(np.uint16)
         keys = keys[order]
+        owner, contexts = pairs // len(keys), keys[pairs % len(keys)]
+        sizes = np.bincount(owner, minlength=len(keys)).astype(np.uint32)
         empty = dict.fromkeys(("words", "sizes", "contexts", "counts", "ids", "flags", "lengths", "tokens"))
         word_ends = np.searchsorted(_bucket_of(keys, buckets), np.arange(buckets), side="right")
         pair_ends = np.searchsorted(owner, word_ends)
@@ -112,7 +125,7 @@ class Block:
             if w1 > w0:
                 yield empty | {
                     "block": name, "bucket": bucket, "words": pack(keys[w0:w1]), "sizes": pack(sizes[w0:w1]),
-                    "contexts": pack(contexts[p0:p1]), "counts": pack(counts[p0:p1]),
+                    "contexts": _pack_keys(contexts[p0:p1]), "counts": pack(counts[p0:p1]),
                 }
             w0, p0 = w1, p1
         yield empty | {
@@ -151,42 +164,48 @@ def count_blocks(documents: DataFrame, buckets: int, block_tokens: int = BLOCK_T
 
 @dataclass
 class Cells:
-    """All training counts of a bucket: sorted words, and their cells sorted by (word, context)."""
+    """All training counts of a bucket: sorted words, and their cells sorted by (word, context); contexts
+    are places in ``keys``, the sorted hashes of all that the bucket's words have, held-out ones too."""
 
     words: np.ndarray
     owner: np.ndarray
     contexts: np.ndarray
     counts: np.ndarray
+    keys: np.ndarray | None = None
 
     @property
     def codes(self) -> np.ndarray:
-        return self.owner * (CONTEXTS + 1) + self.contexts
+        return self.owner * len(self.keys) + self.contexts
+
+
+CELLS_SCHEMA = "bucket int, words binary, sizes binary, contexts binary, counts binary, keys binary, n_keys long"
 
 
 def _merge(part: pd.DataFrame) -> pd.DataFrame:
     """The cells of one bucket from the pairs of all blocks; what only held-out texts have is left out."""
     words = [unpack(x, np.uint64) for x in part["words"]]
-    sizes = [unpack(x, np.uint16) for x in part["sizes"]]
+    sizes = [unpack(x, np.uint32) for x in part["sizes"]]
     key = np.concatenate([np.repeat(w, n) for w, n in zip(words, sizes)])
-    context = np.concatenate([unpack(x, np.uint16) for x in part["contexts"]])
+    keys, context = np.unique(np.concatenate([_unpack_keys(x) for x in part["contexts"]]), return_inverse=True)
     count = np.concatenate([unpack(x, np.uint32) for x in part["counts"]]).astype(np.int64)
     seen = count > 0
     key, context, count = key[seen], context[seen], count[seen]
     words, owner = np.unique(key, return_inverse=True)
-    codes, cell = np.unique(owner * (CONTEXTS + 1) + context, return_inverse=True)
+    codes, cell = np.unique(owner * len(keys) + context, return_inverse=True)
     counts = np.bincount(cell, count, minlength=len(codes)).astype(np.int64)
-    sizes = np.bincount(codes // (CONTEXTS + 1), minlength=len(words))
+    sizes = np.bincount(codes // len(keys), minlength=len(words))
     return pd.DataFrame({
-        "bucket": part["bucket"].iloc[:1], "words": [pack(words)], "sizes": [pack(sizes.astype(np.uint16))],
-        "contexts": [pack((codes % (CONTEXTS + 1)).astype(np.uint16))], "counts": [pack(counts)],
+        "bucket": part["bucket"].iloc[:1], "words": [pack(words)], "sizes": [pack(sizes.astype(np.uint32))],
+        "contexts": [pack((codes % len(keys)).astype(np.uint32))], "counts": [pack(counts)],
+        "keys": [pack(keys)], "n_keys": [len(keys)],
     })
 
 
 def _cells(row) -> Cells:
-    sizes = unpack(row["sizes"], np.uint16)
+    sizes = unpack(row["sizes"], np.uint32)
     return Cells(
         unpack(row["words"], np.uint64), np.repeat(np.arange(len(sizes)), sizes),
-        unpack(row["contexts"], np.uint16).astype(np.int64), unpack(row["counts"], np.int64),
+        unpack(row["contexts"], np.uint32).astype(np.int64), unpack(row["counts"], np.int64), unpack(row["keys"], np.uint64),
     )
 
 
@@ -195,8 +214,8 @@ def _cells(row) -> Cells:
 
 @dataclass
 class Totals:
-    """What all buckets share: customers of the contexts and discounts, and for each round the tables
-    of the contexts and the customers and tables of the parent restaurant."""
+    """What a bucket knows of the others: customers of its contexts and the discounts, and for each round
+    the tables of its contexts and the customers and tables of the parent restaurant."""
 
     vocabulary: int
     tokens: int
@@ -382,35 +401,63 @@ def play(cells: Cells, totals: Totals, bucket: int, rounds: int) -> Iterator[tup
 # ---------------------------------------------------------------- training
 
 
-def _sums(cells: DataFrame, of) -> dict[str, int]:
-    """The sums over all buckets of the named numbers that ``of`` gives for a row of cells."""
-    def summed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for row in part.to_dict("records"):
-                found = of(row)
-                yield pd.DataFrame({"name": list(found), "n": [int(n) for n in found.values()]})
-
-    rows = cells.mapInPandas(summed, "name string, n long").groupBy("name").agg(F.sum("n").alias("n")).collect()
-    return {row["name"]: row["n"] for row in rows}
-
-
-def _by_context(found: dict[str, int]) -> np.ndarray:
-    return np.array([found.get(f"u{u}", 0) for u in range(CONTEXTS + 1)], dtype=np.float64)
+PASSED_SCHEMA = "share int, bucket int, keys binary, sums binary, numbers array<long>"
+
+
+def _share_of(keys: np.ndarray, shares: int) -> np.ndarray:
+    return (keys % np.uint64(shares)).astype(np.int64)
+
+
+def _passed(bucket: int, cells: Cells, numbers: tuple, values: np.ndarray, shares: int) -> pd.DataFrame:
+    """What a bucket tells the others: its numbers, and a value for each of its contexts, by share."""
+    sums = np.bincount(cells.contexts, values, minlength=len(cells.keys)).astype(np.int64)
+    share = _share_of(cells.keys, shares)
+    order = np.argsort(share, kind="stable")
+    ends = np.searchsorted(share[order], np.arange(shares + 1))
+    rows = [(-1, bucket, None, None, [int(n) for n in numbers])]
+    for at in range(shares):
+        here = order[ends[at] : ends[at + 1]]
+        if len(here):
+            rows.append((at, bucket, pack(cells.keys[here]), pack(sums[here]), None))
+    return pd.DataFrame(rows, columns=["share", "bucket", "keys", "sums", "numbers"])
+
+
+def _add_up(part: pd.DataFrame) -> pd.DataFrame:
+    """The totals of the contexts of one share, for each bucket in the order of its keys; of share -1 the
+    sums of the numbers."""
+    if part["share"].iloc[0] < 0:
+        numbers = np.sum(part["numbers"].tolist(), axis=0)
+        return pd.DataFrame({"bucket": [-1], "share": [-1], "sums": [None], "numbers": [numbers.tolist()]})
+    sizes, keys, sums = [], [], []
+    for key, summed in zip(part["keys"], part["sums"]):
+        keys.append(unpack(key, np.uint64))
+        sums.append(unpack(summed, np.int64))
+        sizes.append(len(keys[-1]))
+    _, place = np.unique(np.concatenate(keys), return_inverse=True)
+    totals = np.bincount(place, np.concatenate(sums)).astype(np.int64)[place]
+    return pd.DataFrame({
+        "bucket": part["bucket"], "share": part["share"],
+        "sums": [pack(x) for x in np.split(totals, np.cumsum(sizes)[:-1])], "numbers": None,
+    })
 
 
-def _context_sums(cells: Cells, values: np.ndarray) -> dict[str, int]:
-    summed = np.bincount(cells.contexts, values, minlength=CONTEXTS + 1)
-    return {f"u{u}": int(n) for u, n in enumerate(summed) if n}
+def _told(shared: Totals, cells: Cells, history: pd.DataFrame, shares: int) -> Totals:
+    """The totals with the numbers of a bucket's own contexts; round -1 of the history has customers."""
+    order = np.argsort(_share_of(cells.keys, shares), kind="stable")
+    found = {}
+    for at, rows in history.sort_values(["at", "share"]).groupby("at"):
+        found[int(at)] = np.empty(len(order), dtype=np.float64)
+        found[int(at)][order] = np.concatenate([unpack(x, np.int64) for x in rows["sums"]])
+    rounds = [(found[at], customers, tables) for at, (_, customers, tables) in enumerate(shared.rounds)]
+    return replace(shared, customers=found[-1], rounds=rounds)
 
 
-def _first_sums(row) -> dict[str, int]:
-    cells = _cells(row)
+def _first_numbers(cells: Cells) -> tuple:
     different = np.bincount(cells.owner, minlength=len(cells.words))
-    return {
-        "words": len(cells.words), "tokens": cells.counts.sum(),
-        "once": (cells.counts == 1).sum(), "twice": (cells.counts == 2).sum(),
-        "in one": (different == 1).sum(), "in two": (different == 2).sum(),
-    } | _context_sums(cells, cells.counts)
+    return (
+        len(cells.words), cells.counts.sum(), (cells.counts == 1).sum(), (cells.counts == 2).sum(),
+        (different == 1).sum(), (different == 2).sum(),
+    )
 
 
 def _discount(once: int, twice: int) -> float:
@@ -418,36 +465,49 @@ def _discount(once: int, twice: int) -> float:
     return min(max(once / max(once + 2 * twice, 1), 0.1), 0.95)
 
 
-def train(cells: DataFrame, rounds: int) -> Totals:
-    found = _sums(cells, _first_sums)
-    totals = Totals(
-        found.get("words", 0), found.get("tokens", 0), _by_context(found),
-        _discount(found.get("once", 0), found.get("twice", 0)), _discount(found.get("in one", 0), found.get("in two", 0)),
-    )
+def train(cells: DataFrame, rounds: int, shares: int) -> tuple[Totals, DataFrame]:
+    """The totals that are single numbers, and those by context of all rounds, for each bucket."""
+    def told(passed: DataFrame, at: int) -> tuple[list[int], DataFrame]:
+        added = _written(passed.groupBy("share").applyInPandas(
+            _add_up, "bucket int, share int, sums binary, numbers array<long>"
+        ), "totals")
+        numbers = added.filter("share < 0").select("numbers").collect()
+        by_context = added.filter("share >= 0").select(F.lit(at).alias("at"), "bucket", "share", "sums")
+        return numbers[0][0] if numbers else [], by_context
+
+    def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for row in part.to_dict("records"):
+                found = _cells(row)
+                yield _passed(row["bucket"], found, _first_numbers(found), found.counts, shares)
+
+    numbers, history = told(cells.mapInPandas(first, PASSED_SCHEMA), -1)
+    words, tokens, once, twice, in_one, in_two = numbers or [0] * 6
+    totals = Totals(words, tokens, np.zeros(0), _discount(once, twice), _discount(in_one, in_two))
     for done in range(rounds + 1):
-        def of(row, done=done):
-            cells = _cells(row)
-            *_, (tables, customers, parent_tables) = play(cells, totals, row["bucket"], done)
-            return {"customers": customers.sum(), "tables": parent_tables.sum()} | _context_sums(cells, tables)
+        def later(part: pd.DataFrame, past: pd.DataFrame) -> pd.DataFrame:
+            found, bucket = _cells(part.iloc[0]), int(part["bucket"].iloc[0])
+            *_, (tables, customers, parent_tables) = play(found, _told(totals, found, past, shares), bucket, len(totals.rounds))
+            return _passed(bucket, found, (customers.sum(), parent_tables.sum()), tables, shares)
 
-        found = _sums(cells, of)
-        totals.rounds.append((_by_context(found), found.get("customers", 0), found.get("tables", 0)))
-    return totals
+        passed = cells.groupBy("bucket").cogroup(history.groupBy("bucket")).applyInPandas(later, PASSED_SCHEMA)
+        numbers, added = told(passed, done)
+        totals.rounds.append((np.zeros(0), *(numbers or [0, 0])))
+        history = history.unionByName(added)
+    return totals, history
 
 
 # ---------------------------------------------------------------- scoring
 
 
-def _answer(totals: Totals, samples: int):
+def _answer(shared: Totals, samples: int, shares: int):
     """For each block: the mean probability of its pairs in a bucket and the counts of its words."""
-    rounds = range(len(totals.rounds))[-samples:]
+    rounds = range(len(shared.rounds))[-samples:]
 
     def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if known.empty:
-            cells = Cells(*(np.zeros(0, dtype=k) for k in (np.uint64, np.int64, np.int64, np.int64)))
-            bucket = 0
-        else:
-            cells, bucket = _cells(known.iloc[0]), int(known["bucket"].iloc[0])
+        cells, bucket = _cells(known.iloc[0]), int(known["bucket"].iloc[0])
+        past = asked["at"].notna()
+        totals, asked = _told(shared, cells, asked[past], shares), asked[~past]
         tables, likely = np.zeros(len(cells.counts)), []
         for at, (seated, customers, parent_tables) in enumerate(play(cells, totals, bucket, rounds[-1])):
             if at in rounds:
@@ -458,9 +518,9 @@ def _answer(totals: Totals, samples: int):
         codes, made = cells.codes, []
         for row in asked.itertuples(index=False):
             word = _find(cells.words, unpack(row.words, np.uint64))  # the place behind the last: unknown
-            pair_word = np.repeat(word, unpack(row.sizes, np.uint16))
-            context = unpack(row.contexts, np.uint16).astype(np.int64)
-            cell = _find(codes, pair_word * (CONTEXTS + 1) + context)
+            pair_word = np.repeat(word, unpack(row.sizes, np.uint32))
+            context = np.searchsorted(cells.keys, _unpack_keys(row.contexts))
+            cell = _find(codes, pair_word * len(cells.keys) + context)
             chance = np.append(own, 0.0)[cell]
             for at, parent in zip(rounds, likely):
                 chance += totals.openness(at)[context] * parent[pair_word] / len(rounds)
@@ -483,7 +543,7 @@ def _read_scores(totals: Totals):
         row, answers = documents.iloc[0], answers.sort_values("bucket")
         score = np.concatenate([unpack(x, np.float32) for x in answers["scores"]]).astype(np.float64)
         counts = np.concatenate([unpack(x, np.uint32) for x in answers["counts"]]).astype(np.float64)
-        counts = np.repeat(counts, unpack(row["sizes"], np.uint16))
+        counts = np.repeat(counts, unpack(row["sizes"], np.uint32))
         base = np.log10((counts + 0.5) / (totals.tokens + 0.5 * (totals.vocabulary + 1)))
         tokens, lengths = unpack(row["tokens"], np.uint32), unpack(row["lengths"], np.int64)
         starts, flags = np.cumsum(lengths) - lengths, unpack(row["flags"], np.uint8)
@@ -513,14 +573,18 @@ def score(documents: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES)
     blocks = _written(count_blocks(documents, buckets), "blocks")
     pairs, texts = blocks.filter("bucket >= 0"), blocks.filter("bucket < 0")
     merged = pairs.select("bucket", "words", "sizes", "contexts", "counts").groupBy("bucket").applyInPandas(
-        _merge, "bucket int, words binary, sizes binary, contexts binary, counts binary"
+        _merge, CELLS_SCHEMA
     )
     tasks = min(buckets, max(4 * spark.sparkContext.defaultParallelism, partitions(spark)))
-    cells = _written(merged, "cells").repartition(tasks, "bucket")
-    totals = train(cells, burn_in + samples)
-    answers = pairs.select("block", "bucket", "words", "sizes", "contexts").groupBy("bucket").cogroup(
-        cells.groupBy("bucket")
-    ).applyInPandas(_answer(totals, samples), "block string, bucket int, scores binary, counts binary")
+    cells = _written(merged, "cells")
+    shares = max(1, -(-(cells.agg(F.sum("n_keys")).first()[0] or 0) // (CONTEXTS << 10)))
+    # dealt out once for all rounds
+    cells = cells.drop("n_keys").repartition(tasks, "bucket").persist(StorageLevel.DISK_ONLY)
+    totals, history = train(cells, burn_in + samples, shares)
+    asked = pairs.select("block", "bucket", "words", "sizes", "contexts").unionByName(history, allowMissingColumns=True)
+    answers = asked.groupBy("bucket").cogroup(cells.groupBy("bucket")).applyInPandas(
+        _answer(totals, samples, shares), "block string, bucket int, scores binary, counts binary"
+    )
     scored = texts.select("block", "sizes", "ids", "flags", "lengths", "tokens").groupBy("block").cogroup(
         answers.groupBy("block")
     ).applyInPandas(

@@ -76,6 +76,17 @@ def test_held_out_texts_are_likelier_than_by_single_words(spark):
     assert all(again[r.doc_id] == pytest.approx(r.score, abs=1e-6) for r in found)
 
 
+def test_every_word_before_is_a_context_of_its_own(spark, monkeypatch):
+    """2,000 words, each followed by one other: more than any fixed number of classes can tell apart."""
+    monkeypatch.setattr(pitman_yor, "BUCKET_BYTES", 20_000)
+    generator = random.Random(3)
+    rows = [(i, " ".join(f"a{k} b{k}" for k in generator.choices(range(2_000), k=40)), "s") for i in range(1_500)]
+    scored = pitman_yor.score(tables.documents(spark, rows)).cache()
+    check_counts(rows, scored.collect())
+    # the first word of a pair is one of 2,000, the second is certain
+    assert pitman_yor.perplexity(scored) < 1.5 * math.sqrt(2_000)
+
+
 def test_probabilities_of_a_context_add_up_to_one():
     """Over all training words and the unknown one, in every context and for every recorded round."""
     generator = np.random.default_rng(2)
