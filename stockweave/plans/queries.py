@@ -21,7 +21,7 @@ from stockweave.plans.landing import (
     land_depot, land_hq, land_lines, land_products, land_stores, land_vending,
 )
 from stockweave.sources import dimensions, documents, feeds, history
-from stockweave.sources.staging import new_path
+from stockweave.sources.staging import new_path, stage
 
 EVENT_TYPES = ("view", "purchase", "signup", "click", "error")
 ALIASES = {"Brand#1": "CANON-1", "Brand#7": "CANON-7", "Brand#12": "CANON-1"}
@@ -31,6 +31,7 @@ GROUPS = {
 SELECTED = ("B0", "B3", "B5")
 STORES = tuple(f"B{n}" for n in range(8))
 ORD_STEP = 10**18
+SKUS_PER_PART = 1_000
 #: Characters that a store name may hold and a path has to escape.
 ODD_STORE = ": 5% [a]"
 AS_OF = datetime(2024, 1, 31, 18, 30, tzinfo=timezone.utc)
@@ -467,20 +468,32 @@ def snapshot_text_qty(spark, sf_dir):
     return rows.select(F.col("sku").cast("bigint").alias("event_id"), "branch", "qty")
 
 
-def import_documents(spark, sf_dir):
-    """Documents of all days, imported into a history."""
+def daily_documents(spark, sf_dir):
+    """The folder with the documents of all days, each day a folder of parts of limited size."""
     rows = daily_snapshots(spark, sf_dir).groupBy("snapshot_ts", "sku", "item").agg(
         F.map_from_entries(F.collect_list(F.struct("branch", "qty"))).alias("Branch")
     )
+    numbered = stage(serving.number_rows(rows, F.col("snapshot_ts"), F.col("sku")), "daily-skus")
+    days = numbered.groupBy("snapshot_ts").agg(
+        F.min("row_no").alias("first_no"), F.ceil(F.count("*") / SKUS_PER_PART).alias("parts")
+    )
+    part = F.floor((F.col("row_no") - F.col("first_no")) / SKUS_PER_PART) + 1
     entry = F.struct(F.col("item").alias("Item"), F.col("sku").alias("SKU"), "Branch")
-    path, root = new_path(spark, "old-documents"), new_path(spark, "history")
-    rows.groupBy("snapshot_ts").agg(
-        F.to_json(F.struct(F.lit("2024").alias("last_updated"), F.collect_list(entry).alias("inventory")))
-        .alias("value")
-    ).select("value", naming.file_name(F.col("snapshot_ts")).alias("file")).write.partitionBy(
+    parts = numbered.join(days, "snapshot_ts").groupBy("snapshot_ts", part.alias("part"), "parts").agg(
+        F.collect_list(entry).alias("inventory")
+    )
+    body = F.struct(F.lit("2024").alias("last_updated"), "part", "parts", "inventory")
+    path = new_path(spark, "old-documents")
+    parts.select(F.to_json(body).alias("value"), naming.file_name(F.col("snapshot_ts")).alias("file")).write.partitionBy(
         "file"
     ).text(path)
-    documents.import_documents(spark, path, root)
+    return path
+
+
+def import_documents(spark, sf_dir):
+    """Documents of all days, imported into a history."""
+    path, root = daily_documents(spark, sf_dir), new_path(spark, "history")
+    documents.import_documents(spark, path, root, multi_line=False)
     return history.read_history(spark, root).select("snapshot_id", "sku", "branch", "qty")
 
 

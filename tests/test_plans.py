@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +84,19 @@ def test_staging_uses_the_folder_of_the_session(spark):
     staged = staging.stage(spark.range(3).select(F.col("id").alias("n")), "trial")
     assert all(root in path for path in staged.inputFiles())
     assert sorted(row.n for row in staged.collect()) == [0, 1, 2]
+
+
+def test_daily_documents_land_in_parts_of_limited_size(spark, monkeypatch):
+    monkeypatch.setattr(queries, "SKUS_PER_PART", 3)
+    lines = spark.read.text(queries.daily_documents(spark, SF_DIR)).collect()
+    sizes = {}
+    for row in lines:
+        document = json.loads(row.value)
+        assert document["part"] not in sizes.setdefault((row.file, document["parts"]), {})
+        sizes[row.file, document["parts"]][document["part"]] = len(document["inventory"])
+    skus = queries.daily_snapshots(spark, SF_DIR).select("snapshot_ts", "sku").distinct().count()
+    assert sum(sum(parts.values()) for parts in sizes.values()) == skus and len(lines) > len(sizes)
+    for (_, count), parts in sizes.items():
+        assert sorted(parts) == list(range(1, count + 1)) and all(parts[n] == 3 for n in range(1, count))
+    imported = queries.import_documents(spark, SF_DIR)
+    assert imported.count() == queries.daily_snapshots(spark, SF_DIR).count()
