@@ -71,6 +71,47 @@ JUDGED = f"""
         UNION SELECT e.b FROM caught c JOIN edges e ON e.a = c.address)
 """
 
+#: Documents by the letters of the filters they fail, and the 120 orders with their steps.
+AUDITED = r"""
+    docs AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+        FROM documents),
+    label AS (
+        SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+        FROM labels GROUP BY doc_id),
+    failed AS (
+        SELECT d.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic, concat(
+            CASE WHEN len(words) < 200 THEN 'A' END,
+            CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+            CASE WHEN 100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 2 * length(body) THEN 'C' END,
+            CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' END,
+            CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY body) THEN 'E' END) AS fails
+        FROM docs d LEFT JOIN label l ON l.doc_id = d.doc_id),
+    grouped AS (
+        SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM failed GROUP BY ALL),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    steps AS (
+        SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS before
+        FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+    measured AS (
+        SELECT part, filter_order, step, letter,
+               sum(n) FILTER (contains(fails, letter)) AS failing,
+               sum(n) FILTER (fails = letter) AS unique_fails,
+               sum(n) FILTER (first_letter = letter) AS removed,
+               sum(n) FILTER (first_letter <> '' AND contains(before || letter, first_letter)) AS gone,
+               sum(n) AS total,
+               sum(good) FILTER (first_letter = letter) AS good_lost,
+               sum(toxic) FILTER (first_letter = letter) AS toxic_lost
+        FROM (SELECT *, substr(regexp_replace(filter_order, '[^' || fails || '0]', '', 'g'), 1, 1) AS first_letter
+              FROM grouped, steps)
+        GROUP BY ALL)
+"""
+
 ORACLES = {
     "op5_exact_dedup": f"""
         WITH texts AS (SELECT doc_id, {LOWERED.format("coalesce(text, '')")} AS body FROM documents)
@@ -90,4 +131,16 @@ ORACLES = {
                     ELSE 'allow' END AS verdict
         FROM pages p JOIN judged j ON p.url IS NOT DISTINCT FROM j.url
     """,
+    "op11_filter_audit": f"""
+        WITH {AUDITED}
+        SELECT part, filter_order, step,
+               CAST(total - coalesce(gone, 0) AS BIGINT) AS kept,
+               CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+               CAST(coalesce(failing, 0) - coalesce(removed, 0) AS BIGINT) AS redundant,
+               CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+               CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+               CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+               CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+        FROM measured
+    """,
 }

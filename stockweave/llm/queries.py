@@ -5,6 +5,7 @@ from __future__ import annotations
 from stockweave.llm.byte_bpe import op1_byte_bpe
 from stockweave.llm.embeddings import op3_embedding_near_dedup
 from stockweave.llm.exact_dedup import op5_exact_dedup
+from stockweave.llm.filter_audit import op11_filter_audit
 from stockweave.llm.html_extract import op2_html_main_text
 from stockweave.llm.mixing import op7_mix_sources
 from stockweave.llm.pitman_yor import op8_lm_scoring
@@ -18,5 +19,6 @@ QUERIES = {
     for query in (
         op1_byte_bpe, op2_html_main_text, op3_embedding_near_dedup, op4_quality_classifier, op5_exact_dedup,
         op6_url_filter, op7_mix_sources, op8_lm_scoring, op9_token_counts, op10_simhash_near_dedup,
+        op11_filter_audit,
     )
 }

@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+from itertools import permutations
+
+import numpy as np
+import pytest
+
+from stockweave.llm import filter_audit
+from tests.llm import tables
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def failures(rows):
+    """The letters each row (doc_id, text, source) fails, by the definition."""
+    found = []
+    for doc_id, text, _ in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        letters = "A" if len(words) < 200 else ""
+        letters += "B" if 100 * len(set(words)) < 50 * len(words) else ""
+        letters += "C" if 100 * len(re.findall("[A-Z]", text)) > 2 * len(text) else ""
+        letters += "D" if re.search("[#$%&*|]", text) else ""
+        repeats = doc_id is not None and any(i is not None and i < doc_id and (t or "") == text for i, t, _ in rows)
+        found.append(letters + ("E" if repeats else ""))
+    return found
+
+
+def slow_audit(rows, labels):
+    """Every order applied to every document, one after the other."""
+    good = {i for i, quality, _ in labels if quality == 1 and i is not None}
+    toxic = {i for i, _, bad in labels if bad == 1 and i is not None}
+    fails = failures(rows)
+    found = []
+    for part in {source or "" for _, _, source in rows}:
+        members = [(i, f) for (i, _, source), f in zip(rows, fails) if (source or "") == part]
+        shapley, lines = Counter(), []
+        for order in permutations("ABCDE"):
+            left = list(members)
+            for step, letter in enumerate(order, 1):
+                out = [(i, f) for i, f in left if letter in f]
+                left = [(i, f) for i, f in left if letter not in f]
+                shapley[letter] += len(out)
+                lines.append((letter, (
+                    part, "".join(order), step, len(left), len(out), sum(letter in f for _, f in members) - len(out),
+                    sum(f == letter for _, f in members), sum(i in good for i, _ in out), sum(i in toxic for i, _ in out),
+                )))
+        found += [(*line, shapley[letter]) for letter, line in lines]
+    return sorted(found)
+
+
+def mixed_rows():
+    generator = random.Random(4)
+    rows = tables.odd_rows()
+    vocabulary = [a + b for a in tables.WORDS for b in tables.WORDS]
+    for i in range(60):
+        words = [generator.choice(vocabulary) for _ in range(generator.randint(150, 400))]
+        text = " ".join(words) + generator.choice(["", "", " 100%", " a | b"])
+        rows.append((1000 + i, text.upper() if i % 5 == 0 else text, generator.choice(["s0", "hot", None, ""])))
+    rows += [(2000 + i, rows[50 + i][1], "copies") for i in range(30)]
+    labels = [(i, generator.choice([0, 1, None]), generator.choice([0, 0, 1, None])) for i, _, _ in rows if i is not None and i % 3]
+    return rows, [*labels, (1, 1, 1), (1, 0, None), (None, 1, 1), (99_999, 1, 1)]
+
+
+def test_intervals_are_the_first_failing_steps_of_all_orders():
+    orders = list(permutations(range(4)))
+    found = {}
+    for mask, step, first, end in filter_audit.removal_intervals(4):
+        for rank in range(first, end):
+            assert (mask, rank) not in found
+            found[mask, rank] = step
+    assert found == {
+        (mask, rank): next(n for n, f in enumerate(order, 1) if mask >> f & 1)
+        for mask in range(1, 16) for rank, order in enumerate(orders)
+    }
+
+
+def test_every_failing_document_is_removed_once_in_every_order():
+    counts = np.random.default_rng(1).integers(0, 50, (32, 3))
+    found = filter_audit.audit_counts(counts)
+    assert (found["removed"].sum(axis=1) == counts[1:, 0].sum()).all()
+    assert (found["kept"][:, -1] == counts[0, 0]).all()
+    assert found["shapley"][0].sum() == 120 * counts[1:, 0].sum()
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_audit_matches_brute_force(spark, repeated):
+    rows, labels = mixed_rows()
+    rows = rows + rows[40:70] if repeated else rows
+    documents = tables.with_clashes(tables.documents(spark, rows)).repartition(5)
+    marked = tables.with_clashes(spark.createDataFrame(labels, LABELS))
+    found = filter_audit.audit(documents, marked)
+    assert sorted(map(tuple, found.collect())) == slow_audit(rows, labels)
+
+
+def test_an_empty_table_gives_an_empty_one(spark):
+    rows, labels = mixed_rows()
+    empty = spark.createDataFrame([], LABELS)
+    assert filter_audit.audit(tables.documents(spark, []), spark.createDataFrame(labels, LABELS)).count() == 0
+    unlabelled = filter_audit.audit(tables.documents(spark, rows), empty)
+    assert sorted(map(tuple, unlabelled.collect())) == slow_audit(rows, [])

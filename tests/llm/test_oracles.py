@@ -22,28 +22,33 @@ def plain(rows):
     return sorted(map(str, rows))
 
 
-def compare(spark, folder, files, name, table):
+def compare(spark, folder, files, name, tables_read):
     made = QUERIES[name](spark, folder)
     connection = duckdb.connect()
-    connection.execute(f"create view {table} as select * from read_parquet('{folder}/{table}.parquet{files}')")
+    for table in tables_read:
+        connection.execute(f"create view {table} as select * from read_parquet('{folder}/{table}.parquet{files}')")
     cursor = connection.execute(ORACLES[name])
     names = [column[0] for column in cursor.description]
     assert sorted(names) == sorted(made.columns)
     assert plain(map(tuple, made.select(*names).collect())) == plain(cursor.fetchall())
 
 
-@pytest.mark.parametrize(("name", "table"), [("op5_exact_dedup", "documents"), ("op6_url_filter", "pages")])
-def test_queries_match_their_sql(spark, name, table):
-    compare(spark, SF_DIR, "", name, table)
+@pytest.mark.parametrize(("name", "tables_read"), [
+    ("op5_exact_dedup", ["documents"]), ("op6_url_filter", ["pages"]), ("op11_filter_audit", ["documents", "labels"]),
+])
+def test_queries_match_their_sql(spark, name, tables_read):
+    compare(spark, SF_DIR, "", name, tables_read)
 
 
 def test_sql_of_odd_rows(spark, tmp_path):
     tables.documents(spark, tables.odd_rows()).write.parquet(f"{tmp_path}/documents.parquet")
-    compare(spark, str(tmp_path), "/*.parquet", "op5_exact_dedup", "documents")
+    compare(spark, str(tmp_path), "/*.parquet", "op5_exact_dedup", ["documents"])
+    spark.createDataFrame([(i, i % 2, i % 3 - 1) for i in range(0, 310, 2)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    compare(spark, str(tmp_path), "/*.parquet", "op11_filter_audit", ["documents", "labels"])
     spark.createDataFrame(PAGES, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
-    compare(spark, str(tmp_path), "/*.parquet", "op6_url_filter", "pages")
+    compare(spark, str(tmp_path), "/*.parquet", "op6_url_filter", ["pages"])
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 12))
     assert set(ORACLES) <= set(QUERIES)
