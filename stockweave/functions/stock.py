@@ -45,8 +45,9 @@ def search_words(text: str) -> list[str]:
 
 
 def matches_search(text: str, *columns: Column) -> Column:
-    """Every word occurs somewhere in the row, in any case."""
-    row = F.lower(F.concat_ws(" ", *columns))
+    """Every word or phrase occurs in some cell of the row, in any case. Between the cells stands a
+    quote, which neither words nor phrases hold, so nothing is found across two of them."""
+    row = F.lower(F.concat_ws('"', *columns))
     return reduce(
         lambda left, word: left & row.contains(word), search_words(text), F.lit(True)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from stockweave.functions.stock import matches_search, quantity_text, stock_band
+from stockweave.operators.selection import Order, before, equal, rows_between, sort_columns
 from stockweave.sources.staging import stage
 
 
@@ -83,34 +84,24 @@ def number_rows(rows: DataFrame, *order: Column) -> DataFrame:
     )
 
 
-def page(rows: DataFrame, page_no: int, size: int | None, *order: Column) -> DataFrame:
-    """Page ``page_no`` (from 0) in the given total order; ``size`` None shows all rows.
+def page(rows: DataFrame, page_no: int, size: int | None, order: Order) -> DataFrame:
+    """Page ``page_no`` (from 0) of the sorted rows; ``size`` None shows all of them.
 
-    The rows are numbered in parallel and the page is a filter, at every depth alike: a top-k would
-    carry all earlier rows of a far page to one place. To leaf from page to page,
-    :func:`page_after` needs no numbers.
+    The page is selected by counting, at every depth alike: nothing is written, and no more than a
+    few pages' worth of rows are sorted. To leaf from page to page, :func:`page_after` needs no
+    counts.
     """
     if size is None:
-        return rows.orderBy(*order)
-    start = page_no * size
-    wanted = F.col("row_no").between(start + 1, start + size)
-    return number_rows(rows, *order).where(wanted).orderBy("row_no").drop("row_no")
+        return rows.orderBy(*sort_columns(order))
+    return rows_between(rows, page_no * size, size, order)
 
 
-def page_after(
-    rows: DataFrame, size: int, order: Sequence[tuple[str, bool]], last: Sequence | None = None
-) -> DataFrame:
+def page_after(rows: DataFrame, size: int, order: Order, last: Sequence | None = None) -> DataFrame:
     """The ``size`` rows that follow the row with the key ``last``: a top-k of just them.
 
-    ``order`` has the columns of the total order and whether each is descending; ``last`` has their
-    values in the last row of the page before, None for the first page. No column may be NULL.
+    ``order`` has to be total; ``last`` has the values of its columns in the last row of the page
+    before, None for the first page.
     """
-    columns = [F.col(name).desc() if down else F.col(name).asc() for name, down in order]
     if last is not None:
-        behind, level = F.lit(False), F.lit(True)
-        for (name, down), value in zip(order, last, strict=True):
-            value = F.lit(value)
-            behind = behind | (level & (F.col(name) < value if down else F.col(name) > value))
-            level = level & (F.col(name) == value)
-        rows = rows.where(behind)
-    return rows.orderBy(*columns).limit(size)
+        rows = rows.where(~before(order, last) & ~equal(order, last))
+    return rows.orderBy(*sort_columns(order)).limit(size)

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stockweave.fixed_values import PAGE_SIZES
 from stockweave.operators import serving
@@ -47,18 +46,18 @@ def totals(snapshot: DataFrame, view: View) -> DataFrame:
     return serving.rollup(snapshot, view.branches)
 
 
-def order_of(view: View) -> tuple[Column, Column]:
+def order_of(view: View) -> list[tuple[str, bool]]:
     """The chosen column; equal values are in the order of their SKU."""
     if view.order_by not in COLUMNS:
         raise ValueError(f"no column {view.order_by}")
-    chosen = F.col(view.order_by)
-    return (chosen.desc() if view.descending else chosen.asc()), F.col("sku").asc()
+    chosen = (view.order_by, view.descending)
+    return [chosen] if view.order_by == "sku" else [chosen, ("sku", False)]
 
 
 def table(rows: DataFrame, view: View) -> DataFrame:
     """The visible page of the totals, with bands."""
     found = serving.search(rows, view.search, *serving.table_columns())
-    visible = serving.page(found, view.page_no, view.size, *order_of(view))
+    visible = serving.page(found, view.page_no, view.size, order_of(view))
     return serving.with_band(visible)
 
 

@@ -63,10 +63,22 @@ SNAP = f"with {FEED}, {RECONCILE}"
 DIRTY = """
 with dirty as (
   select event_id, event_type,
-         case event_id % 9 when 0 then 'NA' when 1 then '' when 2 then '1,234' when 3 then '5d'
-                           when 4 then '-3' when 5 then '0.5' when 6 then '2.9' when 7 then ' 5 '
-                           else cast(event_id % 50 as varchar) end as qty_text
-  from events)
+         case event_id % 14 when 0 then 'NA' when 1 then '' when 2 then '1,234' when 3 then '5d'
+                            when 4 then '-3' when 5 then '0.5' when 6 then '2.9' when 7 then ' 5 '
+                            when 8 then concat(chr(9), '7') when 9 then concat(chr(160), '8')
+                            when 10 then '๕' when 11 then '1_000' when 12 then '1__0'
+                            else cast(event_id % 50 as varchar) end as qty_text
+  from events),
+-- head office reads ASCII alone, the strict rules all scripts, blanks and single underscores
+plain as (
+  select *, trim(qty_text, concat(' ', chr(9))) as ascii_text,
+         regexp_replace(translate(trim(qty_text, concat(' ', chr(9), chr(160))), '๐๑๒๓๔๕๖๗๘๙', '0123456789'),
+                        '([0-9])_([0-9])', '\\1\\2', 'g') as spelt
+  from dirty),
+counted as (
+  select *, case when regexp_matches(ascii_text, '^[+-]?[0-9]+([.][0-9]*)?$')
+                 then cast(ascii_text as double) else 0 end as hq_qty
+  from plain)
 """
 
 CATALOG = """
@@ -113,9 +125,8 @@ ORACLES = {
                     else 'kept' end as fate
         from events""",
     "hq_sheet": DIRTY + """
-        select event_id, event_type as item,
-               cast(trunc(try_cast(qty_text as double)) as bigint) as qty
-        from dirty where try_cast(qty_text as double) >= 1""",
+        select event_id, event_type as item, cast(trunc(hq_qty) as bigint) as qty
+        from counted where hq_qty >= 1""",
     "depot_sheet": f"""
         select cast(p_partkey as varchar) as item, coalesce(a.canonical, p.p_brand) as sku,
                cast(p_size as bigint) as qty
@@ -135,8 +146,7 @@ ORACLES = {
     "feed_union": f"with {FEED} select phase, ord, item, sku, branch, qty from feed",
     # Cleaning
     "hq_clean": DIRTY + """
-        select event_id, cast(trunc(try_cast(qty_text as double)) as bigint) as qty
-        from dirty where try_cast(qty_text as double) >= 1""",
+        select event_id, cast(trunc(hq_qty) as bigint) as qty from counted where hq_qty >= 1""",
     "depot_clean": """
         select l_orderkey, l_linenumber, l_partkey, l_suppkey,
                cast(trunc(l_quantity) as bigint) as qty from lineitem""",
@@ -145,8 +155,8 @@ ORACLES = {
                case when qty_text in ('', 'NA', 'N/A', 'null', 'None', '#N/A', 'nan', 'NaN')
                     then null else qty_text end as qty_text from dirty""",
     "cast_strict_int": DIRTY + """
-        select event_id, case when regexp_matches(trim(qty_text), '^[+-]?[0-9]+$')
-                              then cast(trim(qty_text) as bigint) end as qty from dirty""",
+        select event_id, case when regexp_matches(spelt, '^[+-]?[0-9]+$')
+                              then cast(spelt as bigint) end as qty from plain""",
     "cast_strict_double": "select event_id, value as qty from events",
     "prefix_until_bad": """
         with m as (select event_id, event_type, value,
@@ -258,6 +268,9 @@ ORACLES = {
     "page_far": SNAP + """
         select sku, round(sum(qty), 2) as qty from snap group by sku order by sku
         limit 30 offset 600""",
+    "page_ties": f"""
+        with {FEED} select ord, cast(floor(qty) as bigint) as qty from feed order by qty desc, ord
+        limit 100 offset 2500""",
     "page_after": SNAP + """
         , totals as (select sku, round(sum(qty), 2) as qty from snap group by sku)
         select sku, qty from totals where qty < 90 or (qty = 90 and sku > '5')

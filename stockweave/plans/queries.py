@@ -105,10 +105,12 @@ def phase_feed(spark: SparkSession, sf_dir: str, phase: int) -> DataFrame:
 def dirty_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantities as they stand in a badly kept sheet."""
     event_id = F.col("event_id")
-    words = ("NA", "", "1,234", "5d", "-3", "0.5", "2.9", " 5 ")
+    words = (
+        "NA", "", "1,234", "5d", "-3", "0.5", "2.9", " 5 ", "\t7", "\u00a08", "๕", "1_000", "1__0",
+    )
     text = (event_id % 50).cast("string")
     for rest, word in enumerate(words):
-        text = F.when(event_id % 9 == rest, word).otherwise(text)
+        text = F.when(event_id % 14 == rest, word).otherwise(text)
     return events(spark, sf_dir).select("event_id", "event_type", text.alias("qty_text"))
 
 
@@ -245,9 +247,16 @@ def hq_sheet(spark, sf_dir):
 
 
 def depot_sheet(spark, sf_dir):
+    """Quantities in the spellings that the strict rules read."""
+    key, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    spelt = (
+        F.when(key % 5 == 1, F.translate(size, "0123456789", "๐๑๒๓๔๕๖๗๘๙"))
+        .when(key % 5 == 2, F.concat(F.lit("\u00a0"), size, F.lit("\u2003")))
+        .when(key % 5 == 3, F.regexp_replace(size, "^([0-9])([0-9])$", "$1_$2.9"))
+        .otherwise(size)
+    )
     rows = table(spark, sf_dir, "part").select(
-        "p_partkey", F.col("p_brand").alias("sku"), F.col("p_partkey").alias("item"),
-        F.col("p_size").alias("qty"),
+        "p_partkey", F.col("p_brand").alias("sku"), key.alias("item"), spelt.alias("qty"),
     )
     path = land_depot(rows, new_path(spark, "depot"), "p_partkey")
     return cleaned(spark, feeds.depot_feed(path, aliases=ALIASES)).select(
@@ -631,12 +640,18 @@ def table_info(spark, sf_dir):
 
 def page_rows(spark, sf_dir):
     totals = all_totals(spark, sf_dir).select("sku", "qty")
-    return serving.page(totals, 1, 30, F.col("sku"))
+    return serving.page(totals, 1, 30, [("sku", False)])
 
 
 def page_far(spark, sf_dir):
     totals = all_totals(spark, sf_dir).select("sku", "qty")
-    return serving.page(totals, 20, 30, F.col("sku"))
+    return serving.page(totals, 20, 30, [("sku", False)])
+
+
+def page_ties(spark, sf_dir):
+    """A page deep among records with equal quantities, which the record's number tells apart."""
+    records = stock_feed(spark, sf_dir).select("ord", F.floor("qty").alias("qty"))
+    return serving.page(records, 25, 100, [("qty", True)])
 
 
 def page_after(spark, sf_dir):
@@ -645,7 +660,7 @@ def page_after(spark, sf_dir):
 
 
 def page_all(spark, sf_dir):
-    return serving.page(all_totals(spark, sf_dir).select("sku", "qty"), 0, None, F.col("sku"))
+    return serving.page(all_totals(spark, sf_dir).select("sku", "qty"), 0, None, [("sku", False)])
 
 
 def number_rows(spark, sf_dir):
@@ -670,6 +685,6 @@ QUERIES: dict[str, Query] = {
         rollup_selected, sink_export, stock_band, stock_dashboard, dashboard_table,
         distinct_branches,
         branch_group, branch_group_table, search_rows, search_table, table_info, page_rows,
-        page_far, page_after, page_all, number_rows,
+        page_far, page_ties, page_after, page_all, number_rows,
     )
 }

@@ -31,7 +31,23 @@ CELLS = [
     ("NaN", 0, None, None),
     ("inf", 0, None, None),
     ("Infinity", 0, None, None),
-    ("1_000", 0, None, None),
+    ("1_000", 0, 1000, 1000),
+    ("1__000", 0, None, None),
+    ("_1", 0, None, None),
+    ("1_", 0, None, None),
+    ("1_0.5_0", 0, None, 10),
+    ("\t5", 5, 5, 5),
+    ("5\r\n", 5, 5, 5),
+    ("\u00a05", 0, 5, 5),
+    ("\u20035\u3000", 0, 5, 5),
+    ("\x1f5", 0, None, None),
+    ("๕", 0, 5, 5),
+    ("-๑๒", 0, -12, -12),
+    ("๑.๙", 0, None, 1),
+    ("𝟝", 0, 5, 5),
+    ("²", 0, None, None),
+    ("5 5", 0, None, None),
+    ("\t", 0, None, None),
     ("1e300", 0, None, None),
     ("99999999999999999999", 0, None, None),
     (None, 0, None, None),
@@ -50,6 +66,19 @@ def test_cells(spark):
     assert [tuple(row)[1:] for row in found] == [row[1:] for row in CELLS]
 
 
+def test_strict_rules_read_what_python_reads(spark):
+    def whole(text):
+        try:
+            return int(text)
+        except (TypeError, ValueError):
+            return None
+
+    rows = spark.createDataFrame([(row[0],) for row in CELLS], "cell string")
+    found = rows.select("cell", casting.strict_int_from_text(F.col("cell")).alias("value")).collect()
+    known = [row for row in found if len(row.cell or "") < 19]
+    assert [row.value for row in known] == [whole(row.cell) for row in known]
+
+
 def test_missing_words(spark):
     words = ["NA", "null", "None", "#N/A", "", "n/a", "nan", "NULL", "<NA>", "kept", "na"]
     rows = spark.createDataFrame([(word,) for word in words], "cell string")
@@ -72,7 +101,7 @@ def test_require_int_raises(spark, cell):
 
 
 def test_required_values(spark):
-    rows = spark.createDataFrame([("3.75",), ("-2",), ("0",)], "cell string")
+    rows = spark.createDataFrame([("3.75",), ("-2",), ("0",), ("\u00a0๔_๒.๕\t",)], "cell string")
     cell = F.col("cell")
     found = rows.select(casting.require_double(cell, "x"), casting.require_int(cell, "x"))
-    assert [tuple(row) for row in found.collect()] == [(3.75, 3), (-2.0, -2), (0.0, 0)]
+    assert [tuple(row) for row in found.collect()] == [(3.75, 3), (-2.0, -2), (0.0, 0), (42.5, 42)]
