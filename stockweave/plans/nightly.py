@@ -25,7 +25,7 @@ from stockweave.operators.prefix import split_at, with_first_bad
 from stockweave.operators.projection import first_ordinals, skip_leading
 from stockweave.operators.reconcile import Reconciliation, reconcile
 from stockweave.schemas import FEED, FEED_STATUS, REJECTS, with_version
-from stockweave.sources import documents, history
+from stockweave.sources import commits, documents, history
 from stockweave.sources.dimensions import small_table
 from stockweave.sources.feeds import (
     FeedError,
@@ -282,5 +282,7 @@ def read_document(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def rebuild_index(spark: SparkSession, root: str) -> None:
+    """Write the index that the log gives, under the number of the last commit it shows."""
+    number = commits.last_number(spark, f"{root}/history/log")
     names = history.snapshot_ids(spark, f"{root}/history")
-    history.write_index(history.catalog(names), f"{root}/index")
+    history.write_index(history.catalog(names), f"{root}/index", number=number)

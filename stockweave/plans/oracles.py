@@ -208,6 +208,9 @@ ORACLES = {
         select i.snapshot_id, d.sku, d.branch, d.qty from daily d join ids i on i.day = d.day""",
     "snapshot_read": SNAP + "select sku, item, branch, qty from snap",
     "sink_latest": SNAP + "select sku, item, branch, qty from snap",
+    "lost_race": SNAP + "select sku, item, branch, qty from snap",
+    "swept_history": DAILY + """
+        select i.snapshot_id, d.sku, d.branch, d.qty from daily d join ids i on i.day = d.day""",
     "sink_history": DAILY + """
         select i.snapshot_id, d.sku, d.branch, d.qty from daily d join ids i on i.day = d.day""",
     "sink_catalog": CATALOG + "select file_name, snapshot_ts from cat order by snapshot_ts desc",

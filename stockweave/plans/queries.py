@@ -20,7 +20,7 @@ from stockweave.plans import dashboard, nightly
 from stockweave.plans.landing import (
     land_depot, land_hq, land_lines, land_products, land_stores, land_vending,
 )
-from stockweave.sources import dimensions, documents, feeds, history
+from stockweave.sources import dimensions, documents, feeds, history, retention
 from stockweave.sources.staging import new_path, stage
 
 EVENT_TYPES = ("view", "purchase", "signup", "click", "error")
@@ -517,6 +517,28 @@ def sink_latest(spark, sf_dir):
     return history.latest_snapshot(spark, root).select("sku", "item", "branch", "qty")
 
 
+def lost_race(spark, sf_dir):
+    """Two runs of one snapshot which both know of no other: the one that commits last replaces the
+    other, with its date, version and count."""
+    root = new_path(spark, "history")
+    stamp = F.lit("2024-02-01 01:30:00").cast("timestamp_ntz")
+    rows = snapshot(spark, sf_dir).withColumn("snapshot_ts", stamp)
+    history.append_snapshots(serving.select_branches(rows, SELECTED), root, seen=0)
+    history.append_snapshots(rows, root, seen=0)
+    return history.latest_snapshot(spark, root).select("sku", "item", "branch", "qty")
+
+
+def swept_history(spark, sf_dir):
+    """All that is left on disk of a history whose days were each written twice."""
+    root = new_path(spark, "history")
+    rows = stage(history.gathered(daily_snapshots(spark, sf_dir)), "daily")
+    history.append_snapshots(rows.where("branch <> 'view'"), root)
+    history.append_snapshots(rows, root)
+    retention.sweep_history(spark, root, grace=0)
+    left = spark.read.schema(history.HISTORY).parquet(f"{root}/rows")
+    return left.select("snapshot_id", "sku", "branch", "qty")
+
+
 def sink_history(spark, sf_dir):
     rows = history.read_history(spark, daily_history(spark, sf_dir))
     return rows.select("snapshot_id", "sku", "branch", "qty")
@@ -679,7 +701,7 @@ QUERIES: dict[str, Query] = {
         item_registry, resolve_by_item, resolve_by_sku, new_sku_entries,
         dropped_sku_name_clash, branch_last_wins, snapshot_reconcile, snapshot_ordered,
         snapshot_nested, explode_branches, nightly_run, rerun_replaces, nightly_document,
-        snapshot_read, snapshot_text_qty, import_documents, sink_latest, sink_history, sink_catalog, snapshot_catalog,
+        snapshot_read, snapshot_text_qty, import_documents, sink_latest, lost_race, swept_history, sink_history, sink_catalog, snapshot_catalog,
         latest_snapshot, snapshot_count, snapshot_at, snapshot_label, snapshot_name,
         last_updated_text, json_roundtrip,
         rollup_selected, sink_export, stock_band, stock_dashboard, dashboard_table,

@@ -85,5 +85,5 @@ PRODUCT_LIST = T.StructType([
 
 def with_version(layout: T.StructType) -> T.StructType:
     """A report as it is kept: by snapshot and version of the run."""
-    keys = [T.StructField(name, T.StringType()) for name in ("snapshot_id", "version")]
+    keys = [T.StructField(name, T.StringType()) for name in ("version", "snapshot_id")]
     return T.StructType([*layout.fields, *keys])

@@ -1,15 +1,16 @@
 """Snapshot history, its catalog and the latest snapshot.
 
-Rows lie below ``rows``, partitioned by date, snapshot and version; every append has a version of its
-own. ``runs`` is a short log with one row per appended snapshot, written last: what it names is
-published. A snapshot is the version that its newest entry names, be it empty, so a rerun replaces
-a snapshot as a whole, a failed run publishes nothing, and readers never see half a write. The
-catalog is read from the log; no data file is listed for it.
+Every append writes its rows below ``rows/version=<version>``, by date and snapshot, and then adds a
+commit to the ``log`` with a line for each snapshot: what it names is published. Commits are numbered
+and created only if absent, so two appends at once get two numbers, and the higher one counts,
+whatever the clocks of their drivers say. A snapshot is the version that its newest entry names, be
+it empty, so a rerun replaces a snapshot as a whole, a failed run publishes nothing, and readers
+never see half a write. The catalog is read from the log; no data file is listed for it.
 """
 
 from __future__ import annotations
 
-import time
+import json
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -20,16 +21,18 @@ from pyspark.sql import types as T
 from stockweave.fixed_values import SNAPSHOT_SUFFIX
 from stockweave.functions import naming
 from stockweave.schemas import SNAPSHOT
+from stockweave.sources import commits
 
 HISTORY = T.StructType(
     SNAPSHOT.fields
     + [
+        T.StructField("version", T.StringType()),
         T.StructField("snapshot_date", T.DateType()),
         T.StructField("snapshot_id", T.StringType()),
-        T.StructField("version", T.StringType()),
     ]
 )
-RUNS = "snapshot_id string, snapshot_date date, version string, n_rows bigint, written_at bigint"
+#: A line of a commit.
+ENTRY = "snapshot_id string, snapshot_date date, version string, n_rows bigint"
 
 
 def new_version() -> str:
@@ -37,31 +40,34 @@ def new_version() -> str:
 
 
 def write_version(rows: DataFrame, path: str, version: str, *partitions: str) -> None:
-    """Write a version of rows beside all earlier ones; it counts once the log names it."""
-    (
-        rows.withColumn("version", F.lit(version))
-        .write.mode("append").partitionBy(*partitions, "version").parquet(path)
-    )
+    """Write a version of rows beside all earlier ones; it counts once the log names it.
+
+    It has a folder of its own, so that writers at the same time do not touch each other's files.
+    """
+    rows.write.partitionBy(*partitions).parquet(f"{path}/version={version}")
 
 
 def append_snapshots(
-    rows: DataFrame, root: str, stamps: DataFrame | None = None, version: str | None = None
-) -> None:
+    rows: DataFrame, root: str, stamps: DataFrame | None = None, version: str | None = None,
+    seen: int | None = None,
+) -> int:
     """Write snapshot rows with their ``snapshot_ts``; there may be several snapshots at once.
 
     ``stamps`` lists the ``snapshot_ts`` of all snapshots, which may include ones without rows.
-    Rows are sorted by branch within a file, which lets a branch filter skip row groups.
+    Rows are sorted by branch within a file, which lets a branch filter skip row groups. ``seen`` is
+    the last commit that the writer knows of, by default the last one there is. Answers the number
+    of the commit; one short line for each snapshot passes through the driver.
     """
-    version = version or new_version()
+    spark, version = rows.sparkSession, version or new_version()
     date, name = F.to_date("snapshot_ts"), naming.snapshot_name(F.col("snapshot_ts"))
     stamped = rows.select(
         *SNAPSHOT.names, date.alias("snapshot_date"), name.alias("snapshot_id")
     ).sortWithinPartitions("snapshot_date", "snapshot_id", "branch", "sku")
     write_version(stamped, f"{root}/rows", version, "snapshot_date", "snapshot_id")
 
-    counts = rows.groupBy(name.alias("snapshot_id"), date.alias("snapshot_date")).agg(
-        F.count("*").alias("n_rows")
-    )
+    # counted from the written files, so that the rows are computed once
+    written = spark.read.schema(HISTORY).parquet(f"{root}/rows/version={version}")
+    counts = written.groupBy("snapshot_id", "snapshot_date").agg(F.count("*").alias("n_rows"))
     if stamps is not None:
         empty = stamps.select(
             name.alias("snapshot_id"), date.alias("snapshot_date"), F.lit(0).alias("n_rows")
@@ -69,11 +75,14 @@ def append_snapshots(
         counts = counts.unionByName(empty).groupBy("snapshot_id", "snapshot_date").agg(
             F.sum("n_rows").alias("n_rows")
         )
-    log = counts.select(
-        "snapshot_id", "snapshot_date", F.lit(version).alias("version"), "n_rows",
-        F.lit(time.time_ns()).alias("written_at"),
-    )
-    log.coalesce(1).write.mode("append").parquet(f"{root}/runs")  # one short row per snapshot
+    lines = [
+        json.dumps({
+            "snapshot_id": row.snapshot_id, "snapshot_date": str(row.snapshot_date),
+            "version": version, "n_rows": row.n_rows,
+        })
+        for row in counts.collect()
+    ]
+    return commits.commit(spark, f"{root}/log", "\n".join(lines) + "\n", seen)
 
 
 def gathered(rows: DataFrame) -> DataFrame:
@@ -84,18 +93,22 @@ def gathered(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", F.col("snapshot_ts"))
 
 
-def published(spark: SparkSession, root: str) -> DataFrame:
-    """The newest log entry of every snapshot."""
+def log_entries(spark: SparkSession, root: str) -> DataFrame:
+    """All lines of the log with the number of their commit."""
+    number = F.substring_index("_metadata.file_name", ".", 1).cast("bigint")
     try:
-        log = spark.read.schema(RUNS).parquet(f"{root}/runs")
+        log = spark.read.schema(ENTRY).option("mode", "FAILFAST").json(f"{root}/log")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], RUNS)
-    newest = [
-        F.max_by(name, "written_at").alias(name) for name in ("snapshot_date", "version", "n_rows")
-    ]
-    return log.groupBy("snapshot_id").agg(*newest)
+        return spark.createDataFrame([], f"{ENTRY}, number bigint")
+    return log.select("*", number.alias("number"))
+
+
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The newest log entry of every snapshot, as a whole."""
+    newest = F.max_by(F.struct("snapshot_date", "version", "n_rows"), "number").alias("newest")
+    return log_entries(spark, root).groupBy("snapshot_id").agg(newest).select("snapshot_id", "newest.*")
 
 
 def published_rows(spark: SparkSession, root: str, table: DataFrame) -> DataFrame:
@@ -166,7 +179,7 @@ def snapshot_at(spark: SparkSession, root: str, name: str) -> DataFrame:
     entry = published(spark, root).where(F.col("snapshot_id") == snapshot_id).first()
     if entry is None or not entry.n_rows:
         return spark.createDataFrame([], SNAPSHOT)
-    folder = f"snapshot_date={entry.snapshot_date}/snapshot_id={snapshot_id}/version={entry.version}"
+    folder = f"version={entry.version}/snapshot_date={entry.snapshot_date}/snapshot_id={snapshot_id}"
     return spark.read.schema(SNAPSHOT).parquet(f"{root}/rows/{folder}")
 
 
@@ -194,22 +207,28 @@ def _json_array(names: Column, indent: int | None) -> Column:
     return F.when(F.size(names) > 0, lines).otherwise(F.lit("[]"))
 
 
-def write_index(catalog_: DataFrame, path: str, indent: int | None = None) -> None:
+def write_index(
+    catalog_: DataFrame, path: str, indent: int | None = None, number: int | None = None
+) -> None:
     """Write the index beside the earlier ones; the one with the highest number counts.
 
-    A write that fails leaves the old index as it is, and a reader never finds none.
+    ``number`` is that of the last commit that the catalog shows: of two writers at once the one that
+    saw more wins, and what is there already stays. Without it, the next free number is taken. The
+    index is one short text by its nature. A write that fails leaves the old index as it is, and a
+    reader never finds half of one.
     """
-    number = F.lit(time.time_ns())
-    text = index_text(catalog_, indent).withColumn("number", number)
-    text.coalesce(1).write.mode("append").partitionBy("number").text(path)
+    text, spark = index_text(catalog_, indent).first()[0], catalog_.sparkSession
+    if number is None:
+        commits.commit(spark, path, text)
+    else:
+        commits.create_if_absent(spark, commits.path_of(path, number), text)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Catalog from the newest index file, in the order of the file."""
+    newest = commits.path_of(path, commits.last_number(spark, path))
     names = F.from_json("value", "array<string>")
-    indexes = spark.read.text(path, wholetext=True)
-    newest = indexes.select(F.max("number")).first()[0]
-    listed = indexes.where(F.col("number") == newest).select(
+    listed = spark.read.text(newest, wholetext=True).select(
         F.posexplode(names).alias("position", "file_name")
     )
     return listed.orderBy("position").select(
