@@ -23,6 +23,10 @@ VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_CHARS = 1 << 21
 #: Characters handed to a tokenizer's library at once.
 CALL_CHARS = 1 << 18
+#: Words whose ids a worker remembers, and the longest of them; a full memo is emptied.
+WORDS_KEPT, LONGEST_KEPT = 1 << 19, 64
+#: Characters that some library takes for white space and Python does not.
+ODD_BLANKS = "\u180e\u200b\ufeff"
 
 PER_DOCUMENT = ["n_a", "n_b", "n_groups", "n_links"]
 BLOCKS = (
@@ -35,10 +39,14 @@ SUMMARY = (
 )
 
 
-def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of all lists in a row, and the length of each."""
-    sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=sizes.sum()), sizes
+def _packed(values, kind: str = "<u4") -> bytes:
+    return np.asarray(values, dtype=np.int64).astype(kind).tobytes()
+
+
+def _flat(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all parts in a row, and how many each has."""
+    sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+    return np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int64), sizes
 
 
 class Aligner:
@@ -61,6 +69,11 @@ class Aligner:
         self.sizes_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
         # of pieces with the same bytes the plain one counts, not the fallback for a byte
         id_of = {x: i for i, x in sorted(enumerate(self.bytes_b), key=lambda e: not self.b.is_byte(e[0]))}
+        # whether blanks in a piece of B stand at its start alone, so that words do not touch
+        self.by_word = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.width_b))
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes] = {}
+        self.lossy: set[str] = set()
         #: The id in B with the bytes of each id in A, or -1.
         self.same = np.array([id_of.get(x, -1) for x in self.bytes_a], dtype=np.int64)
         self.words = np.array(
@@ -87,22 +100,63 @@ class Aligner:
             for i, piece in enumerate(pieces)
         ]
 
-    def encode(self, texts: list[str]) -> tuple[list, list]:
-        """The ids of all texts in A and in B; none for a text that either does not give back."""
+    def _library_ids(self, texts: list[str]) -> tuple[list, list]:
         ids_a, ids_b = [], []
         for part in _by_size(texts, CALL_CHARS):
             encoded = self.a.encode_batch_fast([f" {x}" for x in part], add_special_tokens=False)
             ids_a += [x.ids for x in encoded]
             ids_b += self.b.encode(part, num_threads=1)
-        for i, text in enumerate(texts):
-            plain = f" {text}".encode() if text else None
-            if plain is None or any(
-                b"".join(map(table.__getitem__, ids[i])) != plain
-                for table, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))
-            ):
-                ids_a[i] = ids_b[i] = []
         return ids_a, ids_b
 
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of some words, packed; words that are not given back are noted as lossy."""
+        plain = [f" {word}".encode() for word in words]
+        sizes = np.fromiter(map(len, plain), dtype=np.int64, count=len(plain))
+        for ids, table, widths, known in zip(
+            self._library_ids(words), (self.bytes_a, self.bytes_b), (self.sizes_a, self.sizes_b), (self.known_a, self.known_b)
+        ):
+            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), dtype="<u4", count=counts.sum())
+            ends, packed = counts.cumsum(), flat.tobytes()
+            known.update(zip(words, (packed[4 * start : 4 * end] for start, end in zip((ends - counts).tolist(), ends.tolist()))))
+            given = np.concatenate(([0], widths[flat].cumsum()))[ends]
+            if (given == sizes.cumsum()).all() and b"".join(map(table.__getitem__, flat.tolist())) == b"".join(plain):
+                continue
+            self.lossy.update(
+                word for word, mine, text in zip(words, ids, plain) if b"".join(map(table.__getitem__, mine)) != text
+            )
+        self.lossy.update(word for word in words if not word)
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """The ids of all texts in A and in B, packed; none for a text that either does not give back.
+
+        No token of either reaches over a single blank from one word into the next, so a word's ids
+        are the same wherever it stands, and are remembered. A text with other white space beside a
+        blank, or with the sign that B writes for one, goes to the libraries as a whole.
+        """
+        if len(self.known_a) >= WORDS_KEPT:
+            self.known_a.clear()
+            self.known_b.clear()
+            self.lossy.clear()
+        words = [text.split(" ") if self.by_word else [text] for text in texts]
+        fresh = set().union(*words).difference(self.known_a)
+        tied = {word for word in fresh if not _stands_alone(word)}
+        if tied:
+            words = [part if tied.isdisjoint(part) else [text] for part, text in zip(words, texts)]
+            tied = {part[0] for part in words if len(part) == 1 and not _stands_alone(part[0])}
+            fresh = set().union(*words).difference(self.known_a)
+        self._learn(list(fresh))
+        found_a, found_b = [], []
+        for part in words:
+            kept = part if self.lossy.isdisjoint(part) else []
+            found_a.append(b"".join(map(self.known_a.__getitem__, kept)))
+            found_b.append(b"".join(map(self.known_b.__getitem__, kept)))
+        for word in fresh:
+            if len(word) > LONGEST_KEPT or word in tied:
+                del self.known_a[word], self.known_b[word]
+                self.lossy.discard(word)
+        return found_a, found_b
+
     def align(self, texts: list[str]) -> Alignment:
         return Alignment(self, texts)
 
@@ -153,6 +207,13 @@ class Alignment:
         return ["".join(words[start:end])[:-1] for start, end in zip([0, *ends], ends)]
 
 
+def _stands_alone(word: str) -> bool:
+    """Whether blanks around a word are no part of longer white space."""
+    return bool(word) and "▁" not in word and not (
+        word[0].isspace() or word[-1].isspace() or word[0] in ODD_BLANKS or word[-1] in ODD_BLANKS
+    )
+
+
 def _members(values: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Which of the sorted ``values`` are among the sorted ``others``."""
     if not len(others):
@@ -203,10 +264,6 @@ def align(documents: DataFrame, path_a: str | None = None, path_b: str | None =
     return documents.withColumn("groups", grouped("text"))
 
 
-def _packed(values: np.ndarray, kind: str = "<u4") -> bytes:
-    return np.asarray(values).astype(kind).tobytes()
-
-
 def _block(number: int, held: list[tuple], made: Aligner, same_holders: np.ndarray) -> dict:
     """A block of documents (id, whether it is null, text) as one row of ``BLOCKS``; adds the documents
     that hold an identical pair to the vector ``same_holders``."""

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 from hashlib import sha256
 
@@ -99,6 +100,27 @@ def test_groups_match_the_definition(libraries):
     assert alignment.aligner(*paths).align(texts).groups() == [slow_alignment(libraries, text)[2] for text in texts]
 
 
+def test_words_encode_alike_alone_and_in_texts(libraries, monkeypatch):
+    """Remembered words against whole texts, with a memo that is always full and words too long for it."""
+    generator = random.Random(6)
+    marks = ["a", "Zebra's", "x,", "(1", "ä", "日本", "\n", "\t", " ", "\u00a0", "\u200b", "\x1c", "\x85", "\u180e", "\u3000", "▁", "<s>", "🙂", "don't", "-", "9" * 70]
+    texts = [" ".join(generator.choices(marks, k=generator.randint(1, 12))) for _ in range(3_000)]
+    made = alignment.Aligner(*alignment._paths(None, None))
+    assert made.by_word
+    for kept in (1, alignment.WORDS_KEPT):
+        monkeypatch.setattr(alignment, "WORDS_KEPT", kept)
+        for at in range(0, len(texts), 250):
+            part = texts[at : at + 250]
+            whole = zip(part, *made._library_ids(part))
+            lost = lambda ids, table, text: not text or b"".join(table[i] for i in ids) != f" {text}".encode()
+            expected = [
+                (b"", b"") if lost(a, made.bytes_a, text) or lost(b, made.bytes_b, text)
+                else (alignment._packed(a), alignment._packed(b)) for text, a, b in whole
+            ]
+            assert list(zip(*made.encode(part))) == expected
+    assert made.known_a and max(map(len, made.known_a)) <= alignment.LONGEST_KEPT
+
+
 def test_tokens_of_the_same_bytes_are_mapped(libraries):
     made = alignment.aligner(*alignment._paths(None, None))
     mapped = np.flatnonzero(made.same >= 0)
