@@ -56,14 +56,23 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, repeats: int = MOST_REPE
     targets is reached. ``taken`` is ``size`` times the copies before that end.
 
     Null, empty or blank texts have size 0 and are taken 0 times; a null source is a source of its
-    own; rows with equal doc_id are separate documents; an empty table gives an empty one.
+    own; rows with equal doc_id are separate documents, told apart by their texts in the shuffle;
+    rows that repeat id, source and text each have their own place in the queue. Texts of any length
+    are counted whole; other columns are not read; an empty table gives an empty one.
     """
+    return _queue(documents, weights, repeats, seed).drop("text_hash")
+
+
+def _queue(documents: DataFrame, weights: tuple, repeats: int, seed: int) -> DataFrame:
+    """The result of ``mix`` with a hash of the text."""
     sized = stage(
-        documents.select("doc_id", "source", word_count().alias("size"))
-        .withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "size")), "sizes",
+        documents.select("doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("text_hash"))
+        .withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "text_hash"))
+        # parts rows that are alike, of which it does not matter which comes first
+        .withColumn("tie", F.monotonically_increasing_id()), "sizes",
     )
     aims = stage(targets(sized, weights, repeats), "targets")
-    queued = running_sum(sized, ["source"], ["place", "doc_id", "size"], "size", "sent")
+    queued = running_sum(sized, ["source"], ["place", "doc_id", "size", "text_hash", "tie"], "size", "sent")
     queued = stage(
         queued.alias("q").join(aims.alias("t"), F.col("q.source").eqNullSafe(F.col("t.source")))
         .select("q.*", "source_size", "target"), "queues",
@@ -71,7 +80,9 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, repeats: int = MOST_REPE
     end = _end_of_mix(queued, repeats)
     copies = sum((F.when(_finish(F.lit(copy)) <= end, 1).otherwise(0) for copy in range(repeats)), F.lit(0))
     taken = F.when((F.col("size") > 0) & (F.col("target") > 0), copies * F.col("size")).otherwise(0)
-    return queued.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return queued.select(
+        "doc_id", "source", "text_hash", "size", "source_size", "target", taken.cast("long").alias("taken")
+    )
 
 
 def _finish(copy):
@@ -90,22 +101,37 @@ def _end_of_mix(queued: DataFrame, repeats: int):
     return F.lit(end if end is not None else -1.0)
 
 
-def mixed_documents(documents: DataFrame, **options) -> DataFrame:
+def mixed_documents(
+    documents: DataFrame, weights: tuple = WEIGHTS, repeats: int = MOST_REPEATS, seed: int = SEED
+) -> DataFrame:
     """The documents of the mix, each as often as it is taken; columns as in ``documents``.
 
-    Rows with one doc_id, source and size are interchangeable to ``mix``; here each of them is
-    repeated as often as the first one of them is.
+    Rows with one id, source and text share what the mix takes of them all, evenly to within one
+    copy, whatever their other columns hold. Rows without words, and empty tables, give no rows.
     """
-    plan = mix(documents, **options).filter("taken > 0").groupBy("doc_id", "source", "size").agg(
-        F.max((F.col("taken") / F.col("size")).cast("int")).alias("copies")
-    )
-    rows = documents.select(F.struct("*").alias("row"), "doc_id", "source", word_count().alias("size"))
-    same = F.lit(True)
-    for name in ("doc_id", "source", "size"):
-        same = same & F.col(f"r.{name}").eqNullSafe(F.col(f"p.{name}"))
-    repeated = rows.alias("r").join(plan.alias("p"), same).select(
-        "row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+    key = ["doc_id", "source", "text_hash"]
+    plan = stage(
+        _queue(documents, weights, repeats, seed).groupBy(*key).agg(
+            F.count("*").alias("rows"), F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).cast("long")).alias("copies")
+        ).filter("copies > 0"), "copies",
     )
+    rows = documents.select(F.struct("*").alias("row"), "doc_id", "source", F.xxhash64("text").alias("text_hash"))
+
+    def planned(part: DataFrame) -> DataFrame:
+        same = F.lit(True)
+        for name in key:
+            same = same & F.col(f"r.{name}").eqNullSafe(F.col(f"p.{name}"))
+        return rows.alias("r").join(part.alias("p"), same).select("r.*", "p.rows", "p.copies")
+
+    single = planned(plan.filter("rows = 1")).select("row", "copies")
+    # rows that share a key are numbered over ranges, which cut through a key of many rows
+    shared = stage(planned(plan.filter("rows > 1")), "shared").withColumns({
+        "tie": F.monotonically_increasing_id(), "one": F.lit(1),
+    })
+    numbered = running_sum(shared, key, ["tie"], "one", "number")
+    share = F.expr("copies DIV rows") + F.when(F.col("number") <= F.col("copies") % F.col("rows"), 1).otherwise(0)
+    shared = numbered.select("row", share.alias("copies")).filter("copies > 0")
+    repeated = single.unionByName(shared).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return repeated.select("row.*")
 
 

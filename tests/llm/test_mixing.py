@@ -78,6 +78,40 @@ def test_the_documents_of_the_mix_are_repeated_as_often_as_taken(spark):
     assert Counter(r.doc_id for r in made.collect()) == Counter({i: n for i, n in plan.items() if n})
 
 
+def words_by_text(rows):
+    return Counter(row.text for row in rows)
+
+
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: 7, lambda i: i % 3])
+def test_rows_that_share_an_id_are_mixed_as_planned(spark, ids):
+    """Unlike rows without id or with the same one, of equal sizes, beside another source."""
+    generator = random.Random(11)
+    rows = [(ids(i), tables.sentence(generator, 10), "a") for i in range(200)]
+    rows += [(10_000 + i, tables.sentence(generator, 10), "b") for i in range(100)]
+    table = tables.with_clashes(tables.documents(spark, rows)).repartition(5)
+    plan = mixing.mix(table).collect()
+    taken, expected, largest = check(rows, plan)
+    made = mixing.mixed_documents(table).collect()
+    words = defaultdict(int)
+    for row in made:
+        words[row.source] += size_of(row.text)
+    assert words == {source: n for source, n in taken.items() if n}
+    assert all(abs(taken[s] - expected[s]) <= 2 * largest[s] for s in expected)
+    assert max(words_by_text(made).values()) <= 3
+    assert words_by_text(made) == words_by_text(mixing.mixed_documents(table.repartition(3)).collect())
+
+
+def test_repeated_rows_share_their_copies(spark):
+    """Rows alike in id, source and text, which differ in another column."""
+    text = "one two three"
+    rows = [(1, text, f"l{i}", "a", None) for i in range(90)] + [(i, f"{text} {i}", "x", "b", None) for i in range(40)]
+    table = spark.createDataFrame(rows, tables.SCHEMA).repartition(4)
+    plan = sum(r.taken // r.size for r in mixing.mix(table).collect() if r.doc_id == 1 and r.source == "a")
+    made = Counter(r.lang for r in mixing.mixed_documents(table).collect() if r.source == "a")
+    assert sum(made.values()) == plan > 90
+    assert max(made.values()) - min(made.values()) <= 1 and len(made) == 90
+
+
 def test_empty_and_wordless_tables(spark):
     assert mixing.mix(tables.documents(spark, [])).count() == 0
     assert mixing.mixed_documents(tables.documents(spark, [])).count() == 0
