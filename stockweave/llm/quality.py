@@ -110,7 +110,7 @@ def features(text: str | None, found: dict[str, float] | None) -> tuple[np.ndarr
     if found is None:
         return np.zeros(0, dtype=np.int32), np.zeros(0)
     shapes = Counter(RUNS.sub(rb"\1", text.encode().translate(KINDS)).split())
-    places = [crc32(shape[:64]) % DIMENSIONS for shape in shapes]
+    places = [crc32(shape) % DIMENSIONS for shape in shapes]
     values = [(n / found["words"]) ** 0.5 for n in shapes.values()]
     for name, value in found.items():
         tenth = int(min(value, 1) * 10) if name not in ("words", "length") else int(np.log2(value + 1))

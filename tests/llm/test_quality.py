@@ -82,3 +82,10 @@ def test_an_empty_table_gives_an_empty_one(spark):
     empty = tables.documents(spark, [])
     assert quality.classify(empty, quality.train(empty.select("doc_id", "text"))).count() == 0
     assert quality.kept_documents(empty).count() == 0
+
+
+def test_long_word_shapes_are_told_apart():
+    """Shapes alike in their first hundred letters and unlike after, as features."""
+    start = "aA" * 60
+    places = [quality.features(text, quality.describe(text))[0] for text in (f"{start}0", f"{start}-", f"{start}0")]
+    assert places[0][0] != places[1][0] and places[0][0] == places[2][0]
