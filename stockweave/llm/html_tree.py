@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 from zlib import crc32
@@ -65,6 +65,7 @@ class PageTree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks = [Block("body", -1)]
         self.open = [0]  # places of the open blocks
+        self.levels: dict[str, list[int]] = defaultdict(list)  # where in ``open`` those of a tag stand
         self.silent: list[str] = []  # open elements without text
         self.inner = Counter()  # blocks open in those
         self.links = 0
@@ -115,6 +116,7 @@ class PageTree(HTMLParser):
         parent = self.open[-1]
         marked = dict(attrs).get(LABEL)
         self.blocks.append(Block(tag, parent, _tokens(attrs), None if marked is None else marked == "1"))
+        self.levels[tag].append(len(self.open))
         self.open.append(len(self.blocks) - 1)
         self.has_children[parent], self.has_children[self.open[-1]] = True, False
         self.run = None
@@ -132,7 +134,7 @@ class PageTree(HTMLParser):
             if self.inner[tag]:
                 self.inner[tag] -= 1
                 return
-            if tag not in ("head", "body", "html") and all(self.blocks[i].tag != tag for i in self.open[1:]):
+            if tag not in ("head", "body", "html") and not self.levels[tag]:
                 return
             self.silent.clear()  # left open in a block that ends here
         if tag == "a":
@@ -148,14 +150,15 @@ class PageTree(HTMLParser):
 
     def _end(self, tags: frozenset, scope: frozenset) -> None:
         """Close the innermost open block of these tags, and all in it, unless it lies behind the scope."""
-        for level in range(len(self.open) - 1, 0, -1):
-            tag = self.blocks[self.open[level]].tag
-            if tag in tags:
-                del self.open[level:]
-                self.run, self.links = None, 0
-                return
-            if tag in scope:
-                return
+        level, border = (
+            max((self.levels[tag][-1] for tag in some if self.levels[tag]), default=0) for some in (tags, scope)
+        )
+        if level <= border:
+            return
+        for place in self.open[level:]:
+            self.levels[self.blocks[place].tag].pop()
+        del self.open[level:]
+        self.run, self.links = None, 0
 
     def _add(self, text: str, linked: bool) -> None:
         if self.run is None:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -115,3 +116,11 @@ def test_rows(spark, model):
     assert sorted(((r.page_id, r.url, r.text, r.n_chars) for r in found), key=str) == sorted(
         ((i, u, PROSE if h == page else "", len(PROSE) if h == page else 0) for i, u, h in rows), key=str)
     assert html_extract.extract_pages(table.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("part", ["<div>", "<p><td>", "<p>a", "<div><span>", "<li>", "<table><tr><td>", "</div><p>", "<script></div>"])
+def test_deep_and_long_pages_are_parsed_in_linear_time(part):
+    start = time.perf_counter()
+    tree = PageTree("<p><td>" + part * (1_000_000 // len(part)) + "the end")
+    assert "the end" in tree.blocks[-1].text() or part.startswith("<script")
+    assert time.perf_counter() - start < 30
