@@ -9,7 +9,8 @@ The work is dealt out three times. Blocks of documents hold the texts, as places
 the block's different (word, context) pairs. Buckets of words hold all counts of their words, so that
 a word's cells, its row of the parent restaurant and its probability are in one place. What the
 buckets must tell each other is the number of customers and tables of each context: shares of contexts
-add them up over all buckets, and each bucket gets back those of its own contexts. Tables and
+add them up over all buckets, and each bucket gets back those of its own contexts. Which contexts a
+bucket has it tells once; from then on it sends their numbers alone. Tables and
 probabilities are never sent around in training: a sweep depends on the counts, the recorded totals
 and the seed alone, so each round plays the earlier ones again.
 """
@@ -402,14 +403,18 @@ def play(cells: Cells, totals: Totals, bucket: int, rounds: int) -> Iterator[tup
 
 
 PASSED_SCHEMA = "share int, bucket int, keys binary, sums binary, numbers array<long>"
+ADDED_SCHEMA = "share int, bucket int, sums binary, places binary, numbers array<long>"
 
 
 def _share_of(keys: np.ndarray, shares: int) -> np.ndarray:
     return (keys % np.uint64(shares)).astype(np.int64)
 
 
-def _passed(bucket: int, cells: Cells, numbers: tuple, values: np.ndarray, shares: int) -> pd.DataFrame:
-    """What a bucket tells the others: its numbers, and a value for each of its contexts, by share."""
+def _passed(
+    bucket: int, cells: Cells, numbers: tuple, values: np.ndarray, shares: int, with_keys: bool = False
+) -> pd.DataFrame:
+    """What a bucket tells the others: its numbers, and a value for each of its contexts, by share. The
+    keys of the contexts are told once; later the values stand in the same order."""
     sums = np.bincount(cells.contexts, values, minlength=len(cells.keys)).astype(np.int64)
     share = _share_of(cells.keys, shares)
     order = np.argsort(share, kind="stable")
@@ -418,26 +423,45 @@ def _passed(bucket: int, cells: Cells, numbers: tuple, values: np.ndarray, share
     for at in range(shares):
         here = order[ends[at] : ends[at + 1]]
         if len(here):
-            rows.append((at, bucket, pack(cells.keys[here]), pack(sums[here]), None))
+            rows.append((at, bucket, pack(cells.keys[here]) if with_keys else None, pack(sums[here]), None))
     return pd.DataFrame(rows, columns=["share", "bucket", "keys", "sums", "numbers"])
 
 
-def _add_up(part: pd.DataFrame) -> pd.DataFrame:
-    """The totals of the contexts of one share, for each bucket in the order of its keys; of share -1 the
-    sums of the numbers."""
+def _sum_of_numbers(part: pd.DataFrame) -> pd.DataFrame:
+    numbers = np.sum(part["numbers"].tolist(), axis=0)
+    return pd.DataFrame({"share": [-1], "bucket": [-1], "sums": [None], "places": [None], "numbers": [numbers.tolist()]})
+
+
+def _summed(places: list[np.ndarray], sums: list[np.ndarray]) -> list[bytes]:
+    """For each bucket the totals of its contexts, of which ``places`` are the numbers in the share."""
+    totals = np.bincount(np.concatenate(places), np.concatenate(sums)).astype(np.int64)
+    return [pack(totals[place]) for place in places]
+
+
+def _place_contexts(part: pd.DataFrame) -> pd.DataFrame:
+    """The first totals of one share, and which of its contexts each bucket has: numbers in the order of
+    the keys, so the steps between them are small. Of share -1 the sums of the numbers."""
     if part["share"].iloc[0] < 0:
-        numbers = np.sum(part["numbers"].tolist(), axis=0)
-        return pd.DataFrame({"bucket": [-1], "share": [-1], "sums": [None], "numbers": [numbers.tolist()]})
-    sizes, keys, sums = [], [], []
-    for key, summed in zip(part["keys"], part["sums"]):
-        keys.append(unpack(key, np.uint64))
-        sums.append(unpack(summed, np.int64))
-        sizes.append(len(keys[-1]))
+        return _sum_of_numbers(part)
+    keys = [unpack(key, np.uint64) for key in part["keys"]]
     _, place = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(place, np.concatenate(sums)).astype(np.int64)[place]
+    places = np.split(place, np.cumsum([len(key) for key in keys])[:-1])
     return pd.DataFrame({
-        "bucket": part["bucket"], "share": part["share"],
-        "sums": [pack(x) for x in np.split(totals, np.cumsum(sizes)[:-1])], "numbers": None,
+        "share": part["share"], "bucket": part["bucket"],
+        "sums": _summed(places, [unpack(x, np.int64) for x in part["sums"]]),
+        "places": [pack(np.diff(x, prepend=0).astype(np.uint32)) for x in places], "numbers": None,
+    })
+
+
+def _add_up(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    """The totals of one share in a later round; ``known`` has the places of its buckets."""
+    if part.empty or part["share"].iloc[0] < 0:
+        return _sum_of_numbers(part)
+    steps = dict(zip(known["bucket"], known["places"]))
+    places = [np.cumsum(unpack(steps[bucket], np.uint32), dtype=np.int64) for bucket in part["bucket"]]
+    return pd.DataFrame({
+        "share": part["share"], "bucket": part["bucket"],
+        "sums": _summed(places, [unpack(x, np.int64) for x in part["sums"]]), "places": None, "numbers": None,
     })
 
 
@@ -467,21 +491,24 @@ def _discount(once: int, twice: int) -> float:
 
 def train(cells: DataFrame, rounds: int, shares: int) -> tuple[Totals, DataFrame]:
     """The totals that are single numbers, and those by context of all rounds, for each bucket."""
-    def told(passed: DataFrame, at: int) -> tuple[list[int], DataFrame]:
-        added = _written(passed.groupBy("share").applyInPandas(
-            _add_up, "bucket int, share int, sums binary, numbers array<long>"
-        ), "totals")
+    spark = cells.sparkSession
+
+    def told(summed: DataFrame, at: int) -> tuple[list[int], DataFrame]:
+        added = _written(summed, "totals")
         numbers = added.filter("share < 0").select("numbers").collect()
-        by_context = added.filter("share >= 0").select(F.lit(at).alias("at"), "bucket", "share", "sums")
-        return numbers[0][0] if numbers else [], by_context
+        spark._jvm.System.gc()  # lets Spark remove the shuffle files of what is written now
+        return numbers[0][0] if numbers else [], added.filter("share >= 0").withColumn("at", F.lit(at))
 
     def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for row in part.to_dict("records"):
                 found = _cells(row)
-                yield _passed(row["bucket"], found, _first_numbers(found), found.counts, shares)
+                yield _passed(row["bucket"], found, _first_numbers(found), found.counts, shares, with_keys=True)
 
-    numbers, history = told(cells.mapInPandas(first, PASSED_SCHEMA), -1)
+    passed = cells.mapInPandas(first, PASSED_SCHEMA).groupBy("share")
+    numbers, history = told(passed.applyInPandas(_place_contexts, ADDED_SCHEMA), -1)
+    places = history.select("share", "bucket", "places")
+    history = history.select("at", "bucket", "share", "sums")
     words, tokens, once, twice, in_one, in_two = numbers or [0] * 6
     totals = Totals(words, tokens, np.zeros(0), _discount(once, twice), _discount(in_one, in_two))
     for done in range(rounds + 1):
@@ -491,9 +518,10 @@ def train(cells: DataFrame, rounds: int, shares: int) -> tuple[Totals, DataFrame
             return _passed(bucket, found, (customers.sum(), parent_tables.sum()), tables, shares)
 
         passed = cells.groupBy("bucket").cogroup(history.groupBy("bucket")).applyInPandas(later, PASSED_SCHEMA)
-        numbers, added = told(passed, done)
+        passed = passed.select("share", "bucket", "sums", "numbers").groupBy("share")
+        numbers, added = told(passed.cogroup(places.groupBy("share")).applyInPandas(_add_up, ADDED_SCHEMA), done)
         totals.rounds.append((np.zeros(0), *(numbers or [0, 0])))
-        history = history.unionByName(added)
+        history = history.unionByName(added.select("at", "bucket", "share", "sums"))
     return totals, history
 
 
@@ -577,6 +605,7 @@ def score(documents: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES)
     )
     tasks = min(buckets, max(4 * spark.sparkContext.defaultParallelism, partitions(spark)))
     cells = _written(merged, "cells")
+    spark._jvm.System.gc()  # see ``train``
     shares = max(1, -(-(cells.agg(F.sum("n_keys")).first()[0] or 0) // (CONTEXTS << 10)))
     # dealt out once for all rounds
     cells = cells.drop("n_keys").repartition(tasks, "bucket").persist(StorageLevel.DISK_ONLY)
