@@ -34,25 +34,33 @@ def skip_rows(df: DataFrame, n: int, ord_: str) -> DataFrame:
     return df.where(F.col(ord_) > cut.scalar())
 
 
-def first_ordinals(df: DataFrame, ord_: str, *units: str) -> DataFrame:
-    """The smallest ordinal of every unit, staged: an aggregation with partial results, no rows are
-    sorted."""
-    keys = [F.col(name).alias(f"_{name}") for name in units]
-    return stage(df.groupBy(*keys).agg(F.min(ord_).alias("_start")), "row-offset")
-
-
-def skip_leading(
-    df: DataFrame, n: int, ord_: str, starts: DataFrame, *units: str
-) -> DataFrame:
-    """Drop the first ``n`` rows of every unit whose ordinals start with ``n`` neighbouring ones.
+def leading_cuts(df: DataFrame, n: Column, ord_: str, *units: str) -> DataFrame:
+    """The ordinal of the ``n``-th row of every unit, staged; of a unit with fewer rows, the last one's.
 
-    So do the rows of a landed file, as long as its first block holds ``n`` rows. The cut is then the
-    unit's first ordinal, from :func:`first_ordinals`, plus ``n``.
+    ``n`` may differ by unit. Each round finds the smallest ordinal behind the last cut, an
+    aggregation with partial results: no rows are sorted, and it does not matter how the rows are
+    dealt to files, blocks or tasks.
     """
-    if n <= 0:
-        return df
+    keys = [F.col(name).alias(f"_{name}") for name in units]
+    rows = df.select(*keys, F.col(ord_).alias("_ord"), n.alias("_n")).where("_n > 0")
+    names = [f"_{name}" for name in units]
+    cuts = stage(rows.groupBy(*names).agg(F.min("_ord").alias("_cut"), F.max("_n").alias("_n")), "row-offset")
+    done, most = 1, cuts.agg(F.max("_n")).first()[0] or 0
+    while done < most:
+        behind = rows.drop("_n").join(cuts.where(F.col("_n") > done), names).where("_ord > _cut")
+        following = behind.groupBy(*names).agg(F.min("_ord").alias("_next"))
+        cuts = stage(
+            cuts.join(following, names, "left").select(*names, F.coalesce("_next", "_cut").alias("_cut"), "_n"),
+            "row-offset",
+        )
+        done += 1
+    return cuts.drop("_n")
+
+
+def skip_leading(df: DataFrame, cuts: DataFrame, ord_: str, *units: str) -> DataFrame:
+    """The rows of every unit behind its cut, from :func:`leading_cuts`."""
     same = F.lit(True)
     for name in units:
         same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    kept = df.join(starts, same).where(F.col(ord_) >= F.col("_start") + n)
-    return kept.drop("_start", *[f"_{name}" for name in units])
+    kept = df.join(cuts, same).where(F.col(ord_) > F.col("_cut"))
+    return kept.drop("_cut", *[f"_{name}" for name in units])

@@ -58,11 +58,25 @@ def digest(feed: DataFrame) -> DataFrame:
     )
 
 
+def merged_digest(parts: DataFrame) -> DataFrame:
+    """One digest of many, whose rows may share keys."""
+    return parts.groupBy("phase", "item", "sku", "branch").agg(
+        F.min("first_ord").alias("first_ord"),
+        F.max("last_ord").alias("last_ord"),
+        F.max_by("qty", "last_ord").alias("qty"),
+    )
+
+
 def first_records(feed: DataFrame) -> DataFrame:
     """First item-phase record of every item: the first of each SKU, and the first of those."""
     by_sku = item_records(feed).groupBy("item", "sku").agg(
         F.min("ord").alias("ord"), F.min("phase").alias("phase")
     )
+    return first_of_items(by_sku)
+
+
+def first_of_items(by_sku: DataFrame) -> DataFrame:
+    """The first record of every item, from the first ones of each SKU (item, sku, ord, phase)."""
     return by_sku.groupBy("item").agg(
         F.min_by("sku", "ord").alias("sku"),
         F.min("ord").alias("ord"),
@@ -188,8 +202,13 @@ class Reconciliation:
 
 def reconcile(feed: DataFrame) -> Reconciliation:
     """Reduce a clean feed to its entries; see the module text for the rules."""
-    digested = stage(digest(feed), "digest")
-    firsts = stage(first_records(feed), "first-records")
+    return reconcile_reduced(feed, digest(feed), first_records(feed))
+
+
+def reconcile_reduced(feed: DataFrame, digested: DataFrame, firsts: DataFrame) -> Reconciliation:
+    """The entries of a feed whose digest and first records are known. The feed itself is read only
+    for questions to single records."""
+    digested, firsts = stage(digested, "digest"), stage(firsts, "first-records")
     heads = stage(sku_heads(digested, firsts), "sku-heads")
     entries = stage(item_entries(firsts, heads), "entries")
     return Reconciliation(feed, digested, firsts, heads, entries)

@@ -45,8 +45,9 @@ def no_cells(count: int) -> list[Column]:
     return [F.lit(None).cast("string").alias(f"n{n}") for n in range(count)]
 
 
-def land_stores(stock: DataFrame, path: str) -> str:
-    """Store tables; ``stock`` has event_id, store, item, sku, qty."""
+def land_stores(stock: DataFrame, path: str, mode: str = "error") -> str:
+    """Store tables; ``stock`` has event_id, store, item, sku, qty. Mode ``overwrite`` lands the stores
+    in ``stock`` again and leaves the others as they are."""
     (
         stock.select(
             F.col("store").alias("branch"), "event_id", F.col("item").alias("Item"),
@@ -55,7 +56,8 @@ def land_stores(stock: DataFrame, path: str) -> str:
         .repartitionByRange("branch", "event_id")
         .sortWithinPartitions("branch", "event_id")
         .withColumnRenamed("event_id", "No.")
-        .write.partitionBy("branch").option("header", True).csv(path)
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        .partitionBy("branch").option("header", True).csv(path)
     )
     return path
 

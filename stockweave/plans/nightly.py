@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from stockweave.fixed_values import SNAPSHOT_SUFFIX
 from stockweave.functions import naming
 from stockweave.operators.prefix import split_at, with_first_bad
-from stockweave.operators.projection import first_ordinals, skip_leading
+from stockweave.operators.projection import leading_cuts, skip_leading
 from stockweave.operators.reconcile import Reconciliation, reconcile
 from stockweave.schemas import FEED, FEED_STATUS, REJECTS, with_version
 from stockweave.sources import commits, documents, history
@@ -74,7 +74,7 @@ def stage_feed(
     while groups:
         units = groups.pop(0)
         try:
-            staged.append(stage(read_units(spark, spec, units), spec.name))
+            staged.append(stage(read_units(spark, spec, units, landed), spec.name))
             states |= {unit: status_of(spec, unit, "read") for unit in units}
         except (FeedError, PySparkException, Py4JError) as error:
             if spec.required or not is_file_fault(error):
@@ -96,11 +96,11 @@ def error_text(error: Exception) -> str:
 def without_lead(staged: Sequence[tuple[FeedSpec, DataFrame]]) -> list[DataFrame]:
     """The rows of each feed without those its files start with, and without empty ones if they are
     to be dropped."""
-    leading = [parsed for spec, parsed in staged if spec.skip_rows]
-    starts = first_ordinals(union(leading), "ord", "phase", "file") if leading else None
+    leading = [parsed.withColumn("n", F.lit(spec.skip_rows)) for spec, parsed in staged if spec.skip_rows]
+    cuts = leading_cuts(union(leading), F.col("n"), "ord", "phase", "file") if leading else None
     tables = []
     for spec, parsed in staged:
-        rows = skip_leading(parsed, spec.skip_rows, "ord", starts, "phase", "file")
+        rows = skip_leading(parsed, cuts, "ord", "phase", "file") if spec.skip_rows else parsed
         tables.append(rows.where(~F.col("empty") | F.col("wide")) if spec.drop_empty else rows)
     return tables
 
@@ -214,10 +214,13 @@ def local_timestamp(as_of: datetime) -> Column:
 
 def run(
     spark: SparkSession, specs: Sequence[FeedSpec], root: str, as_of: datetime,
-    skus_per_document: int = documents.SKUS_PER_DOCUMENT,
+    skus_per_document: int = documents.SKUS_PER_DOCUMENT, incremental: bool = False,
 ) -> None:
     """One nightly run at ``as_of`` (an aware time).
 
+    An ``incremental`` run keeps what it knows of each landed file below ``root``, and reads only files
+    which are new or changed since the last one; its result is the same.
+
     Writes ``rejects``, ``feed_status``, ``documents`` and ``history`` below ``root``, all under one
     version, which the history's log publishes at last; a rerun replaces all four. The index is
     rebuilt from the log even if the run fails. Snapshot names without a time, which the index
@@ -226,9 +229,14 @@ def run(
     try:
         with scope(spark):
             version = history.new_version()
-            clean = read_feeds(spark, specs)
             stamp = local_timestamp(as_of)
-            reconciled = reconcile(clean.records)
+            if incremental:
+                from stockweave.plans.incremental import read_known  # which builds on this module
+
+                clean, reconciled = read_known(spark, specs, f"{root}/state")
+            else:
+                clean = read_feeds(spark, specs)
+                reconciled = reconcile(clean.records)
             names = unnamed_documents(spark, root)
             for name, table in (
                 ("rejects", all_rejects(clean, reconciled).unionByName(names)),

@@ -190,6 +190,7 @@ ORACLES = {
         from snap group by sku, item""",
     "explode_branches": SNAP + "select sku, item, branch, qty from snap",
     "nightly_run": f"with {LANDED_FEED}, {RECONCILE} select sku, item, branch, qty from snap",
+    "mended_run": f"with {LANDED_FEED}, {RECONCILE} select sku, item, branch, qty from snap",
     "rerun_replaces": """
         select cast(event_id as varchar) as sku, event_type as branch, trunc(value) as qty
         from events""",

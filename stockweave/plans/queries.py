@@ -391,29 +391,39 @@ def explode_branches(spark, sf_dir):
     return reconcile.explode_branches(reconcile.nested(snapshot(spark, sf_dir)))
 
 
-def nightly_run(spark, sf_dir):
-    """All five feeds landed as files, one whole run, the latest snapshot read back."""
+def landed_feeds(spark, sf_dir) -> list[feeds.FeedSpec]:
+    """All five feeds landed as files."""
     by_phase = {phase: phase_rows(spark, sf_dir, phase) for phase in range(1, 6)}
-    specs = [
-        feeds.pos_feed(
-            land_stores(
-                by_phase[1].withColumn("store", F.col("branch")), new_path(spark, "stores")
-            ),
-            STORES,
-        ),
-        feeds.api_feed(
-            land_products(
-                by_phase[2].withColumn("stock", F.col("qty").cast("string")),
-                new_path(spark, "products"),
-            ),
-            multi_line=False,
-        ),
+    products = by_phase[2].withColumn("stock", F.col("qty").cast("string"))
+    return [
+        feeds.pos_feed(land_stores(store_rows(by_phase[1]), new_path(spark, "stores")), STORES),
+        feeds.api_feed(land_products(products, new_path(spark, "products")), multi_line=False),
         feeds.vend_feed(land_vending(by_phase[3], new_path(spark, "vending"))),
         feeds.hq_feed(land_hq(by_phase[4], new_path(spark, "hq"))),
         feeds.depot_feed(land_depot(by_phase[5], new_path(spark, "depot"))),
     ]
+
+
+def store_rows(stock: DataFrame) -> DataFrame:
+    return stock.withColumn("store", F.col("branch"))
+
+
+def nightly_run(spark, sf_dir):
+    """All five feeds landed as files, one whole run, the latest snapshot read back."""
     root = new_path(spark, "run")
-    nightly.run(spark, specs, root, AS_OF)
+    nightly.run(spark, landed_feeds(spark, sf_dir), root, AS_OF)
+    latest = history.latest_snapshot(spark, f"{root}/history")
+    return latest.select("sku", "item", "branch", "qty")
+
+
+def mended_run(spark, sf_dir):
+    """A run with one store broken, and an incremental one after it has landed again."""
+    specs, root = landed_feeds(spark, sf_dir), new_path(spark, "run")
+    store = store_rows(phase_rows(spark, sf_dir, 1)).where(F.col("branch") == STORES[3])
+    broken = store.withColumn("qty", F.when(F.col("event_id") % 5 != 0, F.col("qty").cast("string")).otherwise("?"))
+    for rows in (broken, store):
+        land_stores(rows, specs[0].path, mode="overwrite")
+        nightly.run(spark, specs, root, AS_OF, incremental=True)
     latest = history.latest_snapshot(spark, f"{root}/history")
     return latest.select("sku", "item", "branch", "qty")
 
@@ -700,7 +710,7 @@ QUERIES: dict[str, Query] = {
         prefix_until_bad, sku_alias_map,
         item_registry, resolve_by_item, resolve_by_sku, new_sku_entries,
         dropped_sku_name_clash, branch_last_wins, snapshot_reconcile, snapshot_ordered,
-        snapshot_nested, explode_branches, nightly_run, rerun_replaces, nightly_document,
+        snapshot_nested, explode_branches, nightly_run, mended_run, rerun_replaces, nightly_document,
         snapshot_read, snapshot_text_qty, import_documents, sink_latest, lost_race, swept_history, sink_history, sink_catalog, snapshot_catalog,
         latest_snapshot, snapshot_count, snapshot_at, snapshot_label, snapshot_name,
         last_updated_text, json_roundtrip,

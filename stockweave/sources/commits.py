@@ -23,6 +23,11 @@ def _files(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _files(spark, path)
+    return files.exists(where)
+
+
 def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file as a whole, unless there is one of that name; says whether it did.
 

@@ -4,13 +4,16 @@ A feed is a folder or file which some other job has fetched. The readers tag eve
 phase, unit (the part of a feed which stands or falls together) and ordinal, and type the quantity
 by the feed's rule. They drop nothing: what to skip or reject is decided on the staged rows.
 
-Text files are split like any other, so a cell must not hold a line break unless the spec says so
-(``multi_line``); then a file is one task. A row with more cells than its header is marked ``wide``:
+Text files are split like any other. A cell must not hold a line break unless the spec says so
+(``multi_line``); then what ends a record is found by a scan over all blocks of the file, and so are the
+entries of a product list that is one document. A row with more cells than its header is marked ``wide``:
 its cells may stand in the wrong columns. A shorter row lacks its last cells.
 """
 
 from __future__ import annotations
 
+import csv
+import json
 import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
@@ -30,14 +33,19 @@ from stockweave.operators.lookup import canonical_sku
 from stockweave.operators.projection import quoted
 from stockweave.schemas import PARSED, PRODUCT_LIST
 from stockweave.sources.dimensions import alias_table, small_table
+from stockweave.sources.splitting import MalformedDocument, csv_records, json_elements
+from stockweave.sources.staging import stage
 
 
 #: What the text of an error names if the files, and not the cluster, are at fault.
 FILE_FAULTS = (
-    "CSV header does not conform", "MALFORMED_RECORD", "MALFORMED_CSV_RECORD", "PATH_NOT_FOUND",
+    "CSV header does not conform", "Number of column in CSV header is not equal",
+    "MALFORMED_RECORD", "MALFORMED_CSV_RECORD", "PATH_NOT_FOUND",
     "UNABLE_TO_INFER_SCHEMA", "CANNOT_MERGE_SCHEMAS", "PARQUET_COLUMN_DATA_TYPE_MISMATCH",
     "is not a Parquet file",
 )
+#: Under which key a product list stands.
+LIST_KEY = "list"
 #: Holds the text of a row whose cells do not match the header.
 ODD_ROW = "_odd_row"
 
@@ -77,6 +85,17 @@ class FeedSpec:
     aliases: Mapping[str, str] = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class LandedFile:
+    """A file of a unit, as the storage lists it."""
+
+    unit: str
+    uri: str
+    path: str
+    size: int
+    changed: int
+
+
 @dataclass(frozen=True)
 class UnitStatus:
     feed: str
@@ -203,13 +222,40 @@ def _first_file(spark: SparkSession, folder: str) -> str | None:
     return None
 
 
+def landed_files(spark: SparkSession, spec: FeedSpec, units: list[str]) -> list[LandedFile]:
+    """The data files of units in reading order; the listing holds no data."""
+    found = []
+    for unit in units:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(folder_of(spark, spec, unit))
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            continue
+        listed, of_unit = files.listFiles(folder, True), []
+        base = len(files.makeQualified(folder).toUri().getPath())
+        while listed.hasNext():
+            status = listed.next()
+            path = status.getPath()
+            below = path.toUri().getPath()[base:].split("/")
+            if not any(part.startswith(("_", ".")) for part in below):
+                of_unit.append(LandedFile(
+                    unit, path.toUri().toString(), path.toString(), status.getLen(), status.getModificationTime()
+                ))
+        found += sorted(of_unit, key=lambda file: file.uri)
+    return found
+
+
+def _literal(path: str) -> str:
+    """A path as a pattern that fits just itself."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def header_of(spark: SparkSession, spec: FeedSpec, folder: str) -> tuple[str, ...]:
     """Column names of a text feed, from the first line of one of its files."""
     file = _first_file(spark, folder)
     if file is None:
         raise FeedError(f"{spec.name}: no files")
     options = dict(header=spec.header, escape='"', multiLine=spec.multi_line)
-    return tuple(spark.read.options(**options).csv(file).columns)
+    return tuple(spark.read.options(**options).csv(_literal(file)).columns)
 
 
 def by_header(spark: SparkSession, spec: FeedSpec, units: list[str]) -> list[list[str]]:
@@ -223,30 +269,48 @@ def by_header(spark: SparkSession, spec: FeedSpec, units: list[str]) -> list[lis
     return list(found.values())
 
 
-def read_table(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFrame:
+def layout_of(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> tuple[str, ...]:
+    """What the reader takes from the files before it reads them: the header of a text feed, the merged
+    schema of Parquet files."""
+    if spec.format == "csv":
+        return header_of(spark, spec, paths[0])
+    if spec.format == "parquet":
+        paths = [_literal(path) for path in paths]
+        merged = spark.read.option("recursiveFileLookup", True).option("mergeSchema", len(paths) > 1).parquet(*paths)
+        return (merged.schema.json(),)
+    return ()
+
+
+def read_table(
+    spark: SparkSession, spec: FeedSpec, paths: list[str], layout: tuple[str, ...] | None = None
+) -> DataFrame:
     """A landed table: ``_path``, ``_position``, ``_wide`` and then its own columns, text still as
-    text."""
+    text. ``layout`` is that of :func:`layout_of` if the paths are but a part of the feed."""
+    if spec.multi_line and spec.format != "parquet":
+        return _read_split(spark, spec, paths, layout)
     reader = spark.read.option("recursiveFileLookup", True)
     position, wide = text_position, F.lit(False)
     if spec.format == "parquet":
-        table = reader.option("mergeSchema", len(paths) > 1).parquet(*paths)
+        if layout is None:
+            reader = reader.option("mergeSchema", len(paths) > 1)
+        else:
+            reader = reader.schema(T.StructType.fromJson(json.loads(layout[0])))
+        table = reader.parquet(*paths)
         position = parquet_position
     elif spec.format == "json":
         documents = (
-            reader.schema(PRODUCT_LIST).option("multiLine", spec.multi_line)
-            .option("mode", "FAILFAST").json(paths)
+            reader.schema(PRODUCT_LIST).option("mode", "FAILFAST").json(paths)
         )
         _require_files(documents, spec)
         table = documents.select("_metadata", F.inline("list"))
     else:
         # Columns chosen by name have to stand in the same place in all files; a file with
         # another header is an error. Columns chosen by position may be named at will.
-        names = header_of(spark, spec, paths[0])
+        names = header_of(spark, spec, paths[0]) if layout is None else layout
         cells = [T.StructField(name, T.StringType()) for name in [*names, ODD_ROW]]
         table = (
             reader.schema(T.StructType(cells)).option("header", spec.header)
             .option("enforceSchema", isinstance(spec.sku, int))
-            .option("multiLine", spec.multi_line)
             .option("escape", '"')
             .option("columnNameOfCorruptRecord", ODD_ROW)
             .option("columnPruning", False)  # else the cells of a row are not counted
@@ -265,6 +329,49 @@ def read_table(spark: SparkSession, spec: FeedSpec, paths: list[str]) -> DataFra
     )
 
 
+def _read_split(
+    spark: SparkSession, spec: FeedSpec, paths: list[str], layout: tuple[str, ...] | None
+) -> DataFrame:
+    """A landed table whose records may hold line breaks, or are one list: split by many tasks."""
+    try:
+        if spec.format == "json":
+            elements = json_elements(spark, paths, LIST_KEY)
+            entry = PRODUCT_LIST[LIST_KEY].dataType.elementType
+            parsed = elements.select("*", F.from_json("value", entry, {"mode": "FAILFAST"}).alias("_entry"))
+            return parsed.select(
+                F.col("path").alias("_path"), F.col("begin").alias("_position"), F.lit(False).alias("_wide"), "_entry.*"
+            )
+        names = header_of(spark, spec, paths[0]) if layout is None else layout
+        records = csv_records(spark, paths)
+        if spec.header:
+            records = _without_header(spec, records, names)
+    except MalformedDocument as error:
+        raise FeedError(f"{spec.name}: {error}") from error
+    cells = [f"c{n}" for n in range(len(names))]
+    layout_text = ", ".join(f"{cell} STRING" for cell in [*cells, ODD_ROW])
+    options = {"escape": '"', "columnNameOfCorruptRecord": ODD_ROW}
+    parsed = records.select("*", F.from_csv("value", layout_text, options).alias("_cells"))
+    return parsed.select(
+        F.col("path").alias("_path"), F.col("begin").alias("_position"),
+        _is_wide(F.col(f"_cells.{ODD_ROW}"), len(names)).alias("_wide"),
+        *[F.col(f"_cells.{cell}").alias(name) for cell, name in zip(cells, names, strict=True)],
+    )
+
+
+def _without_header(spec: FeedSpec, records: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Records without the first one of each file. Where columns are chosen by name, it has to be the
+    header that the feed is read with."""
+    first = stage(records.groupBy("path").agg(
+        F.min("begin").alias("_first"), F.min_by("value", "begin").alias("_header")), "headers")
+    if not isinstance(spec.sku, int):
+        expected = [name.lower() for name in names]
+        for row in first.select("_header").distinct().collect():
+            found = [cell.lower() for cell in next(csv.reader([row._header]))]
+            if found != expected:
+                raise FeedError(f"{spec.name}: CSV header does not conform: {row._header}")
+    return records.join(first.drop("_header"), "path").where("begin > _first").drop("_first")
+
+
 def _is_wide(odd_row: Column, width: int) -> Column:
     """Whether the text of an odd row has more cells than the header: too many commas outside of
     quotes. Spark notes shorter rows as odd, too."""
@@ -273,15 +380,39 @@ def _is_wide(odd_row: Column, width: int) -> Column:
     return F.coalesce(commas >= width, F.lit(False))
 
 
-def read_units(spark: SparkSession, spec: FeedSpec, units: list[str]) -> DataFrame:
-    """Parsed rows of units of a feed, in one scan."""
+def read_units(
+    spark: SparkSession, spec: FeedSpec, units: list[str], among: list[str] | None = None
+) -> DataFrame:
+    """Parsed rows of units of a feed, in one scan. Files are numbered ``among`` those of all these
+    units, if the feed is read in several scans."""
+    table = _table(spark, spec, [folder_of(spark, spec, unit) for unit in units])
+    if among is not None and among != units:
+        numbered = _tagged(table, [(file.unit, file.uri) for file in landed_files(spark, spec, among)])
+    else:
+        numbered = _with_file_number(table, spec, units)
+    return _parsed(table, spec, *numbered)
+
+
+def read_files(
+    spark: SparkSession, spec: FeedSpec, files: list[LandedFile], layout: tuple[str, ...]
+) -> DataFrame:
+    """Parsed rows of some files of a feed, in one scan; ``file`` is their place in the list."""
+    paths = [_literal(file.path) for file in files]
+    table = _table(spark, spec, paths, layout)
+    return _parsed(table, spec, *_tagged(table, [(file.unit, file.uri) for file in files]))
+
+
+def _table(spark: SparkSession, spec: FeedSpec, paths: list[str], layout=None) -> DataFrame:
     try:
-        table = read_table(spark, spec, [folder_of(spark, spec, unit) for unit in units])
+        return read_table(spark, spec, paths, layout)
     except AnalysisException as error:
         if not is_file_fault(error):
             raise
         raise FeedError(f"{spec.name}: {error.getCondition()}") from error
-    columns = table.columns[3:]
+
+
+def _parsed(table: DataFrame, spec: FeedSpec, numbered: DataFrame, files: int) -> DataFrame:
+    spark, columns = table.sparkSession, table.columns[3:]
     text = spec.format == "csv"
     cells = {
         name: None if which is None else _cell(spec, columns, which, text)
@@ -296,7 +427,6 @@ def read_units(spark: SparkSession, spec: FeedSpec, units: list[str]) -> DataFra
     empty = F.lit(False)
     if spec.drop_empty:
         empty = F.coalesce(*[_cell(spec, columns, name, text) for name in columns]).isNull()
-    numbered, files = _with_file_number(table, spec, units)
     parsed = (
         numbered.select(
             F.lit(spec.phase).alias("phase"),
@@ -345,26 +475,34 @@ def _with_file_number(
     The scan has its list of files on the driver anyway; it holds no data. The table made of it has
     a known size, by which the optimizer chooses the join.
     """
-    spark, files = table.sparkSession, table.inputFiles()
+    spark = table.sparkSession
+    if spec.multi_line and spec.format != "parquet":  # the table is made of staged pieces of the files
+        return _tagged(table, [(file.unit, file.uri) for file in landed_files(spark, spec, units)])
+    files = table.inputFiles()
     if spec.stores:
         order = {unit: n for n, unit in enumerate(units)}
         tagged = sorted((order[store_of(spark, path)], path) for path in files)
     else:
         tagged = sorted((0, path) for path in files)
-    if len(tagged) == 1:
-        tags = F.lit(0).alias("_file"), F.lit(units[0]).alias("_unit")
+    return _tagged(table, [(units[unit], path) for unit, path in tagged])
+
+
+def _tagged(table: DataFrame, files: list[tuple[str, str]]) -> tuple[DataFrame, int]:
+    """Tag the rows with the unit and the place of their file in a list of (unit, URI)."""
+    if len(files) == 1:
+        tags = F.lit(0).alias("_file"), F.lit(files[0][0]).alias("_unit")
         return table.select("*", *tags), 1
-    numbers = small_table(spark, {
-        "_plain": pa.array([_plain(path) for _, path in tagged], pa.string()),
-        "_number": pa.array(range(len(tagged)), pa.int64()),
-        "_unit": pa.array([units[unit] for unit, _ in tagged], pa.string()),
+    numbers = small_table(table.sparkSession, {
+        "_plain": pa.array([_plain(path) for _, path in files], pa.string()),
+        "_number": pa.array(range(len(files)), pa.int64()),
+        "_unit": pa.array([unit for unit, _ in files], pa.string()),
     })
     known = F.coalesce(
         F.col("_number"), F.raise_error(F.concat(F.lit("unlisted file "), "_path")).cast("bigint")
     )
     plain = F.regexp_replace("_path", ":/+", ":/")
     numbered = table.withColumn("_plain", plain).join(numbers, "_plain", "left").drop("_plain")
-    return numbered.withColumn("_file", known), len(tagged)
+    return numbered.withColumn("_file", known), len(files)
 
 
 def _plain(path: str) -> str:

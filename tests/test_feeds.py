@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -93,6 +94,14 @@ def test_store_without_a_column_is_lost(spark, folder):
     assert statuses(clean) == {"A": ("read", 1), "B": ("failed", 0), "C": ("read", 1)}
 
 
+def test_a_store_with_fewer_columns_is_lost_alone(spark, folder):
+    put(folder, "branch=A/a.csv", "Item,SKU,Available Qty.\na,S1,1\n")
+    put(folder, "branch=B/a.csv", "SKU,Stock\nS2,2\n")
+    clean = read_feeds(spark, [feeds.pos_feed(folder, ("A", "B"))])
+    assert records(clean) == [("a", "S1", "A", 1.0)]
+    assert statuses(clean) == {"A": ("read", 1), "B": ("failed", 0)}
+
+
 def test_order_follows_the_file_however_it_is_split(spark, folder):
     lines = "".join(f"item {n},S{n},{n}\n" for n in range(5000))
     for name in ("a", "b"):
@@ -235,16 +244,34 @@ def test_ordinals_are_unique_and_ordered_by_phase(spark, folder):
 
 
 def test_skip_leading_rows_of_units(spark):
-    from stockweave.operators.projection import first_ordinals, skip_leading
-
-    rows = spark.range(30).select(
-        F.floor(F.col("id") / 10).alias("unit"), (F.col("id") * 1 + F.floor(F.col("id") / 10) * 100).alias("ord")
-    )
-    starts = first_ordinals(rows, "ord", "unit")
-    kept = skip_leading(rows, 2, "ord", starts, "unit")
-    assert sorted(row.ord % 110 for row in kept.collect()) == sorted(list(range(2, 10)) * 3)
-    assert skip_leading(rows, 10, "ord", starts, "unit").count() == 0
-    assert skip_leading(rows, 0, "ord", None, "unit") is rows
+    """However far apart the ordinals are, and with fewer rows than are to be skipped."""
+    from stockweave.operators.projection import leading_cuts, skip_leading
+
+    rng = random.Random(3)
+    units = {unit: sorted(rng.sample(range(10_000), size)) for unit, size in enumerate((1, 2, 3, 4, 40))}
+    rows = [(unit, ord_) for unit, ords in units.items() for ord_ in ords]
+    table = spark.createDataFrame(rows, "unit int, ord long").repartition(7)
+    for n in (1, 2, 3, 7):
+        cuts = leading_cuts(table, F.lit(n), "ord", "unit")
+        kept = skip_leading(table, cuts, "ord", "unit").collect()
+        assert sorted(map(tuple, kept)) == [(unit, ord_) for unit, ords in units.items() for ord_ in ords[n:]]
+    by_unit = leading_cuts(table, F.col("unit"), "ord", "unit")
+    assert {row._unit: row._cut for row in by_unit.collect()} == {u: o[min(u, len(o)) - 1] for u, o in units.items() if u}
+
+
+@pytest.mark.parametrize("size", [40, 7])
+def test_leading_rows_in_several_blocks(spark, folder, size):
+    """Splits of a few bytes, each with a row or none."""
+    rows = "".join(f"{n},x,Park,V{n},,,,{n}\n" for n in range(1, 30))
+    put(folder, "v.csv", "A long title of the report,,,,,,,\nand another,,,,,,,\nn,id,site,sku,a,b,c,left\n" + rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = records(read_feeds(spark, [feeds.vend_feed(folder)]))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == [(None, f"V{n}", "Park", float(n)) for n in range(1, 30)]
 
 
 WIDE = "A,B,Code,Name,C,D,E,Left\n,,S0,z,,,,1\n,,S1,a,x, y,,,7\n,,S2,b,,,,3\n"
