@@ -78,6 +78,22 @@ def land_products(products: DataFrame, path: str) -> str:
     return path
 
 
+def land_lists(products: DataFrame, path: str) -> str:
+    """Product lists that are one document a file; ``products`` as for :func:`land_products`."""
+    entry = F.struct(F.col("sku"), F.col("stock").alias("availablestock"))
+    in_order = F.transform(
+        F.sort_array(F.collect_list(F.struct("event_id", entry.alias("entry")))),
+        lambda row: row["entry"],
+    )
+    body = F.struct(F.lit("{ }").alias("note"), in_order.alias("list"), F.struct(F.lit(0).alias("code")).alias("state"))
+    page = F.lpad(F.floor(F.col("event_id") / ROWS_PER_FILE).cast("string"), 10, "0")
+    (
+        products.groupBy(page.alias("page")).agg(F.to_json(body).alias("value"))
+        .write.partitionBy("page").text(path)
+    )
+    return path
+
+
 def land_vending(stock: DataFrame, path: str) -> str:
     """Vending tables of 8 columns; ``stock`` has event_id, branch, sku, qty."""
     rows = stock.select(

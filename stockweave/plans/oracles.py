@@ -113,6 +113,11 @@ ORACLES = {
         select concat(event_type, ': 5% [a]') as branch, cast(user_id as varchar) as item,
                {SKU} as sku, trunc(value) as qty from events""",
     "api_inline": "select event_id, cast(props->>'$.k' as bigint) as k from events",
+    "api_documents": "select event_id, cast(props->>'$.k' as bigint) as k from events",
+    "sheet_line_breaks": """
+        select event_id, concat(event_type, chr(10), '"two", ', chr(10), cast(event_id % 7 as varchar), '"') as item,
+               event_id % 50 as qty
+        from events""",
     "vend_positional": """
         select event_id, event_type as branch, trunc(value) as qty from events
         where event_id < (select coalesce(min(event_id), 9223372036854775807) from events

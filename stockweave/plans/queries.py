@@ -18,7 +18,7 @@ from stockweave.functions import casting, naming, stock
 from stockweave.operators import lookup, prefix, projection, reconcile, serving
 from stockweave.plans import dashboard, nightly
 from stockweave.plans.landing import (
-    land_depot, land_hq, land_lines, land_products, land_stores, land_vending,
+    land_depot, land_hq, land_lines, land_lists, land_products, land_stores, land_vending,
 )
 from stockweave.sources import dimensions, documents, feeds, history, retention
 from stockweave.sources.staging import new_path, stage
@@ -178,18 +178,44 @@ def feed_scan_tagged(spark, sf_dir):
     return cleaned(spark, feeds.pos_feed(path, stores)).select("branch", "item", "sku", "qty")
 
 
-def api_inline(spark, sf_dir):
-    products = events(spark, sf_dir).select(
+def listed_products(spark, sf_dir) -> DataFrame:
+    return events(spark, sf_dir).select(
         "event_id", F.col("event_id").alias("sku"),
         F.get_json_object("props", "$.k").alias("stock"),
     )
-    path = land_products(products, new_path(spark, "products"))
-    records = cleaned(spark, feeds.api_feed(path, multi_line=False))
-    return records.select(
+
+
+def product_counts(spark, spec: feeds.FeedSpec) -> DataFrame:
+    return cleaned(spark, spec).select(
         F.col("sku").cast("bigint").alias("event_id"), F.col("qty").cast("bigint").alias("k")
     )
 
 
+def api_inline(spark, sf_dir):
+    path = land_products(listed_products(spark, sf_dir), new_path(spark, "products"))
+    return product_counts(spark, feeds.api_feed(path, multi_line=False))
+
+
+def api_documents(spark, sf_dir):
+    """Files that are one document each, split into their entries."""
+    path = land_lists(listed_products(spark, sf_dir), new_path(spark, "lists"))
+    return product_counts(spark, feeds.api_feed(path))
+
+
+def sheet_line_breaks(spark, sf_dir):
+    """A sheet whose cells hold line breaks, commas and quotes."""
+    rows = events(spark, sf_dir).select(
+        "event_id", F.col("event_id").alias("sku"),
+        F.concat("event_type", F.lit('\n"two", \n'), F.col("event_id") % 7, F.lit('"')).alias("item"),
+        (F.col("event_id") % 50).alias("qty"),
+    )
+    path = land_depot(rows, new_path(spark, "breaks"))
+    records = cleaned(spark, feeds.depot_feed(path, aliases={}, multi_line=True))
+    return records.select(
+        F.col("sku").cast("bigint").alias("event_id"), "item", F.col("qty").cast("bigint").alias("qty")
+    )
+
+
 def vending_records(spark, sf_dir, bad: Column) -> DataFrame:
     """The events through a vending feed, those that are ``bad`` without a quantity."""
     qty = F.when(bad, "broken").otherwise(F.col("value").cast("string"))
@@ -703,7 +729,7 @@ def number_rows(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        feed_scan_tagged, api_inline, vend_positional, vend_whole, sheet_bad_width, hq_sheet,
+        feed_scan_tagged, api_inline, api_documents, sheet_line_breaks, vend_positional, vend_whole, sheet_bad_width, hq_sheet,
         depot_sheet, feed_status,
         positional_projection, row_offset, drop_all_null, feed_union,
         hq_clean, depot_clean, na_normalise, cast_strict_int, cast_strict_double,
