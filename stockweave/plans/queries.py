@@ -702,7 +702,8 @@ def page_rows(spark, sf_dir):
 
 
 def page_far(spark, sf_dir):
-    totals = all_totals(spark, sf_dir).select("sku", "qty")
+    """The page is selected in several rounds, so the reconciliation behind it is staged."""
+    totals = stage(all_totals(spark, sf_dir).select("sku", "qty"), "totals")
     return serving.page(totals, 20, 30, [("sku", False)])
 
 
