@@ -29,7 +29,7 @@ def staging_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder which all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stockweave-"))
         root = context.getCheckpointDir()
