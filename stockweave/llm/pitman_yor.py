@@ -6,13 +6,13 @@ all of them share one parent, the restaurant of words without context, whose cus
 tables of the others; its base is even over the training words and one unknown word.
 
 The work is dealt out three times. Blocks of documents hold the texts, as places in a sorted list of
-the block's different (word, context) pairs. Buckets of words hold all counts of their words, so that
-a word's cells, its row of the parent restaurant and its probability are in one place. What the
-buckets must tell each other is the number of customers and tables of each context: shares of contexts
-add them up over all buckets, and each bucket gets back those of its own contexts. Which contexts a
-bucket has it tells once; from then on it sends their numbers alone. Tables and
-probabilities are never sent around in training: a sweep depends on the counts, the recorded totals
-and the seed alone, so each round plays the earlier ones again.
+the block's different words. Buckets of words give every word a number, and then hold all counts of
+their words, so that a word's cells, its row of the parent restaurant and its probability are in one
+place. What the buckets must tell each other is the number of customers and tables of each context:
+shares of contexts add them up over all buckets, and each bucket gets back those of its own contexts.
+Which contexts a bucket has it tells once; from then on it sends their numbers alone. Words are told
+apart by 64-bit hashes, but (word, context) pairs, which are many, hold numbers, as steps from one to
+the next. Where the customers of a bucket sit is written after each round for the next one.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark import StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,16 +55,24 @@ def unpack(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
 
 
-def _pack_keys(keys: np.ndarray) -> bytes:
-    """Hashes, many of them more than once: each in full once, and their places."""
-    different, places = np.unique(keys, return_inverse=True)
-    listed = pack(different)
-    return len(listed).to_bytes(8, "little") + listed + pack(places.astype(np.uint32))
+def _pack_rising(numbers: np.ndarray, sizes: np.ndarray | None = None) -> bytes:
+    """Numbers that rise within groups of the given sizes, as the steps between them."""
+    steps = numbers.astype(np.uint64)
+    steps[1:] -= numbers[:-1].astype(np.uint64)
+    if sizes is not None:
+        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        steps[starts] = numbers[starts]
+    return pack(steps)
 
 
-def _unpack_keys(data: bytes) -> np.ndarray:
-    end = 8 + int.from_bytes(data[:8], "little")
-    return unpack(data[8:end], np.uint64)[unpack(data[end:], np.uint32)]
+def _unpack_rising(data: bytes, sizes: np.ndarray | None = None) -> np.ndarray:
+    steps = unpack(data, np.uint64)
+    numbers = np.cumsum(steps, dtype=np.uint64)
+    if sizes is not None and len(steps):
+        sizes = sizes[sizes > 0].astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        numbers -= np.repeat(numbers[starts] - steps[starts], sizes)
+    return numbers
 
 
 def _word_key(word: bytes) -> int:
@@ -73,10 +81,7 @@ def _word_key(word: bytes) -> int:
 
 # ---------------------------------------------------------------- blocks of documents
 
-BLOCK_SCHEMA = (
-    "block string, bucket int, words binary, sizes binary, contexts binary, counts binary, "
-    "ids binary, flags binary, lengths binary, tokens binary"
-)
+BLOCK_SCHEMA = "block string, bucket int, words binary, ids binary, flags binary, lengths binary, tokens binary"
 
 
 @dataclass
@@ -100,39 +105,24 @@ class Block:
         self.tokens += len(words)
 
     def rows(self, buckets: int, name: str) -> Iterator[dict]:
-        """One row of pairs for each bucket, and the documents as places in the list of pairs."""
+        """One row of words for each bucket, and the documents as places in the list of all words."""
         keys = np.array([_word_key(w) for w in self.local], dtype=np.uint64)
         order = np.lexsort((keys, _bucket_of(keys, buckets)))
-        rank = np.empty(len(keys), dtype=np.int64)
-        rank[order] = np.arange(len(keys))
+        rank = np.empty(len(keys), dtype=np.uint32)
+        rank[order] = np.arange(len(keys), dtype=np.uint32)
         lengths = np.array([len(t) for t in self.texts])
-        local = np.concatenate(self.texts)
+        tokens = rank[np.concatenate(self.texts)]
         self.texts.clear()
-        context = np.empty(len(local), dtype=np.int64)
-        context[1:] = rank[local[:-1]]
-        context[0] = rank[local[-1]]  # the end of a text, as before every other text
-        codes = rank[local] * len(keys) + context
-        training = np.repeat((np.array(self.flags) & 1) == 0, lengths)
-        pairs, tokens = np.unique(codes, return_inverse=True)
-        counts = np.bincount(tokens[training], minlength=len(pairs)).astype(np.uint32)
         keys = keys[order]
-        owner, contexts = pairs // len(keys), keys[pairs % len(keys)]
-        sizes = np.bincount(owner, minlength=len(keys)).astype(np.uint32)
-        empty = dict.fromkeys(("words", "sizes", "contexts", "counts", "ids", "flags", "lengths", "tokens"))
-        word_ends = np.searchsorted(_bucket_of(keys, buckets), np.arange(buckets), side="right")
-        pair_ends = np.searchsorted(owner, word_ends)
-        w0 = p0 = 0
-        for bucket, (w1, p1) in enumerate(zip(word_ends.tolist(), pair_ends.tolist())):
-            if w1 > w0:
-                yield empty | {
-                    "block": name, "bucket": bucket, "words": pack(keys[w0:w1]), "sizes": pack(sizes[w0:w1]),
-                    "contexts": _pack_keys(contexts[p0:p1]), "counts": pack(counts[p0:p1]),
-                }
-            w0, p0 = w1, p1
+        empty = dict.fromkeys(("words", "ids", "flags", "lengths", "tokens"))
+        ends = np.searchsorted(_bucket_of(keys, buckets), np.arange(buckets), side="right")
+        for bucket, part in enumerate(np.split(keys, ends[:-1])):
+            if len(part):
+                yield empty | {"block": name, "bucket": bucket, "words": _pack_rising(part)}
         yield empty | {
-            "block": name, "bucket": -1, "sizes": pack(sizes), "ids": pack(np.array(self.ids, dtype=np.int64)),
+            "block": name, "bucket": -1, "ids": pack(np.array(self.ids, dtype=np.int64)),
             "flags": pack(np.array(self.flags, dtype=np.uint8)), "lengths": pack(lengths.astype(np.int64)),
-            "tokens": pack(tokens.astype(np.uint32)),
+            "tokens": pack(tokens),
         }
 
 
@@ -160,13 +150,71 @@ def count_blocks(documents: DataFrame, buckets: int, block_tokens: int = BLOCK_T
     return rows.mapInPandas(counted, BLOCK_SCHEMA)
 
 
+# ---------------------------------------------------------------- numbers of words
+
+
+NUMBERS_SCHEMA = "block string, bucket int, numbers binary, different long"
+
+
+def _number(part: pd.DataFrame) -> pd.DataFrame:
+    """The places of each block's words among all words of a bucket, and how many these are."""
+    words = [_unpack_rising(x) for x in part["words"]]
+    different, place = np.unique(np.concatenate(words), return_inverse=True)
+    places = np.split(place, np.cumsum([len(x) for x in words])[:-1])
+    return pd.DataFrame({
+        "block": part["block"], "bucket": part["bucket"], "numbers": [_pack_rising(x) for x in places],
+        "different": len(different),
+    })
+
+
+PAIRS_SCHEMA = "block string, bucket int, words binary, sizes binary, contexts binary, counts binary"
+
+
+def _pairs_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The different (word, context) pairs of a block as sorted codes, each token's place among them,
+    and the number of words by which a code has to be divided."""
+    words = int(tokens.max()) + 1
+    codes = tokens.astype(np.int64) * words
+    codes[1:] += tokens[:-1]
+    codes[0] += tokens[-1]  # the end of a text, as before every other text
+    pairs, places = np.unique(codes, return_inverse=True)
+    return pairs, places, words
+
+
+def _pair(each: int):
+    """The pairs of a block by bucket. A word's number is its bucket times ``each``, the most words that
+    a bucket has, and its place there; so numbers are dense and rise with the block's own places."""
+    def paired(texts: pd.DataFrame, numbered: pd.DataFrame) -> pd.DataFrame:
+        row, numbered = texts.iloc[0], numbered.sort_values("bucket")
+        ranks = [_unpack_rising(x) for x in numbered["numbers"]]
+        buckets = numbered["bucket"].tolist()
+        numbers = np.concatenate([rank + np.uint64(bucket * each) for rank, bucket in zip(ranks, buckets)])
+        pairs, places, words = _pairs_of(unpack(row["tokens"], np.uint32))
+        training = np.repeat((unpack(row["flags"], np.uint8) & 1) == 0, unpack(row["lengths"], np.int64))
+        counts = np.bincount(places[training], minlength=len(pairs)).astype(np.uint32)
+        owner, contexts = pairs // words, numbers[pairs % words]
+        sizes = np.bincount(owner, minlength=words).astype(np.uint32)
+        made, w0, p0 = [], 0, 0
+        for bucket, rank in zip(buckets, ranks):
+            w1 = w0 + len(rank)
+            p1 = p0 + int(sizes[w0:w1].sum())
+            made.append((
+                row["block"], bucket, _pack_rising(numbers[w0:w1]), pack(sizes[w0:w1]),
+                _pack_rising(contexts[p0:p1], sizes[w0:w1].astype(np.int64)), pack(counts[p0:p1]),
+            ))
+            w0, p0 = w1, p1
+        return pd.DataFrame(made, columns=["block", "bucket", "words", "sizes", "contexts", "counts"])
+
+    return paired
+
+
 # ---------------------------------------------------------------- buckets of words
 
 
 @dataclass
 class Cells:
     """All training counts of a bucket: sorted words, and their cells sorted by (word, context); contexts
-    are places in ``keys``, the sorted hashes of all that the bucket's words have, held-out ones too."""
+    are places in ``keys``, the sorted numbers of all that the bucket's words have, held-out ones too."""
 
     words: np.ndarray
     owner: np.ndarray
@@ -184,10 +232,11 @@ CELLS_SCHEMA = "bucket int, words binary, sizes binary, contexts binary, counts
 
 def _merge(part: pd.DataFrame) -> pd.DataFrame:
     """The cells of one bucket from the pairs of all blocks; what only held-out texts have is left out."""
-    words = [unpack(x, np.uint64) for x in part["words"]]
+    words = [_unpack_rising(x) for x in part["words"]]
     sizes = [unpack(x, np.uint32) for x in part["sizes"]]
     key = np.concatenate([np.repeat(w, n) for w, n in zip(words, sizes)])
-    keys, context = np.unique(np.concatenate([_unpack_keys(x) for x in part["contexts"]]), return_inverse=True)
+    contexts = np.concatenate([_unpack_rising(x, n) for x, n in zip(part["contexts"], sizes)])
+    keys, context = np.unique(contexts, return_inverse=True)
     count = np.concatenate([unpack(x, np.uint32) for x in part["counts"]]).astype(np.int64)
     seen = count > 0
     key, context, count = key[seen], context[seen], count[seen]
@@ -196,17 +245,17 @@ def _merge(part: pd.DataFrame) -> pd.DataFrame:
     counts = np.bincount(cell, count, minlength=len(codes)).astype(np.int64)
     sizes = np.bincount(codes // len(keys), minlength=len(words))
     return pd.DataFrame({
-        "bucket": part["bucket"].iloc[:1], "words": [pack(words)], "sizes": [pack(sizes.astype(np.uint32))],
-        "contexts": [pack((codes % len(keys)).astype(np.uint32))], "counts": [pack(counts)],
-        "keys": [pack(keys)], "n_keys": [len(keys)],
+        "bucket": part["bucket"].iloc[:1], "words": [_pack_rising(words)], "sizes": [pack(sizes.astype(np.uint32))],
+        "contexts": [_pack_rising(codes % len(keys), sizes)], "counts": [pack(counts)],
+        "keys": [_pack_rising(keys)], "n_keys": [len(keys)],
     })
 
 
 def _cells(row) -> Cells:
     sizes = unpack(row["sizes"], np.uint32)
     return Cells(
-        unpack(row["words"], np.uint64), np.repeat(np.arange(len(sizes)), sizes),
-        unpack(row["contexts"], np.uint32).astype(np.int64), unpack(row["counts"], np.int64), unpack(row["keys"], np.uint64),
+        _unpack_rising(row["words"]), np.repeat(np.arange(len(sizes)), sizes),
+        _unpack_rising(row["contexts"], sizes).astype(np.int64), unpack(row["counts"], np.int64), _unpack_rising(row["keys"]),
     )
 
 
@@ -264,6 +313,10 @@ def reseat(
     that follow, then the new tables of these. The first ones must be ``DENSE`` times ``opening`` at
     least; where that is more than ``EXACT``, they get up in groups, each of them once, and sit down
     again (see ``_sweep``). ``seats`` keeps the sizes of their tables, by dish, between the sweeps.
+
+    How far the drawn number is from the exact distribution, as the total variation: below 0.001 for
+    an opening up to 5, below 0.01 up to 40 and every discount that ``_discount`` gives; above that the
+    mean is off by less than 4 % at the least discount, 0.1, and by less than 0.1 % from 0.6 on.
     """
     tables, seats = tables.copy(), {} if seats is None else seats
     first = np.minimum(customers, np.maximum(EXACT, np.ceil(DENSE * opening))).astype(np.int64)
@@ -373,36 +426,68 @@ def _sit(sizes: np.ndarray, opens: np.ndarray, discount: float, rng) -> tuple[np
     return sizes, opened
 
 
-def play(cells: Cells, totals: Totals, bucket: int, rounds: int) -> Iterator[tuple]:
-    """After each round: the tables of the cells, and customers and tables of the parent, by word.
-
-    Round 0 gives every cell and every word one table. A later round sweeps the contexts, with the
-    parent as the round before has left it, and then the parent.
-    """
-    words = len(cells.words)
-    tables = np.ones(len(cells.counts), dtype=np.int64)
-    parent_customers = np.bincount(cells.owner, tables, minlength=words).astype(np.int64)
-    parent_tables = np.ones(words, dtype=np.int64)
-    yield tables, parent_customers, parent_tables
-    rng = np.random.default_rng([SEED, bucket])
-    seats, parent_seats = {}, {}
-    for at in range(rounds):
-        likely = totals.parent(at, parent_customers, parent_tables)
-        opening = (STRENGTH + totals.discount * totals.rounds[at][0][cells.contexts]) * likely[cells.owner]
-        tables = reseat(cells.counts, tables, opening, totals.discount, rng, seats)
-        parent_customers = np.bincount(cells.owner, tables, minlength=words).astype(np.int64)
-        even = (STRENGTH + totals.parent_discount * totals.rounds[at][2]) / (totals.vocabulary + 1)
-        parent_tables = reseat(
-            parent_customers, np.minimum(parent_tables, parent_customers), np.full(words, even), totals.parent_discount, rng,
-            parent_seats,
-        )
-        yield tables, parent_customers, parent_tables
+@dataclass
+class State:
+    """Where the customers of a bucket sit after a round: the tables of its cells and, in the parent
+    restaurant, of its words; of dishes with more than ``EXACT`` customers the sizes of the tables."""
+
+    tables: np.ndarray
+    parent_tables: np.ndarray
+    seats: dict[int, np.ndarray] = field(default_factory=dict)
+    parent_seats: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def customers(self, cells: Cells) -> np.ndarray:
+        """Of the parent restaurant, by word."""
+        return np.bincount(cells.owner, self.tables, minlength=len(cells.words)).astype(np.int64)
+
+    def packed(self) -> list[bytes]:
+        return [pack(self.tables), pack(self.parent_tables), _pack_seats(self.seats), _pack_seats(self.parent_seats)]
+
+    @classmethod
+    def unpacked(cls, parts) -> State:
+        tables, parent_tables, seats, parent_seats = parts
+        return cls(unpack(tables, np.int64), unpack(parent_tables, np.int64), _unpack_seats(seats), _unpack_seats(parent_seats))
+
+
+def _pack_seats(seats: dict[int, np.ndarray]) -> bytes:
+    lengths = [len(x) for x in seats.values()]
+    return pack(np.concatenate([[len(seats)], list(seats), lengths, *seats.values()]).astype(np.int64))
+
+
+def _unpack_seats(data: bytes) -> dict[int, np.ndarray]:
+    numbers = unpack(data, np.int64)
+    n = int(numbers[0])
+    sizes = np.split(numbers[1 + 2 * n :], np.cumsum(numbers[1 + n : 1 + 2 * n])[:-1])
+    return dict(zip(numbers[1 : 1 + n].tolist(), sizes))
+
+
+def start(cells: Cells) -> State:
+    """Round 0 gives every cell and every word one table."""
+    return State(np.ones(len(cells.counts), dtype=np.int64), np.ones(len(cells.words), dtype=np.int64))
+
+
+def sweep(cells: Cells, totals: Totals, bucket: int, state: State) -> State:
+    """The state after one more round: it sweeps the contexts, with the parent as the last round has
+    left it, and then the parent."""
+    at = len(totals.rounds) - 1
+    rng = np.random.default_rng([SEED, bucket, at])
+    likely = totals.parent(at, state.customers(cells), state.parent_tables)
+    opening = (STRENGTH + totals.discount * totals.rounds[at][0][cells.contexts]) * likely[cells.owner]
+    seats, parent_seats = dict(state.seats), dict(state.parent_seats)
+    after = State(reseat(cells.counts, state.tables, opening, totals.discount, rng, seats), state.parent_tables, seats, parent_seats)
+    customers = after.customers(cells)
+    even = (STRENGTH + totals.parent_discount * totals.rounds[at][2]) / (totals.vocabulary + 1)
+    after.parent_tables = reseat(
+        customers, np.minimum(state.parent_tables, customers), np.full(len(customers), even), totals.parent_discount, rng,
+        parent_seats,
+    )
+    return after
 
 
 # ---------------------------------------------------------------- training
 
 
-PASSED_SCHEMA = "share int, bucket int, keys binary, sums binary, numbers array<long>"
+PASSED_SCHEMA = "share int, bucket int, keys binary, sums binary, numbers array<long>, state array<binary>"
 ADDED_SCHEMA = "share int, bucket int, sums binary, places binary, numbers array<long>"
 
 
@@ -411,20 +496,23 @@ def _share_of(keys: np.ndarray, shares: int) -> np.ndarray:
 
 
 def _passed(
-    bucket: int, cells: Cells, numbers: tuple, values: np.ndarray, shares: int, with_keys: bool = False
+    bucket: int, cells: Cells, numbers: tuple, values: np.ndarray, shares: int, state: State | None = None
 ) -> pd.DataFrame:
     """What a bucket tells the others: its numbers, and a value for each of its contexts, by share. The
-    keys of the contexts are told once; later the values stand in the same order."""
+    keys of the contexts are told once, before there is a state; later the values stand in the same
+    order. The state (share -2) is for the bucket itself."""
     sums = np.bincount(cells.contexts, values, minlength=len(cells.keys)).astype(np.int64)
     share = _share_of(cells.keys, shares)
     order = np.argsort(share, kind="stable")
     ends = np.searchsorted(share[order], np.arange(shares + 1))
-    rows = [(-1, bucket, None, None, [int(n) for n in numbers])]
+    rows = [(-1, bucket, None, None, [int(n) for n in numbers], None)]
     for at in range(shares):
         here = order[ends[at] : ends[at + 1]]
         if len(here):
-            rows.append((at, bucket, pack(cells.keys[here]) if with_keys else None, pack(sums[here]), None))
-    return pd.DataFrame(rows, columns=["share", "bucket", "keys", "sums", "numbers"])
+            rows.append((at, bucket, None if state else _pack_rising(cells.keys[here]), pack(sums[here]), None, None))
+    if state:
+        rows.append((-2, bucket, None, None, None, state.packed()))
+    return pd.DataFrame(rows, columns=["share", "bucket", "keys", "sums", "numbers", "state"])
 
 
 def _sum_of_numbers(part: pd.DataFrame) -> pd.DataFrame:
@@ -443,13 +531,13 @@ def _place_contexts(part: pd.DataFrame) -> pd.DataFrame:
     the keys, so the steps between them are small. Of share -1 the sums of the numbers."""
     if part["share"].iloc[0] < 0:
         return _sum_of_numbers(part)
-    keys = [unpack(key, np.uint64) for key in part["keys"]]
+    keys = [_unpack_rising(key) for key in part["keys"]]
     _, place = np.unique(np.concatenate(keys), return_inverse=True)
     places = np.split(place, np.cumsum([len(key) for key in keys])[:-1])
     return pd.DataFrame({
         "share": part["share"], "bucket": part["bucket"],
         "sums": _summed(places, [unpack(x, np.int64) for x in part["sums"]]),
-        "places": [pack(np.diff(x, prepend=0).astype(np.uint32)) for x in places], "numbers": None,
+        "places": [_pack_rising(x) for x in places], "numbers": None,
     })
 
 
@@ -457,8 +545,8 @@ def _add_up(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     """The totals of one share in a later round; ``known`` has the places of its buckets."""
     if part.empty or part["share"].iloc[0] < 0:
         return _sum_of_numbers(part)
-    steps = dict(zip(known["bucket"], known["places"]))
-    places = [np.cumsum(unpack(steps[bucket], np.uint32), dtype=np.int64) for bucket in part["bucket"]]
+    listed = dict(zip(known["bucket"], known["places"]))
+    places = [_unpack_rising(listed[bucket]).astype(np.int64) for bucket in part["bucket"]]
     return pd.DataFrame({
         "share": part["share"], "bucket": part["bucket"],
         "sums": _summed(places, [unpack(x, np.int64) for x in part["sums"]]), "places": None, "numbers": None,
@@ -466,13 +554,14 @@ def _add_up(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
 
 
 def _told(shared: Totals, cells: Cells, history: pd.DataFrame, shares: int) -> Totals:
-    """The totals with the numbers of a bucket's own contexts; round -1 of the history has customers."""
+    """The totals with the numbers of a bucket's own contexts, in the rounds that the history has; round
+    -1 has customers."""
     order = np.argsort(_share_of(cells.keys, shares), kind="stable")
     found = {}
     for at, rows in history.sort_values(["at", "share"]).groupby("at"):
         found[int(at)] = np.empty(len(order), dtype=np.float64)
         found[int(at)][order] = np.concatenate([unpack(x, np.int64) for x in rows["sums"]])
-    rounds = [(found[at], customers, tables) for at, (_, customers, tables) in enumerate(shared.rounds)]
+    rounds = [(found.get(at), customers, tables) for at, (_, customers, tables) in enumerate(shared.rounds)]
     return replace(shared, customers=found[-1], rounds=rounds)
 
 
@@ -489,39 +578,54 @@ def _discount(once: int, twice: int) -> float:
     return min(max(once / max(once + 2 * twice, 1), 0.1), 0.95)
 
 
-def train(cells: DataFrame, rounds: int, shares: int) -> tuple[Totals, DataFrame]:
-    """The totals that are single numbers, and those by context of all rounds, for each bucket."""
+def train(cells: DataFrame, rounds: int, shares: int, tasks: int) -> tuple[Totals, DataFrame]:
+    """The totals that are single numbers, and for each bucket the totals of its contexts and its own
+    state (share -2) after all rounds."""
     spark = cells.sparkSession
-
-    def told(summed: DataFrame, at: int) -> tuple[list[int], DataFrame]:
-        added = _written(summed, "totals")
-        numbers = added.filter("share < 0").select("numbers").collect()
-        spark._jvm.System.gc()  # lets Spark remove the shuffle files of what is written now
-        return numbers[0][0] if numbers else [], added.filter("share >= 0").withColumn("at", F.lit(at))
+    dealt = cells.repartition(tasks, "bucket").groupBy("bucket")
+    columns = ["at", "bucket", "share", "sums", "state"]
 
     def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for row in part.to_dict("records"):
                 found = _cells(row)
-                yield _passed(row["bucket"], found, _first_numbers(found), found.counts, shares, with_keys=True)
+                yield _passed(row["bucket"], found, _first_numbers(found), found.counts, shares)
+
+    def by_share(table: DataFrame):
+        return table.repartition(min(shares + 1, tasks), "share").groupBy("share")
 
-    passed = cells.mapInPandas(first, PASSED_SCHEMA).groupBy("share")
-    numbers, history = told(passed.applyInPandas(_place_contexts, ADDED_SCHEMA), -1)
+    def told(summed: DataFrame, at: int) -> tuple[list[int], DataFrame]:
+        added = _written(summed, "totals")
+        numbers = added.filter("share < 0").select("numbers").collect()
+        spark._jvm.System.gc()  # lets Spark remove the shuffle files of what is written now
+        history = added.filter("share >= 0").withColumn("at", F.lit(at)).withColumn("state", F.lit(None).cast("array<binary>"))
+        return numbers[0][0] if numbers else [], history
+
+    passed = cells.mapInPandas(first, PASSED_SCHEMA).drop("state")
+    numbers, history = told(by_share(passed).applyInPandas(_place_contexts, ADDED_SCHEMA), -1)
     places = history.select("share", "bucket", "places")
-    history = history.select("at", "bucket", "share", "sums")
+    history = history.select(columns)
     words, tokens, once, twice, in_one, in_two = numbers or [0] * 6
     totals = Totals(words, tokens, np.zeros(0), _discount(once, twice), _discount(in_one, in_two))
     for done in range(rounds + 1):
         def later(part: pd.DataFrame, past: pd.DataFrame) -> pd.DataFrame:
             found, bucket = _cells(part.iloc[0]), int(part["bucket"].iloc[0])
-            *_, (tables, customers, parent_tables) = play(found, _told(totals, found, past, shares), bucket, len(totals.rounds))
-            return _passed(bucket, found, (customers.sum(), parent_tables.sum()), tables, shares)
-
-        passed = cells.groupBy("bucket").cogroup(history.groupBy("bucket")).applyInPandas(later, PASSED_SCHEMA)
-        passed = passed.select("share", "bucket", "sums", "numbers").groupBy("share")
-        numbers, added = told(passed.cogroup(places.groupBy("share")).applyInPandas(_add_up, ADDED_SCHEMA), done)
+            if totals.rounds:
+                own = past["share"] < 0
+                state = State.unpacked(past[own]["state"].iloc[0])
+                state = sweep(found, _told(totals, found, past[~own], shares), bucket, state)
+            else:
+                state = start(found)
+            numbers = state.customers(found).sum(), state.parent_tables.sum()
+            return _passed(bucket, found, numbers, state.tables, shares, state)
+
+        past = history.filter(F.col("at").isin(-1, done - 1)).repartition(tasks, "bucket").groupBy("bucket")
+        passed = _written(dealt.cogroup(past).applyInPandas(later, PASSED_SCHEMA), "passed")
+        sums = passed.filter("share >= -1").select("share", "bucket", "sums", "numbers")
+        numbers, added = told(by_share(sums).cogroup(by_share(places)).applyInPandas(_add_up, ADDED_SCHEMA), done)
         totals.rounds.append((np.zeros(0), *(numbers or [0, 0])))
-        history = history.unionByName(added.select("at", "bucket", "share", "sums"))
+        states = passed.filter("share = -2").withColumn("at", F.lit(done))
+        history = history.unionByName(added.select(columns)).unionByName(states.select(columns))
     return totals, history
 
 
@@ -534,20 +638,22 @@ def _answer(shared: Totals, samples: int, shares: int):
 
     def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         cells, bucket = _cells(known.iloc[0]), int(known["bucket"].iloc[0])
-        past = asked["at"].notna()
-        totals, asked = _told(shared, cells, asked[past], shares), asked[~past]
+        past, asked = asked[asked["at"].notna()], asked[asked["at"].isna()]
+        states = past[past["share"] < 0].sort_values("at")["state"]
+        totals = _told(shared, cells, past[past["share"] >= 0], shares)
         tables, likely = np.zeros(len(cells.counts)), []
-        for at, (seated, customers, parent_tables) in enumerate(play(cells, totals, bucket, rounds[-1])):
-            if at in rounds:
-                tables += seated / len(rounds)
-                likely.append(np.append(totals.parent(at, customers, parent_tables), totals.parent(at, np.zeros(1), np.zeros(1))))
+        for at, state in zip(rounds, map(State.unpacked, states)):
+            tables += state.tables / len(rounds)
+            parent = totals.parent(at, state.customers(cells), state.parent_tables)
+            likely.append(np.append(parent, totals.parent(at, np.zeros(1), np.zeros(1))))
         own = (cells.counts - totals.discount * tables) / (STRENGTH + totals.customers[cells.contexts])
         word_counts = np.append(np.bincount(cells.owner, cells.counts, minlength=len(cells.words)), 0).astype(np.uint32)
         codes, made = cells.codes, []
         for row in asked.itertuples(index=False):
-            word = _find(cells.words, unpack(row.words, np.uint64))  # the place behind the last: unknown
-            pair_word = np.repeat(word, unpack(row.sizes, np.uint32))
-            context = np.searchsorted(cells.keys, _unpack_keys(row.contexts))
+            word = _find(cells.words, _unpack_rising(row.words))  # the place behind the last: unknown
+            sizes = unpack(row.sizes, np.uint32)
+            pair_word = np.repeat(word, sizes)
+            context = np.searchsorted(cells.keys, _unpack_rising(row.contexts, sizes))
             cell = _find(codes, pair_word * len(cells.keys) + context)
             chance = np.append(own, 0.0)[cell]
             for at, parent in zip(rounds, likely):
@@ -571,14 +677,14 @@ def _read_scores(totals: Totals):
         row, answers = documents.iloc[0], answers.sort_values("bucket")
         score = np.concatenate([unpack(x, np.float32) for x in answers["scores"]]).astype(np.float64)
         counts = np.concatenate([unpack(x, np.uint32) for x in answers["counts"]]).astype(np.float64)
-        counts = np.repeat(counts, unpack(row["sizes"], np.uint32))
         base = np.log10((counts + 0.5) / (totals.tokens + 0.5 * (totals.vocabulary + 1)))
         tokens, lengths = unpack(row["tokens"], np.uint32), unpack(row["lengths"], np.int64)
+        _, places, _ = _pairs_of(tokens)
         starts, flags = np.cumsum(lengths) - lengths, unpack(row["flags"], np.uint8)
         return pd.DataFrame({
             "id": unpack(row["ids"], np.int64), "has_id": (flags & 2) == 0, "held_out": (flags & 1) == 1,
             "n_tokens": lengths, "n_known": np.add.reduceat((counts > 0).astype(np.int64)[tokens], starts),
-            "base_score": np.add.reduceat(base[tokens], starts), "score": np.add.reduceat(score[tokens], starts),
+            "base_score": np.add.reduceat(base[tokens], starts), "score": np.add.reduceat(score[places], starts),
         })
 
     return scored
@@ -593,29 +699,41 @@ def score(documents: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES)
     come before them. ``base_score`` is that of single
     words with 0.5 added to each count. A null or blank text is an end alone; a null doc_id counts as
     the empty string; rows with one doc_id are separate documents; an empty table gives an empty
-    one. Words are told apart by 64-bit hashes.
+    one. The tables of a word with over ``EXACT`` customers in a context are drawn with the small error
+    that ``reseat`` states. Words are told apart by 64-bit hashes. Texts are read whole, however long; one text is never
+    split over blocks.
     """
     spark = documents.sparkSession
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
+    tasks = max(4 * spark.sparkContext.defaultParallelism, partitions(spark))
     blocks = _written(count_blocks(documents, buckets), "blocks")
-    pairs, texts = blocks.filter("bucket >= 0"), blocks.filter("bucket < 0")
-    merged = pairs.select("bucket", "words", "sizes", "contexts", "counts").groupBy("bucket").applyInPandas(
-        _merge, CELLS_SCHEMA
-    )
-    tasks = min(buckets, max(4 * spark.sparkContext.defaultParallelism, partitions(spark)))
-    cells = _written(merged, "cells")
+    texts = blocks.filter("bucket < 0").drop("bucket", "words")
+    words = blocks.filter("bucket >= 0").select("block", "bucket", "words")
+    per_bucket = min(buckets, tasks)
+    numbered = words.repartition(per_bucket, "bucket").groupBy("bucket").applyInPandas(_number, NUMBERS_SCHEMA)
+    numbered = _written(numbered, "numbers")
+    each = numbered.agg(F.max("different")).first()[0] or 0
     spark._jvm.System.gc()  # see ``train``
+    by_block = texts.select("block", "flags", "lengths", "tokens").repartition(tasks, "block").groupBy("block")
+    pairs = by_block.cogroup(
+        numbered.select("block", "bucket", "numbers").repartition(tasks, "block").groupBy("block")
+    ).applyInPandas(_pair(each), PAIRS_SCHEMA)
+    pairs = _written(pairs, "pairs")
+    spark._jvm.System.gc()
+    merged = pairs.drop("block").repartition(per_bucket, "bucket").groupBy("bucket").applyInPandas(_merge, CELLS_SCHEMA)
+    cells = _written(merged, "cells")
+    spark._jvm.System.gc()
     shares = max(1, -(-(cells.agg(F.sum("n_keys")).first()[0] or 0) // (CONTEXTS << 10)))
-    # dealt out once for all rounds
-    cells = cells.drop("n_keys").repartition(tasks, "bucket").persist(StorageLevel.DISK_ONLY)
-    totals, history = train(cells, burn_in + samples, shares)
+    cells = cells.drop("n_keys")
+    totals, history = train(cells, burn_in + samples, shares, per_bucket)
+    history = history.filter((F.col("at") < 0) | (F.col("at") > burn_in))
     asked = pairs.select("block", "bucket", "words", "sizes", "contexts").unionByName(history, allowMissingColumns=True)
-    answers = asked.groupBy("bucket").cogroup(cells.groupBy("bucket")).applyInPandas(
-        _answer(totals, samples, shares), "block string, bucket int, scores binary, counts binary"
-    )
-    scored = texts.select("block", "sizes", "ids", "flags", "lengths", "tokens").groupBy("block").cogroup(
-        answers.groupBy("block")
+    answers = asked.repartition(per_bucket, "bucket").groupBy("bucket").cogroup(
+        cells.repartition(per_bucket, "bucket").groupBy("bucket")
+    ).applyInPandas(_answer(totals, samples, shares), "block string, bucket int, scores binary, counts binary")
+    scored = texts.repartition(tasks, "block").groupBy("block").cogroup(
+        answers.repartition(tasks, "block").groupBy("block")
     ).applyInPandas(
         _read_scores(totals),
         "id long, has_id boolean, held_out boolean, n_tokens long, n_known long, base_score double, score double",

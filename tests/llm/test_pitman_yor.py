@@ -96,8 +96,11 @@ def test_probabilities_of_a_context_add_up_to_one():
     owner, context = np.nonzero(dense)
     cells = pitman_yor.Cells(np.arange(words, dtype=np.uint64), owner, context, dense[owner, context].astype(np.int64))
     totals = pitman_yor.Totals(words, int(dense.sum()), dense.sum(axis=0).astype(float), 0.6, 0.7)
+    state = None
     for done in range(4):
-        *_, (tables_, customers, parent_tables) = pitman_yor.play(cells, totals, 0, done)
+        state = pitman_yor.sweep(cells, totals, 0, state) if done else pitman_yor.start(cells)
+        state = pitman_yor.State.unpacked(state.packed())
+        tables_, customers, parent_tables = state.tables, state.customers(cells), state.parent_tables
         assert (tables_ >= 1).all() and (tables_ <= cells.counts).all() and (tables_[cells.counts == 1] == 1).all()
         assert (parent_tables >= 1).all() and (parent_tables <= customers).all()
         totals.rounds.append((np.bincount(context, tables_, minlength=contexts).astype(float), int(customers.sum()), int(parent_tables.sum())))
@@ -150,6 +153,24 @@ def test_all_customers_of_a_large_dish_are_reseated(customers, opening):
     assert np.std(found) == pytest.approx(deviation, rel=0.15)
 
 
+@pytest.mark.parametrize("discount, customers, opening, variation, off", [
+    (0.1, 3_000, 0.8, 0.001, 0.001), (0.1, 30_000, 5.0, 0.001, 0.001), (0.1, 6_000, 40.0, 0.01, 0.01), (0.6, 6_000, 40.0, 0.001, 0.001),
+    (0.95, 9_000, 0.1, 0.001, 0.001), (0.1, 6_000, 500.0, 1.0, 0.04), (0.6, 6_000, 500.0, 0.01, 0.001),
+])
+def test_the_stated_error_of_a_large_dish(discount, customers, opening, variation, off):
+    """The distribution that a draw has, worked out, against the recursion over all customers."""
+    mean, chance = exact_mean(customers, opening, discount)
+    first = max(pitman_yor.EXACT, math.ceil(pitman_yor.DENSE * opening))
+    thinned = (first / customers) ** discount
+    begun = pitman_yor._seatings(discount)[first, 1 : first + 1] + math.log(opening * thinned) * np.arange(1, first + 1)
+    begun = np.append(0, np.exp(begun - begun.max()))
+    more, tables_ = opening / discount * (1 - thinned), np.arange(3_001)
+    poisson = np.exp(tables_ * math.log(more) - more - np.array([math.lgamma(k + 1) for k in tables_]))
+    drawn = np.convolve(begun / begun.sum(), poisson)[:3_001]
+    assert np.abs(drawn - chance).sum() / 2 < variation
+    assert drawn @ tables_ == pytest.approx(mean, rel=off)
+
+
 def test_a_sweep_in_groups_keeps_the_exact_distribution():
     """What dishes with very many tables rely on; also when customers come and go between sweeps."""
     discount, opening, rng, sizes, found = 0.6, 9.0, np.random.default_rng(8), np.array([60]), []
@@ -173,6 +194,21 @@ def test_packing_is_exact():
             assert (pitman_yor.unpack(pitman_yor.pack(values), kind) == values).all()
 
 
+def test_rising_numbers_are_packed_by_steps():
+    generator = np.random.default_rng(7)
+    sizes = np.array([0, 3, 0, 1, 500, 0])
+    groups = [np.sort(generator.choice(1 << 62, n, replace=False)) for n in sizes]
+    numbers = np.concatenate(groups).astype(np.uint64)
+    assert (pitman_yor._unpack_rising(pitman_yor._pack_rising(numbers, sizes), sizes) == numbers).all()
+    assert (pitman_yor._unpack_rising(pitman_yor._pack_rising(groups[4])) == groups[4]).all()
+    nothing = np.zeros(0, dtype=np.uint64)
+    assert not len(pitman_yor._unpack_rising(pitman_yor._pack_rising(nothing)))
+    assert not len(pitman_yor._unpack_rising(pitman_yor._pack_rising(nothing, sizes[:1]), sizes[:1]))
+    for seats in ({}, {5: np.array([3, 1])}, {5: np.array([3, 1]), 2: np.array([7])}):
+        again = pitman_yor._unpack_seats(pitman_yor._pack_seats(seats))
+        assert {k: v.tolist() for k, v in again.items()} == {k: v.tolist() for k, v in seats.items()}
+
+
 def test_empty_tables_and_tables_without_training_texts(spark):
     assert pitman_yor.score(tables.documents(spark, [])).count() == 0
     held = next(i for i in range(100) if is_held_out(i))
