@@ -223,20 +223,27 @@ def _first_file(spark: SparkSession, folder: str) -> str | None:
 
 
 def landed_files(spark: SparkSession, spec: FeedSpec, units: list[str]) -> list[LandedFile]:
-    """The data files of units in reading order; the listing holds no data."""
+    """The data files of units in reading order; the listing holds no data.
+
+    Folders are listed one by one: a recursive listing with block locations starts a process for each
+    file of a local disk.
+    """
     found = []
     for unit in units:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(folder_of(spark, spec, unit))
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
+        root = spark._jvm.org.apache.hadoop.fs.Path(folder_of(spark, spec, unit))
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(root):
             continue
-        listed, of_unit = files.listFiles(folder, True), []
-        base = len(files.makeQualified(folder).toUri().getPath())
-        while listed.hasNext():
-            status = listed.next()
-            path = status.getPath()
-            below = path.toUri().getPath()[base:].split("/")
-            if not any(part.startswith(("_", ".")) for part in below):
+        hidden = ("_", ".") if files.getFileStatus(root).isDirectory() else ()
+        of_unit, folders = [], [root]
+        while folders:
+            for status in files.listStatus(folders.pop()):
+                path = status.getPath()
+                if path.getName().startswith(hidden):
+                    continue
+                if status.isDirectory():
+                    folders.append(path)
+                    continue
                 of_unit.append(LandedFile(
                     unit, path.toUri().toString(), path.toString(), status.getLen(), status.getModificationTime()
                 ))

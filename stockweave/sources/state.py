@@ -70,9 +70,12 @@ def fingerprint(spec: FeedSpec) -> str:
     return json.dumps(said, sort_keys=True, default=str)
 
 
-def key_of(spec: FeedSpec, layout: tuple[str, ...], file: LandedFile) -> str:
-    told = [fingerprint(spec), layout, file.unit, file.uri, file.size, file.changed]
-    return sha256(json.dumps(told).encode()).hexdigest()
+def keys_of(spec: FeedSpec, layout: tuple[str, ...], files: Sequence[LandedFile]) -> list[str]:
+    """What each file is known by. The spec is told once: its expression is made in the JVM, which would
+    take longer than all else if it were made for each file."""
+    spec_told = fingerprint(spec)
+    told = ([spec_told, layout, file.unit, file.uri, file.size, file.changed] for file in files)
+    return [sha256(json.dumps(one).encode()).hexdigest() for one in told]
 
 
 def _read(spark: SparkSession, root: str, name: str, layout: str) -> DataFrame:
@@ -108,12 +111,12 @@ def _fate(spec: FeedSpec):
 
 
 def load_files(
-    spark: SparkSession, root: str, spec: FeedSpec, layout: tuple[str, ...], files: list[LandedFile]
+    spark: SparkSession, root: str, spec: FeedSpec, layout: tuple[str, ...], files: dict[LandedFile, str]
 ) -> str:
-    """Read files and keep what there is to know of them; answers the load. A fault of any of them
-    raises, and then none is known."""
+    """Read files, given with their keys, and keep what there is to know of them; answers the load. A fault
+    of any of them raises, and then none is known."""
     load = uuid4().hex
-    parsed = stage(read_files(spark, spec, files, layout), spec.name)
+    parsed = stage(read_files(spark, spec, list(files), layout), spec.name)
     low_bits = (1 << position_bits(len(files))) - 1
     placed = parsed.withColumn("position", F.col("ord").bitwiseAND(F.lit(low_bits)))
     body = placed
@@ -144,7 +147,7 @@ def load_files(
         _keep(records.groupBy("file", "item", "sku").agg(F.min("position").alias("position")), root, "firsts", load, spec)
     _keep(facts, root, "facts", load, spec)
     manifest = small_table(spark, {
-        "key": pa.array([key_of(spec, layout, file) for file in files], pa.string()),
+        "key": pa.array(list(files.values()), pa.string()),
         "file": pa.array(range(len(files)), pa.int64()),
     })
     _keep(manifest, root, "manifest", load, spec)
@@ -160,12 +163,12 @@ def known_units(
 ) -> list[KnownFile]:
     """The state of all ``files``, of which those that are not known yet are read first, in one scan."""
     layout = layout_of(spark, spec, [file.path for file in files])
-    keys = {file: key_of(spec, layout, file) for file in files}
+    keys = dict(zip(files, keys_of(spec, layout, files), strict=True))
     known = known_files(spark, root, list(keys.values()))
-    fresh = [file for file in files if keys[file] not in known]
+    fresh = {file: key for file, key in keys.items() if key not in known}
     if fresh:
         load = load_files(spark, root, spec, layout, fresh)
-        known |= {keys[file]: (load, number) for number, file in enumerate(fresh)}
+        known |= {key: (load, number) for number, key in enumerate(fresh.values())}
     return [KnownFile(file, *known[keys[file]][:1], spec.phase, known[keys[file]][1]) for file in files]
 
 

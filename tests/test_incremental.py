@@ -204,3 +204,29 @@ def test_parquet_feeds(spark, folder, read):
     read.clear()
     check(spark, folder, specs, 1)
     assert [len(scan) for scan in read] == [1]
+
+
+def test_a_spec_is_told_once_for_all_its_files(spark, folder, monkeypatch):
+    """Telling a spec makes its expression in the JVM: done for each file, it took most of a run's time."""
+    for n in range(12):
+        put(f"{folder}/depot/sheet={n:02d}/a.csv", f"n,sku,item,a,b,c,left\n,S{n},I{n},,,,{n}\n")
+    told, real = [], state.fingerprint
+    monkeypatch.setattr(state, "fingerprint", lambda spec: told.append(spec.name) or real(spec))
+    spec = feeds.depot_feed(f"{folder}/depot", aliases={})
+    for _ in range(2):
+        files = feeds.landed_files(spark, spec, [spec.name])
+        known = state.known_units(spark, f"{folder}/state", spec, files)
+        assert [k.landed for k in known] == files and [k.file for k in known] == list(range(12))
+    assert len(told) <= 2 and len({k.load for k in known}) == 1
+
+
+def test_listings_leave_out_hidden_names_at_any_depth(spark, folder):
+    for name in ("b/deep/é 5%25 [a].csv", "a.csv", "b/.c.csv", "_hidden/d.csv", "b/_deep/e.csv", "_SUCCESS"):
+        put(f"{folder}/depot/{name}", "n\n")
+    put(f"{folder}/empty.csv", "")
+    found = feeds.landed_files(spark, feeds.depot_feed(f"{folder}/depot"), ["depot"])
+    assert [(f.path.removeprefix(f"file:{folder}/depot/"), f.size) for f in found] == [
+        ("a.csv", 2), ("b/deep/é 5%25 [a].csv", 2)]
+    assert found[1].uri.endswith("/b/deep/%C3%A9%205%2525%20%5Ba%5D.csv") or found[1].uri.endswith("/b/deep/é%205%2525%20%5Ba%5D.csv")
+    (single,) = feeds.landed_files(spark, feeds.depot_feed(f"{folder}/empty.csv"), ["depot"])
+    assert single.size == 0
