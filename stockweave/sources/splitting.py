@@ -19,6 +19,8 @@ from stockweave.functions.ordinal import row_in_task, text_position
 from stockweave.sources.staging import stage
 
 BLOCK = ["path", "block"]
+#: Bytes of text that are worth a task of their own, and that pieces of a record are put together by.
+TASK_BYTES = STRETCH = 1 << 24
 #: Cells of a line, each up to its comma; a quote counts at the start of a cell alone.
 CLOSED_CELLS = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+)?+(?:,|$))*+'
 #: The rest of a JSON string with its closing quote, and a whole string.
@@ -52,6 +54,16 @@ def text_pieces(spark: SparkSession, paths: Sequence[str], separator: str) -> Da
     )
 
 
+def tasks_for(pieces: DataFrame) -> int:
+    """How many tasks pieces are dealt to: as many as the files are read by, which grows with them, or
+    fewer if these are small. Else a task's sort would grow with the input, as
+    ``spark.sql.shuffle.partitions`` does not."""
+    spark, splits = pieces.sparkSession, pieces.rdd.getNumPartitions()
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return max(1, min(splits, -(-splits * size // TASK_BYTES)))
+
+
 def _before(*partition: str, order: str):
     return Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -118,14 +130,14 @@ def with_last(pieces: DataFrame, value: Column, name: str) -> DataFrame:
     )
 
 
-def joined(pieces: DataFrame, separator: str) -> DataFrame:
-    """Pieces with the same ``begin``, the position of the first one, as one text: path, begin, _file of
-    the first piece, value."""
+def joined(pieces: DataFrame, separator: str, tasks: int) -> DataFrame:
+    """Pieces with the same ``begin``, the position of the first one, as one text: path, begin, value. A
+    task is dealt whole stretches of a file."""
     in_order = F.sort_array(F.collect_list(F.struct("position", "value")))
-    return pieces.groupBy("path", "begin").agg(
-        F.min_by("_file", "position").alias("_file"),
+    dealt = pieces.withColumn("_stretch", F.floor(F.col("begin") / STRETCH)).repartition(tasks, "path", "_stretch")
+    return dealt.groupBy("path", "_stretch", "begin").agg(
         F.array_join(F.transform(in_order, lambda piece: piece["value"]), separator).alias("value"),
-    )
+    ).drop("_stretch")
 
 
 def _open_cell(line: Column) -> Column:
@@ -135,15 +147,17 @@ def _open_cell(line: Column) -> Column:
 
 def csv_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The records of CSV files whose cells may hold line breaks: path, begin (where the record's first
-    line begins), _file, value. Empty records are left out, as in any CSV file."""
-    lines = text_pieces(spark, paths, "\n").withColumn("value", F.regexp_replace("value", "\r$", ""))
+    line begins), value. Empty records are left out, as in any CSV file."""
+    lines = text_pieces(spark, paths, "\n").drop("_file").withColumn("value", F.regexp_replace("value", "\r$", ""))
+    tasks = tasks_for(lines)
     plain = ~F.contains("value", F.lit('"'))  # without quotes, the state stays as it is
     marked = with_states(
-        lines, F.when(plain, 0).otherwise(_open_cell(F.col("value"))),
+        lines.repartition(tasks, *BLOCK), F.when(plain, 0).otherwise(_open_cell(F.col("value"))),
         F.when(plain, 1).otherwise(_open_cell(F.concat(F.lit('"'), "value"))),
     )
-    begun = with_last(stage(marked, "lines"), F.when(F.col("state") == 0, F.col("position")), "begin")
-    return joined(begun, "\n").where("value <> ''")
+    stated = stage(marked, "lines").repartition(tasks, *BLOCK)
+    begun = with_last(stated, F.when(F.col("state") == 0, F.col("position")), "begin")
+    return joined(begun, "\n", tasks).where("value <> ''")
 
 
 def _from_outside(piece: Column, state: Column) -> Column:
@@ -175,7 +189,7 @@ def _document_ends(pieces: DataFrame) -> DataFrame:
 
 def json_elements(spark: SparkSession, paths: Sequence[str], key: str) -> DataFrame:
     """The objects in the list that stands under ``key`` in the root object of JSON documents, one
-    document a file: path, begin, _file, value (the object's text).
+    document a file: path, begin, value (the object's text).
 
     Pieces end at closing braces. Where a piece starts, in a string or not and how deep, follows from
     all quotes and brackets before it; which list an object stands in, from the last key that
@@ -183,7 +197,9 @@ def json_elements(spark: SparkSession, paths: Sequence[str], key: str) -> DataFr
     something else than objects and nulls; nulls are left out.
     """
     pieces = text_pieces(spark, paths, "}")
+    tasks = tasks_for(pieces)
     ends = _document_ends(pieces)
+    pieces = pieces.drop("_file").repartition(tasks, *BLOCK)
     quotes = F.regexp_count(F.regexp_replace("value", r"\\.", ""), F.lit('"')) % 2
     stated = with_states(pieces, quotes, 1 - quotes).join(ends, "path")
     closed = ((F.col("state") + quotes) % 2 == 0) & ~(F.col("_open") & (F.col("position") == F.col("_last")))
@@ -195,7 +211,7 @@ def json_elements(spark: SparkSession, paths: Sequence[str], key: str) -> DataFr
     }).drop("_last", "_open"), "pieces")
     _require_closed(marked)
 
-    deep = with_sums(marked, F.col("change"), "depth")
+    deep = with_sums(marked.repartition(tasks, *BLOCK), F.col("change"), "depth")
     root = F.regexp_replace(body, r"^\s*\{", "")
     bad_root = F.raise_error(F.concat(F.lit("MALFORMED_RECORD: no object in "), "path")).cast("string")
     inner = F.when(F.col("depth") > 0, body).when(body.rlike(r"^\s*\{"), root).when(body.rlike(r"\S"), bad_root).otherwise("")
@@ -209,7 +225,7 @@ def json_elements(spark: SparkSession, paths: Sequence[str], key: str) -> DataFr
     opened = opened.withColumn("flat", flat).withColumn("_new", renewed)
     holder = F.when(F.col("_new"), F.concat(F.lit("list "), F.regexp_extract("flat", OPEN_LIST, 1)))
     holder = F.when(F.col("_new") & ~F.col("flat").rlike(OPEN_LIST), "object").otherwise(holder)
-    held = with_last(stage(opened, "openings"), holder, "holder")
+    held = with_last(stage(opened, "openings").repartition(tasks, *BLOCK), holder, "holder")
 
     begins = F.length("head") < F.length("body")
     wanted = begins & (F.col("holder") == f"list {key}")
@@ -225,9 +241,9 @@ def json_elements(spark: SparkSession, paths: Sequence[str], key: str) -> DataFr
     start = F.when(begins | ending, F.struct("position", wanted.alias("wanted")))
     parts = held.withColumn("text", text).where((F.col("depth") > 2) | begins | ending)
     begun = with_last(parts, start, "start").where("start.wanted").select(
-        "path", "block", "position", "_file", F.col("text").alias("value"), F.col("start.position").alias("begin")
+        "path", "block", "position", F.col("text").alias("value"), F.col("start.position").alias("begin")
     )
-    return joined(begun, "}").withColumn("value", F.concat("value", F.lit("}")))
+    return joined(begun, "}", tasks).withColumn("value", F.concat("value", F.lit("}")))
 
 
 def _require_closed(pieces: DataFrame) -> None:

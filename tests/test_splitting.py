@@ -178,3 +178,23 @@ def test_states_are_those_of_a_fold(spark):
     frame = spark.createDataFrame(rows, "path string, block long, position long, value string, zero int, one int").repartition(6)
     found = splitting.with_states(frame, frame.zero, frame.one).select("path", "position", "state").collect()
     assert sorted(map(tuple, found)) == expected
+
+
+@pytest.mark.parametrize("lines", (50, 400))
+def test_tasks_grow_with_the_files_and_not_with_the_setting(spark, folder, monkeypatch, lines):
+    """Sorts of a task stay as large as the blocks it is dealt, however few partitions are set."""
+    monkeypatch.setattr(splitting, "TASK_BYTES", 64)
+    monkeypatch.setattr(splitting, "STRETCH", 64)
+    put(folder, "a.csv", "".join(f'S{n:04d},"a\n{n}"\n' for n in range(lines)))
+    put(folder, "b.json", json.dumps({"list": [{"sku": f"S{n:04d}", "availablestock": n} for n in range(lines)]}))
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        with split_at(spark, 512):
+            for found, size in (
+                (splitting.csv_records(spark, [f"{folder}/a.csv"]), 12 * lines),
+                (splitting.json_elements(spark, [f"{folder}/b.json"], "list"), 35 * lines),
+            ):
+                assert found.rdd.getNumPartitions() >= size // 512
+                assert found.count() == lines
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
