@@ -22,11 +22,12 @@ class IncompleteSnapshot(Exception):
 def snapshot_documents(
     snapshot: DataFrame, last_updated: Column, skus_per_document: int = SKUS_PER_DOCUMENT
 ) -> DataFrame:
-    """The snapshot as documents of limited size, SKUs in the order of their entries.
+    """The snapshot as documents of limited size, in sequence, SKUs in the order of their entries.
 
     One array for all SKUs would have to pass through one task, so a large snapshot becomes
     several documents, each of which says which part of how many it is. A snapshot without rows is
-    one document with an empty inventory.
+    one document with an empty inventory. The rows are dealt to ranges of parts before they are put
+    together: to sort the documents would make each of them twice, once for the sort's sample.
     """
     entries = number_rows(document_entries(snapshot), F.col("entry_ord"))
     skus = entries.agg(F.max("row_no")).first()[0] or 0
@@ -37,14 +38,14 @@ def snapshot_documents(
         row["Item"].alias("Item"), row["SKU"].alias("SKU"),
         F.map_from_entries(row["pairs"]).alias("Branch"),
     ))
-    filled = entries.groupBy(part.alias("part")).agg(inventory.alias("inventory"))
-    nothing = F.array().cast(filled.schema["inventory"].dataType)
-    body = F.struct(
-        last_updated.alias("last_updated"), "part", F.lit(parts).alias("parts"),
-        F.coalesce("inventory", nothing).alias("inventory"),
+    filled = entries.withColumn("part", part).repartitionByRange("part").groupBy("part").agg(
+        inventory.alias("inventory")
     )
-    numbers = snapshot.sparkSession.range(1, parts + 1).select(F.col("id").alias("part"))
-    return numbers.join(filled, "part", "left").select("part", F.to_json(body).alias("value"))
+    if not skus:  # else every part has SKUs
+        nothing = F.array().cast(filled.schema["inventory"].dataType)
+        filled = snapshot.sparkSession.range(1, 2).select(F.col("id").alias("part"), nothing.alias("inventory"))
+    body = F.struct(last_updated.alias("last_updated"), "part", F.lit(parts).alias("parts"), "inventory")
+    return filled.sortWithinPartitions("part").select("part", F.to_json(body).alias("value"))
 
 
 def write_documents(
@@ -53,7 +54,7 @@ def write_documents(
 ) -> None:
     """One compact document per line, in sequence over the files."""
     documents = snapshot_documents(snapshot, last_updated, skus_per_document)
-    documents.orderBy("part").select("value").write.text(path)
+    documents.select("value").write.text(path)
 
 
 def read_entries(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stockweave.operators import reconcile, serving
 from stockweave.plans import landing, nightly, queries
-from stockweave.sources import feeds, history, staging
+from stockweave.sources import documents, feeds, history, staging
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -100,3 +100,21 @@ def test_daily_documents_land_in_parts_of_limited_size(spark, monkeypatch):
         assert sorted(parts) == list(range(1, count + 1)) and all(parts[n] == 3 for n in range(1, count))
     imported = queries.import_documents(spark, SF_DIR)
     assert imported.count() == queries.daily_snapshots(spark, SF_DIR).count()
+
+
+def test_documents_come_in_sequence_and_are_made_once(spark):
+    """Rows are dealt to ranges of parts; no join, sort or other shuffle comes after the documents are made."""
+    rows = spark.range(900).select(
+        F.col("id").cast("string").alias("sku"), F.col("id").cast("string").alias("item"), F.lit("B").alias("branch"),
+        F.lit(1.0).alias("qty"), (F.col("id") * 7919 % 1009).alias("entry_ord"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = documents.snapshot_documents(rows, F.lit("now"), 10)
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert [row.part for row in made.collect()] == list(range(1, 91))
+        assert plan.count("Join") == 1  # that with the starts of the ranges
+        (empty,) = documents.snapshot_documents(rows.limit(0), F.lit("now"), 10).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert json.loads(empty.value) == {"last_updated": "now", "part": 1, "parts": 1, "inventory": []}
